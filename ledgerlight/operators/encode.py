@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.features import age_years, haversine_km
+from ledgerlight.operators.profile import value_counts
 from ledgerlight.operators.quantiles import exact_quantiles
 from ledgerlight.schema import AGE, BIRTH_COLUMN, DISTANCE, ONE_HOT, REDUCED_AWAY, TIME_COLUMN
 
@@ -16,13 +17,14 @@ VOCABULARY_LIMIT = 10_000
 
 def fit_vocabulary(df: DataFrame, columns: Sequence[str] = ONE_HOT, limit: int = VOCABULARY_LIMIT) -> dict[str, list[str]]:
     """Sorted distinct values per column. More than ``limit`` of them would make an unusable schema: error."""
-    found = {}
-    for name in columns:
-        values = df.where(F.col(name).isNotNull()).select(name).distinct().limit(limit + 1).collect()
+    columns = list(columns)
+    distinct = value_counts(df, columns).where(F.col("value").isNotNull()).select("column", "value")
+    found = distinct.limit(len(columns) * (limit + 1)).collect()
+    vocabulary = {name: sorted(row["value"] for row in found if row["column"] == name) for name in columns}
+    for name, values in vocabulary.items():
         if len(values) > limit:
             raise ValueError(f"{name} has more than {limit} values; one-hot columns need a small vocabulary")
-        found[name] = sorted(row[0] for row in values)
-    return found
+    return vocabulary
 
 
 def vocabulary_columns(vocabulary: Mapping[str, Sequence[str]]) -> list[str]:
@@ -32,7 +34,7 @@ def vocabulary_columns(vocabulary: Mapping[str, Sequence[str]]) -> list[str]:
 def with_age(df: DataFrame, seconds: str = TIME_COLUMN, born: str = BIRTH_COLUMN, median: float | None = None) -> DataFrame:
     """Customer age in whole years; unknown ages take the median of the known ones."""
     age = age_years(seconds, born)
-    if median is None:
+    if median is None and not df.where(age.isNull()).limit(1).isEmpty():
         median = exact_quantiles(df, {"age": age}, [0.5])["age"][0]
     return df.withColumn(AGE, F.coalesce(age, F.lit(median).cast("double")).cast("bigint"))
 

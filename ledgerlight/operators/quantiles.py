@@ -4,9 +4,9 @@ Spark's exact ``percentile`` keeps every distinct value of a column in one buffe
 quickest way for a small column, and no way at all for a large one. Beyond ``small_rows`` values the
 wanted order statistics are narrowed down instead: sketch quantiles propose cut points, one counting
 pass says exactly which interval each wanted rank falls into, and the loop goes on inside those
-intervals until few rows are left. Every pass is a scan with map-side counting; values are shuffled
-only in the last one, and there they are few. A value that fills a large share of the table gets an
-interval of its own and is settled by the first count.
+intervals until few rows are left. All columns share each pass, which is a scan with map-side
+counting; values are shuffled only in the last one, and there they are few. A value that fills a
+large share of the table gets an interval of its own and is settled by the first count.
 """
 
 from __future__ import annotations
@@ -34,22 +34,25 @@ def exact_quantiles(
     if not isinstance(columns, Mapping):
         columns = {name: F.col(f"`{name}`") for name in columns}
     names = list(columns)
-    numbers = df.select(*[number_or_missing(columns[n]).alias(f"v{i}") for i, n in enumerate(names)])
-    slots = [f"v{i}" for i in range(len(names))]
-    counts = numbers.agg(*[F.count(s).alias(s) for s in slots]).first()
     wanted = [float(p) for p in probabilities]
-
     result: dict[str, list[float | None]] = {n: [None] * len(wanted) for n in names}
-    small = [s for s in slots if 0 < counts[s] <= small_rows]
+    if not names:
+        return result
+    numbers = df.select(*[number_or_missing(columns[n]).alias(f"v{i}") for i, n in enumerate(names)])
+    counts = list(numbers.agg(*[F.count(f"v{i}") for i in range(len(names))]).first())
+
+    small = [i for i, rows in enumerate(counts) if 0 < rows <= small_rows]
     if small:
         grid = F.array(*map(F.lit, wanted))
-        row = numbers.agg(*[F.percentile(s, grid).alias(s) for s in small]).first()
-        for s in small:
-            result[names[slots.index(s)]] = list(row[s])
-    for s in slots:
-        if counts[s] > small_rows:
-            values = numbers.select(F.col(s).alias("value")).where(F.col(s).isNotNull())
-            result[names[slots.index(s)]] = _select(values, counts[s], wanted, small_rows)
+        row = numbers.agg(*[F.percentile(f"v{i}", grid) for i in small]).first()
+        for i, values in zip(small, row):
+            result[names[i]] = list(values)
+    large = {i: rows for i, rows in enumerate(counts) if rows > small_rows}
+    if large:
+        found = _select(numbers, large, wanted, small_rows)
+        for i, rows in large.items():
+            places = [p * (rows - 1) for p in wanted]
+            result[names[i]] = [_between(found[i, math.floor(x)], found[i, math.ceil(x)], x) for x in places]
     return result
 
 
@@ -73,8 +76,9 @@ def interval_index(df: DataFrame, column: str, edges: Sequence[float], name: str
 
 @dataclass
 class _Interval:
-    """Values in [low, high), of which ``below`` others of the table are smaller."""
+    """Values of one column in [low, high), of which ``below`` others of the column are smaller."""
 
+    column: int
     low: float
     high: float
     below: int
@@ -82,25 +86,32 @@ class _Interval:
     ranks: list[int] = field(default_factory=list)
 
 
-def _select(values: DataFrame, total: int, wanted: list[float], small_rows: int) -> list[float]:
-    positions = [p * (total - 1) for p in wanted]
-    ranks = sorted({r for x in positions for r in (math.floor(x), math.ceil(x))})
-    found: dict[int, float] = {}
-    sketched = [min(1.0, max(0.0, r / max(total - 1, 1) + d)) for r in ranks
-                for d in (-2 / SKETCH_ACCURACY, 2 / SKETCH_ACCURACY)]
-    cuts = values.agg(
-        F.percentile_approx("value", F.array(*map(F.lit, sketched)), SKETCH_ACCURACY)
-    ).first()[0]
-    pending = [_Interval(-math.inf, math.inf, 0, total, ranks)]
-    cuts_of = {0: cuts}
+Found = dict[tuple[int, int], float]  # (column, rank) to value
+
+
+def _select(numbers: DataFrame, counts: dict[int, int], wanted: list[float], small_rows: int) -> Found:
+    pending = []
+    cuts = {}
+    sketches = []
+    for n, (i, rows) in enumerate(counts.items()):
+        ranks = sorted({r for p in wanted for r in (math.floor(p * (rows - 1)), math.ceil(p * (rows - 1)))})
+        pending.append(_Interval(i, -math.inf, math.inf, 0, rows, ranks))
+        margin = 2 / SKETCH_ACCURACY
+        near = [min(1.0, max(0.0, r / (rows - 1) + d)) for r in ranks for d in (-margin, margin)]
+        sketches.append(F.percentile_approx(f"v{i}", F.array(*map(F.lit, near)), SKETCH_ACCURACY))
+        cuts[n] = None
+    for n, proposed in enumerate(numbers.agg(*sketches).first()):
+        cuts[n] = proposed
+
+    found: Found = {}
     while pending:
-        pending = _narrow(values, pending, cuts_of, found)
+        pending = _narrow(numbers, pending, cuts, found)
         if sum(i.rows for i in pending) <= small_rows:
             break
-        cuts_of = _propose(values, pending)
+        cuts = _propose(numbers, pending)
     if pending:
-        found.update(_finish(values, pending))
-    return [_between(found[math.floor(x)], found[math.ceil(x)], x) for x in positions]
+        found.update(_finish(numbers, pending))
+    return found
 
 
 def _between(low: float, high: float, position: float) -> float:
@@ -108,69 +119,80 @@ def _between(low: float, high: float, position: float) -> float:
     return low if share == 0 or low == high else low + (high - low) * share
 
 
-def _edges(intervals: list[_Interval]) -> list[float]:
-    inner = {e for i in intervals for e in (i.low, i.high)}
-    return sorted(inner | {-math.inf, math.inf})
+def _edges(intervals: Sequence[_Interval], column: int) -> set[float]:
+    own = [i for i in intervals if i.column == column]
+    return {-math.inf, math.inf} | {e for i in own for e in (i.low, i.high)}
+
 
+def _slots(numbers: DataFrame, edges: Mapping[int, Sequence[float]]) -> DataFrame:
+    """One row per value: (column, slot, value), the slot counted along the column's edges."""
+    ids = list(edges)
+    indexed = Bucketizer(
+        splitsArray=[list(edges[i]) for i in ids],
+        inputCols=[f"v{i}" for i in ids],
+        outputCols=[f"s{i}" for i in ids],
+    ).transform(numbers.select(*[f"v{i}" for i in ids]))
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("column"), F.col(f"s{i}").cast("int").alias("slot"), F.col(f"v{i}").alias("value"))
+        for i in ids
+    ])
+    return indexed.select(F.inline(cells)).where(F.col("slot").isNotNull())
 
-def _inside(values: DataFrame, intervals: list[_Interval]) -> DataFrame:
+
+def _inside(numbers: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
     """Values of the given intervals only, with the interval's place in the list."""
-    edges = _edges(intervals)
-    place = {edges.index(i.low): n for n, i in enumerate(intervals)}
-    indexed = interval_index(values, "value", edges, "slot")
-    chosen = indexed.where(F.col("slot").isin(*place))
-    number = F.create_map(*[F.lit(x) for pair in place.items() for x in pair])
-    return chosen.select("value", number[F.col("slot")].alias("interval"))
-
-
-def _propose(values: DataFrame, intervals: list[_Interval]) -> dict[int, list[float]]:
-    steps = [i / CUTS_PER_INTERVAL for i in range(CUTS_PER_INTERVAL + 1)]
-    rows = (
-        _inside(values, intervals)
-        .groupBy("interval")
-        .agg(F.percentile_approx("value", F.array(*map(F.lit, steps)), SKETCH_ACCURACY).alias("cuts"))
-        .collect()
-    )
+    edges = {i: sorted(_edges(intervals, i)) for i in sorted({i.column for i in intervals})}
+    place = F.lit(None).cast("int")
+    for column, own in edges.items():
+        number = {own.index(i.low): n for n, i in enumerate(intervals) if i.column == column}
+        listed = F.array(*[F.lit(number.get(slot)).cast("int") for slot in range(len(own) - 1)])
+        place = F.when(F.col("column") == column, F.get(listed, F.col("slot"))).otherwise(place)
+    return _slots(numbers, edges).select(place.alias("interval"), "value").where(F.col("interval").isNotNull())
+
+
+def _propose(numbers: DataFrame, intervals: Sequence[_Interval]) -> dict[int, list[float]]:
+    steps = F.array(*[F.lit(i / CUTS_PER_INTERVAL) for i in range(CUTS_PER_INTERVAL + 1)])
+    sketched = _inside(numbers, intervals).groupBy("interval")
+    rows = sketched.agg(F.percentile_approx("value", steps, SKETCH_ACCURACY).alias("cuts")).collect()
     return {row["interval"]: row["cuts"] for row in rows}
 
 
 def _narrow(
-    values: DataFrame, intervals: list[_Interval], cuts_of: dict[int, list[float]], found: dict[int, float]
+    numbers: DataFrame, intervals: Sequence[_Interval], cuts: Mapping[int, Sequence[float]], found: Found
 ) -> list[_Interval]:
     """Count the pieces the cuts make and keep those that still hide a wanted rank."""
-    edges = set(_edges(intervals))
-    for cut in {c for cuts in cuts_of.values() for c in cuts}:
+    edges: dict[int, list[float]] = {}
+    for column in sorted({i.column for i in intervals}):
+        proposed = {c for n, i in enumerate(intervals) if i.column == column for c in cuts[n]}
         # each cut value stands alone in [cut, next double), however often it occurs
-        edges |= {cut, math.nextafter(cut, math.inf)}
-    edges = sorted(edges)
-    counted = {
-        row["slot"]: row["count"]
-        for row in interval_index(values, "value", edges, "slot").groupBy("slot").count().collect()
-    }
-    wanted = sorted({r for i in intervals for r in i.ranks})
+        after = {math.nextafter(c, math.inf) for c in proposed}
+        edges[column] = sorted(_edges(intervals, column) | proposed | after)
+    rows = _slots(numbers, edges).groupBy("column", "slot").count().collect()
+    counted = {(row["column"], row["slot"]): row["count"] for row in rows}
+
     kept: list[_Interval] = []
-    below = 0
-    for slot in range(len(edges) - 1):
-        rows = counted.get(slot, 0)
-        here = [r for r in wanted if below <= r < below + rows]
-        low, high = edges[slot], edges[slot + 1]
-        if here and high == math.nextafter(low, math.inf):
-            found.update(dict.fromkeys(here, low))
-        elif here:
-            kept.append(_Interval(low, high, below, rows, here))
-        below += rows
+    for column, own in edges.items():
+        wanted = sorted({r for i in intervals if i.column == column for r in i.ranks})
+        below = 0
+        for slot, (low, high) in enumerate(zip(own, own[1:])):
+            size = counted.get((column, slot), 0)
+            here = [r for r in wanted if below <= r < below + size]
+            if here and high == math.nextafter(low, math.inf):
+                found.update({(column, r): low for r in here})
+            elif here:
+                kept.append(_Interval(column, low, high, below, size, here))
+            below += size
     return kept
 
 
-def _finish(values: DataFrame, intervals: list[_Interval]) -> dict[int, float]:
+def _finish(numbers: DataFrame, intervals: Sequence[_Interval]) -> Found:
     """Rank the few values left, grouped to distinct ones first, inside their intervals."""
-    distinct = _inside(values, intervals).groupBy("interval", "value").agg(F.count("*").alias("times"))
+    distinct = _inside(numbers, intervals).groupBy("interval", "value").agg(F.count("*").alias("times"))
     order = Window.partitionBy("interval").orderBy("value")
-    upto = F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = distinct.withColumn("upto", upto)
-    local = [(n, r - i.below, r) for n, i in enumerate(intervals) for r in i.ranks]
-    targets = values.sparkSession.createDataFrame(local, "interval int, local bigint, rank bigint")
+    ranked = distinct.withColumn("upto", F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    local = [(n, r - i.below, i.column, r) for n, i in enumerate(intervals) for r in i.ranks]
+    targets = numbers.sparkSession.createDataFrame(local, "interval int, local bigint, column int, rank bigint")
     hit = (F.col("local") < F.col("upto")) & (F.col("local") >= F.col("upto") - F.col("times"))
-    # at most one target per wanted rank, so this side has a fixed bound
-    rows = ranked.join(F.broadcast(targets), "interval").where(hit).select("rank", "value").collect()
-    return {row["rank"]: row["value"] for row in rows}
+    # two ranks per wanted quantile, so this side has a fixed bound
+    rows = ranked.join(F.broadcast(targets), "interval").where(hit).select("column", "rank", "value").collect()
+    return {(row["column"], row["rank"]): row["value"] for row in rows}

@@ -22,6 +22,7 @@ from ledgerlight.schema import SAMPLE_RATE, SAMPLE_ROWS, SCATTER_NEGATIVES, SEED
 
 PREFIX_STEP = 4
 RANKED_ROWS = 100_000
+DIGEST_LENGTH = 32
 
 
 def hash_order(key: str, seed: int | str = SEED) -> Column:
@@ -84,13 +85,12 @@ def first_by_class(
         else:
             left[value] = ("", quota)
     keyed = df.select(flag_column(df, label).alias("label"), hash_order(key, seed).alias("digest"), F.col(key).alias("key"))
-    length = 0
-    while left:
+    biggest, length = max((counts[v] for v in left), default=0), 0
+    while biggest > ranked_rows and length < DIGEST_LENGTH:
         length += PREFIX_STEP
         left, biggest = _cut_prefix(keyed, left, length)
-        if biggest <= ranked_rows or length >= 32:
-            cuts.update(_cut_rows(keyed, left))
-            break
+    if left:
+        cuts.update(_cut_rows(keyed, left))
     return ClassCuts(label, key, seed, cuts)
 
 
@@ -123,6 +123,11 @@ def _cut_rows(keyed: DataFrame, left: Mapping) -> dict[bool, tuple[str, object]]
     return {row["label"]: (row["digest"], row["key"]) for row in rows}
 
 
+def rate_quotas(size: int, rate: float) -> dict[bool, int]:
+    positives = round(size * rate)
+    return {True: positives, False: size - positives}
+
+
 def sample_by_rate(
     df: DataFrame,
     label: str,
@@ -132,8 +137,7 @@ def sample_by_rate(
     seed: int | str = SEED,
 ) -> DataFrame:
     """Exactly ``size`` rows, ``rate`` of them positive; an error if a class has too few."""
-    positives = round(size * rate)
-    quotas = {True: positives, False: size - positives}
+    quotas = rate_quotas(size, rate)
     counts = class_counts(df, label)
     short = {v: (q, counts[v]) for v, q in quotas.items() if counts[v] < q}
     if short:
@@ -153,10 +157,15 @@ def share_quotas(counts: Mapping[bool, int], size: int) -> dict[bool, int]:
 
 
 def split(
-    df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE, seed: int | str = SEED
+    df: DataFrame,
+    label: str,
+    key: str,
+    test_share: float = TEST_SHARE,
+    seed: int | str = SEED,
+    counts: Mapping[bool, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test, disjoint and complete, with the classes in the same shares."""
-    counts = class_counts(df, label)
+    counts = counts or class_counts(df, label)
     total = sum(counts.values())
     test_rows = math.ceil(total * test_share)
     cuts = first_by_class(df, label, key, share_quotas(counts, test_rows), counts, seed)

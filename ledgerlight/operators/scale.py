@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.operators.quantiles import exact_quantiles
-from ledgerlight.schema import LOG_ROBUST, MINMAX_SCALED, STANDARDISED
+from ledgerlight.schema import CYCLES, LOG_ROBUST, MINMAX_SCALED, STANDARDISED
 
 
 @dataclass(frozen=True)
@@ -40,20 +40,22 @@ def fit_log_robust(train: DataFrame, columns: Sequence[str] = LOG_ROBUST) -> Sca
     return Scaling(tuple(columns), factors)
 
 
+def _fit_moments(train: DataFrame, standard: Sequence[str], minmax: Sequence[str]) -> Scaling:
+    """Both kinds in one pass."""
+    parts = [F.struct(F.avg(n).alias("shift"), F.stddev_pop(n).alias("scale")).alias(n) for n in standard]
+    parts += [F.struct(F.min(n).alias("shift"), (F.max(n) - F.min(n)).alias("scale")).alias(n) for n in minmax]
+    row = train.agg(*parts).first()
+    return Scaling((), {n: _safe(row[n]["shift"], row[n]["scale"]) for n in (*standard, *minmax)})
+
+
 def fit_standard(train: DataFrame, columns: Sequence[str] = STANDARDISED) -> Scaling:
     """Minus the mean and over the population deviation."""
-    row = train.agg(*[f(n).alias(f"{p}_{n}") for n in columns for p, f in (("mean", F.avg), ("std", F.stddev_pop))]).first()
-    return Scaling((), {n: _safe(row[f"mean_{n}"], row[f"std_{n}"]) for n in columns})
+    return _fit_moments(train, columns, ())
 
 
 def fit_minmax(train: DataFrame, columns: Sequence[str] = MINMAX_SCALED) -> Scaling:
     """Training minimum to 0 and maximum to 1; a constant column becomes 0."""
-    row = train.agg(*[f(n).alias(f"{p}_{n}") for n in columns for p, f in (("low", F.min), ("high", F.max))]).first()
-    factors = {}
-    for n in columns:
-        low, high = row[f"low_{n}"], row[f"high_{n}"]
-        factors[n] = _safe(low, None if low is None else high - low)
-    return Scaling((), factors)
+    return _fit_moments(train, (), columns)
 
 
 def fit_scaling(
@@ -62,15 +64,12 @@ def fit_scaling(
     standard: Sequence[str] = STANDARDISED,
     minmax: Sequence[str] = MINMAX_SCALED,
 ) -> Scaling:
-    robust = fit_log_robust(train, log_robust)
-    others = {**fit_standard(train, standard).factors, **fit_minmax(train, minmax).factors}
-    return Scaling(robust.logged, {**robust.factors, **others})
+    robust, others = fit_log_robust(train, log_robust), _fit_moments(train, standard, minmax)
+    return Scaling(robust.logged, {**robust.factors, **others.factors})
 
 
 def operation_report(spark) -> DataFrame:
     """Which operation each column goes through and what it is fitted on."""
-    from ledgerlight.schema import CYCLES
-
     operations = [
         (CYCLES, "cyclic encoding", "sampled dataset"),
         (LOG_ROBUST, "log1p + RobustScaler", "train only"),

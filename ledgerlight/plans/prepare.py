@@ -66,11 +66,12 @@ def prepare(
     cleaned = fit_imputation(raw).apply(raw)
     reduced = reduce_columns(transform(cleaned, label=label), keep=[key]).drop(*drop)
     reduced = materialise(reduced)
-    sampled = reduced
+    sampled, counts = reduced, None
     if sample_rows is not None:
+        counts = sampling.rate_quotas(sample_rows, sample_rate)
         sampled = sampling.sample_by_rate(reduced, label, key, sample_rows, sample_rate, seed)
     # Another order than the sample's, which has already cut each class by it.
-    train, test = sampling.split(with_cycles(sampled), label, key, test_share, f"{seed}:split")
+    train, test = sampling.split(with_cycles(sampled), label, key, test_share, f"{seed}:split", counts)
     scaling = scale.fit_scaling(train)
     return Prepared(reduced, sampled, scaling.apply(train), scaling.apply(test), scaling)
 

@@ -52,10 +52,17 @@ def class_columns(value: Column, classes: Sequence[bool], label: str = TARGET) -
     return {str(c): F.when(F.col(label) == F.lit(c), value) for c in classes}
 
 
-def amount_summary(df: DataFrame, amount: str = "amt", label: str = TARGET) -> DataFrame:
-    """Count, mean, median, upper quantiles and maximum of the amount per class."""
+Found = dict[str, list[float | None]]
+
+
+def amount_summary(df: DataFrame, amount: str = "amt", label: str = TARGET, found: Found | None = None) -> DataFrame:
+    """Count, mean, median, upper quantiles and maximum of the amount per class.
+
+    ``found`` holds the quantiles of each class if they are known already.
+    """
     probabilities = {"median": 0.5, "q90": 0.9, "q95": 0.95, "q99": 0.99}
-    found = exact_quantiles(df, class_columns(F.col(amount), (False, True), label), list(probabilities.values()))
+    if found is None:
+        found = exact_quantiles(df, class_columns(F.col(amount), (False, True), label), list(probabilities.values()))
     quantile = {
         n: F.when(F.col(label), F.lit(found["True"][i]).cast("double")).otherwise(F.lit(found["False"][i]).cast("double"))
         for i, n in enumerate(probabilities)
@@ -83,15 +90,27 @@ def histogram_edges(low: float, high: float, bins: int) -> list[float]:
     return [low + i * step for i in range(bins)] + [high]
 
 
-def histogram(df: DataFrame, value: Column | str, bins: int = HISTOGRAM_BINS) -> DataFrame:
+def value_ranges(df: DataFrame, values: dict[str, Column]) -> dict[str, tuple[float | None, float | None]]:
+    """Smallest and largest of several values in one pass."""
+    numbers = {n: number_or_missing(c) for n, c in values.items()}
+    row = df.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(n) for n, c in numbers.items()]).first()
+    return {n: (row[n]["low"], row[n]["high"]) for n in values}
+
+
+def histogram(
+    df: DataFrame,
+    value: Column | str,
+    bins: int = HISTOGRAM_BINS,
+    ends: tuple[float | None, float | None] | None = None,
+) -> DataFrame:
     """Equal-width bins over the value range, the last one closed; empty bins are listed too."""
     source = F.col(value) if isinstance(value, str) else value
     numbers = df.select(number_or_missing(source).alias("value")).where(F.col("value").isNotNull())
-    ends = numbers.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
+    low, high = ends or value_ranges(numbers, {"value": F.col("value")})["value"]
     spark = df.sparkSession
-    if ends["low"] is None:
+    if low is None:
         return spark.createDataFrame([], "bin int, low double, high double, count bigint")
-    edges = histogram_edges(ends["low"], ends["high"], bins)
+    edges = histogram_edges(low, high, bins)
     counts = interval_index(numbers, "value", edges, "bin").groupBy("bin").agg(F.count("*").alias("count"))
     ranges = spark.createDataFrame(
         [(i, edges[i], edges[i + 1]) for i in range(bins)], "bin int, low double, high double"
@@ -101,11 +120,15 @@ def histogram(df: DataFrame, value: Column | str, bins: int = HISTOGRAM_BINS) ->
     return joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
-def boxplot(df: DataFrame, value: Column | str, label: str = TARGET) -> DataFrame:
-    """Quartiles, whiskers (last points within 1.5 interquartile ranges) and outliers per class."""
+def boxplot(df: DataFrame, value: Column | str, label: str = TARGET, found: Found | None = None) -> DataFrame:
+    """Quartiles, whiskers (last points within 1.5 interquartile ranges) and outliers per class.
+
+    ``found`` holds the quartiles of each class if they are known already.
+    """
     source = F.col(value) if isinstance(value, str) else value
     numbers = df.select(F.col(label), number_or_missing(source).alias("value")).where(F.col("value").isNotNull())
-    found = exact_quantiles(numbers, class_columns(F.col("value"), (False, True), label), [0.25, 0.5, 0.75])
+    if found is None:
+        found = exact_quantiles(numbers, class_columns(F.col("value"), (False, True), label), [0.25, 0.5, 0.75])
 
     def of_class(pick) -> Column:
         lit = {c: F.lit(None if q[0] is None else pick(*q)).cast("double") for c, q in found.items()}

@@ -112,6 +112,11 @@ def value_counts(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -
     return long.groupBy("column", "value").agg(F.count("*").alias("count"))
 
 
+def counted_values(df: DataFrame, columns: Sequence[str], counts: DataFrame | None) -> DataFrame:
+    """The given counts cut down to the columns, or fresh ones."""
+    return value_counts(df, columns) if counts is None else counts.where(F.col("column").isin(list(columns)))
+
+
 def column_modes(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -> dict[str, str]:
     """Most frequent non-null value per column; ties go to the smallest."""
     counts = value_counts(df, columns).where(F.col("value").isNotNull())
@@ -119,20 +124,25 @@ def column_modes(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -
     return {row["column"]: row["best"]["value"] for row in best.collect()}
 
 
-def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per text column, most first."""
+def cardinality(
+    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
+    """Distinct non-null values per text column, most first. ``counts`` saves counting the values again."""
     columns = list(columns or text_columns(df))
     if approximate:
         wide = df.agg(*[F.approx_count_distinct(f"`{n}`").alias(f"{n}__distinct_count") for n in columns])
         counted = melt(wide, columns, ["distinct_count"])
     else:
-        counted = value_counts(df, columns).groupBy("column").agg(F.count("value").alias("distinct_count"))
+        counts = counted_values(df, columns, counts)
+        counted = counts.groupBy("column").agg(F.count("value").alias("distinct_count"))
     return counted.orderBy(F.desc("distinct_count"), "column")
 
 
-def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP_VALUES) -> DataFrame:
+def top_values(
+    df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP_VALUES, counts: DataFrame | None = None
+) -> DataFrame:
     """The k most frequent values per text column, null included; Spark limits groups before the shuffle."""
-    counts = value_counts(df, list(columns or text_columns(df)))
+    counts = counted_values(df, list(columns or text_columns(df)), counts)
     order = Window.partitionBy("column").orderBy(F.desc("count"), F.col("value").asc_nulls_last())
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -158,10 +168,14 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return melt(df.agg(*parts), columns, measures)
 
 
-def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def countable_columns(df: DataFrame) -> list[str]:
+    return [n for n, kind in df.dtypes if kind in ("string", "boolean")]
+
+
+def describe_text(df: DataFrame, columns: Sequence[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Non-null count, distinct values, most frequent value and its count per text or flag column."""
-    columns = list(columns or [n for n, kind in df.dtypes if kind in ("string", "boolean")])
-    counts = value_counts(df, columns).where(F.col("value").isNotNull())
+    columns = list(columns or countable_columns(df))
+    counts = counted_values(df, columns, counts).where(F.col("value").isNotNull())
     best = F.min(F.struct((-F.col("count")).alias("order"), "value"))
     return counts.groupBy("column").agg(
         F.sum("count").alias("count"),
@@ -171,10 +185,10 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
-def describe_all(df: DataFrame) -> DataFrame:
+def describe_all(df: DataFrame, numeric: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Numeric and text profiles in one table; what does not apply is null."""
-    numeric = describe_numeric(df)
-    return numeric.unionByName(describe_text(df), allowMissingColumns=True)
+    numeric = describe_numeric(df) if numeric is None else numeric
+    return numeric.unionByName(describe_text(df, counts=counts), allowMissingColumns=True)
 
 
 def stage_metrics(spark, values: Mapping[str, float | int]) -> DataFrame:

@@ -5,23 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight.functions.values import cap
 from ledgerlight.operators import correlate, explore, profile, sampling
-from ledgerlight.schema import CORRELATED, DISTANCE, DISTANCE_HISTOGRAM_BINS, KEY, TARGET
+from ledgerlight.operators.quantiles import exact_quantiles
+from ledgerlight.schema import (
+    CAP_QUANTILE, CORRELATED, DISTANCE, DISTANCE_HISTOGRAM_BINS, HISTOGRAM_BINS, KEY, TARGET,
+)
+from ledgerlight.session import materialise
 
 
 def profile_tables(df: DataFrame, label: str = TARGET, key: str = KEY) -> dict[str, DataFrame]:
-    """Everything known about the raw table, one DataFrame per report."""
+    """Everything known about the raw table, one DataFrame per report.
+
+    Values are counted once and the counts written down, as several reports read them.
+    """
+    counts = materialise(profile.value_counts(df, profile.countable_columns(df)))
+    numeric = profile.describe_numeric(df)
     tables = {
         "general_information": profile.shape(df),
         "columns": profile.column_list(df),
         "data_types": profile.kind_counts(df),
         "head": profile.preview(df, key, 5),
-        "describe": profile.describe_all(df),
+        "describe": profile.describe_all(df, numeric, counts),
         "missing_values": profile.missing_values(df),
         "duplicate_rows": profile.duplicate_rows(df),
-        "numeric_summary": profile.describe_numeric(df),
-        "cardinality": profile.cardinality(df),
-        "top_values": profile.top_values(df),
+        "numeric_summary": numeric,
+        "cardinality": profile.cardinality(df, counts=counts),
+        "top_values": profile.top_values(df, counts=counts),
     }
     if label in df.columns:
         tables["target_distribution"] = profile.target_distribution(df, label)
@@ -35,21 +45,39 @@ def correlated_columns(df: DataFrame) -> list[str]:
 
 
 def explore_tables(df: DataFrame, label: str = TARGET, key: str = KEY) -> dict[str, DataFrame]:
-    """The data of every exploratory chart, from a transformed table."""
+    """The data of every exploratory chart, from a transformed table.
+
+    All quantiles and all histogram ranges come from shared passes.
+    """
     named = explore.with_category(df)
     amount = explore.log_amount()
+    classes = (False, True)
+    by_class = {"amt": F.col("amt"), "log": amount, "km": F.col(DISTANCE)}
+    split = {
+        f"{n}_{c}": part for n, value in by_class.items() for c, part in explore.class_columns(value, classes, label).items()
+    }
+    probabilities = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99, CAP_QUANTILE]
+    found = exact_quantiles(df, {"amt": F.col("amt"), "km": F.col(DISTANCE), **split}, probabilities)
+    quartiles = {n: {str(c): found[f"{n}_{c}"][:3] for c in classes} for n in by_class}
+    upper = {str(c): [found[f"amt_{c}"][i] for i in (1, 3, 4, 5)] for c in classes}
+    capped_amount = cap("amt", found["amt"][-1])
+    capped_distance = cap(DISTANCE, found["km"][-1])
+    charted = {
+        "amount_histogram": (capped_amount, HISTOGRAM_BINS),
+        "log_amount_histogram": (amount, HISTOGRAM_BINS),
+        "distance_histogram": (capped_distance, HISTOGRAM_BINS),
+        "distance_histogram_full": (F.col(DISTANCE), DISTANCE_HISTOGRAM_BINS),
+    }
+    ends = explore.value_ranges(df, {n: value for n, (value, _) in charted.items()})
     by_category = explore.category_summary(named, label=label)
     return {
         "target_distribution": profile.target_distribution(df, label),
-        "amount_histogram": explore.histogram(explore.capped(df, "amt"), "amt"),
-        "log_amount_histogram": explore.histogram(df, amount),
-        "amount_boxplot": explore.boxplot(df, amount, label),
-        "amount_summary": explore.amount_summary(df, label=label),
+        **{n: explore.histogram(df, value, bins, ends[n]) for n, (value, bins) in charted.items()},
+        "amount_boxplot": explore.boxplot(df, amount, label, quartiles["log"]),
+        "amount_summary": explore.amount_summary(df, label=label, found=upper),
         "category_rates": by_category,
         "category_counts": by_category.orderBy(F.desc("transaction_count"), "category"),
-        "distance_histogram": explore.histogram(explore.capped(df, DISTANCE), DISTANCE),
-        "distance_histogram_full": explore.histogram(df, DISTANCE, DISTANCE_HISTOGRAM_BINS),
-        "distance_boxplot": explore.boxplot(df, DISTANCE, label),
+        "distance_boxplot": explore.boxplot(df, DISTANCE, label, quartiles["km"]),
         "distance_rates": explore.rate_by_distance(df, label),
         "amount_and_distance": scatter_points(df, label, key),
         "hour_rates": explore.rate_by(df, "transaction_hour", "transaction_hour", label),

@@ -110,7 +110,7 @@ def oneclass_fit(spark, folder):
     model = fit(ONE_CLASS, normal, param_grid(ONE_CLASS, "fast")[0])
     row = scores(normal, model).df.agg(F.count("*"), F.avg((F.col("score") >= 0).cast("double"))).first()
     return one_row(
-        spark, fit_rows=row[0], flags_nu_of_fit_rows=abs(row[1] - NU) < 0.002,
+        spark, fit_rows=row[0], flags_nu_of_fit_rows=abs(row[1] - NU) < 2.0 / row[0],
         ranks_above_chance=auc(table, model) > 0.6,
     )
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,11 +65,14 @@ def age_years(seconds: Column | str, born: Column | str) -> Column:
 def haversine_km(lat_a: str, long_a: str, lat_b: str, long_b: str) -> Column:
     """Great-circle distance in km on a sphere."""
     phi_a, phi_b = F.radians(lat_a), F.radians(lat_b)
-    half_phi = F.sin((phi_b - phi_a) / 2)
-    half_lambda = F.sin((F.radians(long_b) - F.radians(long_a)) / 2)
-    chord = half_phi * half_phi + F.cos(phi_a) * F.cos(phi_b) * half_lambda * half_lambda
-    bounded = F.when(chord > 1, F.lit(1.0)).when(chord < 0, F.lit(0.0)).otherwise(chord)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(bounded))
+    across = F.pow(F.sin((phi_b - phi_a) / 2), 2)
+    along = F.pow(F.sin((F.radians(long_b) - F.radians(long_a)) / 2), 2)
+    chord = across + F.cos(phi_a) * F.cos(phi_b) * along
+    # least and greatest pass over nulls, so missing coordinates are looked at first;
+    # each part is written once, as this expression may end up inlined
+    bounded = F.least(F.lit(1.0), F.greatest(F.lit(0.0), chord))
+    known = reduce(and_, [F.col(c).isNotNull() for c in (lat_a, long_a, lat_b, long_b)])
+    return F.when(known, F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(bounded)))
 
 
 def distance_bucket(km: Column | str) -> Column:

@@ -17,8 +17,11 @@ from ledgerlight.schema import CAP_QUANTILE, DISTANCE, HISTOGRAM_BINS, TARGET, W
 def rate_by(df: DataFrame, group: Column | str, name: str, label: str = TARGET) -> DataFrame:
     """Share of positives per group; rows without a group are left out."""
     source = F.col(group) if isinstance(group, str) else group
-    grouped = df.select(source.alias(name), F.col(label).cast("double").alias("_hit")).where(F.col(name).isNotNull())
-    return grouped.groupBy(name).agg(F.avg("_hit").alias("fraud_rate"))
+    grouped = df.select(source.alias(name), F.col(label).cast("double").alias("_hit")).groupBy(name)
+    # the one group without a name goes after counting: a filter on the name would be pushed down to
+    # the scan, where the whole expression behind it is worked out a second time
+    named = grouped.agg(F.avg("_hit").alias("fraud_rate"), F.count(name).alias("_named"))
+    return named.where("_named > 0").drop("_named")
 
 
 def rate_by_distance(df: DataFrame, label: str = TARGET) -> DataFrame:
@@ -105,7 +108,7 @@ def histogram(
 ) -> DataFrame:
     """Equal-width bins over the value range, the last one closed; empty bins are listed too."""
     source = F.col(value) if isinstance(value, str) else value
-    numbers = df.select(number_or_missing(source).alias("value")).where(F.col("value").isNotNull())
+    numbers = df.select(number_or_missing(source).alias("value"))
     low, high = ends or value_ranges(numbers, {"value": F.col("value")})["value"]
     spark = df.sparkSession
     if low is None:
@@ -115,7 +118,7 @@ def histogram(
     ranges = spark.createDataFrame(
         [(i, edges[i], edges[i + 1]) for i in range(bins)], "bin int, low double, high double"
     )
-    # at most one row per bin on either side
+    # at most one row per bin on either side; missing values fall in no bin
     joined = ranges.join(F.broadcast(counts), "bin", "left")
     return joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
@@ -126,7 +129,7 @@ def boxplot(df: DataFrame, value: Column | str, label: str = TARGET, found: Foun
     ``found`` holds the quartiles of each class if they are known already.
     """
     source = F.col(value) if isinstance(value, str) else value
-    numbers = df.select(F.col(label), number_or_missing(source).alias("value")).where(F.col("value").isNotNull())
+    numbers = df.select(F.col(label), number_or_missing(source).alias("value"))
     if found is None:
         found = exact_quantiles(numbers, class_columns(F.col("value"), (False, True), label), [0.25, 0.5, 0.75])
 
@@ -137,7 +140,7 @@ def boxplot(df: DataFrame, value: Column | str, label: str = TARGET, found: Foun
     low, high = of_class(lambda a, _, c: a - 1.5 * (c - a)), of_class(lambda a, _, c: c + 1.5 * (c - a))
     inside = F.col("value").between(low, high)
     grouped = numbers.groupBy(label).agg(
-        F.count("*").alias("count"),
+        F.count("value").alias("count"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.count_if(~inside).cast("bigint").alias("outliers"),

@@ -58,8 +58,7 @@ def exact_quantiles(
 
 def number_or_missing(column: Column) -> Column:
     """The value as a double, NaN counting as missing."""
-    number = column.cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
 
 
 def grid_points(count: int, low: float, high: float) -> list[float]:

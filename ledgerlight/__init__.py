@@ -1 +1,8 @@
 """Spark-native profiling, feature building, model fitting and evaluation for transaction tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors travel whole, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,13 +7,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.functions.values import align, flag_column, flag_to_int, number_strict
-from ledgerlight.operators.lookups import frequency_encode, frequency_map
+from ledgerlight.functions.values import align, flag_column, flag_to_int, missing_as_word, number_strict
+from ledgerlight.operators.lookups import frequency_encode, shares
+from ledgerlight.operators.profile import value_counts
 from ledgerlight.schema import FREQUENCY_ENCODED, TARGET
+from ledgerlight.session import materialise
 
 
 def fit_frequency_maps(train: DataFrame, columns: Sequence[str] = FREQUENCY_ENCODED) -> dict[str, DataFrame]:
-    return {n: frequency_map(train, n) for n in columns}
+    """One map per column, from one pass whose counts are written down: every later use reads only those."""
+    counts = materialise(value_counts(train, {n: missing_as_word(n) for n in columns}))
+    return {n: shares(counts.where(F.col("column") == n).select("value", "count")) for n in columns}
 
 
 def prepare_features(

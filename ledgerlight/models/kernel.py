@@ -20,7 +20,7 @@ from ledgerlight.models.linear import class_weight, weighted_rows
 from ledgerlight.operators.quantiles import exact_quantiles
 
 DIMENSIONS = 256
-SCORE_BINS = 4096
+SCORE_BINS = 1024
 ONE_CLASS_STEPS = 25
 
 

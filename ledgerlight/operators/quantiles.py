@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 1_000_000
+# ``percentile`` walks all its values once per probability
+SMALL_WORK = 30_000_000
 SKETCH_ACCURACY = 10_000
 CUTS_PER_INTERVAL = 200
 
@@ -41,6 +43,7 @@ def exact_quantiles(
     numbers = df.select(*[number_or_missing(columns[n]).alias(f"v{i}") for i, n in enumerate(names)])
     counts = list(numbers.agg(*[F.count(f"v{i}") for i in range(len(names))]).first())
 
+    small_rows = min(small_rows, SMALL_WORK // max(len(wanted), 1))
     small = [i for i, rows in enumerate(counts) if 0 < rows <= small_rows]
     if small:
         grid = F.array(*map(F.lit, wanted))

@@ -46,17 +46,17 @@ class ClassCuts:
     cuts: Mapping[bool, tuple[str, object] | bool]
 
     def chosen(self, df: DataFrame) -> Column:
-        flag, order = flag_column(df, self.label), hash_order(self.key, self.seed)
-        parts = []
-        for value, cut in self.cuts.items():
-            of_class = flag if value else ~flag
-            if cut is True:
-                parts.append(of_class)
-            elif cut is not False:
-                digest, key = cut
-                upto = (order < F.lit(digest)) | ((order == F.lit(digest)) & (F.col(self.key) <= F.lit(key)))
-                parts.append(of_class & upto)
-        return reduce(or_, parts, F.lit(False))
+        """Only the branch of the row's own class is evaluated, so each row is hashed at most once."""
+        flag, kind = flag_column(df, self.label), df.schema[self.key].dataType
+        place = F.struct(hash_order(self.key, self.seed).alias("digest"), F.col(self.key).alias("key"))
+
+        def within(cut: tuple[str, object] | bool) -> Column:
+            if isinstance(cut, bool):
+                return F.lit(cut)
+            digest, key = cut
+            return place <= F.struct(F.lit(digest).alias("digest"), F.lit(key).cast(kind).alias("key"))
+
+        return F.when(flag, within(self.cuts.get(True, False))).otherwise(within(self.cuts.get(False, False)))
 
     def take(self, df: DataFrame) -> DataFrame:
         return df.where(self.chosen(df))

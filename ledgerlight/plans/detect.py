@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ledgerlight.models import artifact as art
@@ -35,7 +34,7 @@ def feature_table(train: DataFrame, key: str = KEY, label: str = TARGET, rows: i
     if rows is not None:
         train = sampling.fraction_then_trim(train, key, rows, train.count(), seed)
     features, names = prepare_features(train, maps, key, label)
-    return FeatureTable(materialise(features), key, label, tuple(names))
+    return FeatureTable(materialise(features, spread_by=key), key, label, tuple(names))
 
 
 def train(
@@ -92,8 +91,8 @@ def evaluate(
     key: str = KEY, label: str = TARGET, rows: int | None = None, folder: str | None = None, seed: int = SEED,
 ) -> Evaluated:
     """Score the test rows and report on them. Raises if amounts and test rows do not line up."""
-    scores = score_table(test, train_table, source, artifact, key, label, rows, seed)
-    scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
+    # written down once: every report below reads it
+    scores = materialise(score_table(test, train_table, source, artifact, key, label, rows, seed))
     if rows is None:
         require_alignment(test, scores, key, label)
     scored = ev.Scored(scores, label, key=key)

@@ -34,13 +34,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, spread_by: str | None = None) -> DataFrame:
     """Write df to the shared folder once, so that later reads see the very same rows.
 
     A written table, not an RDD checkpoint: it is columnar, pruned when read back, and survives
-    the loss of any executor.
+    the loss of any executor. ``spread_by`` names a unique key to even out the files by, worth its one
+    shuffle where the table will be read many times.
     """
     spark = df.sparkSession
+    if spread_by is not None:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

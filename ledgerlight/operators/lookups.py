@@ -24,19 +24,20 @@ def lookup_join(
 
     A lookup whose counted size is small is broadcast. A larger one is joined by shuffle: keys that
     hold more than one row in a hundred (at most a hundred of them) are spread over several tasks,
-    their lookup rows repeated once per salt; all other keys have one salt.
+    their lookup rows repeated once per salt; all other keys have one salt. The salt follows from the
+    row itself, so a recomputed task sends each row the same way.
     """
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return facts.join(F.broadcast(lookup), key, how)
 
     hot = hot_keys(facts, key)
-    if not hot:
-        return facts.join(lookup, key, how)
-    spread = F.abs(F.xxhash64(*[c for c in facts.columns])) % salts
-    salted_facts = facts.withColumn("_salt", F.when(F.col(key).isin(hot), spread).otherwise(F.lit(0).cast("bigint")))
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    only = F.array(F.lit(0).cast("bigint"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.when(F.col(key).isin(hot), every).otherwise(only)))
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    zero = F.lit(0).cast("bigint")
+    # rows without a key match nothing, wherever they go, but a left join keeps them all
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts).cast("bigint"))
+    salted_facts = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(zero))
+    every = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
+    salted_lookup = lookup.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(zero))))
     return salted_facts.join(salted_lookup, [key, "_salt"], how).drop("_salt")
 
 

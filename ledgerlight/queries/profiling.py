@@ -15,8 +15,10 @@ from ledgerlight.queries.base import (
     BUCKET_SQL, CATEGORIES, CLEAN_SQL, query, r, transformed_sql, txn, with_txn,
 )
 from ledgerlight.schema import DISTANCE, GRID_SPAN, WEEKDAY_LABELS
+from ledgerlight.session import scratch_path
 from ledgerlight.sources.tables import load
 from ledgerlight.sources.txn import ID
+from ledgerlight.streaming.counts import count_values, frequency_maps, read_in_batches
 
 CLEANED = f"""txn_id, {r('amt')} AS amt, {r('city_pop')} AS city_pop, {r('unix_time')} AS unix_time, {r('lat')} AS lat,
  {r('long')} AS long, {r('merch_lat')} AS merch_lat, {r('merch_long')} AS merch_long"""
@@ -69,6 +71,20 @@ def frequency_map(spark, folder):
     return maps["job"].unionByName(maps["zip"])
 
 
+@query(
+    "frequency_map_in_batches",
+    f"""SELECT 'event_type' AS "column", event_type AS value,
+    {r('count(*) / CAST((SELECT count(*) FROM events) AS DOUBLE)')} AS frequency FROM events GROUP BY event_type""",
+)
+def frequency_map_in_batches(spark, folder):
+    # a stream takes a pattern, not a single file
+    events = read_in_batches(spark, f"{folder}/[e]vents.parquet", load(spark, folder, "events").schema)
+    path = scratch_path(spark, "counts")
+    count_values(events, path, ["event_type"])
+    maps = frequency_maps(spark, path, ["event_type"])
+    return maps["event_type"].withColumn("column", F.lit("event_type"))
+
+
 @query(
     "frequency_encode",
     with_txn(

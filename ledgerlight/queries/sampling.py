@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.models.features import fit_frequency_maps, gamma_scale, prepare_features
 from ledgerlight.operators import encode, explore, lookups, sampling, scale
-from ledgerlight.plans.prepare import prepare, transform
+from ledgerlight.plans.prepare import prepare, scaling_summary, transform
 from ledgerlight.queries.base import (
     CATEGORIES, CLEAN_SQL, query, quota_sql, r, ranked_sql, transformed_sql, txn, with_txn,
 )
@@ -317,3 +317,22 @@ def alignment_check(spark, folder):
 
 
 
+
+
+REDUCED_WIDTH = 6 + 6 + 2 + len(CATEGORIES) + 2
+
+
+@query(
+    "scaling_summary",
+    with_txn(
+        "counted AS (SELECT count(*) AS n, count(*) // 2 AS half FROM txn)",
+        "sized AS (SELECT n, half, round_even(half * 0.05::DOUBLE, 0) AS positives, half - ceil(half * 0.2::DOUBLE) AS train FROM counted)",
+        f"""SELECT metric, CAST(value AS DOUBLE) AS value FROM sized, LATERAL (VALUES ('input_rows', n), ('sampled_rows', half),
+        ('sampled_fraud_rows', positives), ('sampled_non_fraud_rows', half - positives),
+        ('sampled_fraud_percent', round(100.0 * positives / half, 2)), ('source_columns', {REDUCED_WIDTH}),
+        ('post_cyclic_columns', {REDUCED_WIDTH + len(CYCLES)}), ('encoded_columns', {2 * len(CYCLES)}),
+        ('train_rows', train), ('test_rows', half - train)) v(metric, value)""",
+    ),
+)
+def scaling_summary_query(spark, folder):
+    return scaling_summary(prepared(spark, folder))

@@ -136,6 +136,11 @@ def test_large_lookup_is_salted_without_losing_rows(spark, how):
     )
     lookup = spark.range(0, 45).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     assert 0 in lookups.hot_keys(facts, "k")
+    rare = spark.range(300).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    assert lookups.hot_keys(rare, "k") == []
+    want = lookups.lookup_join(rare, lookup, "k", how)
+    got = lookups.lookup_join(rare, lookup, "k", how, broadcast_rows=3, salts=4)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     broadcast = lookups.lookup_join(facts, lookup, "k", how)
     salted = lookups.lookup_join(facts, lookup, "k", how, broadcast_rows=3, salts=4)
     assert salted.columns == broadcast.columns

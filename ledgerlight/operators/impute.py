@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.values import empty_to_null, number_or_null
 from ledgerlight.operators.profile import column_modes
-from ledgerlight.operators.quantiles import exact_quantiles
+from ledgerlight.operators.quantiles import exact_quantiles, number_or_missing
 from ledgerlight.schema import MEDIAN_FILLED, MODE_FILLED, UNKNOWN, UNKNOWN_FILLED
 
 
@@ -24,7 +24,7 @@ class Imputation:
         filled = {}
         for name, value in self.medians.items():
             if name in kinds:
-                filled[name] = F.coalesce(number_or_null(name), F.lit(float(value)))
+                filled[name] = F.coalesce(number_or_missing(number_or_null(name)), F.lit(float(value)))
         for name, value in self.words.items():
             if name in kinds:
                 source = empty_to_null(name) if kinds[name] == "string" else F.col(name)
@@ -33,22 +33,46 @@ class Imputation:
         return df.withColumns(filled)
 
 
+def _text(name: str) -> Column:
+    """The column as text, an empty one being missing."""
+    return empty_to_null(F.col(name).cast("string"))
+
+
 def fit_imputation(
     df: DataFrame,
     numeric: Sequence[str] = MEDIAN_FILLED,
     text: Sequence[str] = MODE_FILLED,
     unknown: Sequence[str] = UNKNOWN_FILLED,
+    present: Mapping[str, int] | None = None,
 ) -> Imputation:
     """Median per numeric column (0 if it has none), mode per text column (ties: smallest value)."""
-    kinds = dict(df.dtypes)
-    numeric = [n for n in numeric if n in kinds]
-    text = [n for n in text if n in kinds]
-    medians = exact_quantiles(df, {n: number_or_null(n) for n in numeric}, [0.5]) if numeric else {}
+    numeric = [n for n in numeric if n in df.columns]
+    text = [n for n in text if n in df.columns]
+    found = exact_quantiles(df, {n: number_or_null(n) for n in numeric}, [0.5], present=present)
     moded = [n for n in text if n not in unknown]
-    modes = column_modes(df, {n: empty_to_null(F.col(n).cast("string")) for n in moded}) if moded else {}
+    modes = column_modes(df, {n: _text(n) for n in moded}) if moded else {}
     words = {n: UNKNOWN if n in unknown else modes.get(n) or UNKNOWN for n in text}
-    return Imputation({n: v[0] if v[0] is not None else 0.0 for n, v in medians.items()}, words)
+    return Imputation({n: v[0] if v[0] is not None else 0.0 for n, v in found.items()}, words)
 
 
-def clean(df: DataFrame, **columns: Sequence[str]) -> DataFrame:
-    return fit_imputation(df, **columns).apply(df)
+def clean(
+    df: DataFrame,
+    numeric: Sequence[str] = MEDIAN_FILLED,
+    text: Sequence[str] = MODE_FILLED,
+    unknown: Sequence[str] = UNKNOWN_FILLED,
+) -> DataFrame:
+    """Fill one table from itself. Medians and modes are worked out only for columns with gaps.
+
+    One counting pass finds those, so complete identifiers are never grouped by value.
+    """
+    numeric = [n for n in numeric if n in df.columns]
+    text = [n for n in text if n in df.columns]
+    if not numeric and not text:
+        return df
+    checked = {**{n: number_or_missing(number_or_null(n)) for n in numeric}, **{n: _text(n) for n in text}}
+    counted = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(n) for n, c in checked.items()]).first()
+    present = {n: counted[n] for n in checked}
+    gaps = {n for n, rows in present.items() if rows < counted["_rows"]}
+    fitted = fit_imputation(df, [n for n in numeric if n in gaps], [n for n in text if n in gaps], unknown, present)
+    # what has no gaps still gets its type, and no value is ever filled in there
+    return Imputation({**dict.fromkeys(numeric, 0.0), **fitted.medians}, {**dict.fromkeys(text, UNKNOWN), **fitted.words}).apply(df)

@@ -31,8 +31,12 @@ def exact_quantiles(
     columns: Sequence[str] | Mapping[str, Column],
     probabilities: Sequence[float],
     small_rows: int = SMALL_ROWS,
+    present: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of every column, nulls ignored; None where a column holds no value."""
+    """Quantiles of every column, nulls ignored; None where a column holds no value.
+
+    ``present`` holds the number of values per column if they have been counted already.
+    """
     if not isinstance(columns, Mapping):
         columns = {name: F.col(f"`{name}`") for name in columns}
     names = list(columns)
@@ -41,7 +45,10 @@ def exact_quantiles(
     if not names:
         return result
     numbers = df.select(*[number_or_missing(columns[n]).alias(f"v{i}") for i, n in enumerate(names)])
-    counts = list(numbers.agg(*[F.count(f"v{i}") for i in range(len(names))]).first())
+    if present is None:
+        counts = list(numbers.agg(*[F.count(f"v{i}") for i in range(len(names))]).first())
+    else:
+        counts = [present[n] for n in names]
 
     small_rows = min(small_rows, SMALL_WORK // max(len(wanted), 1))
     small = [i for i, rows in enumerate(counts) if 0 < rows <= small_rows]

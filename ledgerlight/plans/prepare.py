@@ -11,7 +11,7 @@ from ledgerlight.functions.features import one_hot, with_cycles, with_time_featu
 from ledgerlight.functions.values import cast_columns, drop_present, with_flag
 from ledgerlight.operators import encode, sampling, scale
 from ledgerlight.operators.explore import class_distribution
-from ledgerlight.operators.impute import fit_imputation
+from ledgerlight.operators.impute import clean
 from ledgerlight.operators.profile import columns_with_prefix, stage_metrics
 from ledgerlight.schema import (
     CYCLES, KEY, ONE_HOT, REDUCED_AWAY, SAMPLE_RATE, SAMPLE_ROWS, SEED, TARGET, TEST_SHARE, TEXT_IDENTIFIERS,
@@ -63,8 +63,7 @@ def prepare(
     The reduced table is written down once, because fitting, sampling and both splits read it.
     The row key is carried along, so that scores can be joined to the original amounts later.
     """
-    cleaned = fit_imputation(raw).apply(raw)
-    reduced = reduce_columns(transform(cleaned, label=label), keep=[key]).drop(*drop)
+    reduced = reduce_columns(transform(clean(raw), label=label), keep=[key]).drop(*drop)
     reduced = materialise(reduced)
     sampled, counts = reduced, None
     if sample_rows is not None:

@@ -28,6 +28,18 @@ def test_imputation(spark):
     assert profile.remaining_nulls(fitted.apply(df)).first()[0] == 0
 
 
+def test_cleaning_equals_fitting_everything(spark):
+    df = spark.createDataFrame(
+        [("1", 1.0, "b", "k1"), ("x", float("nan"), "", "k2"), (None, 5.0, "b", "k3")],
+        "amt string, lat double, category string, trans_num string",
+    )
+    cleaned = impute.clean(df)
+    assert cleaned.dtypes[:2] == [("amt", "double"), ("lat", "double")]
+    rows = [tuple(r) for r in cleaned.orderBy("trans_num").collect()]
+    assert rows == [(1.0, 1.0, "b", "k1"), (1.0, 3.0, "b", "k2"), (1.0, 5.0, "b", "k3")]
+    assert rows == [tuple(r) for r in impute.fit_imputation(df).apply(df).orderBy("trans_num").collect()]
+
+
 def test_mode_of_nothing_is_unknown(spark):
     df = spark.createDataFrame([(None, 1.0), ("", 2.0)], "category string, amt double")
     assert impute.fit_imputation(df).words == {"category": "Unknown"}

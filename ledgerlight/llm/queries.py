@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.llm import collision_search, context_tree, licenses, metric_tree, pii, simhash, toxicity
 from ledgerlight.llm.byte_bpe import round_trip
 from ledgerlight.llm.common import load
 from ledgerlight.llm.packing import pack
@@ -25,6 +26,21 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+@query
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, folder, "documents"), words=3, distance=3)
+
+
+@query
+def op3_metric_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_tree.top_k(load(spark, folder, "embeddings"), k=5, every=50, scale=256)
+
+
 @query
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(load(spark, folder, "documents"), WORDS, limit=2048)
@@ -35,9 +51,87 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(load(spark, folder, "documents"), RANKS)
 
 
+@query
+def op6_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree.scores(load(spark, folder, "documents"))
+
+
+@query
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(load(spark, folder, "documents"))
+
+
+@query
+def op8_collision_search(spark: SparkSession, folder: str) -> DataFrame:
+    return collision_search.nearest(load(spark, folder, "embeddings"), k=20, every=20)
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack(load(spark, folder, "documents"), WORDS, window=4096, end_id=2)
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
     )
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(load(spark, folder, "documents"))
+    return found.select(
+        "doc_id", *[f"n_{kind}" for kind in pii.BASE_KINDS], F.sha2("base", 256).alias("base_sha256"), "spans",
+    )
+
+
+def metric_tree_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
+    """Brute force: integer products of every query with every other row."""
+    return f"""
+WITH v AS (
+ SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+ FROM embeddings
+ WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+ SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+ FROM v q JOIN v c ON q.vec_id % {every} = 0 AND c.vec_id <> q.vec_id AND len(q.x) = len(c.x)),
+ranked AS (
+ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+ FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}"""
+
+
+def licenses_sql() -> str:
+    """The same passages, bigrams and coefficients for every pair, without any bound or anchor."""
+    templates = ", ".join(
+        "({}, [{}])".format(f"'{name}'", ", ".join(f"'{g}'" for g in licenses.bigrams_of(text)))
+        for name, text in sorted(licenses.TEMPLATES.items())
+    )
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH templates(license, grams) AS (VALUES {templates}),
+docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+passages AS (
+ SELECT row, unnest(list_distinct(list_concat(list_concat([text], regexp_split_to_array(text, '\n[ \t\r\n]*\n')),
+  string_split(text, chr(10))))) AS passage FROM docs),
+words AS (
+ SELECT row, passage, string_split(trim(regexp_replace(translate(passage, '{upper}', '{lower}'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w
+ FROM passages),
+sets AS (
+ SELECT row, passage,
+  list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams FROM words WHERE len(w) > 1),
+compared AS (
+ SELECT row, passage, license, 2.0 * len(list_intersect(sets.grams, templates.grams))
+  / (len(sets.grams) + len(templates.grams)) AS dice
+ FROM sets, templates WHERE list_has_any(sets.grams, templates.grams)),
+matched AS (SELECT * FROM compared WHERE dice >= {licenses.THRESHOLD} - 1e-9),
+best AS (
+ SELECT row, license, dice, row_number() OVER (PARTITION BY row ORDER BY dice DESC, license) AS rn,
+ FROM matched),
+counted AS (SELECT row, count(DISTINCT passage) AS n FROM matched GROUP BY row)
+SELECT doc_id, license, round(dice, 6) AS dice, coalesce(n, 0) AS passages
+FROM docs LEFT JOIN (SELECT row, license, dice FROM best WHERE rn = 1) USING (row) LEFT JOIN counted USING (row)"""
+
+
+ORACLE["op3_metric_tree"] = metric_tree_sql()
+ORACLE["op7_licenses"] = licenses_sql()

@@ -23,12 +23,15 @@ from ledgerlight.llm.pretokens import distinct, split
 from ledgerlight.session import materialise
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 4_096
+MAX_TERMS = 512
 LEAST_Z = 5.0
+LEAST_LIFT = 2.0
+CURVE_EXAMPLES = 4_000
 NEAREST = 25
 BLOCK = 64
+OPENED = 8
 CLOSENESS = 0.1
-PRIOR_WEIGHT = 1.0
+PRIOR_WEIGHT = 3.0
 FOLDS = 5
 BUCKETS = 1 << 20
 
@@ -87,7 +90,9 @@ def bounded_examples(labels: DataFrame, most: int) -> DataFrame:
 
 
 def telling_words(examples: DataFrame, n_toxic: int, n_clean: int, most: int) -> list[str]:
-    """Words that mark toxic examples: shares compared by a two-sample z, the strongest ``most`` beyond LEAST_Z."""
+    """Words that mark toxic examples: the ``most`` of highest two-sample z among those beyond LEAST_Z whose
+    share of toxic examples is LEAST_LIFT times that of clean ones.
+    """
     seen = examples.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.count("*").alias("n"),
     )
@@ -95,7 +100,8 @@ def telling_words(examples: DataFrame, n_toxic: int, n_clean: int, most: int) ->
     share = F.col("n") / F.lit(float(total))
     gap = F.col("toxic") / F.lit(float(max(n_toxic, 1))) - (F.col("n") - F.col("toxic")) / F.lit(float(max(n_clean, 1)))
     spread = F.sqrt(share * (1 - share) * F.lit(1 / max(n_toxic, 1) + 1 / max(n_clean, 1)))
-    ranked = seen.withColumn("z", gap / (spread + 1e-12)).where(F.col("z") >= LEAST_Z)
+    lift = (F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0) / ((F.col("n") - F.col("toxic") + 0.5) / F.lit(n_clean + 1.0))
+    ranked = seen.withColumn("z", gap / (spread + 1e-12)).where((F.col("z") >= LEAST_Z) & (lift >= LEAST_LIFT))
     return sorted(r["word"] for r in ranked.orderBy(F.desc("z"), "word").limit(most).collect())
 
 
@@ -104,7 +110,7 @@ class Index:
     """Entries in blocks; for each word its entries, their weights, and its largest weight in every block."""
 
     idf: np.ndarray
-    posts: dict[int, tuple[np.ndarray, np.ndarray]]
+    posts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     largest: dict[int, np.ndarray]
     size: np.ndarray
     toxic: np.ndarray
@@ -136,7 +142,7 @@ def build_index(vectors: list[tuple[tuple, tuple, int]], idf: np.ndarray, prior:
     posts, largest = {}, {}
     for word, pairs in lists.items():
         places, values = np.array([p for p, _ in pairs]), np.array([v for _, v in pairs])
-        posts[word] = places, values
+        posts[word] = places, values, np.searchsorted(places, np.arange(blocks + 1) * BLOCK)
         largest[word] = np.zeros(blocks)
         np.maximum.at(largest[word], places // BLOCK, values)
     size = np.array([tally[e][0] for e in entries], np.int64)
@@ -152,17 +158,23 @@ def nearest(index: Index, ids: np.ndarray, vector: np.ndarray, needed: int) -> t
         bounds += q * index.largest[word]
     entries, near = np.empty(0, np.int64), np.empty(0)
     least = 0.0
-    for block in np.argsort(-bounds, kind="stable").tolist():
-        if bounds[block] <= 0 or bounds[block] < least - 1e-9:
+    ranked = np.argsort(-bounds, kind="stable")
+    ranked = ranked[bounds[ranked] > 0]
+    for start in range(0, len(ranked), OPENED):
+        opened = ranked[start:start + OPENED]
+        opened = opened[bounds[opened] >= least - 1e-9]
+        if not len(opened):
             break
-        scores = np.zeros(BLOCK)
+        scores = np.zeros((len(opened), BLOCK))
         for word, q in known:
-            if index.largest[word][block] > 0:
-                places, values = index.posts[word]
-                a, b = np.searchsorted(places, (block * BLOCK, (block + 1) * BLOCK))
-                scores[places[a:b] - block * BLOCK] += q * values[a:b]
-        hit = np.flatnonzero(scores > 0)
-        entries, near = np.concatenate((entries, hit + block * BLOCK)), np.concatenate((near, scores[hit]))
+            places, values, cuts = index.posts[word]
+            for row, block in enumerate(opened.tolist()):
+                a, b = cuts[block], cuts[block + 1]
+                if a < b:
+                    scores[row, places[a:b] - block * BLOCK] += q * values[a:b]
+        row, column = np.nonzero(scores > 0)
+        entries = np.concatenate((entries, opened[row] * BLOCK + column))
+        near = np.concatenate((near, scores[row, column]))
         order = np.argsort(-near, kind="stable")
         filled = np.cumsum(index.size[entries[order]])
         last = int(np.searchsorted(filled, needed))
@@ -188,7 +200,7 @@ def vote(index: Index, ids: tuple, times: tuple, left_out: int | None = None) ->
         own = int(np.argmax(near))
         size[own] -= 1
         toxic[own] -= left_out
-    weight = 1 / (np.maximum(1 - near, 0) + CLOSENESS)
+    weight = near / (np.maximum(1 - near, 0) + CLOSENESS)
     share = (float(weight @ toxic) + PRIOR_WEIGHT * index.prior) / (float(weight @ size) + PRIOR_WEIGHT)
     return share, evidence
 
@@ -252,20 +264,22 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tuple[M
         else:
             empty[0] += row["n"]
             empty[1] += label * row["n"]
-    prior = (empty[1] + 0.5 * PRIOR_WEIGHT * 0.1) / (empty[0] + PRIOR_WEIGHT)
+    prior = (empty[1] + 0.05) / (empty[0] + 1.0)
     index = build_index(vectors, idf, prior)
     told: dict[tuple, float] = {}
     votes, truth = [], []
-    for ids, times, label in vectors:
+    # the curve's two numbers come from a bounded, evenly spread part of the examples
+    step = max(-(-len(vectors) // CURVE_EXAMPLES), 1)
+    for ids, times, label in vectors[::step]:
         at = (ids, times, label)
         if at not in told:
             told[at] = vote(index, ids, times, label)[0]
         votes.append(told[at])
         truth.append(label)
-    if votes and 0 < sum(truth) + empty[1] and sum(truth) < len(truth) + empty[0]:
+    if votes and n_toxic and n_clean:
         # the examples without any of the words vote with their own share
-        votes += [prior] * min(empty[0], 1000)
-        truth += [empty[1] / max(empty[0], 1)] * min(empty[0], 1000)
+        votes += [prior] * (empty[0] // step)
+        truth += [empty[1] / max(empty[0], 1)] * (empty[0] // step)
         slope, offset = fit_curve(np.array(votes), np.array(truth, dtype=float))
     else:
         slope, offset = 1.0, 0.0

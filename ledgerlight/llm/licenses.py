@@ -51,6 +51,9 @@ TEMPLATES = {
     ),
 }
 
+# Words too common to tell a notice by.
+COMMON = {"a", "an", "and", "any", "are", "by", "for", "in", "is", "it", "not", "of", "or", "the", "this", "to", "under", "with", "you"}
+
 
 def bigrams_of(text: str) -> list[str]:
     """The distinct bigrams of a template, in order."""
@@ -63,13 +66,13 @@ def size_bounds(m: int, threshold: float) -> tuple[int, int]:
 
 
 def anchors(bigrams: list[str], threshold: float) -> list[str]:
-    """Few words, the longest first, without all of which too many of the bigrams are missing.
+    """Few words, the longest uncommon ones first, without all of which too many of the bigrams are missing.
 
     With c common bigrams the coefficient is at most 2c / (m + c), so c must reach m t / (2 - t).
     """
     needed = size_bounds(len(bigrams), threshold)[0]
     chosen: list[str] = []
-    words = sorted({w for b in bigrams for w in b.split()}, key=lambda w: (-len(w), w))
+    words = sorted({w for b in bigrams for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w))
     for word in words:
         if sum(not set(b.split()) & set(chosen) for b in bigrams) < needed:
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 500_000
 
 
 def once(key: tuple, build: Callable[[], object]) -> object:
@@ -21,6 +22,14 @@ def once(key: tuple, build: Callable[[], object]) -> object:
     return kept[key]
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that a worker between two tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -52,6 +61,7 @@ def map_texts(
                 made = work(part.column("text").to_pylist())
                 columns = [part.column(n) for n in names] + list(made.values())
                 yield pa.RecordBatch.from_arrays(columns, names=names + list(made))
+        release()
 
     return df.select(*names, "text").mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerlight.llm.common import CHUNK_CHARS, byte_runs, texts
+from ledgerlight.llm.common import CHUNK_CHARS, byte_runs, release, texts
 from ledgerlight.llm.vocabulary import word_ids, word_vocabulary
 from ledgerlight.session import materialise
 
@@ -86,6 +86,7 @@ def cut_tokens(docs: DataFrame, vocabulary_path: str, window: int, end_id: int)
                      pa.array(np.full(len(owner), block, np.int64)), pa.array(ordinal)],
                     names=["doc_id", "start", "length", "doc_tokens", "ids", "block", "ordinal"],
                 )
+        release()
 
     return docs.mapInArrow(run, PIECES)
 

@@ -127,10 +127,15 @@ def cut_contractions(codes: np.ndarray, kind: np.ndarray, opens: np.ndarray, sta
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+KEPT_POWERS = 1 << 20
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return once(("powers", size), lambda: build_powers(size))
+    """Powers of BASE and of its inverse up to a size; the usual sizes are kept."""
+    if size > KEPT_POWERS:
+        return build_powers(size)
+    up, down = once(("powers",), lambda: build_powers(KEPT_POWERS))
+    return up[:size], down[:size]
 
 
 def build_powers(size: int) -> tuple[np.ndarray, np.ndarray]:

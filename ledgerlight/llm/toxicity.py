@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import CHUNK_CHARS, byte_runs, crc32_mod, texts
+from ledgerlight.llm.common import CHUNK_CHARS, byte_runs, crc32_mod, release, texts
 from ledgerlight.llm.pretokens import distinct, split
 from ledgerlight.session import materialise
 
@@ -67,6 +67,7 @@ def counted_terms(docs: DataFrame, terms: list[str] | None, schema_keys: dict[st
                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(times, pa.int32()))],
                     names=[*names, "words", "times"],
                 )
+        release()
 
     kind = "string" if terms is None else "int"
     keys = ", ".join(f"{n} {t}" for n, t in schema_keys.items())

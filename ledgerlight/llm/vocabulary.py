@@ -12,7 +12,7 @@ from ledgerlight.llm.common import once
 from ledgerlight.llm.merges import PairTable, merge_all
 from ledgerlight.llm.pretokens import Pieces, distinct, split
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 120_000
 
 
 class Vocabulary:

@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import byte_runs, crc32_mod, texts
+from ledgerlight.llm.common import byte_runs, crc32_mod, release, texts
 from ledgerlight.llm.keytable import KeyTable
 from ledgerlight.session import materialise
 
 DEPTH = 5
-BUCKET_BYTES = 64 << 20
-PART_BYTES = 1 << 20
+BUCKET_BYTES = 32 << 20
+PART_BYTES = 1 << 19
 GROUP_GRAMS = 200_000
 FOLDS = 10
 TABLE = 4096
@@ -140,6 +140,7 @@ def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 counts.take(raws, train[first:first + len(raws)])
     for bucket in sorted(found):
         yield from found.pop(bucket).rows(bucket)
+    release()
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -283,25 +284,25 @@ def score_bucket(docs: pa.Table, values: pa.Table) -> pa.Table:
     table.add(grams_in.column("gram").to_numpy())
     chance = grams_in.column("v").to_numpy()
     words_in = values.filter(pa.compute.is_valid(values.column("word")))
-    count = dict(zip(words_in.column("word").to_pylist(), words_in.column("v").to_numpy().tolist()))
-    logs = {w: float(x) for w, x in zip(count, np.log10(np.array(list(count.values()), dtype=float) + 0.1))}
-    known = {w for w, c in count.items() if c > 0}
-    del grams_in, words_in, values, count
-    docs = docs.combine_chunks()
-    batch = docs.to_batches()[0] if docs.num_rows else None
+    place = {w: i for i, w in enumerate(words_in.column("word").to_pylist())}
+    count = words_in.column("v").to_numpy()
+    logs, seen = np.log10(count + 0.1), count > 0
+    del grams_in, words_in, values
     n_tokens, n_known, word_score, score, n_symbols = [], [], [], [], []
-    for _, raws in text_runs(batch.column("text")) if batch is not None else ():
+    for raws in (raws for batch in docs.to_batches() for _, raws in text_runs(batch.column("text"))):
         for raw in raws:
             words = raw.split()
             n_tokens.append(len(words) + 1)
-            n_known.append(sum(map(known.__contains__, words)))
-            word_score.append(float(sum(map(logs.__getitem__, words))))
+            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+            n_known.append(int(seen[at].sum()))
+            word_score.append(float(logs[at].sum()))
             n_symbols.append(len(raw) + 1)
         if len(raws) == 1:
             score.append(float(sum(chance[table.find(g)].sum() for g in grams_in_parts(raws[0]))))
         else:
             grams, sizes = grams_of(raws)
             score += np.add.reduceat(chance[table.find(grams)], np.cumsum(sizes) - sizes).tolist()
+    release()
     return pa.table({
         "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
         "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),

@@ -28,11 +28,14 @@ def test_every_document_has_a_score(scored, docs):
     assert (scored.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in scored.doc_id]).all()
 
 
-def test_held_out_labels_are_met(scored, labels):
-    known = scored[scored.held_out].merge(labels.toPandas(), on="doc_id")
-    assert len(known) > 50 and (known.predicted == known.toxic).mean() > 0.9
+def test_held_out_labels_are_met(spark, folder):
+    larger = folder.replace("sf0.001", "sf0.1")
+    tables = [spark.read.parquet(f"{larger}/{name}.parquet") for name in ("documents", "labels")]
+    known = toxicity.scores(*tables).toPandas()
+    known = known[known.held_out].merge(tables[1].toPandas(), on="doc_id")
+    assert len(known) > 700 and (known.predicted == known.toxic).mean() > 0.98
     toxic, clean = known[known.toxic == 1].score, known[known.toxic == 0].score
-    assert np.mean([(t > clean).mean() + 0.5 * (t == clean).mean() for t in toxic]) > 0.85
+    assert np.mean([(t > clean).mean() + 0.5 * (t == clean).mean() for t in toxic]) > 0.95
 
 
 def test_held_out_labels_are_not_read(docs, labels, scored):

@@ -14,14 +14,16 @@ from ledgerlight import schema as s
 from ledgerlight.functions.features import with_cycles
 from ledgerlight.models import artifact as art
 from ledgerlight.models.tuning import KERNEL, ONE_CLASS, chosen_models
-from ledgerlight.operators import sampling, scale
+from ledgerlight.operators import encode, sampling, scale
 from ledgerlight.operators.impute import clean
+from ledgerlight.operators.lookups import require_key
 from ledgerlight.operators.profile import missing_values
 from ledgerlight.plans import detect, report
 from ledgerlight.plans import prepare as prep
-from ledgerlight.session import prepare
+from ledgerlight.session import owned_tables, prepare
 from ledgerlight.sources.tables import read_table, write_report, write_table
 
+# Step and flag names.
 STEPS = ("clean", "transform", "reduce", "scale", "stats", "eda", "train", "evaluate")
 
 
@@ -32,9 +34,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input", help="raw table, Parquet or CSV (default: raw below the folder)")
     p.add_argument("--key", default=s.KEY)
     p.add_argument("--nrows", type=int, help="clean only the first rows in key order")
-    p.add_argument("--sample-size", type=int, default=s.SAMPLE_ROWS)
+    p.add_argument("--sample-size", type=int, help="work on a sample of so many rows (default: all rows)")
     p.add_argument("--fraud-sample-rate", type=float, default=s.SAMPLE_RATE)
-    p.add_argument("--no-sample", action="store_true")
+    p.add_argument("--no-sample", action="store_true", help="all rows, whatever the sample size")
+    p.add_argument("--vocabulary-limit", type=int, default=encode.VOCABULARY_LIMIT, help="most one-hot columns for one column")
     p.add_argument("--models", nargs="+", default=[ONE_CLASS], choices=["linear", "kernel", "oneclass", "both", "all"])
     p.add_argument("--param-preset", choices=["fast", "default"], default="default")
     p.add_argument("--validation-size", type=float, default=s.TEST_SHARE)
@@ -67,7 +70,8 @@ class Steps:
         write_table(clean(raw), self.path("cleaned"))
 
     def transform(self) -> None:
-        write_table(prep.transform(self.read("cleaned")), self.path("transformed"))
+        table = prep.transform(self.read("cleaned"), vocabulary_limit=self.o.vocabulary_limit)
+        write_table(table, self.path("transformed"))
 
     def reduce(self) -> None:
         before = self.read("transformed")
@@ -77,7 +81,8 @@ class Steps:
 
     def scale(self) -> None:
         reduced, key, seed = self.read("reduced"), self.o.key, self.o.random_state
-        if not self.o.no_sample:
+        require_key(reduced, key)
+        if self.o.sample_size is not None and not self.o.no_sample:
             reduced = sampling.sample_by_rate(
                 reduced, s.TARGET, key, self.o.sample_size, self.o.fraud_sample_rate, seed
             )
@@ -97,7 +102,9 @@ class Steps:
 
     def eda(self) -> None:
         for name, table in report.explore_tables(self.read("transformed"), key=self.o.key).items():
-            write_report(table, self.path(f"reports/eda/{name}"))
+            # the points of the scatter chart hold every positive row: no report, a table
+            put = write_table if name == "amount_and_distance" else write_report
+            put(table, self.path(f"reports/eda/{name}"))
 
     def train(self) -> None:
         table = detect.feature_table(
@@ -112,8 +119,9 @@ class Steps:
             write_report(result.tuning, self.path(f"reports/tuning/{kind}"))
 
     def evaluate(self) -> None:
-        for kind in chosen_models(self.o.models):
-            model = art.load(self.spark, self.path(f"models/{kind}"))
+        # all models first: a missing one shows before any work
+        models = [art.load(self.spark, self.path(f"models/{kind}")) for kind in chosen_models(self.o.models)]
+        for model in models:
             detect.evaluate(
                 self.read("test"), self.read("train"), self.read("sampled"), model, self.o.key,
                 rows=self.o.eval_sample_size, folder=self.path("reports/evaluation"), seed=self.o.random_state,
@@ -128,7 +136,8 @@ def main(arguments: list[str] | None = None) -> None:
     if options.dry_run and options.step == "all":
         chosen = STEPS[:-1]
     for name in chosen:
-        getattr(steps, name)()
+        with owned_tables(spark):
+            getattr(steps, name)()
 
 
 if __name__ == "__main__":

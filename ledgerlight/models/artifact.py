@@ -20,7 +20,7 @@ UNNAMED = "unsupervised"
 ROW = (
     "model_type string, threshold double, feature_columns array<string>, params map<string,string>, "
     "target_column string, fit_scope string, weights array<double>, intercept double, sign double, "
-    "gamma double, frequencies array<double>, phases array<double>"
+    "gamma double, frequencies array<double>, phases array<double>, converged boolean, steps int"
 )
 
 
@@ -69,6 +69,8 @@ def save(spark: SparkSession, artifact: Artifact, path: str) -> None:
         model.features.gamma if kernel else None,
         [float(v) for v in model.features.frequencies.ravel()] if kernel else None,
         [float(v) for v in model.features.phases] if kernel else None,
+        bool(model.converged),
+        int(model.steps),
     )
     spark.createDataFrame([row], ROW).coalesce(1).write.mode("overwrite").parquet(path)
 
@@ -78,13 +80,15 @@ def load(spark: SparkSession, path: str) -> Artifact:
     if row is None:
         raise FileNotFoundError(f"no model in {path}")
     columns = tuple(row["feature_columns"])
+    # models saved without them say nothing about convergence
+    ending = {"converged": row["converged"] is not False, "steps": row["steps"] or 0}
     if row["phases"] is None:
-        model = LinearModel(columns, tuple(row["weights"]), row["intercept"])
+        model = LinearModel(columns, tuple(row["weights"]), row["intercept"], **ending)
     else:
         phases = np.array(row["phases"])
         frequencies = np.array(row["frequencies"]).reshape(len(columns), len(phases))
         features = FourierMap(columns, row["gamma"], frequencies, phases)
-        model = KernelModel(features, np.array(row["weights"]), row["intercept"], row["sign"])
+        model = KernelModel(features, np.array(row["weights"]), row["intercept"], row["sign"], **ending)
     params = {k: json.loads(v) for k, v in (row["params"] or {}).items()}
     return Artifact(
         model, row["model_type"], row["threshold"], columns, params, row["target_column"], row["fit_scope"]

@@ -11,17 +11,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.models.linear import class_weight, weighted_rows
 from ledgerlight.operators.quantiles import exact_quantiles
 
 DIMENSIONS = 256
 SCORE_BINS = 1024
-ONE_CLASS_STEPS = 25
+ONE_CLASS_STEPS = 200
+ONE_CLASS_PATIENCE = 10
+ONE_CLASS_TOLERANCE = 1e-3
+KERNEL_ITERATIONS = 200
+KERNEL_TOLERANCE = 1e-4
+STEP_SIZES = (1.0, 0.5, 0.25, 0.1, 0.02)
+MEMORY = 10
+ROUNDING = 0.1
 
 
 @dataclass(frozen=True)
@@ -61,6 +65,8 @@ class KernelModel:
     weights: np.ndarray
     intercept: float
     sign: float = 1.0
+    converged: bool = True
+    steps: int = 0
 
     def score(self) -> Column:
         """Decision value; z(x) never leaves the task."""
@@ -74,50 +80,187 @@ class KernelModel:
 
 def fit_kernel(
     df: DataFrame, columns: Sequence[str], label: str, c: float, weight: float, gamma: float,
-    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = 50,
+    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = KERNEL_ITERATIONS,
 ) -> KernelModel:
-    """Weighted hinge loss with the L2 penalty 1 / (C * sum of weights)."""
+    return fit_kernel_many(df, columns, label, [(c, weight)], gamma, dimensions, seed, iterations)[0]
+
+
+class _Descent:
+    """One fit's place, gradient and the steps that shape its next direction (limited-memory BFGS)."""
+
+    def __init__(self, size: int, penalty: np.ndarray):
+        self.w, self.gradient, self.penalty = np.zeros(size), np.zeros(size), penalty
+        self.loss, self.steps, self.still = np.inf, 0, 0
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def direction(self) -> np.ndarray:
+        q, used = self.gradient.copy(), []
+        for s, y in reversed(self.pairs):
+            a = (s @ q) / (y @ s)
+            q -= a * y
+            used.append(a)
+        if self.pairs:
+            s, y = self.pairs[-1]
+            q *= (s @ y) / (y @ y)
+        else:
+            q /= max(np.linalg.norm(q), 1.0)
+        for (s, y), a in zip(self.pairs, reversed(used)):
+            q += s * (a - (y @ q) / (y @ s))
+        return -q
+
+    def move(self, w: np.ndarray, loss: float, gradient: np.ndarray) -> None:
+        s, y = w - self.w, gradient - self.gradient
+        if s @ y > 1e-12 * (y @ y):
+            self.pairs = [*self.pairs[1 - MEMORY:], (s, y)]
+        self.still = self.still + 1 if self.loss - loss <= KERNEL_TOLERANCE * abs(loss) else 0
+        self.w, self.loss, self.gradient, self.steps = w, loss, gradient, self.steps + 1
+
+
+def fit_kernel_many(
+    df: DataFrame, columns: Sequence[str], label: str, settings: Sequence[tuple[float, float]], gamma: float,
+    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = KERNEL_ITERATIONS,
+) -> list[KernelModel]:
+    """Weighted hinge loss with the L2 penalty 1 / (C * rows) per row, for each (C, weight of positives).
+
+    All fits share one map and its passes. The hinge is rounded off within ROUNDING of its corner, so that
+    quasi-Newton steps apply. One pass tries several step sizes of every fit and brings the gradient at the full step,
+    which mostly is the one taken. A fit ends when its loss has gained less than KERNEL_TOLERANCE of itself three
+    times running; one that hits the iterations says that it has not converged.
+    """
     features = FourierMap.draw(columns, gamma, dimensions, seed)
-    _, total = weighted_rows(df, label, weight)
-    vectors = df.select(
-        array_to_vector(features.mapped()).alias("features"),
-        F.col(label).cast("double").alias("target"),
-        class_weight(label, weight).alias("weight"),
+    data = df.select(
+        *[F.col(f"`{n}`").cast("double").alias(n) for n in columns], F.col(label).cast("double").alias("_target"),
     )
-    model = LinearSVC(
-        labelCol="target", weightCol="weight", regParam=1.0 / (c * total), standardization=False,
-        maxIter=iterations, tol=1e-4,
-    ).fit(vectors)
-    return KernelModel(features, model.coefficients.toArray(), float(model.intercept))
+    rows = max(data.count(), 1)
+    fits = [_Descent(dimensions + 1, np.append(np.full(dimensions, 1.0 / (c * rows)), 0.0)) for c, _ in settings]
+    weights = [weight for _, weight in settings]
+
+    def evaluated(chosen: Sequence[int], tries: Sequence[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Losses at every try of each fit, and the gradient at its first."""
+        losses, gradients = _hinge_pass(data, features, tries, [weights[k] for k in chosen])
+        out = []
+        for k, points, sums, g in zip(chosen, tries, losses, gradients):
+            penalty = fits[k].penalty
+            out.append((sums / rows + 0.5 * (penalty * points * points).sum(axis=1), g / rows + penalty * points[0]))
+        return [o[0] for o in out], [o[1] for o in out]
+
+    everything = list(range(len(fits)))
+    for k, loss, gradient in zip(everything, *evaluated(everything, [f.w[None] for f in fits])):
+        fits[k].loss, fits[k].gradient = float(loss[0]), gradient
+    moving = everything
+    for _ in range(iterations):
+        tries = [fits[k].w + np.outer(STEP_SIZES, fits[k].direction()) for k in moving]
+        losses, gradients = evaluated(moving, tries)
+        short, ended = [], []
+        for k, points, loss, gradient in zip(moving, tries, losses, gradients):
+            best = int(np.argmin(loss))
+            if loss[best] >= fits[k].loss:
+                # no step gains: start over along the gradient once, then stop
+                if not fits[k].pairs:
+                    ended.append(k)
+                fits[k].pairs = []
+            elif best == 0:
+                fits[k].move(points[0], float(loss[0]), gradient)
+            else:
+                short.append((k, points[best]))
+        if short:
+            at, places = [k for k, _ in short], [w for _, w in short]
+            for k, w, loss, gradient in zip(at, places, *evaluated(at, [w[None] for w in places])):
+                fits[k].move(w, float(loss[0]), gradient)
+        moving = [k for k in moving if k not in ended and fits[k].still < 3]
+        if not moving:
+            break
+    return [
+        KernelModel(features, f.w[:-1], float(f.w[-1]), converged=k not in moving, steps=f.steps) for k, f in enumerate(fits)
+    ]
+
+
+def _hinge_pass(
+    data: DataFrame, features: FourierMap, tries: Sequence[np.ndarray], weights: Sequence[float],
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sums over all rows: for each fit the weighted loss at every try, and the gradient at its first try."""
+    names, size = list(features.columns), tries[0].shape[1]
+    points = np.concatenate(tries).T
+    owner = np.repeat(np.arange(len(tries)), [len(t) for t in tries])
+    first = np.searchsorted(owner, np.arange(len(tries)))
+    length = points.shape[1] + len(tries) * size
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(length)
+        for batch in batches:
+            z = np.column_stack([features.z(batch[names].to_numpy(dtype=float)), np.ones(len(batch))])
+            sign = np.where(batch["_target"].to_numpy() > 0, 1.0, -1.0)
+            gap = 1.0 - sign[:, None] * (z @ points)
+            round_ = np.abs(gap) < ROUNDING
+            loss = np.where(round_, (gap + ROUNDING) ** 2 / (4 * ROUNDING), np.maximum(gap, 0.0))
+            each = np.where(sign[:, None] > 0, np.asarray(weights)[None], 1.0)
+            total[: points.shape[1]] += (each[:, owner] * loss).sum(axis=0)
+            slope = np.where(round_[:, first], (gap[:, first] + ROUNDING) / (2 * ROUNDING), (gap[:, first] > 0) * 1.0)
+            total[points.shape[1] :] += (-(each * sign[:, None] * slope).T @ z).ravel()
+        yield pd.DataFrame({"i": np.arange(length, dtype=np.int32), "v": total})
+
+    found = data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    result = np.zeros(length)
+    for row in found:
+        result[row["i"]] = row["v"]
+    losses = [result[: points.shape[1]][owner == k] for k in range(len(tries))]
+    return losses, list(result[points.shape[1] :].reshape(len(tries), size))
 
 
 def fit_one_class(
     normal: DataFrame, columns: Sequence[str], nu: float, gamma: float,
     dimensions: int = DIMENSIONS, seed: int = 42, steps: int = ONE_CLASS_STEPS,
 ) -> KernelModel:
-    """One-class SVM on normal rows: min |w|^2 / 2 - rho + sum(max(0, rho - w.z)) / (nu * n).
+    return fit_one_class_many(normal, columns, [nu], gamma, dimensions, seed, steps)[0]
+
+
+def fit_one_class_many(
+    normal: DataFrame, columns: Sequence[str], nus: Sequence[float], gamma: float,
+    dimensions: int = DIMENSIONS, seed: int = 42, steps: int = ONE_CLASS_STEPS,
+) -> list[KernelModel]:
+    """One-class SVM on normal rows: min |w|^2 / 2 - rho + sum(max(0, rho - w.z)) / (nu * n), for each nu.
 
     Starts at the mean of z, the solution for nu = 1 (Schoelkopf et al., 2001), and takes
-    subgradient steps, each one pass: tasks return a histogram of w.z, from which rho follows as
-    the nu-quantile, and the sum of z over the rows that lie below the last rho. The final rho is an
-    exact quantile. Scores are rho - w.z: positive for anomalies.
+    subgradient steps, each one pass for all nus, whose z is the same: tasks return a histogram of w.z, from which
+    rho follows as the nu-quantile, the sum of z over the rows that lie below the last rho, and their
+    shortfall, which gives the objective. A fit ends when its best objective gains no more than
+    ONE_CLASS_TOLERANCE of itself over ONE_CLASS_PATIENCE steps; one that hits the limit says so. The final rho is
+    an exact quantile. Scores are rho - w.z: positive for anomalies.
     """
     features = FourierMap.draw(columns, gamma, dimensions, seed)
     data = normal.select(*[F.col(f"`{n}`").cast("double").alias(n) for n in columns])
-    rows, mean, _ = _pass(data, features, np.zeros(dimensions), np.inf)
-    w = mean / rows
-    _, _, bins = _pass(data, features, w, -np.inf)
-    rho = _bin_quantile(bins, nu, w)
-    average = np.zeros(dimensions)
+    [(rows, mean, _, _)] = _pass(data, features, [(np.zeros(dimensions), np.inf)])
+    start = mean / max(rows, 1)
+    [(_, _, bins, _)] = _pass(data, features, [(start, -np.inf)])
+    w = {nu: start for nu in nus}
+    rho = {nu: _bin_quantile(bins, nu, start) for nu in nus}
+    average = {nu: np.zeros(dimensions) for nu in nus}
+    best: dict[float, list[float]] = {nu: [] for nu in nus}
+    taken = dict.fromkeys(nus, 0)
+    moving = list(nus)
     for step in range(steps):
-        _, below, bins = _pass(data, features, w, rho)
-        w = w - (w - below / (nu * rows)) / (step + 2.0)
-        average = average + (w - average) * 2.0 / (step + 2.0)
-        # the histogram belongs to the step before: rho lags by one pass instead of costing one
-        rho = _bin_quantile(bins, nu, w)
-    final = KernelModel(features, average, 0.0)
-    cut = exact_quantiles(data.select(final.score().alias("value")), ["value"], [nu])["value"][0]
-    return KernelModel(features, average, -float(cut), sign=-1.0)
+        found = _pass(data, features, [(w[nu], rho[nu]) for nu in moving])
+        for nu, (_, below, bins, shortfall) in zip(list(moving), found):
+            value = float(w[nu] @ w[nu]) / 2 - rho[nu] + shortfall / (nu * rows)
+            best[nu].append(min([value, *best[nu][-1:]]))
+            old = w[nu]
+            w[nu] = old - (old - below / (nu * rows)) / (step + 2.0)
+            average[nu] = average[nu] + (w[nu] - average[nu]) * 2.0 / (step + 2.0)
+            # the histogram belongs to the step before: rho lags by one pass instead of costing one
+            rho[nu] = _bin_quantile(bins, nu, w[nu])
+            taken[nu] = step + 1
+            past = best[nu][-1 - ONE_CLASS_PATIENCE:]
+            if len(past) > ONE_CLASS_PATIENCE and past[0] - past[-1] <= ONE_CLASS_TOLERANCE * abs(past[-1]):
+                moving.remove(nu)
+        if not moving:
+            break
+    raw = [KernelModel(features, average[nu], 0.0) for nu in nus]
+    scored = data.select(*[m.score().alias(f"value{i}") for i, m in enumerate(raw)])
+    cuts = exact_quantiles(scored, scored.columns, list(nus))
+    return [
+        KernelModel(features, average[nu], -float(cuts[f"value{i}"][i]), -1.0, nu not in moving, taken[nu])
+        for i, nu in enumerate(nus)
+    ]
 
 
 def _span(w: np.ndarray) -> float:
@@ -131,25 +274,32 @@ def _bin_quantile(bins: np.ndarray, nu: float, w: np.ndarray) -> float:
     return -_span(w) + (place + 0.5) * 2.0 * _span(w) / SCORE_BINS
 
 
-def _pass(data: DataFrame, features: FourierMap, w: np.ndarray, rho: float) -> tuple[float, np.ndarray, np.ndarray]:
-    """Row count, sum of z over rows with w.z < rho, and a histogram of w.z."""
-    dimensions, span = len(w), _span(w)
-    length = 1 + dimensions + SCORE_BINS
+def _pass(
+    data: DataFrame, features: FourierMap, points: Sequence[tuple[np.ndarray, float]],
+) -> list[tuple[float, np.ndarray, np.ndarray, float]]:
+    """For each (w, rho): row count, sum of z over rows with w.z < rho, a histogram of w.z, the shortfall sum."""
+    dimensions = len(points[0][0])
+    length = 2 + dimensions + SCORE_BINS
+    spans = [_span(w) for w, _ in points]
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(length)
+        total = np.zeros((len(points), length))
         for batch in batches:
             z = features.z(batch.to_numpy(dtype=float))
-            value = z @ w
-            total[0] += len(z)
-            total[1 : 1 + dimensions] += z[value < rho].sum(axis=0)
-            slot = np.clip(((value + span) / (2.0 * span) * SCORE_BINS).astype(int), 0, SCORE_BINS - 1)
-            total[1 + dimensions :] += np.bincount(slot, minlength=SCORE_BINS)
-        kept = np.flatnonzero(total)
-        yield pd.DataFrame({"i": kept.astype(np.int32), "v": total[kept]})
+            for k, ((w, rho), span) in enumerate(zip(points, spans)):
+                value = z @ w
+                low = value < rho
+                total[k, 0] += len(z)
+                total[k, 1] += (rho - value[low]).sum() if np.isfinite(rho) else 0.0
+                total[k, 2 : 2 + dimensions] += low @ z
+                slot = np.clip(((value + span) / (2.0 * span) * SCORE_BINS).astype(int), 0, SCORE_BINS - 1)
+                total[k, 2 + dimensions :] += np.bincount(slot, minlength=SCORE_BINS)
+        flat = total.ravel()
+        kept = np.flatnonzero(flat)
+        yield pd.DataFrame({"i": kept.astype(np.int32), "v": flat[kept]})
 
     rows = data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    result = np.zeros(length)
+    result = np.zeros((len(points), length))
     for row in rows:
-        result[row["i"]] = row["v"]
-    return result[0], result[1 : 1 + dimensions], result[1 + dimensions :]
+        result.flat[row["i"]] = row["v"]
+    return [(r[0], r[2 : 2 + dimensions], r[2 + dimensions :], r[1]) for r in result]

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from ledgerlight.models import artifact as art
 from ledgerlight.models.features import gamma_scale
-from ledgerlight.models.kernel import KernelModel, fit_kernel, fit_one_class
-from ledgerlight.models.linear import LinearModel, fit_log_loss, fit_modified_huber
+from ledgerlight.models.kernel import KernelModel, fit_kernel_many, fit_one_class_many
+from ledgerlight.models.linear import LinearModel, Setting, fit_linear
 from ledgerlight.operators import evaluate as ev
 from ledgerlight.operators import sampling
-from ledgerlight.schema import RECALL_GOAL, SEED, TEST_SHARE
+from ledgerlight.operators.quantiles import exact_quantiles, grid_points
+from ledgerlight.schema import GRID_SPAN, RECALL_GOAL, SEED, TEST_SHARE, TRAIN_GRID_POINTS
 
 LINEAR, KERNEL, ONE_CLASS = "linear", "kernel", "oneclass"
 
@@ -77,18 +78,37 @@ class FeatureTable:
 
 
 def fit(kind: str, table: FeatureTable, params: dict, seed: int = SEED) -> LinearModel | KernelModel:
-    """One model on exactly the rows given. They are read many times, so they are kept while fitting."""
+    """One model on exactly the rows given."""
+    return fit_all(kind, table, [params], seed)[0]
+
+
+def fit_all(
+    kind: str, table: FeatureTable, points: Sequence[dict], seed: int = SEED
+) -> list[LinearModel | KernelModel]:
+    """One model per point on exactly the rows given, in passes that the points share.
+
+    The rows are read many times, so they are kept while fitting.
+    """
     rows = table.df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if kind == LINEAR:
-            step = {"modified_huber": fit_modified_huber, "log_loss": fit_log_loss}[params["loss"]]
-            return step(rows, table.columns, table.label, params["alpha"], params["fraud_weight"])
-        gamma = gamma_scale(rows, table.columns) if params["gamma"] == "scale" else params["gamma"]
-        if kind == KERNEL:
-            return fit_kernel(
-                rows, table.columns, table.label, params["C"], params["fraud_weight"], gamma, seed=seed
-            )
-        return fit_one_class(rows, table.columns, params["nu"], gamma, seed=seed)
+            settings = [Setting(p["loss"], p["alpha"], p["fraud_weight"]) for p in points]
+            return fit_linear(rows, table.columns, table.label, settings)
+        scale = None
+        models: dict[int, KernelModel] = {}
+        for gamma in dict.fromkeys(p["gamma"] for p in points):
+            mine = [i for i, p in enumerate(points) if p["gamma"] == gamma]
+            if gamma == "scale" and scale is None:
+                scale = gamma_scale(rows, table.columns)
+            value = scale if gamma == "scale" else gamma
+            if kind == KERNEL:
+                settings = [(points[i]["C"], points[i]["fraud_weight"]) for i in mine]
+                models.update(zip(mine, fit_kernel_many(rows, table.columns, table.label, settings, value, seed=seed)))
+            else:
+                nus = list(dict.fromkeys(points[i]["nu"] for i in mine))
+                found = dict(zip(nus, fit_one_class_many(rows, table.columns, nus, value, seed=seed)))
+                models.update((i, found[points[i]["nu"]]) for i in mine)
+        return [models[i] for i in range(len(points))]
     finally:
         rows.unpersist()
 
@@ -113,26 +133,51 @@ def tune(
     Of equal points the first wins.
     """
     train, valid = sampling.split(table.df, table.label, table.key, validation_share, seed)
+    models, fitted_on = _fit_grid(kind, table.with_rows(train), grid, seed)
+    # all points score the validation rows in one pass, and share the passes that find the thresholds
+    names = [f"score{i}" for i in range(len(grid))]
+    scores = valid.select(
+        table.key, table.label, F.lit(0.0).alias("amt"), *[m.score().alias(n) for n, m in zip(names, models)]
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     results = []
-    for number, params in enumerate(grid, start=1):
-        chosen = fit_rows(kind, table.with_rows(train), params, seed + number)
-        model = fit(kind, chosen, params, seed)
-        scores = valid.select(table.key, table.label, model.score().alias("score"), F.lit(0.0).alias("amt"))
-        scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
-        scored = ev.Scored(scores, table.label, key=table.key)
-        best = ev.select_threshold(ev.training_report(scored)).withColumn(
-            "selection", selection_score(F.col("recall"), F.col("false_positive_rate"), F.col("precision"))
-        ).first()
-        counts = sampling.class_counts(chosen.df, table.label)
-        result = {**params, "fit_rows": sum(counts.values()), **best.asDict()}
-        if kind != ONE_CLASS:
-            result["fit_fraud_rows"] = counts[True]
-        results.append(result)
+    try:
+        quantiles = exact_quantiles(scores, names, grid_points(TRAIN_GRID_POINTS, *GRID_SPAN))
+        for params, name, model, counts in zip(grid, names, models, fitted_on):
+            scored = ev.Scored(scores, table.label, score=name, key=table.key)
+            report = ev.training_report(scored, ev.with_zero(quantiles[name]))
+            best = ev.select_threshold(report).withColumn(
+                "selection", selection_score(F.col("recall"), F.col("false_positive_rate"), F.col("precision"))
+            ).first()
+            result = {**params, "fit_rows": sum(counts.values()), **best.asDict(), "converged": model.converged}
+            if kind != ONE_CLASS:
+                result["fit_fraud_rows"] = counts[True]
+            results.append(result)
+    finally:
         scores.unpersist()
     winner = max(range(len(results)), key=lambda i: (results[i]["selection"], -i))
     return grid[winner], results[winner]["threshold"], results
 
 
+def _fit_grid(
+    kind: str, table: FeatureTable, grid: Sequence[dict], seed: int
+) -> tuple[list[LinearModel | KernelModel], list[dict[bool, int]]]:
+    """A model for every point, and the class counts of the rows it learned from. Rows are cut and counted once
+    for all points that learn from the same ones.
+    """
+    counts = sampling.class_counts(table.df, table.label)
+    models: dict[int, LinearModel | KernelModel] = {}
+    fitted_on: dict[int, dict[bool, int]] = {}
+    for ratio in dict.fromkeys(p.get("non_fraud_ratio") for p in grid):
+        mine = [i for i, p in enumerate(grid) if p.get("non_fraud_ratio") == ratio]
+        chosen = fit_rows(kind, table, grid[mine[0]], seed)
+        used = {True: 0, False: counts[False]} if kind == ONE_CLASS else {
+            True: counts[True], False: min(counts[False], ratio * counts[True])
+        }
+        models.update(zip(mine, fit_all(kind, chosen, [grid[i] for i in mine], seed)))
+        fitted_on.update((i, used) for i in mine)
+    return [models[i] for i in range(len(grid))], [fitted_on[i] for i in range(len(grid))]
+
+
 def fit_final(kind: str, table: FeatureTable, params: dict, threshold: float, seed: int = SEED) -> art.Artifact:
     model = fit(kind, fit_rows(kind, table, params, seed), params, seed)
     return art.Artifact(
@@ -141,16 +186,19 @@ def fit_final(kind: str, table: FeatureTable, params: dict, threshold: float, se
     )
 
 
+# The columns of the report, in order.
 REPORT_COLUMNS = (
     "loss", "kernel", "C", "nu", "gamma", "alpha", "fraud_weight", "non_fraud_ratio", "fit_rows", "threshold",
     "recall", "false_positive_rate", "precision", "f1", "average_precision", "roc_auc", "predicted_fraud_rate",
+    "converged",
 )
 
 
 def tuning_report(spark: SparkSession, results: Sequence[dict]) -> DataFrame:
     """One row per grid point, best F1 first. Parameters are text, measures are numbers."""
     present = [c for c in REPORT_COLUMNS if c in results[0]]
-    texts = ("loss", "kernel", "gamma")
-    kinds = ", ".join(f"{c} {'string' if c in texts else 'double'}" for c in present)
-    rows = [tuple(str(r[c]) if c in texts else float(r[c]) for c in present) for r in results]
-    return spark.createDataFrame(rows, kinds).orderBy(F.desc("f1"))
+    kinds = {"loss": "string", "kernel": "string", "gamma": "string", "converged": "boolean"}
+    values = {"string": str, "boolean": bool, "double": float}
+    schema = ", ".join(f"{c} {kinds.get(c, 'double')}" for c in present)
+    rows = [tuple(values[kinds.get(c, "double")](r[c]) for c in present) for r in results]
+    return spark.createDataFrame(rows, schema).orderBy(F.desc("f1"))

@@ -17,6 +17,7 @@ from ledgerlight.operators.quantiles import exact_quantiles, grid_points, interv
 from ledgerlight.schema import EVAL_GRID_POINTS, FPR_GOAL, GRID_SPAN, RECALL_GOAL, TRAIN_GRID_POINTS
 
 COUNTS = ("tn", "fp", "fn", "tp")
+# The order in which measures are reported.
 SUMMARY_ORDER = (
     "tn", "fp", "fn", "tp", "accuracy", "recall", "false_positive_rate", "precision", "f1_score",
     "auprc", "roc_auc", "predicted_fraud_rate", "total_fraud_amount", "captured_fraud_amount",
@@ -34,6 +35,12 @@ class Scored:
     amount: str = "amt"
     key: str = "trans_num"
 
+    def value(self) -> Column:
+        """The score. A row without one would vanish from every count, so it fails the job instead."""
+        score = F.col(self.score).cast("double")
+        told = F.concat(F.lit("no score for "), F.coalesce(F.col(self.key).cast("string"), F.lit("a row without a key")))
+        return F.when(score.isNull() | F.isnan(score), F.raise_error(told).cast("double")).otherwise(score)
+
     def predicted(self, threshold: float) -> DataFrame:
         """Flag every row whose score reaches the threshold."""
         return self.df.withColumn("predicted", F.col(self.score) >= F.lit(float(threshold)))
@@ -46,7 +53,7 @@ def ratio(part: Column, whole: Column) -> Column:
 
 def confusion(scored: Scored, threshold: float) -> DataFrame:
     """tn, fp, fn, tp and the total and captured positive amount in one aggregate."""
-    truth, flagged = F.col(scored.label), F.col(scored.score) >= F.lit(float(threshold))
+    truth, flagged = F.col(scored.label), scored.value() >= F.lit(float(threshold))
     amount = F.col(scored.amount)
     count = lambda c: F.count_if(c).cast("bigint")
     return scored.df.agg(
@@ -78,25 +85,28 @@ def rates(counts: DataFrame) -> DataFrame:
     return with_rates.withColumn("fraud_loss_capture_rate", share)
 
 
-def class_totals(scored: Scored) -> tuple[int, int]:
-    row = scored.df.agg(F.count_if(F.col(scored.label)), F.count_if(~F.col(scored.label))).first()
-    return row[0], row[1]
+def ranked_totals(ranked: DataFrame) -> tuple[int, int]:
+    row = ranked.agg(F.sum("pos"), F.sum("neg")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def ranked_scores(scored: Scored) -> DataFrame:
     """One row per distinct score: positives and negatives at it, and at it or above."""
     truth = F.col(scored.label)
-    grouped = scored.df.groupBy(F.col(scored.score).alias("score")).agg(
+    grouped = scored.df.groupBy(scored.value().alias("score")).agg(
         F.count_if(truth).cast("bigint").alias("pos"), F.count_if(~truth).cast("bigint").alias("neg")
     )
-    return running_totals(grouped, [F.desc("score")], {"tp": "pos", "fp": "neg"})
+    return running_totals(grouped, [F.desc("score")], {"tp": "pos", "fp": "neg"}, scored.df.count())
+
 
+def ranking_metrics(scored: Scored, ranked: DataFrame | None = None) -> DataFrame:
+    """Average precision (step sum) and the tie-aware area under the ROC curve, as one row.
 
-def ranking_metrics(scored: Scored) -> DataFrame:
-    """Average precision (step sum) and the tie-aware area under the ROC curve, as one row."""
+    Here and below, ``ranked`` is what ranked_scores gave, if that has been worked out already.
+    """
     step = F.col("pos") * F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")
     area = F.col("neg") * (F.col("tp") - F.col("pos") / F.lit(2.0))
-    sums = ranked_scores(scored).agg(
+    sums = (ranked or ranked_scores(scored)).agg(
         F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.sum(step).alias("steps"), F.sum(area).alias("area")
     )
     both = (F.col("p") > 0) & (F.col("n") > 0)
@@ -106,10 +116,11 @@ def ranking_metrics(scored: Scored) -> DataFrame:
     )
 
 
-def pr_curve(scored: Scored) -> DataFrame:
+def pr_curve(scored: Scored, ranked: DataFrame | None = None) -> DataFrame:
     """Precision and recall at each distinct score, and the end point (precision 1, recall 0)."""
-    positives, _ = class_totals(scored)
-    points = ranked_scores(scored).select(
+    ranked = ranked or ranked_scores(scored)
+    positives, _ = ranked_totals(ranked)
+    points = ranked.select(
         F.col("score").alias("threshold"),
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         (ratio(F.col("tp"), F.lit(positives)) if positives else F.lit(1.0)).alias("recall"),
@@ -118,10 +129,11 @@ def pr_curve(scored: Scored) -> DataFrame:
     return points.unionByName(end)
 
 
-def roc_curve(scored: Scored) -> DataFrame:
+def roc_curve(scored: Scored, ranked: DataFrame | None = None) -> DataFrame:
     """False and true positive rate at each distinct score, from the origin."""
-    positives, negatives = class_totals(scored)
-    points = ranked_scores(scored).select(
+    ranked = ranked or ranked_scores(scored)
+    positives, negatives = ranked_totals(ranked)
+    points = ranked.select(
         F.col("score").alias("threshold"),
         ratio(F.col("fp"), F.lit(negatives)).alias("fpr"),
         ratio(F.col("tp"), F.lit(positives)).alias("tpr"),
@@ -133,10 +145,10 @@ def roc_curve(scored: Scored) -> DataFrame:
 def loss_capture_curve(scored: Scored) -> DataFrame:
     """Highest scores first: percent of rows flagged against percent of the positive amount captured."""
     loss = F.coalesce(F.when(F.col(scored.label), F.col(scored.amount)), F.lit(0.0))
-    slim = scored.df.select(F.col(scored.key), F.col(scored.score).alias("score"), loss.alias("loss"))
+    slim = scored.df.select(F.col(scored.key), scored.value().alias("score"), loss.alias("loss"))
     ends = slim.agg(F.count("*").alias("rows"), F.sum("loss").alias("loss")).first()
     order = [F.desc("score"), F.desc(scored.key)]
-    ranked = running_totals(slim, order, {"flagged": F.lit(1), "captured": "loss"})
+    ranked = running_totals(slim, order, {"flagged": F.lit(1), "captured": "loss"}, ends["rows"])
     return ranked.select(
         scored.key,
         (F.col("flagged") * 100.0 / F.lit(float(ends["rows"]))).alias("flagged_percent"),
@@ -147,7 +159,10 @@ def loss_capture_curve(scored: Scored) -> DataFrame:
 
 def score_thresholds(scored: Scored, points: int) -> list[float]:
     """Evenly spaced exact score quantiles and zero, without repeats."""
-    found = exact_quantiles(scored.df, [scored.score], grid_points(points, *GRID_SPAN))[scored.score]
+    return with_zero(exact_quantiles(scored.df, {"score": scored.value()}, grid_points(points, *GRID_SPAN))["score"])
+
+
+def with_zero(found: Sequence[float | None]) -> list[float]:
     return sorted({v for v in found if v is not None} | {0.0})
 
 
@@ -160,7 +175,7 @@ def sweep(scored: Scored, thresholds: Sequence[float]) -> DataFrame:
     edges = [-math.inf, *thresholds, math.inf]
     truth = F.col(scored.label)
     slim = scored.df.select(
-        F.col(scored.score).cast("double").alias("score"),
+        scored.value().alias("score"),
         truth.alias("truth"),
         F.when(truth, F.col(scored.amount)).alias("loss"),
     )
@@ -188,10 +203,10 @@ def sweep(scored: Scored, thresholds: Sequence[float]) -> DataFrame:
     return rates(counted)
 
 
-def training_report(scored: Scored) -> DataFrame:
+def training_report(scored: Scored, thresholds: Sequence[float] | None = None) -> DataFrame:
     """Sweep used while tuning. Average precision and AUC do not depend on the threshold: computed once."""
     ranking = ranking_metrics(scored).first()
-    report = sweep(scored, score_thresholds(scored, TRAIN_GRID_POINTS))
+    report = sweep(scored, score_thresholds(scored, TRAIN_GRID_POINTS) if thresholds is None else thresholds)
     return report.select(
         "threshold", *COUNTS, "recall", "false_positive_rate", "precision", F.col("f1_score").alias("f1"),
         F.lit(ranking["average_precision"]).cast("double").alias("average_precision"),
@@ -232,9 +247,9 @@ def select_operating_threshold(report: DataFrame, recall: float = RECALL_GOAL, f
     return candidates.orderBy(*[F.desc(c) for c in order], "threshold").limit(1)
 
 
-def metrics(scored: Scored, threshold: float) -> DataFrame:
+def metrics(scored: Scored, threshold: float, ranked: DataFrame | None = None) -> DataFrame:
     """All measures of one threshold as one row."""
-    ranking = ranking_metrics(scored).first()
+    ranking = ranking_metrics(scored, ranked).first()
     row = rates(confusion(scored, threshold))
     return row.withColumns(
         {
@@ -244,9 +259,9 @@ def metrics(scored: Scored, threshold: float) -> DataFrame:
     )
 
 
-def summary(scored: Scored, threshold: float) -> DataFrame:
+def summary(scored: Scored, threshold: float, ranked: DataFrame | None = None) -> DataFrame:
     """(position, metric, value) in the fixed reporting order."""
-    row = metrics(scored, threshold)
+    row = metrics(scored, threshold, ranked)
     items = [
         F.struct(F.lit(i).alias("position"), F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
         for i, n in enumerate(SUMMARY_ORDER)

@@ -12,6 +12,7 @@ from ledgerlight.functions.values import cap
 from ledgerlight.operators.lookups import complete_calendar
 from ledgerlight.operators.quantiles import exact_quantiles, interval_index, number_or_missing
 from ledgerlight.schema import CAP_QUANTILE, DISTANCE, HISTOGRAM_BINS, TARGET, WEEKDAY_LABELS
+from ledgerlight.session import materialise
 
 
 def rate_by(df: DataFrame, group: Column | str, name: str, label: str = TARGET) -> DataFrame:
@@ -123,6 +124,74 @@ def histogram(
     return joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
+def histograms(
+    df: DataFrame, charts: dict[str, tuple[Column, int]], ends: dict[str, tuple[float | None, float | None]],
+) -> dict[str, DataFrame]:
+    """Several histograms of values and bins from one pass, whose counts are written down."""
+    spark = df.sparkSession
+    known = {n: histogram_edges(*ends[n], bins) for n, (_, bins) in charts.items() if ends[n][0] is not None}
+    indexed = df.select(*[number_or_missing(value).alias(f"{n}_value") for n, (value, _) in charts.items()])
+    for name, edges in known.items():
+        indexed = interval_index(indexed, f"{name}_value", edges, f"{name}_bin")
+    items = [F.struct(F.lit(n).alias("chart"), F.col(f"{n}_bin").alias("bin")) for n in known]
+    empty = spark.createDataFrame([], "chart string, bin int, count bigint")
+    counts = materialise(
+        indexed.select(F.inline(F.array(*items))).groupBy("chart", "bin").agg(F.count("*").alias("count")) if items else empty
+    )
+    out = {}
+    for name, (_, bins) in charts.items():
+        edges = known.get(name, [])
+        ranges = spark.createDataFrame(
+            [(i, edges[i], edges[i + 1]) for i in range(bins if edges else 0)], "bin int, low double, high double"
+        )
+        mine = counts.where(F.col("chart") == name).select("bin", "count")
+        # at most one row per bin on either side
+        joined = ranges.join(F.broadcast(mine), "bin", "left")
+        out[name] = joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+    return out
+
+
+def rates_by(df: DataFrame, groups: dict[str, Column], label: str = TARGET) -> dict[str, DataFrame]:
+    """Several tables (name, fraud_rate) like rate_by's from one pass, whose sums are written down."""
+    kinds = {n: kind for n, kind in df.select(*[c.alias(n) for n, c in groups.items()]).dtypes}
+    items = [F.struct(F.lit(n).alias("group"), c.cast("string").alias("value")) for n, c in groups.items()]
+    long = df.select(F.col(label).cast("double").alias("_hit"), F.inline(F.array(*items)))
+    rates = materialise(long.groupBy("group", "value").agg(F.avg("_hit").alias("fraud_rate")))
+    return {
+        n: rates.where((F.col("group") == n) & F.col("value").isNotNull()).select(F.col("value").cast(kinds[n]).alias(n), "fraud_rate")
+        for n in groups
+    }
+
+
+def boxplots(
+    df: DataFrame, values: dict[str, Column], label: str, found: dict[str, Found],
+) -> dict[str, DataFrame]:
+    """Several box plots whose quartiles are known, from one aggregate that is written down."""
+    measures = []
+    bounds = {}
+    for name, value in values.items():
+        def of_class(pick, name: str = name) -> Column:
+            lit = {c: F.lit(None if q[0] is None else pick(*q)).cast("double") for c, q in found[name].items()}
+            return F.when(F.col(label), lit["True"]).otherwise(lit["False"])
+
+        number = number_or_missing(value)
+        inside = number.between(of_class(lambda a, _, c: a - 1.5 * (c - a)), of_class(lambda a, _, c: c + 1.5 * (c - a)))
+        measures += [
+            F.count(number).alias(f"{name}_count"), F.min(F.when(inside, number)).alias(f"{name}_low"),
+            F.max(F.when(inside, number)).alias(f"{name}_high"), F.count_if(~inside).cast("bigint").alias(f"{name}_out"),
+        ]
+        quartiles = {"q25": lambda a, b, c: a, "q50": lambda a, b, c: b, "q75": lambda a, b, c: c}
+        bounds[name] = [of_class(pick).alias(n) for n, pick in quartiles.items()]
+    grouped = materialise(df.groupBy(label).agg(*measures))
+    return {
+        name: grouped.select(
+            label, F.col(f"{name}_count").alias("count"), F.col(f"{name}_low").alias("whisker_low"),
+            F.col(f"{name}_high").alias("whisker_high"), F.col(f"{name}_out").alias("outliers"), *bounds[name],
+        )
+        for name in values
+    }
+
+
 def boxplot(df: DataFrame, value: Column | str, label: str = TARGET, found: Found | None = None) -> DataFrame:
     """Quartiles, whiskers (last points within 1.5 interquartile ranges) and outliers per class.
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.values import missing_as_word
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.01
 SALTS = 64
 
@@ -22,12 +26,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``lookup`` (one row per key) to ``facts``.
 
-    A lookup whose counted size is small is broadcast. A larger one is joined by shuffle: keys that
+    A lookup whose counted rows and estimated bytes are small is broadcast. A larger one is joined by shuffle: keys that
     hold more than one row in a hundred (at most a hundred of them) are spread over several tasks,
     their lookup rows repeated once per salt; all other keys have one salt. The salt follows from the
     row itself, so a recomputed task sends each row the same way.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    rows, size = lookup.limit(broadcast_rows + 1).agg(F.count("*"), F.sum(row_bytes(lookup))).first()
+    if rows <= broadcast_rows and (size or 0) <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), key, how)
 
     hot = hot_keys(facts, key)
@@ -41,6 +46,13 @@ def lookup_join(
     return salted_facts.join(salted_lookup, [key, "_salt"], how).drop("_salt")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """What a row takes in memory, roughly: eight bytes a column, and the length of its texts and nested values."""
+    long = [n for n, kind in df.dtypes if kind in ("string", "binary") or "<" in kind]
+    texts = [F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in long]
+    return reduce(add, texts, F.lit(16 + 8 * len(df.columns)).cast("bigint"))
+
+
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold more than the given share of the rows: never more than 1 / share of them."""
     counts = df.groupBy(key).count()
@@ -82,25 +94,41 @@ def frequency_encode(df: DataFrame, maps: dict[str, DataFrame], broadcast_rows:
     return df
 
 
+def require_key(df: DataFrame, key: str) -> None:
+    """Raise unless every row has a key and no two rows share one."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    null, repeated = F.col(key).isNull(), F.col(key).isNotNull() & (F.col("n") > 1)
+    row = counts.agg(F.sum(F.when(null, F.col("n"))).alias("null"), F.count_if(repeated).alias("repeated")).first()
+    if row["null"] or row["repeated"]:
+        raise ValueError(f"{key} is no row key: {row['null'] or 0} rows without one, {row['repeated']} repeated keys")
+
+
 def alignment(left: DataFrame, right: DataFrame, key: str, label: str) -> DataFrame:
-    """Rows on either side, keys without a partner, and partners whose labels differ, as one row."""
-    a = left.select(F.col(key), F.col(label).alias("_l"), F.lit(1).alias("_in_l"))
-    b = right.select(F.col(key), F.col(label).alias("_r"), F.lit(1).alias("_in_r"))
-    both = a.join(b, key, "full_outer")
-    count_if = lambda c: F.count_if(c).cast("bigint")
-    paired = F.col("_in_l").isNotNull() & F.col("_in_r").isNotNull()
+    """Rows on either side, rows without a partner, repeated keys, and keys whose labels differ, as one row."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        value = F.col(label)
+        return df.groupBy(key).agg(
+            F.count("*").alias(f"_{name}"), F.count_if(value).alias(f"_{name}_true"), F.count_if(~value).alias(f"_{name}_false"),
+        )
+
+    both = side(left, "l").join(side(right, "r"), key, "full_outer")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    paired = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    alike = (F.col("_l_true") == F.col("_r_true")) & (F.col("_l_false") == F.col("_r_false"))
     return both.agg(
-        F.count("_in_l").alias("left_rows"),
-        F.count("_in_r").alias("right_rows"),
-        count_if(F.col("_in_r").isNull()).alias("left_only"),
-        count_if(F.col("_in_l").isNull()).alias("right_only"),
-        count_if(paired & ~F.col("_l").eqNullSafe(F.col("_r"))).alias("label_mismatches"),
+        total("_l").alias("left_rows"),
+        total("_r").alias("right_rows"),
+        total(F.when(F.col("_r").isNull(), F.col("_l"))).alias("left_only"),
+        total(F.when(F.col("_l").isNull(), F.col("_r"))).alias("right_only"),
+        F.count_if((F.col("_l") > 1) | (F.col("_r") > 1)).cast("bigint").alias("repeated_keys"),
+        F.count_if(paired & ~alike).cast("bigint").alias("label_mismatches"),
     )
 
 
 def require_alignment(left: DataFrame, right: DataFrame, key: str, label: str) -> None:
     row = alignment(left, right, key, label).first()
-    if row["left_only"] or row["right_only"] or row["label_mismatches"]:
+    faults = ("left_only", "right_only", "repeated_keys", "label_mismatches")
+    if row["left_rows"] != row["right_rows"] or any(row[n] for n in faults):
         raise ValueError(f"tables do not line up: {row.asDict()}")
 
 

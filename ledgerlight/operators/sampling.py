@@ -3,7 +3,8 @@
 Rows are put in a fixed random-looking order by md5 of seed and key. Taking the first n of that order
 needs no sort and no window over the table: counts per hash prefix show where the n-th row lies, the
 prefix is lengthened until few rows share it, and the cut itself is one (hash, key) pair. The sample
-is then a plain filter, without any shuffle.
+is then a plain filter, without any shuffle. Keys must be unique (see lookups.require_key): rows that
+share one stand at the same place and are taken or left together.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.values import flag_column
-from ledgerlight.schema import SAMPLE_RATE, SAMPLE_ROWS, SCATTER_NEGATIVES, SEED, TEST_SHARE
+from ledgerlight.schema import SAMPLE_RATE, SCATTER_NEGATIVES, SEED, TEST_SHARE
 
 PREFIX_STEP = 4
 RANKED_ROWS = 100_000
@@ -132,7 +133,7 @@ def sample_by_rate(
     df: DataFrame,
     label: str,
     key: str,
-    size: int = SAMPLE_ROWS,
+    size: int,
     rate: float = SAMPLE_RATE,
     seed: int | str = SEED,
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ledgerlight.functions.values import with_flag
 from ledgerlight.models import artifact as art
 from ledgerlight.models.features import fit_frequency_maps, prepare_features
 from ledgerlight.models.tuning import (
@@ -65,12 +66,10 @@ def train(
 
 def score_table(
     test: DataFrame, train_table: DataFrame, source: DataFrame, artifact: art.Artifact,
-    key: str = KEY, label: str = TARGET, rows: int | None = None, seed: int = SEED,
+    key: str = KEY, label: str = TARGET,
 ) -> DataFrame:
     """(key, label, score, amount): frequencies come from the training rows, amounts by key from the source."""
     maps = fit_frequency_maps(train_table)
-    if rows is not None:
-        test = sampling.subsample(test, label, key, rows, seed)
     features, _ = prepare_features(test, maps, key, label, artifact.columns())
     scored = features.select(key, label, artifact.score().alias("score"))
     return attach_amount(scored, source, key, "amt", "amt")
@@ -90,19 +89,25 @@ def evaluate(
     test: DataFrame, train_table: DataFrame, source: DataFrame, artifact: art.Artifact,
     key: str = KEY, label: str = TARGET, rows: int | None = None, folder: str | None = None, seed: int = SEED,
 ) -> Evaluated:
-    """Score the test rows and report on them. Raises if amounts and test rows do not line up."""
-    # written down once: every report below reads it
-    scores = materialise(score_table(test, train_table, source, artifact, key, label, rows, seed))
-    if rows is None:
-        require_alignment(test, scores, key, label)
+    """Score the test rows, or ``rows`` of them, and report on them.
+
+    Raises unless each has exactly one row of the source, which holds the same label.
+    """
+    if rows is not None:
+        test = materialise(sampling.subsample(test, label, key, rows, seed))
+    matched = source.join(test.select(key), key, "left_semi")
+    require_alignment(with_flag(test, label).select(key, label), with_flag(matched, label).select(key, label), key, label)
+    # written down once, as is the ranking: every report below reads them
+    scores = materialise(score_table(test, train_table, source, artifact, key, label))
     scored = ev.Scored(scores, label, key=key)
-    thresholds = ev.evaluation_report(scored)
+    ranked = materialise(ev.ranked_scores(scored))
+    thresholds = materialise(ev.evaluation_report(scored))
     result = Evaluated(
-        ev.summary(scored, artifact.cut),
-        thresholds,
+        ev.summary(scored, artifact.cut, ranked),
+        thresholds.orderBy("threshold"),
         ev.select_operating_threshold(thresholds),
-        ev.pr_curve(scored),
-        ev.roc_curve(scored),
+        ev.pr_curve(scored, ranked),
+        ev.roc_curve(scored, ranked),
         ev.loss_capture_curve(scored),
     )
     if folder is not None:

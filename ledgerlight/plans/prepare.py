@@ -12,19 +12,23 @@ from ledgerlight.functions.values import cast_columns, drop_present, with_flag
 from ledgerlight.operators import encode, sampling, scale
 from ledgerlight.operators.explore import class_distribution
 from ledgerlight.operators.impute import clean
+from ledgerlight.operators.lookups import require_key
 from ledgerlight.operators.profile import columns_with_prefix, stage_metrics
 from ledgerlight.schema import (
-    CYCLES, KEY, ONE_HOT, REDUCED_AWAY, SAMPLE_RATE, SAMPLE_ROWS, SEED, TARGET, TEST_SHARE, TEXT_IDENTIFIERS,
+    CYCLES, KEY, ONE_HOT, REDUCED_AWAY, SAMPLE_RATE, SEED, TARGET, TEST_SHARE, TEXT_IDENTIFIERS,
 )
 from ledgerlight.session import materialise
 from ledgerlight.sources.tables import write_table
 
 
 def transform(
-    df: DataFrame, vocabulary: Mapping[str, Sequence[str]] | None = None, label: str = TARGET
+    df: DataFrame, vocabulary: Mapping[str, Sequence[str]] | None = None, label: str = TARGET,
+    vocabulary_limit: int = encode.VOCABULARY_LIMIT,
 ) -> DataFrame:
-    """Types, time, age, distance and one-hot columns."""
-    vocabulary = vocabulary or encode.fit_vocabulary(df, [c for c in ONE_HOT if c in df.columns])
+    """Types, time, age, distance and one-hot columns. The vocabulary is the caller's, or found in the table;
+    one of more than ``vocabulary_limit`` values in a column is then an error, as each becomes a column.
+    """
+    vocabulary = vocabulary or encode.fit_vocabulary(df, [c for c in ONE_HOT if c in df.columns], vocabulary_limit)
     return (
         with_flag(cast_columns(df, TEXT_IDENTIFIERS, "string"), label)
         .transform(with_time_features)
@@ -52,19 +56,22 @@ def prepare(
     raw: DataFrame,
     key: str = KEY,
     label: str = TARGET,
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
     sample_rate: float = SAMPLE_RATE,
     test_share: float = TEST_SHARE,
     seed: int = SEED,
     drop: Sequence[str] = (),
+    vocabulary_limit: int = encode.VOCABULARY_LIMIT,
 ) -> Prepared:
-    """The whole preparation. ``sample_rows=None`` uses every row.
+    """The whole preparation of every row, or of a sample of ``sample_rows``.
 
     The reduced table is written down once, because fitting, sampling and both splits read it.
-    The row key is carried along, so that scores can be joined to the original amounts later.
+    The row key is carried along, so that scores can be joined to the original amounts later. Quotas,
+    splits and that join rest on it, so null or repeated keys are an error.
     """
-    reduced = reduce_columns(transform(clean(raw), label=label), keep=[key]).drop(*drop)
-    reduced = materialise(reduced)
+    transformed = transform(clean(raw), label=label, vocabulary_limit=vocabulary_limit)
+    reduced = materialise(reduce_columns(transformed, keep=[key]).drop(*drop))
+    require_key(reduced, key)
     sampled, counts = reduced, None
     if sample_rows is not None:
         counts = sampling.rate_quotas(sample_rows, sample_rate)

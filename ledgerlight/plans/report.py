@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight.functions.features import distance_bucket
 from ledgerlight.functions.values import cap
 from ledgerlight.operators import correlate, explore, profile, sampling
+from ledgerlight.operators.lookups import complete_calendar
 from ledgerlight.operators.quantiles import exact_quantiles
 from ledgerlight.schema import (
-    CAP_QUANTILE, CORRELATED, DISTANCE, DISTANCE_HISTOGRAM_BINS, HISTOGRAM_BINS, KEY, TARGET,
+    CAP_QUANTILE, CORRELATED, DISTANCE, DISTANCE_HISTOGRAM_BINS, HISTOGRAM_BINS, KEY, TARGET, WEEKDAY_LABELS,
 )
 from ledgerlight.session import materialise
 
@@ -45,9 +47,9 @@ def correlated_columns(df: DataFrame) -> list[str]:
 
 
 def explore_tables(df: DataFrame, label: str = TARGET, key: str = KEY) -> dict[str, DataFrame]:
-    """The data of every exploratory chart, from a transformed table.
+    """The data of every exploratory chart, from a transformed table, which should be a written one.
 
-    All quantiles and all histogram ranges come from shared passes.
+    All quantiles, histograms, rates and box plots come from shared passes.
     """
     named = explore.with_category(df)
     amount = explore.log_amount()
@@ -70,19 +72,26 @@ def explore_tables(df: DataFrame, label: str = TARGET, key: str = KEY) -> dict[s
     }
     ends = explore.value_ranges(df, {n: value for n, (value, _) in charted.items()})
     by_category = explore.category_summary(named, label=label)
+    boxes = explore.boxplots(df, {"log": amount, "km": F.col(DISTANCE)}, label, quartiles)
+    rates = explore.rates_by(df, {
+        "transaction_hour": F.col("transaction_hour"), "transaction_day_of_week": F.col("transaction_day_of_week"),
+        "is_night": F.col("is_night"), "distance_bucket": distance_bucket(DISTANCE),
+    }, label)
     return {
         "target_distribution": profile.target_distribution(df, label),
-        **{n: explore.histogram(df, value, bins, ends[n]) for n, (value, bins) in charted.items()},
-        "amount_boxplot": explore.boxplot(df, amount, label, quartiles["log"]),
+        **explore.histograms(df, charted, ends),
+        "amount_boxplot": boxes["log"],
         "amount_summary": explore.amount_summary(df, label=label, found=upper),
         "category_rates": by_category,
         "category_counts": by_category.orderBy(F.desc("transaction_count"), "category"),
-        "distance_boxplot": explore.boxplot(df, DISTANCE, label, quartiles["km"]),
-        "distance_rates": explore.rate_by_distance(df, label),
+        "distance_boxplot": boxes["km"],
+        "distance_rates": rates["distance_bucket"],
         "amount_and_distance": scatter_points(df, label, key),
-        "hour_rates": explore.rate_by(df, "transaction_hour", "transaction_hour", label),
-        "weekday_rates": explore.rate_by_weekday(df, label),
-        "night_rates": explore.rate_by(df, "is_night", "is_night", label),
+        "hour_rates": rates["transaction_hour"],
+        "weekday_rates": complete_calendar(
+            rates["transaction_day_of_week"], "transaction_day_of_week", "fraud_rate", WEEKDAY_LABELS
+        ),
+        "night_rates": rates["is_night"],
         "correlation": correlate.matrix(df, correlated_columns(df)),
     }
 

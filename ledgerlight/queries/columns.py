@@ -29,11 +29,24 @@ CSV_SCHEMA = T.StructType(
 )
 
 
-@query("scan_csv_typed", with_txn(f"SELECT txn_id, '0' || zip AS zip, job, dob, {r('amt')} AS amt, is_fraud FROM txn"))
+@query(
+    "scan_csv_typed",
+    with_txn(f"""SELECT txn_id, '0' || zip AS zip, job, CASE WHEN txn_id % 17 <> 0 THEN dob END AS dob,
+    CASE WHEN txn_id % 13 <> 0 THEN {r('amt')} END AS amt, is_fraud FROM txn"""),
+)
 def scan_csv_typed(spark, folder):
     path = scratch_path(spark, "typed") + "_csv"
-    # another column order than the schema, and identifiers that look like numbers
-    table = txn(spark, folder).select("is_fraud", F.concat(F.lit("0"), "zip").alias("zip"), "job", "dob", "amt", "txn_id")
+    # another column order than the schema, identifiers that look like numbers, numbers and dates that are
+    # none, flags in several spellings and keys written with a decimal point
+    key = F.col(ID)
+    words = F.when(F.col("is_fraud"), F.element_at(F.array(*map(F.lit, ("yes", "1", "TRUE"))), (key % 3 + 1).cast("int")))
+    flags = words.otherwise(F.element_at(F.array(*map(F.lit, ("no", "0", "n/a"))), (key % 3 + 1).cast("int")))
+    table = txn(spark, folder).select(
+        flags.alias("is_fraud"), F.concat(F.lit("0"), "zip").alias("zip"), "job",
+        F.when(key % 17 == 0, "n/a").otherwise(F.col("dob").cast("string")).alias("dob"),
+        F.when(key % 13 == 0, "abc").otherwise(F.col("amt").cast("string")).alias("amt"),
+        F.when(key % 7 == 0, F.concat(key.cast("string"), F.lit(".0"))).otherwise(key.cast("string")).alias("txn_id"),
+    )
     write_table(table, path)
     return read_csv(spark, path, CSV_SCHEMA).select("txn_id", "zip", "job", "dob", "amt", "is_fraud")
 

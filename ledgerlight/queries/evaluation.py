@@ -182,15 +182,21 @@ def select_threshold(spark, folder):
     return ev.select_threshold(ev.training_report(scored(spark, folder)))
 
 
-@query(
-    "select_operating_threshold",
-    with_txn(*EVAL_REPORT, f"""SELECT {EVAL_COLUMNS} FROM (SELECT * FROM swept WHERE recall >= 0.5
+def operating_sql(goal: float) -> str:
+    return f"""SELECT CAST({goal} AS DOUBLE) AS goal, {EVAL_COLUMNS} FROM (SELECT * FROM swept WHERE recall >= {goal}
     AND false_positive_rate <= 0.02 ORDER BY round(f1_score, 12) DESC, precision DESC, fraud_loss_capture_rate DESC,
-    threshold LIMIT 1)"""),
-)
+    threshold LIMIT 1)"""
+
+
+@query("select_operating_threshold", with_txn(*EVAL_REPORT, f"{operating_sql(0.8)} UNION ALL {operating_sql(0.5)}"))
 def select_operating_threshold(spark, folder):
-    # the amount alone does not reach the default recall goal
-    return ev.select_operating_threshold(ev.evaluation_report(scored(spark, folder)), recall=0.5)
+    # the amount alone does not reach the default recall goal: that part has no row
+    report = ev.evaluation_report(scored(spark, folder))
+    chosen = [
+        ev.select_operating_threshold(report, **({} if goal == 0.8 else {"recall": goal})).withColumn("goal", F.lit(goal))
+        for goal in (0.8, 0.5)
+    ]
+    return chosen[0].unionByName(chosen[1])
 
 
 @query(

@@ -1,22 +1,27 @@
 """Fits, scoring and the jobs around them. Fits are iterative, so their checks are properties.
 
-The SQL twin states how many rows a fit must have seen and that each property holds.
+The SQL twin states how many rows a fit must have seen and that each property holds. Scoring itself is checked row by
+row, with models of given numbers.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.models import artifact as art
-from ledgerlight.models.kernel import FourierMap
+from ledgerlight.models.kernel import FourierMap, KernelModel
+from ledgerlight.models.linear import LinearModel
 from ledgerlight.models.tuning import (
-    KERNEL, LINEAR, ONE_CLASS, FeatureTable, fit, fit_final, fit_rows, param_grid, tune, tuning_report,
+    KERNEL, LINEAR, MODEL_TYPES, ONE_CLASS, FeatureTable, fit, fit_final, fit_rows, param_grid, tune, tuning_report,
 )
 from ledgerlight.operators import evaluate as ev
 from ledgerlight.plans import detect
-from ledgerlight.queries.base import query, with_txn
+from ledgerlight.queries.base import query, quota_sql, r, with_txn
 from ledgerlight.queries.sampling import ALL_FEATURES, FEATURES_SQL, PREPARED_SQL, prepared
 from ledgerlight.session import materialise, scratch_path
 from ledgerlight.sources.tables import load
@@ -26,7 +31,7 @@ NU = 0.05
 
 
 def features(spark, folder) -> FeatureTable:
-    """Model input from half of the transactions, the training part of the preparation job."""
+    """Model input: the training part of the preparation job."""
     return detect.feature_table(prepared(spark, folder).train, ID)
 
 
@@ -115,11 +120,28 @@ def oneclass_fit(spark, folder):
     )
 
 
-@query("score")
+# Models of given numbers: a weight per feature, and four Fourier features.
+LINEAR_WEIGHTS = [(i % 5 - 2) / 4 for i in range(len(ALL_FEATURES))]
+FREQUENCIES = [[((3 * i + 5 * j) % 7 - 3) / 10 for j in range(4)] for i in range(len(ALL_FEATURES))]
+PHASES, FOURIER_WEIGHTS = [j / 2 for j in range(4)], [0.25, -0.5, 0.75, -1.0]
+
+
+def sum_sql(weights) -> str:
+    return " + ".join(f"({w!r}) * {n}" for w, n in zip(weights, ALL_FEATURES))
+
+
+FOURIER_SQL = " + ".join(
+    f"({w!r}) * sqrt(0.5) * cos({sum_sql([row[j] for row in FREQUENCIES])} + {PHASES[j]!r})" for j, w in enumerate(FOURIER_WEIGHTS)
+)
+
+
+@query("score", fitted_on(f"SELECT txn_id, is_fraud, {r(f'0.25 + {sum_sql(LINEAR_WEIGHTS)}')} AS linear, {r(f'-(({FOURIER_SQL}) - 0.1)')} AS kernel"))
 def score(spark, folder):
     table = features(spark, folder)
-    params = param_grid(LINEAR, "fast")[0]
-    return scores(table, fit(LINEAR, table, params)).df.select(ID, "is_fraud", "score")
+    linear = LinearModel(ALL_FEATURES, tuple(LINEAR_WEIGHTS), 0.25)
+    mapping = FourierMap(ALL_FEATURES, 1.0, np.array(FREQUENCIES), np.array(PHASES))
+    kernel = KernelModel(mapping, np.array(FOURIER_WEIGHTS), -0.1, -1.0)
+    return table.df.select(ID, "is_fraud", linear.score().alias("linear"), kernel.score().alias("kernel"))
 
 
 @query("fit_final", fitted_on(f"""SELECT count(*) AS scored_rows, 'unsupervised_oneclass_rbf_svm' AS model_type,
@@ -147,42 +169,137 @@ def model_save_load(spark, folder):
     return one_row(spark, rows=row[0], differing=row[1], threshold=loaded.threshold)
 
 
-def tuned(spark, folder, kind) -> DataFrame:
-    table = features(spark, folder)
-    _, _, results = tune(kind, table, param_grid(kind, "fast"))
-    return tuning_report(spark, results)
+TUNING_SQL = (
+    *PREPARED_SQL, FEATURES_SQL, "learning AS (SELECT txn_id, is_fraud FROM features WHERE split = 'train')",
+    quota_sql("learning", "ceil((SELECT count(*) FROM learning) * 0.2::DOUBLE)", "valid"),
+    """sizes AS (SELECT sum(quota) AS scored_rows, sum(quota) FILTER (is_fraud) AS scored_fraud_rows,
+     (SELECT count(*) FILTER (is_fraud) FROM learning) - sum(quota) FILTER (is_fraud) AS p,
+     (SELECT count(*) FILTER (NOT is_fraud) FROM learning) - sum(quota) FILTER (NOT is_fraud) AS n FROM valid)""",
+)
 
 
-@query("tune_supervised")
+def tuning_sql(names, grid, fit_rows: str, fraud_rows: str | None = None) -> str:
+    """Every grid point with the rows it must have learned from and been judged on."""
+    points = ", ".join("(" + ", ".join(f"'{p[n]}'" for n in names) + ")" for p in grid)
+    extra = "" if fraud_rows is None else f", CAST({fraud_rows} AS BIGINT) AS fit_fraud_rows"
+    return with_txn(*TUNING_SQL, f"grid({', '.join(names)}) AS (VALUES {points})", f"""SELECT {', '.join(names)},
+     CAST({fit_rows} AS BIGINT) AS fit_rows{extra}, CAST(scored_rows AS BIGINT) AS scored_rows,
+     CAST(scored_fraud_rows AS BIGINT) AS scored_fraud_rows, true AS measures_hold, true AS best_first FROM grid, sizes""")
+
+
+def tuned(spark, folder, kind, grid, names) -> DataFrame:
+    """Grid points, rows learned from, rows counted, whether measures follow from the counts and the report is in order."""
+    table = features(spark, folder)
+    _, _, results = tune(kind, table, grid)
+    first = [r["f1"] for r in tuning_report(spark, results).collect()]
+    rows = []
+    for found in results:
+        tn, fp, fn, tp = (found[c] for c in ev.COUNTS)
+        hold = abs(found["recall"] - tp / (tp + fn)) < 1e-9 and abs(found["false_positive_rate"] - fp / (fp + tn)) < 1e-9
+        own = [found["fit_fraud_rows"]] if kind != ONE_CLASS else []
+        rows.append((
+            *[str(found[n]) for n in names], found["fit_rows"], *own, tn + fp + fn + tp, tp + fn, hold,
+            first == sorted(first, reverse=True),
+        ))
+    counted = "fit_rows long, " + ("fit_fraud_rows long, " if kind != ONE_CLASS else "") + "scored_rows long, scored_fraud_rows long"
+    schema = ", ".join(f"{n} string" for n in names) + f", {counted}, measures_hold boolean, best_first boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+LINEAR_NAMES = ("loss", "alpha", "penalty", "fraud_weight", "non_fraud_ratio")
+LINEAR_ROWS = ("p + least(n, CAST(non_fraud_ratio AS BIGINT) * p)", "p")
+REPORTED_GRID = [{**param_grid(LINEAR, "fast")[0], "loss": loss} for loss in ("modified_huber", "log_loss")]
+
+
+@query("tune_supervised", tuning_sql(LINEAR_NAMES, param_grid(LINEAR), *LINEAR_ROWS))
 def tune_supervised(spark, folder):
-    return tuned(spark, folder, LINEAR)
+    return tuned(spark, folder, LINEAR, param_grid(LINEAR), LINEAR_NAMES)
 
 
-@query("tune_oneclass")
+KERNEL_NAMES = ("C", "gamma", "fraud_weight", "non_fraud_ratio")
+
+
+@query("tune_kernel", tuning_sql(KERNEL_NAMES, param_grid(KERNEL), *LINEAR_ROWS))
+def tune_kernel(spark, folder):
+    return tuned(spark, folder, KERNEL, param_grid(KERNEL), KERNEL_NAMES)
+
+
+@query("tune_oneclass", tuning_sql(("kernel", "nu", "gamma"), param_grid(ONE_CLASS), "n"))
 def tune_oneclass(spark, folder):
-    return tuned(spark, folder, ONE_CLASS)
+    return tuned(spark, folder, ONE_CLASS, param_grid(ONE_CLASS), ("kernel", "nu", "gamma"))
 
 
-@query("tuning_report")
+@query(
+    "tuning_report",
+    with_txn(*TUNING_SQL, """SELECT loss, CAST(0.001 AS DOUBLE) AS alpha, CAST(200 AS DOUBLE) AS fraud_weight,
+     CAST(20 AS DOUBLE) AS non_fraud_ratio, CAST(p + least(n, 20 * p) AS DOUBLE) AS fit_rows, true AS in_range
+     FROM sizes, (VALUES ('modified_huber'), ('log_loss')) v(loss)"""),
+)
 def tuning_report_query(spark, folder):
-    table = features(spark, folder)
-    grid = [{**param_grid(LINEAR, "fast")[0], "loss": loss} for loss in ("modified_huber", "log_loss")]
-    _, _, results = tune(LINEAR, table, grid)
-    return tuning_report(spark, results)
+    _, _, results = tune(LINEAR, features(spark, folder), REPORTED_GRID)
+    report = tuning_report(spark, results)
+    measures = ("recall", "false_positive_rate", "precision", "f1", "average_precision", "roc_auc", "predicted_fraud_rate")
+    inside = reduce(and_, [F.col(m).between(0, 1) for m in measures])
+    return report.select("loss", "alpha", "fraud_weight", "non_fraud_ratio", "fit_rows", inside.alias("in_range"))
 
 
-@query("train_job")
+SCOPES = {LINEAR: None, KERNEL: None, ONE_CLASS: "non_fraud_only"}
+KINDS_SQL = ", ".join(
+    f"('{k}', '{MODEL_TYPES[k]}', {'NULL' if s is None else repr(s)})" for k, s in SCOPES.items()
+)
+
+
+@query("train_job", fitted_on(f"""SELECT kind, model_type, CAST({len(ALL_FEATURES)} AS BIGINT) AS features,
+ fit_scope, count(*) AS scored_rows, CAST(0 AS BIGINT) AS differing_after_reload, true AS chosen_from_grid""").replace(
+    " FROM features WHERE split = 'train'",
+    f" FROM features, (VALUES {KINDS_SQL}) k(kind, model_type, fit_scope) WHERE split = 'train' GROUP BY ALL",
+))
 def train_job(spark, folder):
+    """All three models, each from its whole default grid, saved and loaded again."""
     table = features(spark, folder)
-    trained = detect.train(table, ["both"], "fast", folder=scratch_path(spark, "models"))
-    rows = [(k, t.artifact.model_type, float(t.artifact.cut)) for k, t in trained.items()]
-    return spark.createDataFrame(rows, "kind string, model_type string, threshold double")
+    path = scratch_path(spark, "models")
+    trained = detect.train(table, ["all"], "default", folder=path)
+    rows = []
+    for kind, result in trained.items():
+        saved, loaded = result.artifact, art.load(spark, f"{path}/{kind}")
+        both = table.df.select(saved.score().alias("a"), loaded.score().alias("b"))
+        n, differing = both.agg(F.count("a"), F.count_if(F.abs(F.col("a") - F.col("b")) > 1e-9)).first()
+        in_grid = saved.params in param_grid(kind) and result.tuning.count() == len(param_grid(kind))
+        rows.append((
+            kind, loaded.model_type, len(loaded.columns()), loaded.fit_scope, n,
+            differing + (loaded.threshold != saved.threshold), in_grid,
+        ))
+    return spark.createDataFrame(
+        rows, "kind string, model_type string, features long, fit_scope string, scored_rows long, "
+        "differing_after_reload long, chosen_from_grid boolean",
+    )
 
 
-@query("evaluate_job")
+@query(
+    "evaluate_job",
+    with_txn(*PREPARED_SQL, f"""SELECT kind, count(*) AS rows, count(*) FILTER (s.is_fraud) AS fraud_rows,
+     round(sum(c.amt) FILTER (s.is_fraud), 2) AS total_fraud_amount, count(*) AS curve_rows, true AS reports_agree
+     FROM scaled s JOIN clean c ON s.txn_id = c.txn_id, (VALUES ('linear'), ('kernel'), ('oneclass')) k(kind)
+     WHERE split = 'test' GROUP BY kind"""),
+)
 def evaluate_job(spark, folder):
+    """All three models trained, then evaluated with every report written."""
     done = prepared(spark, folder)
     train, test = materialise(done.train), materialise(done.test)
-    trained = detect.train(detect.feature_table(train, ID), [LINEAR], "fast")[LINEAR].artifact
-    report = detect.evaluate(test, train, done.reduced, trained, ID)
-    return report.summary
+    trained = detect.train(detect.feature_table(train, ID), ["all"], "fast")
+    path = scratch_path(spark, "evaluation")
+    rows = []
+    for kind, result in trained.items():
+        report = detect.evaluate(test, train, done.reduced, result.artifact, ID, folder=path)
+        value = {r["metric"]: r["value"] for r in report.summary.collect()}
+        counted = [int(value[c]) for c in ev.COUNTS]
+        written = spark.read.option("header", True).csv(f"{path}/{result.artifact.model_type}/thresholds").count()
+        end = report.pr_curve.agg(F.max("recall"), F.min("precision")).first()
+        agree = written == report.thresholds.count() and abs(end[0] - 1) < 1e-9 and 0 < value["auprc"] <= 1
+        rows.append((
+            kind, sum(counted), counted[2] + counted[3], round(value["total_fraud_amount"], 2),
+            report.loss_capture.count(), agree,
+        ))
+    return spark.createDataFrame(
+        rows, "kind string, rows long, fraud_rows long, total_fraud_amount double, curve_rows long, reports_agree boolean",
+    )

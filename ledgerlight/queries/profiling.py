@@ -15,7 +15,7 @@ from ledgerlight.queries.base import (
     BUCKET_SQL, CATEGORIES, CLEAN_SQL, query, r, transformed_sql, txn, with_txn,
 )
 from ledgerlight.schema import DISTANCE, GRID_SPAN, WEEKDAY_LABELS
-from ledgerlight.session import scratch_path
+from ledgerlight.session import materialise, scratch_path
 from ledgerlight.sources.tables import load
 from ledgerlight.sources.txn import ID
 from ledgerlight.streaming.counts import count_values, frequency_maps, read_in_batches
@@ -108,9 +108,9 @@ def frequency_encode(spark, folder):
 )
 def merge_counts(spark, folder):
     lines = load(spark, folder, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_returnflag"
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_orderkey"
     )
-    batches = [lines.where(F.col("l_returnflag") == f) for f in ("A", "N", "R")]
+    batches = [lines.where(F.pmod("l_orderkey", F.lit(3)) == n) for n in range(3)]
     return lookups.merge_counts(*[lookups.value_counts_of(b, "day") for b in batches])
 
 
@@ -172,12 +172,16 @@ def remaining_nulls(spark, folder):
 
 @query(
     "duplicate_row_count",
-    """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_row_count FROM (SELECT count(*) AS n FROM lineitem
-    GROUP BY l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""",
+    """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_row_count FROM (SELECT count(*) AS n FROM (
+     SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 50 = 0
+     UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 100 = 0) GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber,
+     l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""",
 )
 def duplicate_row_count(spark, folder):
-    columns = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return profile.duplicate_rows(load(spark, folder, "lineitem").select(*columns))
+    """All columns; as the table has few copies of its own, some rows are appended once and some twice."""
+    lines = load(spark, folder, "lineitem")
+    copies = [lines.where(F.col("l_orderkey") % step == 0) for step in (50, 100)]
+    return profile.duplicate_rows(union_parts([lines, *copies]))
 
 
 @query(
@@ -273,8 +277,8 @@ def corr_with_target(spark, folder):
 
 
 CORRELATED = (
-    "amt", "customer_merchant_distance_km", "transaction_hour", "transaction_day_of_week", "is_night",
-    "is_weekend", "customer_age", "city_pop", "gender_F", "gender_M", "is_fraud",
+    "amt", "customer_merchant_distance_km", "transaction_hour", "transaction_day_of_week",
+    "transaction_month", "is_night", "is_weekend", "customer_age", "city_pop", "gender_F", "gender_M", "is_fraud",
     *[f"category_{c}" for c in CATEGORIES],
 )
 
@@ -282,7 +286,8 @@ CORRELATED = (
 def correlation_sql(columns) -> str:
     pairs = [(a, b) for a in columns for b in columns]
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})')} AS correlation FROM numbers" for a, b in pairs
+        f"""SELECT '{a}' AS a, '{b}' AS b, CASE WHEN min({a}) < max({a}) AND min({b}) < max({b})
+         THEN {r(f'corr({a}, {b})')} END AS correlation FROM numbers""" for a, b in pairs
     )
 
 
@@ -483,72 +488,133 @@ def distinct_values(spark, folder):
     return load(spark, folder, "lineitem").select("l_discount", "l_tax").distinct()
 
 
-PROFILE_SQL = f"""
-SELECT 'missing' AS report, "column", 'count' AS item, CAST(missing_count AS DOUBLE) AS value FROM ({MISSING_SQL})
-UNION ALL SELECT 'describe', "column", 'mean', mean FROM ({describe_sql('txn', TXN_NUMBERS)})
-UNION ALL SELECT 'describe', "column", 'q50', q50 FROM ({describe_sql('txn', TXN_NUMBERS)})
-UNION ALL SELECT 'cardinality', "column", 'distinct', CAST("unique" AS DOUBLE)
- FROM ({describe_text_sql('txn', ('category', 'gender', 'job', 'zip'))})
-UNION ALL SELECT 'duplicates', '', 'rows', CAST(count(*) - count(DISTINCT txn_id) AS DOUBLE) FROM txn
-UNION ALL SELECT 'target', CAST(is_fraud AS VARCHAR), 'count', CAST(count(*) AS DOUBLE) FROM txn GROUP BY is_fraud"""
+def told(report: str, column: str, item: str, value: str, source: str) -> str:
+    """One report as (report, column, item, value)."""
+    return f"""SELECT '{report}' AS report, CAST({column} AS VARCHAR) AS "column", CAST({item} AS VARCHAR) AS item,
+     CAST({value} AS DOUBLE) AS value FROM ({source})"""
+
+
+# The types of the columns of the transaction view.
+TXN_KINDS = {"double": 6, "string": 4, "bigint": 3, "boolean": 1, "date": 1, "timestamp_ntz": 1}
+NUMBER_SQL = describe_sql("txn", TXN_NUMBERS)
+TEXT_SQL = describe_text_sql("txn", TXN_TEXTS)
+TOP_SQL = " UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count,
+    row_number() OVER (ORDER BY count(*) DESC, {c} NULLS LAST) AS rank FROM txn GROUP BY {c}) WHERE rank <= 10"""
+    for c in ("category", "gender", "job", "zip")
+)
+CORRELATED_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {r(f'corr(CAST({c} AS DOUBLE), CAST(is_fraud AS INTEGER))')} AS correlation FROM txn"""
+    for c in TXN_NUMBERS
+)
+PROFILE_SQL = " UNION ALL ".join([
+    told("general_information", "''", "'rows'", "rows", "SELECT count(*) AS rows FROM txn"),
+    told("columns", "name", "'position'", "i", "SELECT * FROM (VALUES "
+         + ", ".join(f"('{n}', {i})" for i, n in enumerate(TXN_COLUMNS)) + ") v(name, i)"),
+    told("data_types", "kind", "'count'", "n", "SELECT * FROM (VALUES " + ", ".join(f"('{k}', {n})" for k, n in TXN_KINDS.items()) + ") v(kind, n)"),
+    told("head", "txn_id", "'customer_id'", "customer_id", "SELECT txn_id, customer_id FROM txn ORDER BY txn_id LIMIT 5"),
+    *[told("describe", '"column"', f"'{m}'", m, NUMBER_SQL) for m in ("count", "std", "min", "max")],
+    told("describe", '"column"', "top", "freq", TEXT_SQL),
+    told("missing_values", '"column"', "'count'", "missing_count", MISSING_SQL),
+    told("missing_values", '"column"', "'percent'", "missing_percent", MISSING_SQL),
+    told("duplicate_rows", "''", "'rows'", "n", "SELECT count(*) - count(DISTINCT txn_id) AS n FROM txn"),
+    *[told("numeric_summary", '"column"', f"'{m}'", m, NUMBER_SQL) for m in ("mean", "q25", "q50", "q75")],
+    told("cardinality", '"column"', "'distinct'", '"unique"', describe_text_sql("txn", ("category", "gender", "job", "zip"))),
+    told("top_values", '"column"', "value", "count", TOP_SQL),
+    told("target_distribution", "is_fraud", "'count'", "n", "SELECT is_fraud, count(*) AS n FROM txn GROUP BY is_fraud"),
+    told("target_correlation", '"column"', "'correlation'", "correlation", CORRELATED_SQL),
+])
+
+
+def flat(tables, report: str, column: str | None, item, value: str):
+    """The Spark side of told()."""
+    text = lambda c: F.lit(c) if c.startswith("'") else F.col(f"`{c}`").cast("string")
+    named = F.lit(item[1:-1]) if item.startswith("'") else text(item)
+    return tables[report].select(
+        F.lit(report).alias("report"), (F.lit("") if column is None else text(column)).alias("column"),
+        named.alias("item"), F.col(f"`{value}`").cast("double").alias("value"),
+    )
 
 
 @query("profile_job", with_txn(PROFILE_SQL))
 def profile_job(spark, folder):
+    """All twelve tables of the job."""
     tables = report.profile_tables(txn(spark, folder), key=ID)
-    tables["numeric_summary"] = moments_rounded(tables["numeric_summary"])
-
-    def flat(table, name, column, item, value):
-        return tables[table].select(
-            F.lit(name).alias("report"), F.col(column).cast("string").alias("column") if column else F.lit("").alias("column"),
-            F.lit(item).alias("item"), F.col(value).cast("double").alias("value"),
-        )
-
+    for name in ("numeric_summary", "describe"):
+        tables[name] = moments_rounded(tables[name])
+    numbers = dict(tables, describe=tables["describe"].where("freq is null"))
+    texts = dict(tables, describe=tables["describe"].where("freq is not null"))
     parts = [
-        flat("missing_values", "missing", "column", "count", "missing_count"),
-        flat("numeric_summary", "describe", "column", "mean", "mean"),
-        flat("numeric_summary", "describe", "column", "q50", "q50"),
-        flat("cardinality", "cardinality", "column", "distinct", "distinct_count"),
-        flat("duplicate_rows", "duplicates", None, "rows", "duplicate_row_count"),
-        flat("target_distribution", "target", "is_fraud", "count", "count"),
+        flat(tables, "general_information", None, "'rows'", "rows"),
+        flat(tables, "columns", "column", "'position'", "position"),
+        flat(tables, "data_types", "kind", "'count'", "count"),
+        flat(tables, "head", "txn_id", "'customer_id'", "customer_id"),
+        *[flat(numbers, "describe", "column", f"'{m}'", m) for m in ("count", "std", "min", "max")],
+        flat(texts, "describe", "column", "top", "freq"),
+        flat(tables, "missing_values", "column", "'count'", "missing_count"),
+        flat(tables, "missing_values", "column", "'percent'", "missing_percent"),
+        flat(tables, "duplicate_rows", None, "'rows'", "duplicate_row_count"),
+        *[flat(tables, "numeric_summary", "column", f"'{m}'", m) for m in ("mean", "q25", "q50", "q75")],
+        flat(tables, "cardinality", "column", "'distinct'", "distinct_count"),
+        flat(tables, "top_values", "column", "value", "count"),
+        flat(tables, "target_distribution", "is_fraud", "'count'", "count"),
+        flat(tables, "target_correlation", "column", "'correlation'", "correlation"),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_parts(parts)
 
 
+FILLED_CATEGORY = f"coalesce(category, '{CATEGORIES[0]}')"
+EDA_CATEGORY_SQL = f"""SELECT {FILLED_CATEGORY} AS category, count(*) AS n, {r('avg(CAST(is_fraud AS INTEGER)) * 100', 4)} AS rate
+ FROM txn GROUP BY 1"""
+EDA_AMOUNT_SQL = """SELECT CASE WHEN is_fraud THEN 'True' ELSE 'False' END AS label, round(avg(amt), 2) AS mean,
+ round(quantile_cont(amt, 0.5), 2) AS median, round(quantile_cont(amt, 0.99), 2) AS q99 FROM txn GROUP BY is_fraud"""
+EDA_WEEKDAY_SQL = f"""SELECT d.weekday, {r('coalesce(x.rate, 0)')} AS rate
+ FROM (VALUES {', '.join(f"({i}, '{n}')" for i, n in enumerate(WEEKDAY_LABELS))}) d(i, weekday)
+ LEFT JOIN (SELECT transaction_day_of_week AS i, avg(CAST(is_fraud AS INTEGER)) AS rate FROM transformed GROUP BY 1) x ON d.i = x.i"""
 EDA_SQL = [
     *HISTOGRAMS_SQL,
-    f"""SELECT 'amount_histogram' AS chart, CAST(bin AS VARCHAR) AS item, CAST(count AS DOUBLE) AS value
-     FROM ({histogram_sql('v', 'capped', 80)})
-    UNION ALL SELECT 'distance_histogram', CAST(bin AS VARCHAR), CAST(count AS DOUBLE) FROM ({histogram_sql('v', 'far', 80)})
-    UNION ALL SELECT 'hour_rates', CAST(transaction_hour AS VARCHAR), fraud_rate
-     FROM ({rate_sql('transaction_hour', 'transaction_hour')})
-    UNION ALL SELECT 'night_rates', CAST(is_night AS VARCHAR), fraud_rate FROM ({rate_sql('is_night', 'is_night')})
-    UNION ALL SELECT 'distance_rates', distance_bucket, fraud_rate FROM ({rate_sql(BUCKET_SQL, 'distance_bucket')})
-    UNION ALL SELECT 'category_counts', category, CAST(transaction_count AS DOUBLE) FROM (
-     SELECT coalesce(category, '{CATEGORIES[0]}') AS category, count(*) AS transaction_count FROM txn GROUP BY 1)
-    UNION ALL SELECT 'amount_boxplot', CAST(is_fraud AS VARCHAR), q50 FROM ({boxplot_sql('ln(1 + amt)', 'transformed')})
-    UNION ALL SELECT 'amount_and_distance', CAST(is_fraud AS VARCHAR), CAST(least(count(*), CASE WHEN is_fraud THEN count(*)
-     ELSE 60000 END) AS DOUBLE) FROM txn GROUP BY is_fraud""",
+    NUMBERS_SQL,
+    " UNION ALL ".join([
+        told("target_distribution", "is_fraud", "'count'", "n", "SELECT is_fraud, count(*) AS n FROM txn GROUP BY is_fraud"),
+        *[told(f"{chart}", "bin", "'count'", "count", histogram_sql("v", source, bins)) for chart, source, bins in (
+            ("amount_histogram", "capped", 80), ("log_amount_histogram", "logged", 80), ("distance_histogram", "far", 80),
+            ("distance_histogram_full", "whole", 40))],
+        *[told(f"{chart}", "is_fraud", f"'{m}'", m, boxplot_sql(value, "transformed"))
+          for chart, value in (("amount_boxplot", "ln(1 + amt)"), ("distance_boxplot", "customer_merchant_distance_km"))
+          for m in ("q25", "q50", "whisker_high", "outliers")],
+        *[told("amount_summary", "label", f"'{m}'", m, EDA_AMOUNT_SQL) for m in ("mean", "median", "q99")],
+        told("category_rates", "category", "'rate'", "rate", EDA_CATEGORY_SQL),
+        told("category_counts", "category", "'count'", "n", EDA_CATEGORY_SQL),
+        told("distance_rates", "distance_bucket", "'rate'", "fraud_rate", rate_sql(BUCKET_SQL, "distance_bucket")),
+        told("amount_and_distance", "is_fraud", "'count'", "n",
+             "SELECT is_fraud, CASE WHEN is_fraud THEN count(*) ELSE least(count(*), 60000) END AS n FROM txn GROUP BY is_fraud"),
+        told("hour_rates", "transaction_hour", "'rate'", "fraud_rate", rate_sql("transaction_hour", "transaction_hour")),
+        told("weekday_rates", "weekday", "'rate'", "rate", EDA_WEEKDAY_SQL),
+        told("night_rates", "is_night", "'rate'", "fraud_rate", rate_sql("is_night", "is_night")),
+        told("correlation", "a", "b", "correlation", correlation_sql(CORRELATED)),
+    ]),
 ]
 
 
 @query("eda_job", with_txn(*EDA_SQL))
 def eda_job(spark, folder):
-    tables = report.explore_tables(transform(txn(spark, folder)), key=ID)
+    """All sixteen charts of the job."""
+    tables = report.explore_tables(materialise(transform(txn(spark, folder))), key=ID)
     tables["amount_and_distance"] = tables["amount_and_distance"].groupBy("is_fraud").count()
-    picked = [
-        ("amount_histogram", "bin", "count"), ("distance_histogram", "bin", "count"),
-        ("hour_rates", "transaction_hour", "fraud_rate"), ("night_rates", "is_night", "fraud_rate"),
-        ("distance_rates", "distance_bucket", "fraud_rate"), ("category_counts", "category", "transaction_count"),
-        ("amount_boxplot", "is_fraud", "q50"), ("amount_and_distance", "is_fraud", "count"),
+    histograms = ("amount_histogram", "log_amount_histogram", "distance_histogram", "distance_histogram_full")
+    parts = [
+        flat(tables, "target_distribution", "is_fraud", "'count'", "count"),
+        *[flat(tables, name, "bin", "'count'", "count") for name in histograms],
+        *[flat(tables, name, "is_fraud", f"'{m}'", m) for name in ("amount_boxplot", "distance_boxplot")
+          for m in ("q25", "q50", "whisker_high", "outliers")],
+        *[flat(tables, "amount_summary", "is_fraud", f"'{m}'", m) for m in ("mean", "median", "q99")],
+        flat(tables, "category_rates", "category", "'rate'", "fraud_rate_percent"),
+        flat(tables, "category_counts", "category", "'count'", "transaction_count"),
+        flat(tables, "distance_rates", "distance_bucket", "'rate'", "fraud_rate"),
+        flat(tables, "amount_and_distance", "is_fraud", "'count'", "count"),
+        flat(tables, "hour_rates", "transaction_hour", "'rate'", "fraud_rate"),
+        flat(tables, "weekday_rates", "weekday", "'rate'", "fraud_rate"),
+        flat(tables, "night_rates", "is_night", "'rate'", "fraud_rate"),
+        flat(tables, "correlation", "a", "b", "correlation"),
     ]
-    out = None
-    for name, item, value in picked:
-        part = tables[name].select(
-            F.lit(name).alias("chart"), F.col(item).cast("string").alias("item"), F.col(value).cast("double").alias("value")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    return union_parts(parts)

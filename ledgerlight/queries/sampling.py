@@ -227,12 +227,7 @@ def scale_train_test(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
-SAMPLED_SQL = f"""
-sample_ranked AS (
- SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY md5('42:' || CAST(txn_id AS VARCHAR)), txn_id) AS sample_rn
- FROM transformed),
-sampled AS (SELECT * FROM sample_ranked WHERE sample_rn <= CASE WHEN is_fraud
- THEN round_even({HALF_SQL} * 0.05::DOUBLE, 0) ELSE {HALF_SQL} - round_even({HALF_SQL} * 0.05::DOUBLE, 0) END)"""
+SAMPLED_SQL = "sampled AS (SELECT * FROM transformed)"
 
 PREPARED_SQL = (
     CLEAN_SQL, transformed_sql("clean"), SAMPLED_SQL, *split_sql("sampled", "42:split"),
@@ -241,8 +236,8 @@ PREPARED_SQL = (
 
 
 def prepared(spark, folder):
-    raw = txn(spark, folder)
-    return prepare(raw, key=ID, sample_rows=half(raw), drop=("customer_id", "ts"))
+    """Every transaction."""
+    return prepare(txn(spark, folder), key=ID, drop=("customer_id", "ts"))
 
 
 @query("preprocess_job", with_txn(*PREPARED_SQL, f"SELECT {SCALED_COLUMNS} FROM scaled"))
@@ -305,7 +300,7 @@ def attach_original_amount(spark, folder):
     "alignment_check",
     with_txn("""SELECT count(*) AS left_rows, count(*) FILTER (txn_id % 4 <> 0) AS right_rows,
     count(*) FILTER (txn_id % 4 = 0) AS left_only, CAST(0 AS BIGINT) AS right_only,
-    count(*) FILTER (txn_id % 4 <> 0 AND txn_id % 10 = 3) AS label_mismatches FROM txn"""),
+    CAST(0 AS BIGINT) AS repeated_keys, count(*) FILTER (txn_id % 4 <> 0 AND txn_id % 10 = 3) AS label_mismatches FROM txn"""),
 )
 def alignment_check(spark, folder):
     left = slim(spark, folder)
@@ -315,23 +310,19 @@ def alignment_check(spark, folder):
     return lookups.alignment(left, right, ID, "is_fraud")
 
 
-
-
-
-
 REDUCED_WIDTH = 6 + 6 + 2 + len(CATEGORIES) + 2
 
 
 @query(
     "scaling_summary",
     with_txn(
-        "counted AS (SELECT count(*) AS n, count(*) // 2 AS half FROM txn)",
-        "sized AS (SELECT n, half, round_even(half * 0.05::DOUBLE, 0) AS positives, half - ceil(half * 0.2::DOUBLE) AS train FROM counted)",
-        f"""SELECT metric, CAST(value AS DOUBLE) AS value FROM sized, LATERAL (VALUES ('input_rows', n), ('sampled_rows', half),
-        ('sampled_fraud_rows', positives), ('sampled_non_fraud_rows', half - positives),
-        ('sampled_fraud_percent', round(100.0 * positives / half, 2)), ('source_columns', {REDUCED_WIDTH}),
+        "counted AS (SELECT count(*) AS n, count(*) FILTER (is_fraud) AS positives FROM txn)",
+        "sized AS (SELECT n, positives, n - ceil(n * 0.2::DOUBLE) AS train FROM counted)",
+        f"""SELECT metric, CAST(value AS DOUBLE) AS value FROM sized, LATERAL (VALUES ('input_rows', n), ('sampled_rows', n),
+        ('sampled_fraud_rows', positives), ('sampled_non_fraud_rows', n - positives),
+        ('sampled_fraud_percent', round(100.0 * positives / n, 2)), ('source_columns', {REDUCED_WIDTH}),
         ('post_cyclic_columns', {REDUCED_WIDTH + len(CYCLES)}), ('encoded_columns', {2 * len(CYCLES)}),
-        ('train_rows', train), ('test_rows', half - train)) v(metric, value)""",
+        ('train_rows', train), ('test_rows', n - train)) v(metric, value)""",
     ),
 )
 def scaling_summary_query(spark, folder):

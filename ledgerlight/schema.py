@@ -43,7 +43,7 @@ RAW_SCHEMA = T.StructType(
 MEDIAN_FILLED = ("amt", "lat", "long", "city_pop", "unix_time", "merch_lat", "merch_long")
 MODE_FILLED = (
     "merchant", "category", "first", "last", "gender", "street", "city", "state", "zip",
-    "job", "dob", "trans_date_trans_time", "cc_num", "trans_num", "source_dataset",
+    "job", "dob", "trans_date_trans_time", "cc_num", "source_dataset",
 )
 UNKNOWN_FILLED = ("merchant", "job", "zip")
 UNKNOWN = "Unknown"
@@ -78,7 +78,6 @@ CORRELATED = (
 )
 
 SEED = 42
-SAMPLE_ROWS = 50_000
 SAMPLE_RATE = 0.05
 TEST_SHARE = 0.20
 SCATTER_NEGATIVES = 60_000

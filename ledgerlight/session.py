@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +28,35 @@ def shared_folder(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             configured = tempfile.mkdtemp(prefix="ledgerlight-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
         context.setCheckpointDir(configured)
         current = context.getCheckpointDir()
     return configured or current
 
 
+OWNERS: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table inside the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if OWNERS:
+        OWNERS[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside, once nothing computed from them is needed any more."""
+    OWNERS.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in OWNERS.pop():
+            path = hadoop(name)
+            path.getFileSystem(settings).delete(path, True)
 
 
 def materialise(df: DataFrame, spread_by: str | None = None) -> DataFrame:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlight.functions.features import date_or_null
+from ledgerlight.functions.values import number_or_null, parse_flag
+from ledgerlight.operators.ordered import running_totals
 from ledgerlight.schema import KEY, RAW_SCHEMA
 
+ONE_TASK_ROWS = 100_000
+
 
 def read_table(
     spark: SparkSession,
@@ -21,30 +26,54 @@ def read_table(
 ) -> DataFrame:
     """Read Parquet, or CSV with a pinned schema (raw transactions by default). Missing paths are an error.
 
-    ``columns`` prunes the scan; ``rows`` keeps the first rows in key order.
+    ``columns`` prunes the scan; ``rows`` keeps the first rows in key order (ties: all columns decide).
     """
     if path.rstrip("/").lower().endswith((".csv", ".csv.gz", "_csv")):
         df = read_csv(spark, path, schema or RAW_SCHEMA)
     else:
         df = spark.read.parquet(path)
     if rows is not None:
-        df = df.orderBy(key).limit(rows) if key in df.columns else df.limit(rows)
+        df = first_rows(df, key, rows) if key in df.columns else df.limit(rows)
     return df.select(*columns) if columns else df
 
 
+def first_rows(df: DataFrame, key: str, rows: int, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """The first rows in key order. Many of them are cut off by running counts over ranges of the key, as a
+    sorted limit would bring all of them to one task.
+    """
+    order = [F.col(f"`{key}`"), *[F.col(f"`{n}`") for n, kind in df.dtypes if n != key and not kind.startswith("map")]]
+    if rows <= one_task_rows:
+        return df.orderBy(*order).limit(rows)
+    return running_totals(df, order, {"_place": F.lit(1)}).where(F.col("_place") <= rows).drop("_place")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header whose column order need not match the schema; empty text is null.
 
-    Only the header line is read to find the order. Identifiers stay text, leading zeros included.
+    Everything is read as text and then typed: text that is no number or date becomes null, and flag words are
+    parsed. Only the header line is read to find the order. Identifiers stay text, leading zeros included.
     """
     header = spark.read.option("header", True).csv(path).columns
     pinned = {f.name: f.dataType for f in schema.fields}
-    ordered = T.StructType([T.StructField(n, pinned.get(n, T.StringType())) for n in header])
-    return (
-        spark.read.schema(ordered)
-        .options(header=True, nullValue="", mode="FAILFAST", dateFormat="yyyy-MM-dd")
-        .csv(path)
-    )
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in header])
+    df = spark.read.schema(texts).options(header=True, nullValue="", mode="PERMISSIVE").csv(path)
+    return df.select(*[typed(n, pinned.get(n, T.StringType())).alias(n) for n in header])
+
+
+def typed(name: str, kind: T.DataType) -> Column:
+    """A text column as the given type, null where the text has no such meaning."""
+    source = F.col(f"`{name}`")
+    if isinstance(kind, T.BooleanType):
+        return F.when(source.isNotNull(), parse_flag(F.trim(source)))
+    if isinstance(kind, T.DateType):
+        return date_or_null(F.trim(source))
+    if isinstance(kind, T.IntegralType):
+        # whole numbers are often written with a decimal point; large ones must not pass through a double
+        plain = F.trim(source)
+        return F.coalesce(plain.try_cast(kind), number_or_null(plain).try_cast(kind))
+    if isinstance(kind, T.StringType):
+        return source
+    return number_or_null(F.trim(source)).try_cast(kind)
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -56,8 +85,8 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Small tables (metrics, thresholds) as one CSV file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Small tables (metrics, thresholds) as one CSV file; only the finished rows go to one task."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -16,7 +16,6 @@ from ledgerlight.functions.values import missing_as_word
 from ledgerlight.operators.lookups import shares
 from ledgerlight.operators.profile import value_counts
 from ledgerlight.schema import FREQUENCY_ENCODED
-from ledgerlight.session import scratch_path
 
 
 def read_in_batches(spark: SparkSession, folder: str, schema: T.StructType, files: int = 1) -> DataFrame:
@@ -24,11 +23,17 @@ def read_in_batches(spark: SparkSession, folder: str, schema: T.StructType, file
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
-def count_values(stream: DataFrame, path: str, columns: Sequence[str] = FREQUENCY_ENCODED) -> None:
-    """Count every value of the columns over all files present and keep the latest counts at ``path``."""
+def count_values(
+    stream: DataFrame, path: str, columns: Sequence[str] = FREQUENCY_ENCODED, checkpoint: str | None = None,
+) -> None:
+    """Count every value of the columns over all files present and keep the latest counts at ``path``.
+
+    The checkpoint lies beside the counts unless named, so that a later call takes in only new files. The counts
+    are rewritten once per batch: give each batch many files.
+    """
     words = {c: missing_as_word(c) for c in columns}
     counts = value_counts(stream, words)
-    checkpoint = scratch_path(stream.sparkSession, "counting")
+    checkpoint = checkpoint or f"{path.rstrip('/')}_checkpoint"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(path)

@@ -46,7 +46,7 @@ def test_running_totals_equal_one_global_window(spark, folder):
     score = F.when(F.col("event_id") % 3 == 0, F.lit(1.0)).otherwise(F.round("value", 0))
     table = events.select("event_id", score.alias("score"), "value")
     order = [F.desc("score"), F.desc("event_id")]
-    got = running_totals(table, order, {"n": F.lit(1), "total": "value"})
+    got = running_totals(table, order, {"n": F.lit(1), "total": "value"}, one_range_rows=0)
     plain = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     want = table.withColumns({"n": F.sum(F.lit(1)).over(plain), "total": F.sum("value").over(plain)})
     a = {r["event_id"]: (r["n"], round(r["total"], 6)) for r in got.collect()}
@@ -168,10 +168,30 @@ def test_alignment(spark):
     left = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, is_fraud boolean")
     right = spark.createDataFrame([(1, True), (2, True), (4, False)], "id int, is_fraud boolean")
     row = lookups.alignment(left, right, "id", "is_fraud").first().asDict()
-    assert row == {"left_rows": 3, "right_rows": 3, "left_only": 1, "right_only": 1, "label_mismatches": 1}
+    assert row == {"left_rows": 3, "right_rows": 3, "left_only": 1, "right_only": 1, "repeated_keys": 0, "label_mismatches": 1}
     lookups.require_alignment(left, left, "id", "is_fraud")
     with pytest.raises(ValueError, match="line up"):
         lookups.require_alignment(left, right, "id", "is_fraud")
+    with pytest.raises(ValueError, match="line up"):
+        lookups.require_alignment(left, left.union(left.limit(1)), "id", "is_fraud")
+    null = spark.createDataFrame([(None, True)], "id int, is_fraud boolean")
+    with pytest.raises(ValueError, match="line up"):
+        lookups.require_alignment(null, null, "id", "is_fraud")
+
+
+def test_row_keys_must_be_unique_and_there(spark):
+    lookups.require_key(spark.createDataFrame([(1,), (2,)], "id int"), "id")
+    for rows in ([(1,), (1,)], [(1,), (None,)]):
+        with pytest.raises(ValueError, match="no row key"):
+            lookups.require_key(spark.createDataFrame(rows, "id int"), "id")
+
+
+def test_wide_lookups_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 1000)
+    facts = spark.createDataFrame([(i % 5, i) for i in range(50)], "k int, x int")
+    lookup = spark.createDataFrame([(i, "w" * 400) for i in range(5)], "k int, t string")
+    joined = lookups.lookup_join(facts, lookup, "k")
+    assert "_salt" in joined._jdf.queryExecution().analyzed().toString() and joined.count() == 50
 
 
 @pytest.mark.parametrize("hash_limit", [0, 10**6])

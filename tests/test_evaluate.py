@@ -107,3 +107,20 @@ def test_select_operating_threshold(spark):
     rows = [(0.1, 0.9, 0.03, 0.9, 0.9, 0.9), (0.2, 0.85, 0.02, 0.5, 0.6, 0.7), (0.3, 0.82, 0.01, 0.5, 0.6, 0.8), (0.4, 0.7, 0.0, 1.0, 0.9, 0.7)]
     assert ev.select_operating_threshold(spark.createDataFrame(rows, names)).first()["threshold"] == 0.3
     assert ev.select_operating_threshold(spark.createDataFrame(rows[3:], names)).first() is None
+
+
+@pytest.mark.parametrize("score", [None, float("nan")])
+def test_rows_without_a_score_fail_instead_of_vanishing(spark, score):
+    table = scored(spark, [(True, 0.5, 1.0), (False, 0.4, 1.0), (False, score, 1.0)])
+    for report in (ev.confusion(table, 0.5), ev.sweep(table, [0.3, 0.45]), ev.loss_capture_curve(table)):
+        with pytest.raises(Exception, match="no score"):
+            report.collect()
+    with pytest.raises(Exception, match="no score"):
+        ev.ranked_scores(table).collect()
+
+
+def test_a_ranking_can_be_passed_on(noisy):
+    table = noisy[3]
+    ranked = ev.ranked_scores(table)
+    for report in (ev.pr_curve, ev.roc_curve, ev.ranking_metrics):
+        assert sorted(map(str, report(table, ranked).collect())) == sorted(map(str, report(table).collect()))

@@ -93,13 +93,34 @@ def test_selection_prefers_the_recall_goal(spark):
 
 def test_equal_points_keep_the_first(planted):
     point = tuning.param_grid("linear", "fast")[0]
-    best, threshold, results = tuning.tune("linear", planted, [{**point, "tag": 1}, {**point, "tag": 1}][:1] * 1)
+    best, threshold, results = tuning.tune("linear", planted, [{**point, "tag": 1}, {**point, "tag": 2}])
+    assert results[0]["selection"] == results[1]["selection"] and best["tag"] == 1
     assert best["fraud_weight"] == 200 and results[0]["threshold"] == threshold
     assert results[0]["fit_rows"] > results[0]["fit_fraud_rows"] > 0
     report = tuning.tuning_report(planted.df.sparkSession, results)
     assert report.columns[:2] == ["loss", "alpha"]
 
 
+@pytest.mark.parametrize("kind", ["linear", "kernel", "oneclass"])
+def test_shared_passes_fit_what_single_fits_do(planted, kind):
+    points = tuning.param_grid(kind)[:3]
+    together = tuning.fit_all(kind, planted, points)
+    for point, model in zip(points, together):
+        alone = tuning.fit(kind, planted, point)
+        assert np.allclose(alone.weights, model.weights, rtol=1e-6, atol=1e-8) and alone.steps == model.steps
+        assert model.converged and model.steps > 0
+
+
+def test_a_fit_that_is_cut_short_says_so(planted, monkeypatch, spark, tmp_path):
+    monkeypatch.setattr(linear, "MAX_NEWTON_STEPS", 1)
+    model = linear.fit_log_loss(planted.df, planted.columns, "is_fraud", 0.001, 20.0)
+    assert not model.converged
+    art.save(spark, art.Artifact(model), str(tmp_path / "m"))
+    assert not art.load(spark, str(tmp_path / "m")).model.converged
+    assert not kernel.fit_kernel(planted.df, planted.columns, "is_fraud", 1.0, 10.0, 0.3, iterations=2).converged
+    assert not kernel.fit_one_class(planted.df, planted.columns, 0.05, 0.3, steps=2).converged
+
+
 def test_artifact_round_trip(spark, planted, tmp_path):
     fitted = tuning.fit_final("oneclass", planted, {"kernel": "rbf", "nu": 0.05, "gamma": 0.2}, 0.1)
     assert fitted.fit_scope == "non_fraud_only"

@@ -50,11 +50,10 @@ def grams_of(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.zeros(len(joined) + 1, np.int8)
     inside[starts] += 1
     inside[starts + sizes] -= 1
-    at = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
-    grams = joined[at].astype(np.int64)
+    grams = joined.astype(np.int64)
     for back in range(1, DEPTH + 1):
-        grams |= joined[at - back].astype(np.int64) << (8 * (DEPTH - back + 1))
-    return grams, sizes
+        grams[back:] |= joined[:-back].astype(np.int64) << (8 * (DEPTH - back + 1))
+    return grams[np.cumsum(inside[:-1], dtype=np.int8).view(bool)], sizes
 
 
 def cut_long(raw: bytes) -> Iterator[tuple[bytes, bytes, bool]]:
@@ -103,7 +102,7 @@ class BucketCounts:
     def tally(self, grams: np.ndarray, learn: np.ndarray) -> None:
         places = self.table.places(grams)
         if self.table.count > len(self.grams):
-            wider = np.zeros(max(self.table.count, 2 * len(self.grams)), np.int64)
+            wider = np.zeros(max(self.table.count, len(self.grams) + len(self.grams) // 2), np.int64)
             wider[: len(self.grams)] = self.grams
             self.grams = wider
         found = np.bincount(places[learn], minlength=self.table.count)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
+FULLEST = 0.6
 
 
 class KeyTable:
@@ -54,14 +55,14 @@ class KeyTable:
         """Take in distinct keys that aren't held."""
         total = self.count + len(keys)
         if total > len(self.list):
-            wider = np.empty(max(total, 2 * len(self.list)), np.int64)
+            wider = np.empty(max(total, len(self.list) + len(self.list) // 2), np.int64)
             wider[: self.count] = self.list[: self.count]
             self.list = wider
         self.list[self.count:total] = keys
         places = np.arange(self.count, total)
         self.count = total
-        if 2 * total > self.mask:
-            self.resize(int(2 * total).bit_length() + 1)
+        if total > FULLEST * (self.mask + 1):
+            self.resize(int(total / FULLEST).bit_length())
         else:
             self.settle(keys, places)
 

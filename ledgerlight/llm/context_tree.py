@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm.common import byte_runs, crc32_mod, release, texts
@@ -30,6 +30,8 @@ DEPTH = 5
 BUCKET_BYTES = 32 << 20
 PART_BYTES = 1 << 19
 GROUP_GRAMS = 200_000
+HELD_GRAMS = 1_400_000
+MOST_LABELS = 4096
 FOLDS = 10
 TABLE = 4096
 HALF = float(np.log(0.5))
@@ -127,7 +129,10 @@ def counted(bucket: int, grams: pa.Array, words: pa.Array, n: pa.Array) -> pa.Re
 
 
 def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grams and words of each bucket that this task holds, with their training counts, which may be 0."""
+    """Grams and words of each bucket that this task holds, with their training counts, which may be 0.
+
+    At HELD_GRAMS what has been counted is put out, and counting starts anew: sums don't mind the repeats.
+    """
     found: dict[int, BucketCounts] = {}
     for batch in batches:
         buckets = batch.column("bucket").to_numpy()
@@ -137,11 +142,32 @@ def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             counts = found.setdefault(bucket, BucketCounts())
             for first, raws in text_runs(part.column("text")):
                 counts.take(raws, train[first:first + len(raws)])
-    for bucket in sorted(found):
-        yield from found.pop(bucket).rows(bucket)
+            if sum(c.table.count for c in found.values()) > HELD_GRAMS:
+                del counts
+                while found:
+                    yield from rows_of(found)
+                release()
+    while found:
+        yield from rows_of(found)
     release()
 
 
+def rows_of(found: dict[int, BucketCounts]) -> Iterator[pa.RecordBatch]:
+    """The rows of one bucket, which is then let go."""
+    bucket = min(found)
+    yield from found.pop(bucket).rows(bucket)
+
+
+def even_labels(spark: SparkSession, buckets: int) -> list[int]:
+    """A number for each bucket such that hash partitioning deals every bucket to a partition of its own."""
+    if buckets > MOST_LABELS:
+        return []
+    numbers = spark.range(40 * buckets).select(F.col("id").cast("int").alias("i"))
+    dealt = numbers.groupBy(F.pmod(F.hash("i"), F.lit(buckets)).alias("p")).agg(F.min("i").alias("i"))
+    found = [r["i"] for r in dealt.orderBy("p").collect()]
+    return found if len(found) == buckets else []
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series, for arguments from 8 on."""
     return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
@@ -324,7 +350,10 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     buckets = max(-(-size // BUCKET_BYTES), 6)
     place = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(buckets)).cast("int")
     dealt = source.select(place.alias("bucket"), "doc_id", "text", (crc32_mod("doc_id", FOLDS) == 0).alias("held_out"))
-    counts = materialise(dealt.repartition(buckets, "bucket").mapInArrow(count_buckets, COUNTED))
+    labels = even_labels(source.sparkSession, buckets)
+    label = F.element_at(F.array(*map(F.lit, labels)), F.col("bucket") + 1) if labels else F.col("bucket")
+    spread = dealt.withColumn("label", label).repartition(buckets, "label").drop("label")
+    counts = materialise(spread.mapInArrow(count_buckets, COUNTED))
 
     grams = counts.where("gram is not null").select("bucket", "gram", "n")
     sums = materialise(grams.groupBy("gram").agg(F.sum("n").alias("n")))

@@ -151,3 +151,20 @@ def test_groups_without_training_text():
     assert len(tree.top_nodes(part)) == 0
     root = tree.Root([])
     assert np.allclose(tree.probabilities(part, root)["p"], 8 * math.log10(0.5))
+
+
+def test_counts_put_out_early_give_the_same_scores(small, monkeypatch):
+    _, docs = small
+    whole = {r["doc_id"]: r["score"] for r in tree.scores(docs).collect()}
+    monkeypatch.setattr(tree, "HELD_GRAMS", 5)
+    monkeypatch.setattr(tree, "MOST_LABELS", 0)
+    again = {r["doc_id"]: r["score"] for r in tree.scores(docs).collect()}
+    assert again.keys() == whole.keys() and all(math.isclose(again[i], whole[i], rel_tol=1e-12) for i in whole)
+
+
+def test_labels_deal_every_bucket_apart(spark):
+    from pyspark.sql import functions as F
+
+    labels = tree.even_labels(spark, 12)
+    table = spark.createDataFrame([(x,) for x in labels], "x int").repartition(12, "x")
+    assert len(labels) == 12 and table.select(F.spark_partition_id().alias("p")).distinct().count() == 12

@@ -27,10 +27,10 @@ from ledgerlight.llm.keytable import KeyTable
 from ledgerlight.session import materialise
 
 DEPTH = 5
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 24 << 20
 PART_BYTES = 1 << 19
 GROUP_GRAMS = 200_000
-HELD_GRAMS = 1_400_000
+HELD_GRAMS = 1_200_000
 MOST_LABELS = 4096
 FOLDS = 10
 TABLE = 4096
@@ -241,6 +241,7 @@ def top_nodes(part: pd.DataFrame) -> pd.DataFrame:
                       "zeros": level.zeros, "ones": level.ones, "weighted": level.weighted})
         for level in levels[2]
     ]
+    release()
     return pd.concat(out).query("zeros + ones > 0")
 
 
@@ -291,6 +292,7 @@ def probabilities(part: pd.DataFrame, root: Root) -> pd.DataFrame:
         p = np.where(seen, p, 0.5)
         one = (symbol >> (7 - bit)) & 1
         total += np.log10(np.where(one == 1, p, 1 - p))
+    release()
     return pd.DataFrame({"gram": grams, "p": total})
 
 

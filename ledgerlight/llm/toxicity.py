@@ -1,20 +1,23 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted lists, distance-weighted votes.
-
-The vocabulary is the words that labelled examples tie to the label; document frequencies come from all documents.
-Examples of equal vectors are one entry that counts as many. Entries lie in blocks; each word keeps its largest
-weight in every block, which bounds a block's similarities, so blocks are opened from the highest bound until none can
-hold a nearer entry. Every entry as near as the last one needed votes too, so ties need no order. A logistic
-curve fitted to leave-one-out votes turns votes into probabilities.
+"""Toxicity by nearest labelled examples: exact cosine of whole texts, distance-weighted votes.
+
+The vocabulary is every word of the examples. A word weighs by its document frequency, counted over all documents, and
+more if it marks toxic examples; none is left out. Examples of equal vectors are one entry that counts as many. Every
+text is compared with every entry: the words that most entries hold by a matrix product, the others by inverted lists.
+That product is of single precision and only bounds the similarities; the entries that may be among the nearest are
+compared again in double precision. Every entry as near as the last one needed votes too, so ties need no order. A
+logistic curve fitted to leave-one-out votes of all examples turns votes into probabilities.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +26,16 @@ from ledgerlight.llm.pretokens import distinct, split
 from ledgerlight.session import materialise
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 512
-LEAST_Z = 5.0
-LEAST_LIFT = 2.0
-CURVE_EXAMPLES = 4_000
 NEAREST = 25
-BLOCK = 64
-OPENED = 8
 CLOSENESS = 0.1
 PRIOR_WEIGHT = 3.0
 FOLDS = 5
 BUCKETS = 1 << 20
+DENSE_WORDS = 512
+QUERIES_AT_ONCE = 64
+POSTS_AT_ONCE = 1 << 20
+# far beyond the rounding of sums in single precision
+ROUNDING = 1e-4
 
 
 def words_of(batch: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -43,35 +45,86 @@ def words_of(batch: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     return words, index, pieces.owner
 
 
-def counted_terms(docs: DataFrame, terms: list[str] | None, schema_keys: dict[str, str]) -> DataFrame:
-    """The kept keys with (words, times): distinct words of each text, or of ``terms`` the places in that list."""
-    wanted = None if terms is None else {w: i for i, w in enumerate(terms)}
-    names = list(schema_keys)
+def counted(owner: np.ndarray, index: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For ``size`` texts: where each one's distinct words begin, the words in order, how often each occurs."""
+    pairs, times = np.unique(owner * (1 << 32) + index, return_counts=True)
+    return np.searchsorted(pairs >> 32, np.arange(size + 1)), pairs & 0xFFFFFFFF, times
+
+
+def known_words(batch: list[str], places: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' words that have a place: as ``counted`` gives them."""
+    words, index, owner = words_of(batch)
+    index = np.array([places.get(w, -1) for w in words], np.int64)[index] if words else index
+    return counted(owner[index >= 0], index[index >= 0], len(batch))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(toxic, words, times): the distinct words of each text and how often each occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last in byte_runs(batch.column("text"), CHUNK_CHARS):
                 part = batch.slice(first, last - first)
                 words, index, owner = words_of(part.column("text").to_pylist())
-                if wanted is not None:
-                    ids = np.array([wanted.get(w, -1) for w in words], np.int64)
-                    index = ids[index] if len(ids) else index
-                    owner, index = owner[index >= 0], index[index >= 0]
-                pairs, times = np.unique(owner * (1 << 32) + index, return_counts=True)
-                offsets = np.searchsorted(pairs >> 32, np.arange(part.num_rows + 1)).astype(np.int32)
-                term = pairs & 0xFFFFFFFF
-                values = pa.array(term, pa.int32()) if wanted is not None else pa.array(words, pa.string()).take(pa.array(term))
+                offsets, word, times = counted(owner, index, part.num_rows)
+                offsets = pa.array(offsets, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(n) for n in names]
-                    + [pa.ListArray.from_arrays(pa.array(offsets), values),
-                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(times, pa.int32()))],
-                    names=[*names, "words", "times"],
+                    [part.column("toxic"), pa.ListArray.from_arrays(offsets, pa.array(words, pa.string()).take(pa.array(word))),
+                     pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
+                    names=["toxic", "words", "times"],
                 )
         release()
 
-    kind = "string" if terms is None else "int"
-    keys = ", ".join(f"{n} {t}" for n, t in schema_keys.items())
-    return docs.select(*names, "text").mapInArrow(run, f"{keys}, words array<{kind}>, times array<int>")
+    return docs.select("toxic", "text").mapInArrow(run, "toxic int, words array<string>, times array<int>")
+
+
+def placed_words(examples: DataFrame, places: Broadcast) -> DataFrame:
+    """(toxic, words, times) with words as their places, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, times, offsets = flat(batch.column("words"), batch.column("times"))
+            of = places.value
+            ids = np.array([of[w] for w in words.to_pylist()], np.int64)
+            order = np.lexsort((ids, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))))
+            at = pa.array(offsets, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(ids[order], pa.int32())),
+                 pa.ListArray.from_arrays(at, times.take(pa.array(order)))],
+                names=["toxic", "words", "times"],
+            )
+
+    return examples.mapInArrow(run, "toxic int, words array<int>, times array<int>")
+
+
+def flat(words: pa.ListArray, times: pa.ListArray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """The values of two list columns of equal lengths, and where each row's begin."""
+    sizes = pa.compute.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    return words.flatten(), times.flatten(), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def document_frequencies(docs: DataFrame, places: Broadcast) -> tuple[np.ndarray, int]:
+    """In how many documents each placed word occurs, and the number of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, rows = np.zeros(len(places.value), np.int64), 0
+        for batch in batches:
+            for first, last in byte_runs(batch.column("text"), CHUNK_CHARS):
+                _, word, _ = known_words(batch.column("text").slice(first, last - first).to_pylist(), places.value)
+                found += np.bincount(word, minlength=len(found))
+            rows += batch.num_rows
+        seen = np.flatnonzero(found)
+        for start in range(0, len(seen), BUCKETS):
+            some = seen[start:start + BUCKETS]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(found[some])], names=["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["word", "n"])
+        release()
+
+    counts = docs.select("text").mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    word, n = counts["word"].to_numpy(), counts["n"].to_numpy()
+    out = np.zeros(len(places.value), np.int64)
+    out[word[word >= 0]] = n[word >= 0]
+    return out, int(n[word < 0].sum())
 
 
 def bounded_examples(labels: DataFrame, most: int) -> DataFrame:
@@ -90,33 +143,30 @@ def bounded_examples(labels: DataFrame, most: int) -> DataFrame:
     return known
 
 
-def telling_words(examples: DataFrame, n_toxic: int, n_clean: int, most: int) -> list[str]:
-    """Words that mark toxic examples: the ``most`` of highest two-sample z among those beyond LEAST_Z whose
-    share of toxic examples is LEAST_LIFT times that of clean ones.
-    """
-    seen = examples.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.count("*").alias("n"),
-    )
-    total = n_toxic + n_clean
-    share = F.col("n") / F.lit(float(total))
-    gap = F.col("toxic") / F.lit(float(max(n_toxic, 1))) - (F.col("n") - F.col("toxic")) / F.lit(float(max(n_clean, 1)))
-    spread = F.sqrt(share * (1 - share) * F.lit(1 / max(n_toxic, 1) + 1 / max(n_clean, 1)))
-    lift = (F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0) / ((F.col("n") - F.col("toxic") + 0.5) / F.lit(n_clean + 1.0))
-    ranked = seen.withColumn("z", gap / (spread + 1e-12)).where((F.col("z") >= LEAST_Z) & (lift >= LEAST_LIFT))
-    return sorted(r["word"] for r in ranked.orderBy(F.desc("z"), "word").limit(most).collect())
+def emphasis(toxic: np.ndarray, found: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """A factor of at least one for each word: one and the square of the two-sample z by which it marks toxic examples."""
+    share = found / max(n_toxic + n_clean, 1)
+    gap = toxic / max(n_toxic, 1) - (found - toxic) / max(n_clean, 1)
+    spread = np.sqrt(share * (1 - share) * (1 / max(n_toxic, 1) + 1 / max(n_clean, 1)))
+    return 1 + np.maximum(gap / (spread + 1e-12), 0) ** 2 if n_toxic and n_clean else np.ones(len(found))
 
 
 @dataclass(frozen=True)
 class Index:
-    """Entries in blocks; for each word its entries, their weights, and its largest weight in every block."""
+    """Entries as sparse unit vectors; by word, the matrix of those most entries hold and the lists of the others."""
 
     idf: np.ndarray
-    posts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
-    largest: dict[int, np.ndarray]
+    starts: np.ndarray
+    ids: np.ndarray
+    values: np.ndarray
+    column: np.ndarray
+    matrix: np.ndarray
+    cuts: np.ndarray
+    places: np.ndarray
+    posts: np.ndarray
     size: np.ndarray
     toxic: np.ndarray
     prior: float
-    blocks: int
 
 
 def weights(ids: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -126,84 +176,149 @@ def weights(ids: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return raw / length if length else raw
 
 
-def build_index(vectors: list[tuple[tuple, tuple, int]], idf: np.ndarray, prior: float) -> Index:
-    """Entries from (ids, times, label) of the examples that have any of the words; equal vectors become one."""
-    tally: dict[tuple, list[int]] = {}
+@dataclass(frozen=True)
+class Entries:
+    """What an index is made from, in little room: pickled, it is compressed, and unpickled, it is the index."""
+
+    idf: np.ndarray
+    sizes: np.ndarray
+    ids: np.ndarray
+    times: np.ndarray
+    size: np.ndarray
+    toxic: np.ndarray
+    prior: float
+
+    def __reduce__(self) -> tuple:
+        steps = np.diff(self.ids, prepend=np.int32(0))
+        small = [pa.compress(x.astype(np.int32).tobytes(), "zstd", asbytes=True) for x in (steps, self.times)]
+        return opened, (*small, len(self.ids), self.idf, self.sizes, self.size, self.toxic, self.prior)
+
+
+def opened(steps: bytes, times: bytes, n: int, idf: np.ndarray, sizes: np.ndarray, size: np.ndarray, toxic: np.ndarray, prior: float) -> Index:
+    made = [np.frombuffer(pa.decompress(x, 4 * n, "zstd", asbytes=True), np.int32) for x in (steps, times)]
+    return index_of(Entries(idf, sizes, np.cumsum(made[0], dtype=np.int32), made[1], size, toxic, prior))
+
+
+def entries_of(vectors: list[tuple], idf: np.ndarray, prior: float) -> Entries:
+    """Entries from (ids, times, label) of the examples that have any word; equal vectors become one."""
+    tally: dict[tuple[bytes, bytes], list[int]] = {}
     for ids, times, label in vectors:
-        if ids:
-            entry = tally.setdefault((tuple(ids), tuple(times)), [0, 0])
+        if len(ids):
+            # big-endian bytes sort as the numbers do
+            entry = tally.setdefault((np.asarray(ids, ">u4").tobytes(), np.asarray(times, ">u4").tobytes()), [0, 0])
             entry[0] += 1
             entry[1] += label
     entries = sorted(tally)
-    blocks = -(-len(entries) // BLOCK)
-    lists: dict[int, list[tuple[int, float]]] = {}
-    for place, (ids, times) in enumerate(entries):
-        for word, weight in zip(ids, weights(np.array(ids), np.array(times), idf).tolist()):
-            lists.setdefault(word, []).append((place, weight))
-    posts, largest = {}, {}
-    for word, pairs in lists.items():
-        places, values = np.array([p for p, _ in pairs]), np.array([v for _, v in pairs])
-        posts[word] = places, values, np.searchsorted(places, np.arange(blocks + 1) * BLOCK)
-        largest[word] = np.zeros(blocks)
-        np.maximum.at(largest[word], places // BLOCK, values)
+    ids, times = (np.frombuffer(b"".join(e[k] for e in entries), ">u4").astype(np.int32) for k in (0, 1))
+    sizes = np.array([len(ids) // 4 for ids, _ in entries], np.int64)
     size = np.array([tally[e][0] for e in entries], np.int64)
     toxic = np.array([tally[e][1] for e in entries], np.int64)
-    return Index(idf, posts, largest, size, toxic, prior, blocks)
+    return Entries(idf, sizes, ids, times, size, toxic, prior)
+
+
+def build_index(vectors: list[tuple], idf: np.ndarray, prior: float) -> Index:
+    return index_of(entries_of(vectors, idf, prior))
+
+
+def index_of(e: Entries) -> Index:
+    idf, sizes, ids = e.idf, e.sizes, e.ids
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    values = np.empty(len(ids))
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        values[a:b] = weights(ids[a:b], e.times[a:b], idf)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    found = np.bincount(ids, minlength=len(idf))
+    column = np.full(len(idf), -1, np.int32)
+    often = np.argsort(-found, kind="stable")[:DENSE_WORDS]
+    column[often] = np.arange(len(often))
+    matrix = np.zeros((len(often), len(sizes)), np.float32)
+    held = column[ids] >= 0
+    matrix[column[ids[held]], owner[held]] = values[held]
+    other = np.flatnonzero(~held)
+    other = other[np.argsort(ids[other], kind="stable")]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(ids[other], minlength=len(idf)))))
+    return Index(
+        idf, starts, ids, values, column, matrix, cuts, owner[other], values[other].astype(np.float32), e.size, e.toxic, e.prior,
+    )
+
+
+def similarities(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Single-precision similarity of each of a few vectors with every entry."""
+    m = len(index.size)
+    row = np.repeat(np.arange(len(vectors)), [len(ids) for ids, _ in vectors])
+    ids = np.concatenate([ids for ids, _ in vectors])
+    values = np.concatenate([values for _, values in vectors]).astype(np.float32)
+    held = index.column[ids] >= 0
+    dense = np.zeros((len(vectors), len(index.matrix)), np.float32)
+    dense[row[held], index.column[ids[held]]] = values[held]
+    out = dense @ index.matrix
+    summed = out.reshape(-1)
+    row, ids, values = row[~held], ids[~held], values[~held]
+    first = index.cuts[ids]
+    n = index.cuts[ids + 1] - first
+    total = np.cumsum(n)
+    start = 0
+    while start < len(ids):
+        before = total[start - 1] if start else 0
+        end = max(int(np.searchsorted(total, before + POSTS_AT_ONCE, side="right")), start + 1)
+        some = n[start:end]
+        at = np.arange(int(some.sum())) + np.repeat(first[start:end] - (np.cumsum(some) - some), some)
+        np.add.at(
+            summed, np.repeat(row[start:end] * m, some) + index.places[at], np.repeat(values[start:end], some) * index.posts[at],
+        )
+        start = end
+    return out
+
+
+def chosen(index: Index, near_by: np.ndarray, scratch: np.ndarray, ids: np.ndarray, vector: np.ndarray, needed: int):
+    """``nearest`` of one vector whose similarities are known in single precision; scratch is all zeros before and after."""
+    least = np.partition(near_by, len(near_by) - needed)[len(near_by) - needed] if needed <= len(near_by) else 0.0
+    entries = np.flatnonzero((near_by > 0) & (near_by >= least - ROUNDING))
+    if not len(entries):
+        return entries, np.empty(0)
+    first, n = index.starts[entries], index.starts[entries + 1] - index.starts[entries]
+    begin = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) + np.repeat(first - begin, n)
+    scratch[ids] = vector
+    near = np.add.reduceat(scratch[index.ids[at]] * index.values[at], begin)
+    scratch[ids] = 0
+    order = np.argsort(-near, kind="stable")
+    last = int(np.searchsorted(np.cumsum(index.size[entries[order]]), needed))
+    if last < len(order):
+        keep = near >= near[order[last]] - 1e-9
+        entries, near = entries[keep], near[keep]
+    return entries, near
 
 
 def nearest(index: Index, ids: np.ndarray, vector: np.ndarray, needed: int) -> tuple[np.ndarray, np.ndarray]:
     """Entries and similarities of the ``needed`` nearest examples and of all that tie with the last one."""
-    bounds = np.zeros(index.blocks)
-    known = [(w, q) for w, q in zip(ids.tolist(), vector.tolist()) if w in index.posts]
-    for word, q in known:
-        bounds += q * index.largest[word]
-    entries, near = np.empty(0, np.int64), np.empty(0)
-    least = 0.0
-    ranked = np.argsort(-bounds, kind="stable")
-    ranked = ranked[bounds[ranked] > 0]
-    for start in range(0, len(ranked), OPENED):
-        opened = ranked[start:start + OPENED]
-        opened = opened[bounds[opened] >= least - 1e-9]
-        if not len(opened):
-            break
-        scores = np.zeros((len(opened), BLOCK))
-        for word, q in known:
-            places, values, cuts = index.posts[word]
-            for row, block in enumerate(opened.tolist()):
-                a, b = cuts[block], cuts[block + 1]
-                if a < b:
-                    scores[row, places[a:b] - block * BLOCK] += q * values[a:b]
-        row, column = np.nonzero(scores > 0)
-        entries = np.concatenate((entries, opened[row] * BLOCK + column))
-        near = np.concatenate((near, scores[row, column]))
-        order = np.argsort(-near, kind="stable")
-        filled = np.cumsum(index.size[entries[order]])
-        last = int(np.searchsorted(filled, needed))
-        if last < len(order):
-            least = near[order[last]]
-            keep = near >= least - 1e-9
-            entries, near = entries[keep], near[keep]
-    return entries, near
+    return chosen(index, similarities(index, [(ids, vector)])[0], np.zeros(len(index.idf)), ids, vector, needed)
 
 
-def vote(index: Index, ids: tuple, times: tuple, left_out: int | None = None) -> tuple[float, list[tuple[float, int, int]]]:
-    """Share of toxic votes, nearer examples weighing more, and the evidence: (similarity, examples, toxic ones).
+def votes(index: Index, texts: list[tuple], left_out: list[int] | None = None) -> list[tuple[float, list[tuple[float, int, int]]]]:
+    """For each text's (ids, times): the share of toxic votes, nearer examples weighing more, and the evidence as
+    (similarity, examples, toxic ones).
 
-    ``left_out`` is the label of one example of this very vector that must not vote.
+    ``left_out`` are the labels of one example of each very vector that must not vote.
     """
-    if not ids:
-        return index.prior, []
-    places, numbers = np.array(ids), np.array(times)
-    entries, near = nearest(index, places, weights(places, numbers, index.idf), NEAREST + (left_out is not None))
-    size, toxic = index.size[entries].astype(float), index.toxic[entries].astype(float)
-    evidence = [(round(float(s), 6), int(n), int(t)) for s, n, t in sorted(zip(near, size, toxic), reverse=True)[:5]]
-    if left_out is not None and len(near):
-        own = int(np.argmax(near))
-        size[own] -= 1
-        toxic[own] -= left_out
-    weight = near / (np.maximum(1 - near, 0) + CLOSENESS)
-    share = (float(weight @ toxic) + PRIOR_WEIGHT * index.prior) / (float(weight @ size) + PRIOR_WEIGHT)
-    return share, evidence
+    made: list[tuple[float, list[tuple[float, int, int]]]] = [(index.prior, [])] * len(texts)
+    full = [i for i, (ids, _) in enumerate(texts) if len(ids)] if len(index.size) else []
+    scratch = np.zeros(len(index.idf))
+    for start in range(0, len(full), QUERIES_AT_ONCE):
+        some = full[start:start + QUERIES_AT_ONCE]
+        vectors = [(texts[i][0], weights(*texts[i], index.idf)) for i in some]
+        for i, near_by, (ids, vector) in zip(some, similarities(index, vectors), vectors):
+            entries, near = chosen(index, near_by, scratch, ids, vector, NEAREST + (left_out is not None))
+            size, toxic = index.size[entries].astype(float), index.toxic[entries].astype(float)
+            evidence = [(round(float(s), 6), int(n), int(t)) for s, n, t in sorted(zip(near, size, toxic), reverse=True)[:5]]
+            if left_out is not None and len(near):
+                own = int(np.argmax(near))
+                size[own] -= 1
+                toxic[own] -= left_out[i]
+            weight = near / (np.maximum(1 - near, 0) + CLOSENESS)
+            share = (float(weight @ toxic) + PRIOR_WEIGHT * index.prior) / (float(weight @ size) + PRIOR_WEIGHT)
+            made[i] = share, evidence
+    return made
 
 
 def logit(p: np.ndarray | float) -> np.ndarray:
@@ -228,94 +343,93 @@ def fit_curve(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
+@dataclass(frozen=True)
 class Model:
-    """Vocabulary, index and curve; everything in it is bounded by the numbers of examples and terms."""
+    """Words with their places, index and curve; everything in it is bounded by the examples."""
 
-    def __init__(self, terms: list[str], index: Index, slope: float, offset: float):
-        self.terms, self.index, self.slope, self.offset = terms, index, slope, offset
+    places: Broadcast
+    index: Broadcast
+    slope: float
+    offset: float
 
     def score(self, share: float) -> float:
         return float(1 / (1 + math.exp(-max(min(self.slope * float(logit(share)) + self.offset, 30.0), -30.0))))
 
+    def judge(self, batch: list[str], known: dict[bytes, tuple[float, str]]) -> list[tuple[float, str]]:
+        """Score and evidence of each text; known keeps those of vectors met before."""
+        offsets, word, times = known_words(batch, self.places.value)
+        texts = [(word[a:b], times[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        keys = [hashlib.blake2b(ids.tobytes() + n.tobytes(), digest_size=16).digest() for ids, n in texts]
+        if len(known) > 20_000:
+            known.clear()
+        new = {k: t for k, t in zip(keys, texts) if k not in known}
+        for k, (share, evidence) in zip(new, votes(self.index.value, list(new.values()))):
+            known[k] = self.score(share), ";".join(f"{s}:{n}:{t}" for s, n, t in evidence)
+        return [known[k] for k in keys]
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Model:
+    """The model; ``most`` bounds the labelled rows that are learned from, document frequencies cover all documents."""
+    context = docs.sparkSession.sparkContext
+    known = bounded_examples(labels, most)
+    examples = materialise(word_counts(texts(docs).join(F.broadcast(known), "doc_id")))
+    words = sorted(examples.select(F.explode("words").alias("word")).distinct().toArrow()["word"].to_pylist())
+    places = context.broadcast({w: i for i, w in enumerate(words)})
+    in_docs, total = document_frequencies(texts(docs), places)
+    learned = materialise(placed_words(examples, places))
+    table = learned.toArrow().combine_chunks()
+    toxic = (table["toxic"].to_numpy() != 0).astype(np.int64)
+    columns = [pa.concat_arrays(table[n].chunks) if len(toxic) else pa.array([], table[n].type) for n in ("words", "times")]
+    ids, times, offsets = flat(*columns)
+    ids, times = ids.to_numpy().astype(np.int64), times.to_numpy().astype(np.int64)
+    n_toxic = int(toxic.sum())
+    n_clean = len(toxic) - n_toxic
+    found = np.bincount(ids, minlength=len(words))
+    marked = np.bincount(ids, np.repeat(toxic, np.diff(offsets)), minlength=len(words))
+    idf = (1 + np.log((1 + total) / (1 + in_docs))) * emphasis(marked, found, n_toxic, n_clean)
+    vectors = [(ids[a:b], times[a:b], t) for a, b, t in zip(offsets[:-1].tolist(), offsets[1:].tolist(), toxic.tolist())]
+    index = context.broadcast(entries_of(vectors, idf, (n_toxic + 0.05) / (len(toxic) + 1.0)))
+    if not (n_toxic and n_clean):
+        return Model(places, index, 1.0, 0.0)
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
-    """The model, and (doc_id, words, times) of all documents over its vocabulary, written once.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, times, offsets = flat(batch.column("words"), batch.column("times"))
+            ids, times = ids.to_numpy().astype(np.int64), times.to_numpy().astype(np.int64)
+            label = [int(t != 0) for t in batch.column("toxic").to_pylist()]
+            own = [(ids[a:b], times[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            shares = [share for share, _ in votes(index.value, own, label)]
+            yield pa.RecordBatch.from_arrays([pa.array(shares, pa.float64()), pa.array(label, pa.int32())], names=["share", "toxic"])
+        release()
 
-    ``most`` bounds the labelled rows that are learned from. The words' document frequencies cover all documents.
-    """
-    known = bounded_examples(labels, most)
-    found = texts(docs).join(F.broadcast(known), "doc_id")
-    # the bounded examples are few rows of whole texts: spread them before they are split into words
-    examples = materialise(counted_terms(found, None, {"doc_id": "long", "toxic": "int"}))
-    tally = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic = sum(n for label, n in tally.items() if label)
-    n_clean = sum(n for label, n in tally.items() if not label)
-    terms = telling_words(examples, n_toxic, n_clean, MAX_TERMS)
-    rows = materialise(counted_terms(texts(docs), terms, {"doc_id": "long"}))
-    total = rows.count()
-    in_docs = {r["w"]: r["n"] for r in rows.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
-    idf = np.array([1 + math.log((1 + total) / (1 + in_docs.get(i, 0))) for i in range(len(terms))])
-    vectors, empty = [], [0, 0]
-    learned = rows.join(F.broadcast(known), "doc_id").groupBy("toxic", "words", "times").agg(F.count("*").alias("n"))
-    for row in sorted(learned.collect(), key=lambda r: (r["words"], r["times"], r["toxic"])):
-        label = int(bool(row["toxic"]))
-        if row["words"]:
-            pairs = sorted(zip(row["words"], row["times"]))
-            vectors += [(tuple(i for i, _ in pairs), tuple(n for _, n in pairs), label)] * row["n"]
-        else:
-            empty[0] += row["n"]
-            empty[1] += label * row["n"]
-    prior = (empty[1] + 0.05) / (empty[0] + 1.0)
-    index = build_index(vectors, idf, prior)
-    told: dict[tuple, float] = {}
-    votes, truth = [], []
-    # the curve's two numbers come from a bounded, evenly spread part of the examples
-    step = max(-(-len(vectors) // CURVE_EXAMPLES), 1)
-    for ids, times, label in vectors[::step]:
-        at = (ids, times, label)
-        if at not in told:
-            told[at] = vote(index, ids, times, label)[0]
-        votes.append(told[at])
-        truth.append(label)
-    if votes and n_toxic and n_clean:
-        # the examples without any of the words vote with their own share
-        votes += [prior] * (empty[0] // step)
-        truth += [empty[1] / max(empty[0], 1)] * (empty[0] // step)
-        slope, offset = fit_curve(np.array(votes), np.array(truth, dtype=float))
-    else:
-        slope, offset = 1.0, 0.0
-    return Model(terms, index, slope, offset), rows
+    # in order, so that sums round alike
+    told = learned.mapInArrow(run, "share double, toxic int").toArrow().sort_by([("share", "ascending"), ("toxic", "ascending")])
+    return Model(places, index, *fit_curve(told["share"].to_numpy(), told["toxic"].to_numpy().astype(float)))
 
 
 def scores(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence), one row for each row of docs.
 
     Scores depend on the text alone. held_out marks documents whose labels are never learned from. Null and empty
-    texts, and texts without any telling word, get the share of toxic examples among such; without usable labels
+    texts, and texts that share no word with any example, get the share of toxic examples; without usable labels
     every score is low. Null keys keep their row; repeated rows score alike; an empty table gives none; other columns
     of docs and labels are not read. evidence lists the nearest groups of examples: similarity, examples, toxic.
     """
-    model, rows = fit(docs, labels, most)
+    model = fit(docs, labels, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple[float, str]] = {}
+        known: dict[bytes, tuple[float, str]] = {}
         for batch in batches:
-            made = []
-            for ids, times in zip(batch.column("words").to_pylist(), batch.column("times").to_pylist()):
-                pairs = sorted(zip(ids, times))
-                at = (tuple(i for i, _ in pairs), tuple(n for _, n in pairs))
-                if at not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    share, evidence = vote(model.index, *at)
-                    known[at] = model.score(share), ";".join(f"{s}:{n}:{t}" for s, n, t in evidence)
-                made.append(known[at])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s for s, _ in made], pa.float64()), pa.array([e for _, e in made], pa.string())],
-                names=["doc_id", "score", "evidence"],
-            )
+            for first, last in byte_runs(batch.column("text"), CHUNK_CHARS):
+                part = batch.slice(first, last - first)
+                made = model.judge(part.column("text").to_pylist(), known)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([s for s, _ in made], pa.float64()), pa.array([e for _, e in made], pa.string())],
+                    names=["doc_id", "score", "evidence"],
+                )
+        release()
 
-    scored = rows.mapInArrow(run, "doc_id long, score double, evidence string")
+    scored = texts(docs).mapInArrow(run, "doc_id long, score double, evidence string")
     return scored.select(
         "doc_id", (crc32_mod("doc_id", FOLDS) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence",

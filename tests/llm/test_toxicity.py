@@ -1,4 +1,5 @@
 import math
+import pickle
 import zlib
 
 import numpy as np
@@ -103,3 +104,49 @@ def test_odd_documents(spark, odd_docs, no_docs, labels):
 def test_the_filter_drops_what_is_predicted(docs, labels, scored):
     left = {r["doc_id"] for r in toxicity.without_toxic(docs, labels).select("doc_id").collect()}
     assert left == set(scored[scored.predicted == 0].doc_id)
+
+
+def test_words_that_mark_no_label_find_neighbours(spark):
+    """A text without any word that marks toxic examples is still compared with all examples."""
+    picked = np.random.default_rng(8)
+    rows, known = [], []
+    for i in range(400):
+        topic = "meadow river stone" if i % 2 else "engine piston valve"
+        rows.append((i, f"{topic} word{picked.integers(50)} word{picked.integers(50)}" + " vile" * (i % 8 == 0)))
+        known.append((i, int(i % 8 == 0)))
+    rows += [(1000, "meadow river stone"), (1001, "engine piston"), (1002, "nothing known")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in toxicity.scores(docs, spark.createDataFrame(known, "doc_id long, toxic int")).collect()}
+    assert found[1000]["evidence"] and found[1001]["evidence"] and not found[1002]["evidence"]
+    assert all(0 < found[i]["score"] < 0.5 for i in (1000, 1001, 1002))
+
+
+def test_every_word_of_the_examples_counts(spark, docs, labels):
+    known = toxicity.bounded_examples(labels, toxicity.MAX_EXAMPLES)
+    words, _, _ = toxicity.words_of([r["text"] or "" for r in docs.join(known, "doc_id").collect()])
+    model = toxicity.fit(docs, labels)
+    assert sorted(model.places.value) == sorted(words)
+    index = pickle.loads(pickle.dumps(model.index.value))
+    assert isinstance(index, toxicity.Index) and (index.idf >= 1).all() and len(np.unique(index.ids)) == len(words)
+
+
+def test_whole_texts_find_what_brute_force_finds(monkeypatch):
+    monkeypatch.setattr(toxicity, "DENSE_WORDS", 20)
+    monkeypatch.setattr(toxicity, "POSTS_AT_ONCE", 500)
+    picked = np.random.default_rng(9)
+    idf = 1 + picked.random(900) * 3
+    vectors = []
+    for _ in range(700):
+        ids = np.unique((900 * picked.random(picked.integers(5, 120)) ** 3).astype(int))
+        vectors.append((ids, picked.integers(1, 9, len(ids)), int(picked.random() < 0.3)))
+    index = toxicity.build_index(vectors, idf, 0.1)
+    matrix = np.zeros((len(index.size), 900))
+    matrix[np.repeat(np.arange(len(index.size)), np.diff(index.starts)), index.ids] = index.values
+    assert len(index.size) == len({(tuple(a), tuple(b)) for a, b, _ in vectors})
+    for ids, times, _ in vectors[:60]:
+        vector = toxicity.weights(ids, times, idf)
+        near = matrix[:, ids] @ vector
+        last = np.sort(near)[-25]
+        found, similar = toxicity.nearest(index, ids, vector, 25)
+        assert found.tolist() == np.flatnonzero(near >= last - 1e-9).tolist()
+        assert np.allclose(similar, near[found])

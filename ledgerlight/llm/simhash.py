@@ -118,6 +118,13 @@ def near_duplicates(
     empty table gives none; other columns are not read.
     """
     marked = materialise(fingerprints(docs, words, key, text))
+    return grouped(marked, distance).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+    )
+
+
+def grouped(marked: DataFrame, distance: int) -> DataFrame:
+    """Written (doc_id, fp) with component_id, the smallest doc_id that links reach."""
     distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, distance))
     linked = roots.join(distinct, roots["node"] == distinct["fp"]).groupBy("root").agg(F.min("least").alias("smallest"))
@@ -125,22 +132,22 @@ def near_duplicates(
     classes = materialise(
         distinct.join(reached, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
     )
-    return marked.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-    )
+    return marked.join(classes, "fp")
 
 
 def one_of_each(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
-    """docs with the row of smallest doc_id of each group of near-duplicates; its columns are unchanged.
+    """docs with one row of each group of near-duplicates, that of smallest doc_id; its columns are unchanged.
 
-    Rows without a doc_id stay; of rows that share a doc_id one stays.
+    Each row counts by its own text, so rows that share a doc_id may be of several groups. Of a group's rows with that
+    doc_id the one of smallest fingerprint and text hash stays. Rows without a doc_id stay.
     """
-    classes = materialise(near_duplicates(docs, words, distance).where("doc_id is not null"))
-    per_id = classes.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.count("*").alias("__rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("__kept"),
-    )
-    gone = materialise(per_id.where("not __kept or __rows > 1"))
-    key = F.col("doc_id").cast("long") == F.col("__id")
-    single = docs.join(gone.select("__id"), key, "left_anti")
-    repeated = docs.join(gone.where("__kept").select("__id"), key, "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated)
+    key, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    numbered = materialise(docs.withColumn("__row", F.monotonically_increasing_id()))
+    marked = materialise(fingerprints(numbered.select(F.col("__row").alias("doc_id"), "text"), words))
+    classes = materialise(grouped(marked, distance).select(F.col("doc_id").alias("__row"), "fp", "component_id"))
+    own = numbered.where(key.isNotNull()).select("__row", key.alias("id"), F.xxhash64(text).alias("hash"))
+    order = F.struct("id", "fp", "hash", "__row")
+    first = classes.join(own, "__row").groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = materialise(first.select(F.col("first.__row").alias("__row")))
+    gone = materialise(own.select("__row").join(kept, "__row", "left_anti"))
+    return numbered.join(gone, "__row", "left_anti").select(*[F.col(f"`{n}`") for n in docs.columns])

@@ -437,6 +437,18 @@ def scores(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Data
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
-    """docs without the documents that are predicted toxic; columns unchanged, rows without a doc_id judged by none."""
-    toxic = materialise(scores(docs, labels, most).where("predicted = 1").select("doc_id").distinct())
-    return docs.join(toxic.withColumnRenamed("doc_id", "__toxic"), F.col("doc_id").cast("long") == F.col("__toxic"), "left_anti")
+    """docs without the rows whose own text is predicted toxic, whatever their doc_id; columns unchanged."""
+    model = fit(docs, labels, most)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple[float, str]] = {}
+        for batch in batches:
+            for first, last in byte_runs(batch.column("__text"), CHUNK_CHARS):
+                part = batch.slice(first, last - first)
+                made = model.judge(part.column("__text").to_pylist(), known)
+                yield part.filter(pa.array([s < 0.5 for s, _ in made], pa.bool_())).select(names)
+        release()
+
+    whole = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return whole.mapInArrow(run, docs.schema)

@@ -105,3 +105,12 @@ def test_components_of_a_path_and_a_star(spark):
     star = [(500, i) for i in range(501, 560)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(path + star + [(7, 7)], "a long, b long")).collect()}
     assert found == {i: 100 for i in range(100, 141)} | {i: 500 for i in range(500, 560)}
+
+
+def test_each_row_counts_by_its_own_text(spark):
+    near, other = "one two three four five six", "nothing here is alike at all"
+    rows = [(1, near), (5, near), (5, other), (None, "a third text without id")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(2)
+        left = {(r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect()}
+        assert left == {(1, near), (5, other), (None, "a third text without id")}

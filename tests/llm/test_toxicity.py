@@ -150,3 +150,11 @@ def test_whole_texts_find_what_brute_force_finds(monkeypatch):
         found, similar = toxicity.nearest(index, ids, vector, 25)
         assert found.tolist() == np.flatnonzero(near >= last - 1e-9).tolist()
         assert np.allclose(similar, near[found])
+
+
+def test_the_filter_judges_each_row(spark):
+    texts = [f"{'vile awful' if i % 4 == 0 else 'calm river'} word{i % 7}" for i in range(400)]
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    rows = list(enumerate(texts)) + [(1000, texts[0]), (1000, texts[1]), (None, texts[0]), (None, texts[1])]
+    left = toxicity.without_toxic(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    assert [(r["doc_id"], r["text"]) for r in left if r["doc_id"] is None or r["doc_id"] >= 1000] == [(1000, texts[1]), (None, texts[1])]

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import collision_search, context_tree, licenses, metric_tree, pii, simhash, toxicity
+from ledgerlight.llm import (
+    collision_search, context_tree, exact_dedup, filter_audit, licenses, metric_tree, pii, ranked_search, simhash, toxicity,
+)
 from ledgerlight.llm.byte_bpe import round_trip
 from ledgerlight.llm.common import load
 from ledgerlight.llm.packing import pack
@@ -82,6 +84,21 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.deduplicate(spark, f"{folder.rstrip('/')}/documents.parquet")
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.top_documents(load(spark, folder, "documents"), load(spark, folder, "benchmark"), k=10)
+
+
 def metric_tree_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
     """Brute force: integer products of every query with every other row."""
     return f"""
@@ -135,3 +152,94 @@ FROM docs LEFT JOIN (SELECT row, license, dice FROM best WHERE rn = 1) USING (ro
 
 ORACLE["op3_metric_tree"] = metric_tree_sql()
 ORACLE["op7_licenses"] = licenses_sql()
+
+
+def filter_audit_sql() -> str:
+    """Failure sets counted per part, then every step of every order summed over all sets."""
+    blanks = "[\\x20\\x09-\\x0D]+"
+    letters = ", ".join(f"('{c}', {1 << i})" for i, c in enumerate(filter_audit.FILTERS))
+    joins = " ".join(
+        f"JOIN f f{i} ON " + " AND ".join(f"f{i}.c <> f{j}.c" for j in range(i)) for i in range(1, len(filter_audit.FILTERS))
+    )
+    names = " || ".join(f"f{i}.c" for i in range(5))
+    steps = " UNION ALL ".join(
+        f"SELECT o, {i + 1} AS step, b{i} AS own, {' + '.join([f'b{j}' for j in range(i)] or ['0'])} AS before FROM orders"
+        for i in range(5)
+    )
+    return f"""
+WITH d AS (
+ SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  list_filter(string_split_regex(coalesce(text, ''), '{blanks}'), lambda w: w <> '') AS words FROM documents),
+least AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+marked AS (
+ SELECT doc_id, part,
+  CASE WHEN len(words) < {filter_audit.LEAST_WORDS} THEN 1 ELSE 0 END
+  + CASE WHEN 100 * len(list_distinct(words)) < {filter_audit.LEAST_DISTINCT} * len(words) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {filter_audit.MOST_CAPITALS} * length(t)
+    THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '{filter_audit.MARKS}') THEN 8 ELSE 0 END
+  + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask
+ FROM d JOIN least USING (t)),
+told AS (
+ SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+ FROM labels GROUP BY doc_id),
+counts AS (
+ SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+ FROM marked LEFT JOIN told USING (doc_id) GROUP BY part, mask),
+f(c, b) AS (VALUES {letters}),
+orders AS (SELECT {names} AS o, {', '.join(f'f{i}.b AS b{i}' for i in range(5))} FROM f f0 {joins}),
+steps AS ({steps}),
+summed AS (
+ SELECT part, o, step, own,
+  sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+ FROM counts CROSS JOIN steps GROUP BY part, o, step, own)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+ CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+ CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+ CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed"""
+
+
+def exact_dedup_sql() -> str:
+    return """
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+ row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)"""
+
+
+def ranked_search_sql(k: int = 10) -> str:
+    """Every document that shares a term with an item is scored."""
+    term = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+    fold = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return f"""
+WITH d AS (
+ SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), {fold}), '{term}') AS terms
+ FROM documents),
+lengths AS (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY row, term),
+items AS (SELECT row_number() OVER () AS item, item_id,
+  regexp_extract_all(translate(coalesce(text, ''), {fold}), '{term}') AS terms FROM benchmark),
+qtf AS (SELECT item, term, count(*) AS q FROM (SELECT item, unnest(terms) AS term FROM items) GROUP BY item, term),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM qtf) GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, totals),
+norms AS (SELECT row, doc_id, 100 - 75 + (75 * n * docs) // total AS m FROM lengths, totals),
+scored AS (
+ SELECT item, row, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS score
+ FROM qtf JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (row) GROUP BY item, row),
+ranked AS (
+ SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+ FROM scored JOIN norms USING (row) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM ranked JOIN items USING (item) WHERE rank <= {k}"""
+
+
+ORACLE["op11_filter_audit"] = filter_audit_sql()
+ORACLE["op12_exact_dedup"] = exact_dedup_sql()
+ORACLE["op13_ranked_search"] = ranked_search_sql()

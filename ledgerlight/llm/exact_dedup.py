@@ -1,9 +1,10 @@
-"""Exact duplicates by a stream with keyed state: digest, smallest identifier and content locator.
+"""Exact duplicates by streams with keyed state: digest, smallest identifier and content locator.
 
-The files of a table are read as a stream, some per batch. Its state lies on disk (RocksDB, backed up to the shared
-folder), holds one entry per digest and never expires, so files that come later are compared with all before them and
-a restarted stream goes on where it stopped. A locator names a row by its file and its place there. Rows whose digest
-has been met are checked by their full bytes; texts that differ under one digest are told apart.
+The files of a table are read as a stream, some per batch: each row leaves its digest and its locator, the file and the
+place there. A second stream keys these by digest. Its state lies on disk (RocksDB, backed up to the shared folder),
+holds one entry per digest and never expires, so files that come later are compared with all before them, and a
+stream that is started again goes on where it stopped. Rows whose digest has been met are fetched by their locators
+and checked by their full bytes; texts that differ under one digest are told apart.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ledgerlight.session import materialise, scratch_path
 
-#: Runs of blanks that count as one space.
-BLANKS = "[\\x20\\x09-\\x0D]+"
+#: The blanks, runs of which count as one space.
+BLANKS = "\t\n\v\f\r"
 BATCHES = 4
 HOT_SHARE = 1000
 
 KEEPER = "struct<unnamed: boolean, doc_id: bigint, file: string, place: bigint>"
+ROWS = "doc_id long, digest string, text_sha256 string, file string, place long"
 LOG = f"digest string, keeper {KEEPER}, size long"
 
 STORE = {
@@ -30,6 +33,8 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # otherwise every partition of the state reserves megabytes for files of a few hundred bytes
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -49,15 +54,26 @@ def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def normal(text: Column) -> Column:
+    """The text with each run of blanks made one space. Runs are rare, so they are looked for before they are replaced."""
+    spaced = text
+    for blank in BLANKS:
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    return F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+
+
+def whole(text: str) -> Column:
+    return normal(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+
+
+def locator() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
+
+
 def marked(rows: DataFrame, key: str, text: str, digest_chars: int) -> DataFrame:
-    """doc_id, digest, locator and normalised text of every row that was read from files."""
-    normal = F.regexp_replace(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), BLANKS, " ")
-    located = rows.select(
-        F.col(f"`{key}`").cast("long").alias("doc_id"), normal.alias("normal"),
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
-    )
-    hashed = located.withColumn("text_sha256", F.sha2("normal", 256))
-    return hashed.withColumn("digest", F.substring("text_sha256", 1, digest_chars))
+    """doc_id, digest and locator of every row that was read from files."""
+    located = rows.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.sha2(whole(text), 256).alias("text_sha256"), *locator())
+    return located.select("doc_id", F.substring("text_sha256", 1, digest_chars).alias("digest"), "text_sha256", "file", "place")
 
 
 def keeper() -> Column:
@@ -78,50 +94,74 @@ def source(spark: SparkSession, path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]" if status.isFile() else path
 
 
+def per_batch(spark: SparkSession, path: str, wanted: int | None) -> int:
+    return wanted or max(1, -(-len(spark.read.parquet(path).inputFiles()) // BATCHES))
+
+
+def finish(stream: DataStreamWriter) -> None:
+    """Run a stream until it has taken in everything that is there."""
+    running = stream.trigger(availableNow=True).start()
+    try:
+        running.awaitTermination()
+    finally:
+        running.stop()
+
+
 def advance(
     spark: SparkSession, path: str, state: str, key: str = "doc_id", text: str = "text",
     files_per_batch: int | None = None, digest_chars: int = 64,
-) -> DataFrame:
-    """Take in all files not seen before; returns (digest, keeper, size) of every digest so far.
+) -> tuple[DataFrame, DataFrame]:
+    """Take in all files not seen before; returns all rows so far (see ROWS) and (digest, keeper, size) of every digest.
 
-    ``state`` is a folder that all executors reach. It holds the stream's checkpoint, with the keyed state, and a log of
-    the entries each batch changed; a batch that is run again after a failure writes its part of the log anew.
+    ``state`` is a folder that all executors reach. It holds the checkpoints of both streams, with the keyed state, the
+    rows, and a log of the entries each batch changed; a batch that is run again after a failure writes its part anew.
     """
-    log = f"{state.rstrip('/')}/log"
-    if files_per_batch is None:
-        files_per_batch = max(1, -(-len(spark.read.parquet(path).inputFiles()) // BATCHES))
+    state = state.rstrip("/")
+    rows, log = f"{state}/rows", f"{state}/log"
     spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{log}/batch=none")
     arriving = (
-        spark.readStream.schema(fields(spark, path, key, text)).option("maxFilesPerTrigger", files_per_batch)
-        .parquet(source(spark, path))
+        spark.readStream.schema(fields(spark, path, key, text))
+        .option("maxFilesPerTrigger", per_batch(spark, path, files_per_batch)).parquet(source(spark, path))
     )
-    entries = marked(arriving, key, text, digest_chars).groupBy("digest").agg(
-        keeper().alias("keeper"), F.count(F.lit(1)).alias("size"),
+    finish(
+        marked(arriving, key, text, digest_chars).writeStream.format("parquet")
+        .option("path", rows).option("checkpointLocation", f"{state}/rows_checkpoint")
     )
+    seen = spark.read.schema(ROWS).parquet(rows)
+    keyed = (
+        spark.readStream.schema(ROWS).option("maxFilesPerTrigger", files_per_batch or max(1, -(-len(seen.inputFiles()) // BATCHES)))
+        .parquet(rows)
+    )
+    entries = keyed.groupBy("digest").agg(keeper().alias("keeper"), F.count(F.lit(1)).alias("size"))
 
     def write(changed: DataFrame, number: int) -> None:
         changed.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
     with settings(spark, STORE):
-        stream = (
+        finish(
             entries.writeStream.outputMode("update").foreachBatch(write)
-            .option("checkpointLocation", f"{state.rstrip('/')}/checkpoint").trigger(availableNow=True).start()
+            .option("checkpointLocation", f"{state}/checkpoint")
         )
-        try:
-            stream.awaitTermination()
-        finally:
-            stream.stop()
     # a keeper only ever gets smaller and a size larger, so the extremes are the last state
-    return spark.read.schema(LOG).parquet(log).groupBy("digest").agg(F.min("keeper").alias("keeper"), F.max("size").alias("size"))
+    last = spark.read.schema(LOG).parquet(log).groupBy("digest")
+    return seen, last.agg(F.min("keeper").alias("keeper"), F.max("size").alias("size"))
+
 
+def with_entries(rows: DataFrame, entries: DataFrame, total: int) -> DataFrame:
+    """rows with the entry of their digest.
 
-def with_entries(rows: DataFrame, entries: DataFrame, hot: DataFrame) -> DataFrame:
-    """rows with the entry of their digest. Hot digests, at most HOT_SHARE of them, are joined by broadcast; any other
-    digest holds less than one row in HOT_SHARE, so its rows may meet in one task.
+    Digests that hold more than one row in HOT_SHARE, which are fewer than HOT_SHARE, come by broadcast. Their
+    rows then go to the other join under keys that match nothing and differ, so no task gets many of one digest.
     """
-    common = rows.join(F.broadcast(hot), "digest")
-    rare = rows.join(F.broadcast(hot.select("digest")), "digest", "left_anti")
-    return common.unionByName(rare.join(entries.join(F.broadcast(hot.select("digest")), "digest", "left_anti"), "digest"))
+    hot = F.col("size") > total // HOT_SHARE
+    common = entries.where(hot).select("digest", F.struct("keeper", "size").alias("common"))
+    rare = entries.where(~hot).select(F.col("digest").alias("rare_digest"), F.struct("keeper", "size").alias("rare"))
+    looked_up = rows.join(F.broadcast(common), "digest", "left")
+    spread = F.concat(F.lit("#"), F.pmod(F.xxhash64("file", "place"), F.lit(100_000)).cast("string"))
+    asked = F.when(F.col("common").isNull(), F.col("digest")).otherwise(spread)
+    joined = looked_up.withColumn("asked", asked).join(rare, F.col("asked") == F.col("rare_digest"), "left")
+    entry = F.coalesce("common", "rare")
+    return joined.select(*rows.columns, entry["keeper"].alias("keeper"), entry["size"].alias("size"))
 
 
 def deduplicate(
@@ -133,35 +173,32 @@ def deduplicate(
     Texts are equal when they are after each run of blanks is made one space; null counts as empty. Of equal texts the row
     with the smallest doc_id stays; rows without a doc_id come last, and of rows with the same one the first by file and
     place in it stays. keep_id is null where no row of a group has a doc_id. An empty table gives no rows; other columns
-    are not read. With ``state`` of an earlier call, only files that came since pass through the stream. ``digest_chars``
-    shortens the digest: results stay the same, as full bytes decide.
+    are not read. With ``state`` of an earlier call, only files that came since pass through the streams.
+    ``digest_chars`` shortens the digest: results stay the same, as full bytes decide.
     """
     state = state or scratch_path(spark, "state")
-    entries = materialise(advance(spark, path, state, key, text, files_per_batch, digest_chars))
+    rows, entries = advance(spark, path, state, key, text, files_per_batch, digest_chars)
+    entries = materialise(entries)
     total = entries.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    hot = materialise(entries.where(F.col("size") > total // HOT_SHARE).where("size > 1"))
-    rows = marked(spark.read.schema(fields(spark, path, key, text)).parquet(path), key, text, digest_chars)
-    found = with_entries(rows.drop("normal"), entries, hot)
-
-    # full bytes of all rows whose digest was hit: as many different texts as digests, or digests collide
-    hit = entries.where("size > 1").select("digest")
-    by_bytes = hit_rows(rows, hit, hot.select("digest")).groupBy("digest", "normal").agg(
-        keeper().alias("keeper"), F.count(F.lit(1)).alias("size"),
-    )
-    several = by_bytes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest")
-    collided = materialise(several)
+    found = materialise(with_entries(rows, entries, total))
+
+    texts = fetched(spark, path, key, text, found.where("size > 1").select("doc_id", "digest", "file", "place"))
+    several = texts.groupBy("digest", "normal").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
+    collided = materialise(several.where("texts > 1").select("digest"))
     if not collided.isEmpty():
-        texts_of = by_bytes.join(collided, "digest")
-        told_apart = rows.join(collided, "digest").join(texts_of, ["digest", "normal"]).drop("normal")
-        found = found.join(collided, "digest", "left_anti").unionByName(told_apart)
-    own = (F.col("file") == F.col("keeper.file")) & (F.col("place") == F.col("keeper.place"))
+        # as good as never: digests that stand for several texts are grouped by the texts themselves
+        apart = materialise(texts.join(collided, "digest"))
+        by_text = apart.groupBy("digest", "normal").agg(keeper().alias("keeper"), F.count(F.lit(1)).alias("size"))
+        own = apart.join(by_text, ["digest", "normal"]).withColumn("text_sha256", F.sha2("normal", 256))
+        found = found.join(collided, "digest", "left_anti").unionByName(own.select(found.columns))
+    kept = (F.col("file") == F.col("keeper.file")) & (F.col("place") == F.col("keeper.place"))
     return found.select(
-        "doc_id", F.col("keeper.doc_id").alias("keep_id"), F.col("size").alias("group_size"), own.alias("kept"), "text_sha256",
+        "doc_id", F.col("keeper.doc_id").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"), "text_sha256",
     )
 
 
-def hit_rows(rows: DataFrame, hit: DataFrame, hot: DataFrame) -> DataFrame:
-    """Rows, with their texts, whose digest holds more than one row."""
-    common = rows.join(F.broadcast(hot), "digest", "left_semi")
-    rest = rows.join(F.broadcast(hot), "digest", "left_anti")
-    return common.unionByName(rest.join(hit.join(F.broadcast(hot), "digest", "left_anti"), "digest", "left_semi"))
+def fetched(spark: SparkSession, path: str, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """wanted with the normalised text its locators lead to. Locators are unique, so no task gets more than its share."""
+    raw = spark.read.schema(fields(spark, path, key, text)).parquet(path)
+    located = raw.select(F.col(f"`{text}`").cast("string").alias("raw"), *locator())
+    return located.join(wanted, ["file", "place"]).withColumn("normal", whole("raw")).drop("raw")

@@ -21,7 +21,6 @@ LEAST_DISTINCT = 50
 MOST_CAPITALS = 2
 MARKS = "[#$%&*|]"
 BLANKS = "[\\x20\\x09-\\x0D]+"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 STEPS = (
     "part string, filter_order string, step int, kept long, removed long, redundant long, unique_fails long, "
@@ -144,7 +143,7 @@ def failures(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str
     )
     parted = read.withColumn("words", F.array_remove(F.split("text", BLANKS), ""))
     words, length = F.size("words"), F.length("text")
-    capitals = length - F.length(F.translate("text", CAPITALS, ""))
+    capitals = F.length(F.regexp_replace("text", "[^A-Z]+", ""))
     marked = parted.select(
         "doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"),
         (

@@ -1,5 +1,6 @@
 import itertools
 import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ WORD = re.compile("[^\x20\x09-\x0D]+")
 
 def plain_mask(doc_id, text, rows):
     words = WORD.findall(text)
-    capitals = sum(c in fa.CAPITALS for c in text)
+    capitals = sum(c in string.ascii_uppercase for c in text)
     copy = doc_id is not None and any(t == text and i is not None and i < doc_id for i, t in rows)
     return (
         (len(words) < 200), (100 * len(set(words)) < 50 * len(words)), (100 * capitals > 2 * len(text)),

@@ -33,6 +33,8 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # a batch uploads what it has changed, not all of the state again
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # otherwise every partition of the state reserves megabytes for files of a few hundred bytes
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlight.models.kernel import FourierMap, KernelModel
 from ledgerlight.models.linear import LinearModel
 from ledgerlight.schema import TARGET
+from ledgerlight.sources.commit import replace, settled
 
 # Model type names.
 LINEAR, KERNEL, ONE_CLASS = "supervised_sgd_svm", "supervised_rbf_svm", "unsupervised_oneclass_rbf_svm"
@@ -54,6 +55,7 @@ def bare(model: LinearModel | KernelModel) -> Artifact:
 
 
 def save(spark: SparkSession, artifact: Artifact, path: str) -> None:
+    """Replace the model at path as a whole; a save that fails leaves the old model as it was."""
     model = artifact.model
     kernel = isinstance(model, KernelModel)
     row = (
@@ -72,11 +74,12 @@ def save(spark: SparkSession, artifact: Artifact, path: str) -> None:
         bool(model.converged),
         int(model.steps),
     )
-    spark.createDataFrame([row], ROW).coalesce(1).write.mode("overwrite").parquet(path)
+    one = spark.createDataFrame([row], ROW).coalesce(1)
+    replace(spark, path, lambda place: one.write.parquet(place))
 
 
 def load(spark: SparkSession, path: str) -> Artifact:
-    row = spark.read.schema(ROW).parquet(path).first()
+    row = spark.read.schema(ROW).parquet(settled(spark, path)).first()
     if row is None:
         raise FileNotFoundError(f"no model in {path}")
     columns = tuple(row["feature_columns"])

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from ledgerlight.functions import features as ft
 from ledgerlight.functions import values as v
 from ledgerlight.operators import encode, explore, profile
+from ledgerlight.operators.cut import first_rows
 from ledgerlight.plans.prepare import reduce_columns, transform
 from ledgerlight.queries.base import (
     AGE_SQL, BUCKET_SQL, CATEGORIES, DISTANCE_SQL, FLAGS_SQL, query, r, transformed_sql, txn, with_txn,
@@ -17,6 +18,8 @@ from ledgerlight.session import scratch_path
 from ledgerlight.sources.tables import load, read_csv, read_table, write_table
 from ledgerlight.sources.txn import ID
 
+LINE_ORDER = "l_returnflag, l_shipdate, l_quantity, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
+
 CSV_SCHEMA = T.StructType(
     [
         T.StructField("txn_id", T.LongType()),
@@ -57,6 +60,17 @@ def scan_limit(spark, folder):
     return rows.select("event_id", "user_id", "event_type", "value")
 
 
+@query("scan_limit_counted", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag FROM lineitem "
+       f"ORDER BY {LINE_ORDER} LIMIT 30000")
+def scan_limit_counted(spark, folder):
+    """A limit that is cut off by counting: numbers, dates and texts decide between rows of the same key."""
+    names = LINE_ORDER.split(", ")
+    rows = load(spark, folder, "lineitem")
+    return first_rows(rows, names, 30_000, one_task_rows=500).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+    )
+
+
 @query("scan_pruned", f"SELECT l_orderkey, l_linenumber, {r('l_extendedprice')} AS l_extendedprice FROM lineitem")
 def scan_pruned(spark, folder):
     return read_table(spark, f"{folder}/lineitem.parquet", columns=["l_orderkey", "l_linenumber", "l_extendedprice"])

@@ -1,4 +1,4 @@
-"""Typed readers and atomic writers."""
+"""Typed readers, and writers that replace a table as a whole."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 from ledgerlight.functions.features import date_or_null
 from ledgerlight.functions.values import number_or_null, parse_flag
-from ledgerlight.operators.ordered import running_totals
+from ledgerlight.operators import cut
+from ledgerlight.operators.cut import ONE_TASK_ROWS
 from ledgerlight.schema import KEY, RAW_SCHEMA
-
-ONE_TASK_ROWS = 100_000
+from ledgerlight.sources.commit import replace, settled
 
 
 def read_table(
@@ -23,28 +23,27 @@ def read_table(
     columns: Sequence[str] | None = None,
     rows: int | None = None,
     key: str = KEY,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Read Parquet, or CSV with a pinned schema (raw transactions by default). Missing paths are an error.
 
-    ``columns`` prunes the scan; ``rows`` keeps the first rows in key order (ties: all columns decide).
+    ``columns`` prunes the scan; ``rows`` keeps the first rows in key order (ties: all columns decide). More than
+    ``one_task_rows`` are cut off by counting.
     """
+    settled(spark, path)
     if path.rstrip("/").lower().endswith((".csv", ".csv.gz", "_csv")):
         df = read_csv(spark, path, schema or RAW_SCHEMA)
     else:
         df = spark.read.parquet(path)
     if rows is not None:
-        df = first_rows(df, key, rows) if key in df.columns else df.limit(rows)
+        df = first_rows(df, key, rows, one_task_rows) if key in df.columns else df.limit(rows)
     return df.select(*columns) if columns else df
 
 
 def first_rows(df: DataFrame, key: str, rows: int, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """The first rows in key order. Many of them are cut off by running counts over ranges of the key, as a
-    sorted limit would bring all of them to one task.
-    """
-    order = [F.col(f"`{key}`"), *[F.col(f"`{n}`") for n, kind in df.dtypes if n != key and not kind.startswith("map")]]
-    if rows <= one_task_rows:
-        return df.orderBy(*order).limit(rows)
-    return running_totals(df, order, {"_place": F.lit(1)}).where(F.col("_place") <= rows).drop("_place")
+    """The first rows in key order; of rows that share a key all other columns decide, but for maps."""
+    order = [key, *[n for n, kind in df.dtypes if n != key and not kind.startswith("map")]]
+    return cut.first_rows(df, order, rows, one_task_rows)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -77,16 +76,21 @@ def typed(name: str, kind: T.DataType) -> Column:
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """Replace the table; the commit protocol keeps half-written output out of sight."""
-    if path.rstrip("/").lower().endswith(("_csv", ".csv")):
-        df.write.mode("overwrite").options(header=True, nullValue="").csv(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    """Replace the table as a whole; a write that fails leaves the old one as it was."""
+    csv = path.rstrip("/").lower().endswith(("_csv", ".csv"))
+
+    def write(place: str) -> None:
+        if csv:
+            df.write.options(header=True, nullValue="").csv(place)
+        else:
+            df.write.parquet(place)
+
+    replace(df.sparkSession, path, write)
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Small tables (metrics, thresholds) as one CSV file; only the finished rows go to one task."""
-    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+    """Small tables (metrics, thresholds) as one CSV file, replaced as a whole; only finished rows go to one task."""
+    replace(df.sparkSession, path, lambda place: df.repartition(1).write.option("header", True).csv(place))
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:

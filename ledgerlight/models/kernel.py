@@ -7,7 +7,7 @@ so a linear model on z stands in for a kernel machine, whose kernel matrix could
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -19,11 +19,11 @@ from ledgerlight.operators.quantiles import exact_quantiles
 DIMENSIONS = 256
 SCORE_BINS = 1024
 ONE_CLASS_STEPS = 200
-ONE_CLASS_PATIENCE = 10
-ONE_CLASS_TOLERANCE = 1e-3
+ONE_CLASS_GAP = 5e-3
+ONE_CLASS_ROUNDING = 0.05
 KERNEL_ITERATIONS = 200
 KERNEL_TOLERANCE = 1e-4
-STEP_SIZES = (1.0, 0.5, 0.25, 0.1, 0.02)
+STEP_SIZES = (1.0, 0.5, 0.25, 0.1, 0.02, 0.004, 0.0008)
 MEMORY = 10
 ROUNDING = 0.1
 
@@ -78,20 +78,30 @@ class KernelModel:
         return decision(self.features.input())
 
 
-def fit_kernel(
-    df: DataFrame, columns: Sequence[str], label: str, c: float, weight: float, gamma: float,
-    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = KERNEL_ITERATIONS,
-) -> KernelModel:
-    return fit_kernel_many(df, columns, label, [(c, weight)], gamma, dimensions, seed, iterations)[0]
+@dataclass
+class _Fit:
+    """One fit's place, gradient and the steps that shape its next direction (limited-memory BFGS).
 
+    What it minimises over p is the mean of weighted rounded hinges max(0, base + a * (p . (z, 1))), plus a quadratic
+    penalty and a linear term. a is minus the sign of a row's class, or 1 for a one-class fit.
+    """
 
-class _Descent:
-    """One fit's place, gradient and the steps that shape its next direction (limited-memory BFGS)."""
-
-    def __init__(self, size: int, penalty: np.ndarray):
-        self.w, self.gradient, self.penalty = np.zeros(size), np.zeros(size), penalty
-        self.loss, self.steps, self.still = np.inf, 0, 0
-        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    features: FourierMap
+    base: float
+    rounding: float
+    divisor: float
+    penalty: np.ndarray
+    linear: np.ndarray
+    p: np.ndarray
+    weight: float = 1.0
+    one_class: bool = False
+    member: str | None = None
+    gradient: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    loss: float = np.inf
+    steps: int = 0
+    still: int = 0
+    scale: float = 1.0
+    pairs: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def direction(self) -> np.ndarray:
         q, used = self.gradient.copy(), []
@@ -103,166 +113,255 @@ class _Descent:
             s, y = self.pairs[-1]
             q *= (s @ y) / (y @ y)
         else:
-            q /= max(np.linalg.norm(q), 1.0)
+            q *= self.scale / max(np.linalg.norm(q), 1.0)
         for (s, y), a in zip(self.pairs, reversed(used)):
             q += s * (a - (y @ q) / (y @ s))
         return -q
 
-    def move(self, w: np.ndarray, loss: float, gradient: np.ndarray) -> None:
-        s, y = w - self.w, gradient - self.gradient
+    def whole(self, points: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """The objective at each point, from the sums of hinges there."""
+        return sums / self.divisor + 0.5 * (self.penalty * points * points).sum(axis=1) + points @ self.linear
+
+    def slope(self, point: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        return sums / self.divisor + self.penalty * point + self.linear
+
+    def move(self, point: np.ndarray, loss: float, gradient: np.ndarray) -> None:
+        s, y = point - self.p, gradient - self.gradient
         if s @ y > 1e-12 * (y @ y):
             self.pairs = [*self.pairs[1 - MEMORY:], (s, y)]
+            # a fit that starts over goes as far as the curvature of its last step allows
+            self.scale = min(1.0, 4 * (s @ y) / (y @ y))
         self.still = self.still + 1 if self.loss - loss <= KERNEL_TOLERANCE * abs(loss) else 0
-        self.w, self.loss, self.gradient, self.steps = w, loss, gradient, self.steps + 1
+        self.p, self.loss, self.gradient, self.steps = point, loss, gradient, self.steps + 1
 
 
-def fit_kernel_many(
-    df: DataFrame, columns: Sequence[str], label: str, settings: Sequence[tuple[float, float]], gamma: float,
-    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = KERNEL_ITERATIONS,
-) -> list[KernelModel]:
-    """Weighted hinge loss with the L2 penalty 1 / (C * rows) per row, for each (C, weight of positives).
+def _step_all(data: DataFrame, fits: Sequence[_Fit], moving: Sequence[int]) -> tuple[list[int], dict[int, tuple]]:
+    """One step of each moving fit: a pass that tries several step sizes, and one more for gradients at shorter ones.
 
-    All fits share one map and its passes. The hinge is rounded off within ROUNDING of its corner, so that
-    quasi-Newton steps apply. One pass tries several step sizes of every fit and brings the gradient at the full step,
-    which mostly is the one taken. A fit ends when its loss has gained less than KERNEL_TOLERANCE of itself three
-    times running; one that hits the iterations says that it has not converged.
+    Returns the fits that no step improves, and for the others (sum of unrounded hinges, sum of slope-weighted
+    (z, 1)) at their new places.
     """
-    features = FourierMap.draw(columns, gamma, dimensions, seed)
-    data = df.select(
-        *[F.col(f"`{n}`").cast("double").alias(n) for n in columns], F.col(label).cast("double").alias("_target"),
-    )
-    rows = max(data.count(), 1)
-    fits = [_Descent(dimensions + 1, np.append(np.full(dimensions, 1.0 / (c * rows)), 0.0)) for c, _ in settings]
-    weights = [weight for _, weight in settings]
-
-    def evaluated(chosen: Sequence[int], tries: Sequence[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Losses at every try of each fit, and the gradient at its first."""
-        losses, gradients = _hinge_pass(data, features, tries, [weights[k] for k in chosen])
-        out = []
-        for k, points, sums, g in zip(chosen, tries, losses, gradients):
-            penalty = fits[k].penalty
-            out.append((sums / rows + 0.5 * (penalty * points * points).sum(axis=1), g / rows + penalty * points[0]))
-        return [o[0] for o in out], [o[1] for o in out]
-
-    everything = list(range(len(fits)))
-    for k, loss, gradient in zip(everything, *evaluated(everything, [f.w[None] for f in fits])):
-        fits[k].loss, fits[k].gradient = float(loss[0]), gradient
-    moving = everything
-    for _ in range(iterations):
-        tries = [fits[k].w + np.outer(STEP_SIZES, fits[k].direction()) for k in moving]
-        losses, gradients = evaluated(moving, tries)
-        short, ended = [], []
-        for k, points, loss, gradient in zip(moving, tries, losses, gradients):
-            best = int(np.argmin(loss))
-            if loss[best] >= fits[k].loss:
-                # no step gains: start over along the gradient once, then stop
-                if not fits[k].pairs:
-                    ended.append(k)
-                fits[k].pairs = []
-            elif best == 0:
-                fits[k].move(points[0], float(loss[0]), gradient)
-            else:
-                short.append((k, points[best]))
-        if short:
-            at, places = [k for k, _ in short], [w for _, w in short]
-            for k, w, loss, gradient in zip(at, places, *evaluated(at, [w[None] for w in places])):
-                fits[k].move(w, float(loss[0]), gradient)
-        moving = [k for k in moving if k not in ended and fits[k].still < 3]
-        if not moving:
-            break
-    return [
-        KernelModel(features, f.w[:-1], float(f.w[-1]), converged=k not in moving, steps=f.steps) for k, f in enumerate(fits)
-    ]
+    tries = {k: fits[k].p + np.outer(STEP_SIZES, fits[k].direction()) for k in moving}
+    short, stuck, exact = {}, [], {}
+    for k, (sums, hinges, slopes) in zip(moving, _hinge_pass(data, [fits[k] for k in moving], [tries[k] for k in moving])):
+        losses = fits[k].whole(tries[k], sums)
+        best = int(np.argmin(losses))
+        if not losses[best] < fits[k].loss:
+            stuck.append(k)
+        elif best == 0:
+            fits[k].move(tries[k][0], float(losses[0]), fits[k].slope(tries[k][0], slopes))
+            exact[k] = hinges, slopes
+        else:
+            short[k] = tries[k][best][None]
+    if short:
+        for k, (sums, hinges, slopes) in zip(short, _hinge_pass(data, [fits[k] for k in short], list(short.values()))):
+            point = short[k][0]
+            fits[k].move(point, float(fits[k].whole(short[k], sums)[0]), fits[k].slope(point, slopes))
+            exact[k] = hinges, slopes
+    return stuck, exact
+
+
+def _start(data: DataFrame, fits: Sequence[_Fit], chosen: Sequence[int]) -> dict[int, tuple]:
+    """Loss and gradient at the fits' present places."""
+    exact = {}
+    for k, (sums, hinges, slopes) in zip(chosen, _hinge_pass(data, [fits[k] for k in chosen], [fits[k].p[None] for k in chosen])):
+        fits[k].loss = float(fits[k].whole(fits[k].p[None], sums)[0])
+        fits[k].gradient, fits[k].still = fits[k].slope(fits[k].p, slopes), 0
+        exact[k] = hinges, slopes
+    return exact
 
 
 def _hinge_pass(
-    data: DataFrame, features: FourierMap, tries: Sequence[np.ndarray], weights: Sequence[float],
-) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Sums over all rows: for each fit the weighted loss at every try, and the gradient at its first try."""
-    names, size = list(features.columns), tries[0].shape[1]
-    points = np.concatenate(tries).T
-    owner = np.repeat(np.arange(len(tries)), [len(t) for t in tries])
-    first = np.searchsorted(owner, np.arange(len(tries)))
-    length = points.shape[1] + len(tries) * size
+    data: DataFrame, fits: Sequence[_Fit], tries: Sequence[np.ndarray],
+) -> list[tuple[np.ndarray, float, np.ndarray]]:
+    """Sums over the rows of each fit: rounded hinges at every try; at the first the hinges as they are, and
+    slope times (z, 1). Fits with the same map share its z and one product.
+    """
+    names, size = list(fits[0].features.columns), tries[0].shape[1]
+    maps: list[FourierMap] = []
+    for f in fits:
+        if not any(f.features is m for m in maps):
+            maps.append(f.features)
+    groups = [[k for k, f in enumerate(fits) if f.features is m] for m in maps]
+    products = [np.concatenate([tries[k] for k in group]).T for group in groups]
+    counts = [len(t) for t in tries]
+    starts = np.concatenate([[0], np.cumsum([c + 1 + size for c in counts])])
+    settings = [(f.base, f.rounding, f.weight, f.one_class, f.member) for f in fits]
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(length)
+        total = np.zeros(starts[-1])
         for batch in batches:
-            z = np.column_stack([features.z(batch[names].to_numpy(dtype=float)), np.ones(len(batch))])
+            x = batch[names].to_numpy(dtype=float)
             sign = np.where(batch["_target"].to_numpy() > 0, 1.0, -1.0)
-            gap = 1.0 - sign[:, None] * (z @ points)
-            round_ = np.abs(gap) < ROUNDING
-            loss = np.where(round_, (gap + ROUNDING) ** 2 / (4 * ROUNDING), np.maximum(gap, 0.0))
-            each = np.where(sign[:, None] > 0, np.asarray(weights)[None], 1.0)
-            total[: points.shape[1]] += (each[:, owner] * loss).sum(axis=0)
-            slope = np.where(round_[:, first], (gap[:, first] + ROUNDING) / (2 * ROUNDING), (gap[:, first] > 0) * 1.0)
-            total[points.shape[1] :] += (-(each * sign[:, None] * slope).T @ z).ravel()
-        yield pd.DataFrame({"i": np.arange(length, dtype=np.int32), "v": total})
+            for features, group, points in zip(maps, groups, products):
+                z = np.column_stack([features.z(x), np.ones(len(x))])
+                values, at = z @ points, 0
+                for k in group:
+                    base, rounding, weight, one_class, member = settings[k]
+                    a = np.ones(len(x)) if one_class else -sign
+                    each = np.where(sign > 0, weight, 1.0) if not one_class else np.ones(len(x))
+                    if member is not None:
+                        each = each * batch[member].to_numpy(dtype=float)
+                    gap = base + a[:, None] * values[:, at : at + counts[k]]
+                    near = np.abs(gap) < rounding
+                    loss = np.where(near, (gap + rounding) ** 2 / (4 * rounding), np.maximum(gap, 0.0))
+                    slope = np.where(near[:, 0], (gap[:, 0] + rounding) / (2 * rounding), (gap[:, 0] > 0) * 1.0)
+                    mine = total[starts[k] : starts[k + 1]]
+                    mine[: counts[k]] += each @ loss
+                    mine[counts[k]] += each @ np.maximum(gap[:, 0], 0.0)
+                    mine[counts[k] + 1 :] += (each * a * slope) @ z
+                    at += counts[k]
+        yield pd.DataFrame({"i": np.arange(len(total), dtype=np.int32), "v": total})
 
     found = data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    result = np.zeros(length)
+    result = np.zeros(starts[-1])
     for row in found:
         result[row["i"]] = row["v"]
-    losses = [result[: points.shape[1]][owner == k] for k in range(len(tries))]
-    return losses, list(result[points.shape[1] :].reshape(len(tries), size))
+    parts = [result[a:b] for a, b in zip(starts, starts[1:])]
+    return [(part[:c], float(part[c]), part[c + 1 :]) for part, c in zip(parts, counts)]
+
+
+def _numbers(df: DataFrame, columns: Sequence[str], label: str | None, members: Sequence[str | None]) -> DataFrame:
+    kept = [F.col(f"`{m}`").cast("double").alias(m) for m in dict.fromkeys(m for m in members if m is not None)]
+    target = F.lit(0.0) if label is None else F.col(label).cast("double")
+    return df.select(*[F.col(f"`{n}`").cast("double").alias(n) for n in columns], target.alias("_target"), *kept)
+
+
+def member_counts(data: DataFrame, members: Sequence[str | None]) -> list[int]:
+    """Rows of each member column, all rows for None; one aggregate."""
+    distinct = list(dict.fromkeys(members))
+    counted = [F.count(F.lit(1)) if m is None else F.count_if(F.col(f"`{m}`") == 1) for m in distinct]
+    return [dict(zip(distinct, data.agg(*counted).first()))[m] for m in members]
+
+
+def fit_kernel(
+    df: DataFrame, columns: Sequence[str], label: str, c: float, weight: float, gamma: float,
+    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = KERNEL_ITERATIONS,
+) -> KernelModel:
+    return fit_kernel_many(df, columns, label, [(c, weight)], [gamma], dimensions, seed, iterations)[0]
+
+
+def fit_kernel_many(
+    df: DataFrame, columns: Sequence[str], label: str, settings: Sequence[tuple[float, float]], gammas: Sequence[float],
+    dimensions: int = DIMENSIONS, seed: int = 42, iterations: int = KERNEL_ITERATIONS,
+    members: Sequence[str | None] | None = None,
+) -> list[KernelModel]:
+    """Weighted hinge loss with the L2 penalty 1 / (C * rows) per row, for each (C, weight of positives), its gamma
+    and the flag column that says which rows it learns from.
+
+    All fits share their passes. The hinge is rounded off within ROUNDING of its corner, so that quasi-Newton steps
+    apply. One pass tries several step sizes of every fit and brings the gradient at the full step, which mostly is the
+    one taken. A fit ends when its loss has gained less than KERNEL_TOLERANCE of itself three times running; one that
+    hits the iterations says that it has not converged.
+    """
+    members = list(members or [None] * len(settings))
+    data = _numbers(df, columns, label, members)
+    maps = {g: FourierMap.draw(columns, g, dimensions, seed) for g in dict.fromkeys(gammas)}
+    fits = []
+    for (c, weight), gamma, member, rows in zip(settings, gammas, members, member_counts(data, members)):
+        rows = max(rows, 1)
+        penalty = np.append(np.full(dimensions, 1.0 / (c * rows)), 0.0)
+        zero = np.zeros(dimensions + 1)
+        fits.append(_Fit(maps[gamma], 1.0, ROUNDING, rows, penalty, zero, zero, weight, member=member))
+    moving = list(range(len(fits)))
+    _start(data, fits, moving)
+    for _ in range(iterations):
+        stuck, _ = _step_all(data, fits, moving)
+        # no step gains: start over along the gradient once, then stop
+        ended = [k for k in stuck if not fits[k].pairs]
+        for k in stuck:
+            fits[k].pairs = []
+        moving = [k for k in moving if k not in ended and fits[k].still < 3]
+        if not moving:
+            break
+    return [
+        KernelModel(f.features, f.p[:-1], float(f.p[-1]), converged=k not in moving, steps=f.steps)
+        for k, f in enumerate(fits)
+    ]
 
 
 def fit_one_class(
     normal: DataFrame, columns: Sequence[str], nu: float, gamma: float,
     dimensions: int = DIMENSIONS, seed: int = 42, steps: int = ONE_CLASS_STEPS,
 ) -> KernelModel:
-    return fit_one_class_many(normal, columns, [nu], gamma, dimensions, seed, steps)[0]
+    return fit_one_class_many(normal, columns, [nu], [gamma], dimensions, seed, steps)[0]
 
 
 def fit_one_class_many(
-    normal: DataFrame, columns: Sequence[str], nus: Sequence[float], gamma: float,
+    normal: DataFrame, columns: Sequence[str], nus: Sequence[float], gammas: Sequence[float],
     dimensions: int = DIMENSIONS, seed: int = 42, steps: int = ONE_CLASS_STEPS,
 ) -> list[KernelModel]:
-    """One-class SVM on normal rows: min |w|^2 / 2 - rho + sum(max(0, rho - w.z)) / (nu * n), for each nu.
-
-    Starts at the mean of z, the solution for nu = 1 (Schoelkopf et al., 2001), and takes
-    subgradient steps, each one pass for all nus, whose z is the same: tasks return a histogram of w.z, from which
-    rho follows as the nu-quantile, the sum of z over the rows that lie below the last rho, and their
-    shortfall, which gives the objective. A fit ends when its best objective gains no more than
-    ONE_CLASS_TOLERANCE of itself over ONE_CLASS_PATIENCE steps; one that hits the limit says so. The final rho is
-    an exact quantile. Scores are rho - w.z: positive for anomalies.
+    """One-class SVM on normal rows: min |w|^2 / 2 - rho + sum(max(0, rho - w.z)) / (nu * n), for each (nu, gamma).
+
+    w and rho are sought together by quasi-Newton steps on the objective whose hinge is rounded off; all fits share
+    their passes. They start at the mean of z, the solution for nu = 1 (Schoelkopf et al., 2001), and at its nu-quantile.
+    The slopes of the hinges, brought into the bounds of the dual problem, give a lower bound of the optimum. A fit
+    ends when its objective, not rounded, is within ONE_CLASS_GAP of it; while steps gain too little before that, the
+    rounding shrinks. One that hits the limit of steps says so. The final rho is an exact quantile, so that nu of the
+    rows are flagged. Scores are rho - w.z: positive for anomalies.
     """
-    features = FourierMap.draw(columns, gamma, dimensions, seed)
-    data = normal.select(*[F.col(f"`{n}`").cast("double").alias(n) for n in columns])
-    [(rows, mean, _, _)] = _pass(data, features, [(np.zeros(dimensions), np.inf)])
-    start = mean / max(rows, 1)
-    [(_, _, bins, _)] = _pass(data, features, [(start, -np.inf)])
-    w = {nu: start for nu in nus}
-    rho = {nu: _bin_quantile(bins, nu, start) for nu in nus}
-    average = {nu: np.zeros(dimensions) for nu in nus}
-    best: dict[float, list[float]] = {nu: [] for nu in nus}
-    taken = dict.fromkeys(nus, 0)
-    moving = list(nus)
-    for step in range(steps):
-        found = _pass(data, features, [(w[nu], rho[nu]) for nu in moving])
-        for nu, (_, below, bins, shortfall) in zip(list(moving), found):
-            value = float(w[nu] @ w[nu]) / 2 - rho[nu] + shortfall / (nu * rows)
-            best[nu].append(min([value, *best[nu][-1:]]))
-            old = w[nu]
-            w[nu] = old - (old - below / (nu * rows)) / (step + 2.0)
-            average[nu] = average[nu] + (w[nu] - average[nu]) * 2.0 / (step + 2.0)
-            # the histogram belongs to the step before: rho lags by one pass instead of costing one
-            rho[nu] = _bin_quantile(bins, nu, w[nu])
-            taken[nu] = step + 1
-            past = best[nu][-1 - ONE_CLASS_PATIENCE:]
-            if len(past) > ONE_CLASS_PATIENCE and past[0] - past[-1] <= ONE_CLASS_TOLERANCE * abs(past[-1]):
-                moving.remove(nu)
+    data = _numbers(normal, columns, None, [])
+    maps = {g: FourierMap.draw(columns, g, dimensions, seed) for g in dict.fromkeys(gammas)}
+    rows, means = _means(data, list(maps.values()))
+    means = dict(zip(maps, means))
+    spread = dict(zip(maps, _histograms(data, [(maps[g], means[g]) for g in maps])))
+    flip = np.append(-np.ones(dimensions), 1.0)
+    fits = []
+    for nu, gamma in zip(nus, gammas):
+        mean = means[gamma]
+        rho = _bin_quantile(spread[gamma], nu, mean)
+        fits.append(_Fit(
+            maps[gamma], 0.0, ONE_CLASS_ROUNDING * max(float(mean @ mean), 1e-9), nu * rows,
+            np.append(np.ones(dimensions), 0.0), np.append(np.zeros(dimensions), -1.0), np.append(-mean, rho),
+            one_class=True,
+        ))
+    moving = list(range(len(fits)))
+    exact = _start(data, fits, moving)
+    gaps = {k: _gap(fits[k], nus[k], means[gammas[k]], *exact[k]) for k in moving}
+    # the best place a fit has seen, by its objective as it is
+    best = {k: (gaps[k][0], fits[k].p) for k in moving}
+    for _ in range(steps):
+        moving = [k for k in moving if gaps[k][1] > ONE_CLASS_GAP * abs(best[k][0])]
         if not moving:
             break
-    raw = [KernelModel(features, average[nu], 0.0) for nu in nus]
-    scored = data.select(*[m.score().alias(f"value{i}") for i, m in enumerate(raw)])
-    cuts = exact_quantiles(scored, scored.columns, list(nus))
+        stuck, exact = _step_all(data, fits, moving)
+        for k, found in exact.items():
+            value, _ = gaps[k] = _gap(fits[k], nus[k], means[gammas[k]], *found)
+            if value < best[k][0]:
+                best[k] = value, fits[k].p
+        tight = [k for k in moving if (k in stuck and not fits[k].pairs) or fits[k].still >= 3]
+        for k in stuck:
+            fits[k].pairs = []
+        if tight:
+            for k in tight:
+                fits[k].rounding /= 2
+            _start(data, fits, tight)
+    else:
+        moving = [k for k in moving if gaps[k][1] > ONE_CLASS_GAP * abs(best[k][0])]
+    weights = [(flip * best[k][1])[:-1] for k in range(len(fits))]
+    raw = [KernelModel(f.features, w, 0.0) for f, w in zip(fits, weights)]
+    scored = data.select(*[m.score().alias(f"value{k}") for k, m in enumerate(raw)])
+    cuts = exact_quantiles(scored, scored.columns, list(dict.fromkeys(nus)))
+    place = {nu: i for i, nu in enumerate(dict.fromkeys(nus))}
     return [
-        KernelModel(features, average[nu], -float(cuts[f"value{i}"][i]), -1.0, nu not in moving, taken[nu])
-        for i, nu in enumerate(nus)
+        KernelModel(f.features, w, -float(cuts[f"value{k}"][place[nus[k]]]), -1.0, k not in moving, f.steps)
+        for k, (f, w) in enumerate(zip(fits, weights))
     ]
 
 
+def _gap(fit: _Fit, nu: float, mean: np.ndarray, hinges: float, slopes: np.ndarray) -> tuple[float, float]:
+    """The objective as it is, and how far above a lower bound of the optimum it lies.
+
+    The dual problem is min |sum a_i z_i|^2 / 2 over weights of at most 1 / (nu n) that add up to 1. The slopes do not
+    quite add up; they are scaled down, or mixed with equal weights as far as the bound allows.
+    """
+    w, total = -fit.p[:-1], slopes[-1] / fit.divisor
+    value = 0.5 * float(w @ w) - float(fit.p[-1]) + hinges / fit.divisor
+    share = 1.0 / total if total >= 1.0 else (1.0 - nu) / (1.0 - nu * total)
+    centre = share * slopes[:-1] / fit.divisor + (1.0 - share * total) * mean
+    return value, value + 0.5 * float(centre @ centre)
+
+
 def _span(w: np.ndarray) -> float:
     """Bound on |w.z|, as |z| is at most sqrt(2)."""
     return float(np.linalg.norm(w)) * np.sqrt(2.0) + 1e-12
@@ -274,32 +373,41 @@ def _bin_quantile(bins: np.ndarray, nu: float, w: np.ndarray) -> float:
     return -_span(w) + (place + 0.5) * 2.0 * _span(w) / SCORE_BINS
 
 
-def _pass(
-    data: DataFrame, features: FourierMap, points: Sequence[tuple[np.ndarray, float]],
-) -> list[tuple[float, np.ndarray, np.ndarray, float]]:
-    """For each (w, rho): row count, sum of z over rows with w.z < rho, a histogram of w.z, the shortfall sum."""
-    dimensions = len(points[0][0])
-    length = 2 + dimensions + SCORE_BINS
-    spans = [_span(w) for w, _ in points]
-
+def _summed(data: DataFrame, work, length: int) -> np.ndarray:
+    """The sum over all rows of what work makes of a matrix of them."""
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((len(points), length))
+        total = np.zeros(length)
         for batch in batches:
-            z = features.z(batch.to_numpy(dtype=float))
-            for k, ((w, rho), span) in enumerate(zip(points, spans)):
-                value = z @ w
-                low = value < rho
-                total[k, 0] += len(z)
-                total[k, 1] += (rho - value[low]).sum() if np.isfinite(rho) else 0.0
-                total[k, 2 : 2 + dimensions] += low @ z
-                slot = np.clip(((value + span) / (2.0 * span) * SCORE_BINS).astype(int), 0, SCORE_BINS - 1)
-                total[k, 2 + dimensions :] += np.bincount(slot, minlength=SCORE_BINS)
-        flat = total.ravel()
-        kept = np.flatnonzero(flat)
-        yield pd.DataFrame({"i": kept.astype(np.int32), "v": flat[kept]})
-
-    rows = data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    result = np.zeros((len(points), length))
-    for row in rows:
-        result.flat[row["i"]] = row["v"]
-    return [(r[0], r[2 : 2 + dimensions], r[2 + dimensions :], r[1]) for r in result]
+            total += work(batch.to_numpy(dtype=float))
+        kept = np.flatnonzero(total)
+        yield pd.DataFrame({"i": kept.astype(np.int32), "v": total[kept]})
+
+    result = np.zeros(length)
+    for row in data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        result[row["i"]] = row["v"]
+    return result
+
+
+def _means(data: DataFrame, maps: Sequence[FourierMap]) -> tuple[int, list[np.ndarray]]:
+    """Row count and the mean of z by each map."""
+    sizes = [len(m.phases) for m in maps]
+
+    def work(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([[len(x)], *[m.z(x).sum(axis=0) for m in maps]])
+
+    found = _summed(data.select(*maps[0].columns), work, 1 + sum(sizes))
+    rows = max(int(found[0]), 1)
+    return rows, [part / rows for part in np.split(found[1:], np.cumsum(sizes)[:-1])]
+
+
+def _histograms(data: DataFrame, points: Sequence[tuple[FourierMap, np.ndarray]]) -> list[np.ndarray]:
+    """How the values w.z are spread over SCORE_BINS bins, for each map and w."""
+    def work(x: np.ndarray) -> np.ndarray:
+        counted = []
+        for features, w in points:
+            place = (features.z(x) @ w + _span(w)) / (2.0 * _span(w)) * SCORE_BINS
+            counted.append(np.bincount(np.clip(place.astype(int), 0, SCORE_BINS - 1), minlength=SCORE_BINS))
+        return np.concatenate(counted).astype(float)
+
+    found = _summed(data.select(*points[0][0].columns), work, SCORE_BINS * len(points))
+    return np.split(found, len(points))

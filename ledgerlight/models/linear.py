@@ -33,11 +33,14 @@ class LinearModel:
 
 @dataclass(frozen=True)
 class Setting:
-    """What one fit differs in: the loss, the L2 penalty per row and the weight of positives."""
+    """What one fit differs in: the loss, the L2 penalty per row, the weight of positives, and the flag column that
+    says which rows it learns from (all rows if none).
+    """
 
     loss: str
     alpha: float
     weight: float
+    member: str | None = None
 
 
 def class_weight(label: str, weight: float) -> Column:
@@ -68,8 +71,13 @@ def fit_linear(df: DataFrame, columns: Sequence[str], label: str, settings: Sequ
     """
     columns = list(columns)
     size = len(columns) + 1
-    data = df.select(*columns, F.col(label).cast("double").alias("_target"))
-    rows = max(data.count(), 1)
+    members = list(dict.fromkeys(s.member for s in settings if s.member is not None))
+    data = df.select(
+        *columns, F.col(label).cast("double").alias("_target"), *[F.col(m).cast("double").alias(m) for m in members],
+    )
+    counted = data.agg(F.count(F.lit(1)), *[F.sum(m) for m in members]).first()
+    sizes = {name: max(int(n or 0), 1) for name, n in zip([None, *members], counted)}
+    rows = [sizes[s.member] for s in settings]
     penalties = [np.append(np.full(size - 1, s.alpha), 0.0) for s in settings]
     w = [np.zeros(size) for _ in settings]
     converged, steps = [False] * len(settings), [0] * len(settings)
@@ -78,9 +86,9 @@ def fit_linear(df: DataFrame, columns: Sequence[str], label: str, settings: Sequ
         sums = _derivatives(data, columns, [settings[k] for k in moving], np.stack([w[k] for k in moving], axis=1))
         losses, directions = {}, {}
         for k, part in zip(list(moving), sums):
-            losses[k] = part[0] / rows + 0.5 * float(penalties[k] @ (w[k] * w[k]))
-            gradient = part[1 : 1 + size] / rows + penalties[k] * w[k]
-            hessian = part[1 + size :].reshape(size, size) / rows + np.diag(penalties[k] + 1e-9)
+            losses[k] = part[0] / rows[k] + 0.5 * float(penalties[k] @ (w[k] * w[k]))
+            gradient = part[1 : 1 + size] / rows[k] + penalties[k] * w[k]
+            hessian = part[1 + size :].reshape(size, size) / rows[k] + np.diag(penalties[k] + 1e-9)
             if np.linalg.norm(gradient) <= 1e-6 * max(1.0, np.linalg.norm(w[k])):
                 converged[k] = True
                 moving.remove(k)
@@ -90,9 +98,9 @@ def fit_linear(df: DataFrame, columns: Sequence[str], label: str, settings: Sequ
             break
         tries = {k: np.stack([w[k] - step * directions[k] for step in STEP_SIZES], axis=1) for k in moving}
         repeated = [settings[k] for k in moving for _ in STEP_SIZES]
-        tried = _losses(data, columns, repeated, np.concatenate([tries[k] for k in moving], axis=1)) / rows
+        tried = _losses(data, columns, repeated, np.concatenate([tries[k] for k in moving], axis=1))
         for place, k in enumerate(list(moving)):
-            found = tried[place * len(STEP_SIZES) : (place + 1) * len(STEP_SIZES)]
+            found = tried[place * len(STEP_SIZES) : (place + 1) * len(STEP_SIZES)] / rows[k]
             found = found + 0.5 * (penalties[k][:, None] * tries[k] * tries[k]).sum(axis=0)
             best = int(np.argmin(found))
             if found[best] >= losses[k] - 1e-10 * abs(losses[k]):
@@ -118,6 +126,11 @@ def _terms(loss: str, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return value, np.where(near, -2.0 * (1.0 - margin), np.where(margin < -1.0, -4.0, 0.0)), 2.0 * near
 
 
+def _weights(batch: pd.DataFrame, sign: np.ndarray, setting: Setting) -> np.ndarray:
+    each = np.where(sign > 0, setting.weight, 1.0)
+    return each if setting.member is None else each * batch[setting.member].to_numpy(dtype=float)
+
+
 def _rows(batch: pd.DataFrame, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Values with a column of ones, and the class as a sign."""
     x = np.column_stack([batch[columns].to_numpy(dtype=float), np.ones(len(batch))])
@@ -134,7 +147,7 @@ def _derivatives(data: DataFrame, columns: list[str], settings: Sequence[Setting
         for batch in batches:
             x, sign = _rows(batch, columns)
             for k, setting in enumerate(settings):
-                each = np.where(sign > 0, setting.weight, 1.0)
+                each = _weights(batch, sign, setting)
                 value, slope, bend = _terms(setting.loss, sign * (x @ points[:, k]))
                 total[k, 0] += each @ value
                 total[k, 1 : 1 + size] += (each * sign * slope) @ x
@@ -152,7 +165,7 @@ def _losses(data: DataFrame, columns: list[str], settings: Sequence[Setting], po
             x, sign = _rows(batch, columns)
             margins = sign[:, None] * (x @ points)
             for k, setting in enumerate(settings):
-                each = np.where(sign > 0, setting.weight, 1.0)
+                each = _weights(batch, sign, setting)
                 total[k] += each @ _terms(setting.loss, margins[:, k])[0]
         yield pd.DataFrame({"i": np.arange(len(total), dtype=np.int32), "v": total})
 

@@ -83,32 +83,32 @@ def fit(kind: str, table: FeatureTable, params: dict, seed: int = SEED) -> Linea
 
 
 def fit_all(
-    kind: str, table: FeatureTable, points: Sequence[dict], seed: int = SEED
+    kind: str, table: FeatureTable, points: Sequence[dict], seed: int = SEED, members: Sequence[str | None] | None = None,
 ) -> list[LinearModel | KernelModel]:
-    """One model per point on exactly the rows given, in passes that the points share.
+    """One model per point on exactly the rows given, in passes that all points share.
 
-    The rows are read many times, so they are kept while fitting.
+    ``members`` names, for each point, a flag column of the table: its rows are those where it holds. The rows
+    are read many times, so they are kept while fitting.
     """
+    members = list(members or [None] * len(points))
     rows = table.df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if kind == LINEAR:
-            settings = [Setting(p["loss"], p["alpha"], p["fraud_weight"]) for p in points]
+            settings = [Setting(p["loss"], p["alpha"], p["fraud_weight"], m) for p, m in zip(points, members)]
             return fit_linear(rows, table.columns, table.label, settings)
-        scale = None
-        models: dict[int, KernelModel] = {}
-        for gamma in dict.fromkeys(p["gamma"] for p in points):
-            mine = [i for i, p in enumerate(points) if p["gamma"] == gamma]
-            if gamma == "scale" and scale is None:
-                scale = gamma_scale(rows, table.columns)
-            value = scale if gamma == "scale" else gamma
-            if kind == KERNEL:
-                settings = [(points[i]["C"], points[i]["fraud_weight"]) for i in mine]
-                models.update(zip(mine, fit_kernel_many(rows, table.columns, table.label, settings, value, seed=seed)))
-            else:
-                nus = list(dict.fromkeys(points[i]["nu"] for i in mine))
-                found = dict(zip(nus, fit_one_class_many(rows, table.columns, nus, value, seed=seed)))
-                models.update((i, found[points[i]["nu"]]) for i in mine)
-        return [models[i] for i in range(len(points))]
+        scales = {
+            m: gamma_scale(rows if m is None else rows.where(m), table.columns)
+            for m in dict.fromkeys(m for p, m in zip(points, members) if p["gamma"] == "scale")
+        }
+        gammas = [scales[m] if p["gamma"] == "scale" else p["gamma"] for p, m in zip(points, members)]
+        if kind == KERNEL:
+            settings = [(p["C"], p["fraud_weight"]) for p in points]
+            return fit_kernel_many(rows, table.columns, table.label, settings, gammas, seed=seed, members=members)
+        # equal points are fitted once
+        wanted = [(p["nu"], g) for p, g in zip(points, gammas)]
+        distinct = list(dict.fromkeys(wanted))
+        found = fit_one_class_many(rows, table.columns, [nu for nu, _ in distinct], [g for _, g in distinct], seed=seed)
+        return [dict(zip(distinct, found))[w] for w in wanted]
     finally:
         rows.unpersist()
 
@@ -136,24 +136,26 @@ def tune(
     models, fitted_on = _fit_grid(kind, table.with_rows(train), grid, seed)
     # all points score the validation rows in one pass, and share the passes that find the thresholds
     names = [f"score{i}" for i in range(len(grid))]
-    scores = valid.select(
-        table.key, table.label, F.lit(0.0).alias("amt"), *[m.score().alias(n) for n, m in zip(names, models)]
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
+    scores = valid.select(table.key, table.label, *[m.score().alias(n) for n, m in zip(names, models)])
+    scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quantiles = exact_quantiles(scores, names, grid_points(TRAIN_GRID_POINTS, *GRID_SPAN))
-        for params, name, model, counts in zip(grid, names, models, fitted_on):
-            scored = ev.Scored(scores, table.label, score=name, key=table.key)
-            report = ev.training_report(scored, ev.with_zero(quantiles[name]))
-            best = ev.select_threshold(report).withColumn(
-                "selection", selection_score(F.col("recall"), F.col("false_positive_rate"), F.col("precision"))
-            ).first()
-            result = {**params, "fit_rows": sum(counts.values()), **best.asDict(), "converged": model.converged}
-            if kind != ONE_CLASS:
-                result["fit_fraud_rows"] = counts[True]
-            results.append(result)
+        reports = ev.training_reports(
+            ev.Scored(scores, table.label, key=table.key), names, [ev.with_zero(quantiles[n]) for n in names],
+        )
+        chosen = ev.select_thresholds(reports, "point").withColumn(
+            "selection", selection_score(F.col("recall"), F.col("false_positive_rate"), F.col("precision"))
+        )
+        best = {row["point"]: row.asDict() for row in chosen.collect()}
     finally:
         scores.unpersist()
+    results = []
+    for i, (params, model, counts) in enumerate(zip(grid, models, fitted_on)):
+        measures = {n: v for n, v in best[i].items() if n != "point"}
+        result = {**params, "fit_rows": sum(counts.values()), **measures, "converged": model.converged}
+        if kind != ONE_CLASS:
+            result["fit_fraud_rows"] = counts[True]
+        results.append(result)
     winner = max(range(len(results)), key=lambda i: (results[i]["selection"], -i))
     return grid[winner], results[winner]["threshold"], results
 
@@ -161,21 +163,18 @@ def tune(
 def _fit_grid(
     kind: str, table: FeatureTable, grid: Sequence[dict], seed: int
 ) -> tuple[list[LinearModel | KernelModel], list[dict[bool, int]]]:
-    """A model for every point, and the class counts of the rows it learned from. Rows are cut and counted once
-    for all points that learn from the same ones.
+    """A model for every point, and the class counts of the rows it learned from. Rows are counted and cut for all
+    points at once; a flag per ratio says which of them a point learns from.
     """
     counts = sampling.class_counts(table.df, table.label)
-    models: dict[int, LinearModel | KernelModel] = {}
-    fitted_on: dict[int, dict[bool, int]] = {}
-    for ratio in dict.fromkeys(p.get("non_fraud_ratio") for p in grid):
-        mine = [i for i, p in enumerate(grid) if p.get("non_fraud_ratio") == ratio]
-        chosen = fit_rows(kind, table, grid[mine[0]], seed)
-        used = {True: 0, False: counts[False]} if kind == ONE_CLASS else {
-            True: counts[True], False: min(counts[False], ratio * counts[True])
-        }
-        models.update(zip(mine, fit_all(kind, chosen, [grid[i] for i in mine], seed)))
-        fitted_on.update((i, used) for i in mine)
-    return [models[i] for i in range(len(grid))], [fitted_on[i] for i in range(len(grid))]
+    if kind == ONE_CLASS:
+        return fit_all(kind, table.normal(), grid, seed), [{True: 0, False: counts[False]}] * len(grid)
+    ratios = {f"_ratio{r}": r for r in dict.fromkeys(p["non_fraud_ratio"] for p in grid)}
+    rows = sampling.with_undersamples(table.df, table.label, table.key, ratios, counts, seed)
+    members = [f"_ratio{p['non_fraud_ratio']}" for p in grid]
+    models = fit_all(kind, table.with_rows(rows), grid, seed, members)
+    used = [{True: counts[True], False: min(counts[False], p["non_fraud_ratio"] * counts[True])} for p in grid]
+    return models, used
 
 
 def fit_final(kind: str, table: FeatureTable, params: dict, threshold: float, seed: int = SEED) -> art.Artifact:

@@ -9,6 +9,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,8 +91,29 @@ def ranked_totals(ranked: DataFrame) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
-def ranked_scores(scored: Scored) -> DataFrame:
-    """One row per distinct score: positives and negatives at it, and at it or above."""
+def ranked_rows(scored: Scored) -> DataFrame:
+    """Every row with what is flagged, caught and captured down to it, the highest score first, ties by key.
+
+    One ranking that serves all curves; write it down if more than one of them is wanted.
+    """
+    loss = F.coalesce(F.when(F.col(scored.label), F.col(scored.amount)), F.lit(0.0))
+    slim = scored.df.select(
+        F.col(scored.key), scored.value().alias("score"), loss.alias("loss"), F.col(scored.label).cast("int").alias("positive"),
+    )
+    order = [F.desc("score"), F.desc(scored.key)]
+    return running_totals(slim, order, {"flagged": F.lit(1), "tp": "positive", "captured": "loss"}, scored.df.count())
+
+
+def ranked_scores(scored: Scored, ranking: DataFrame | None = None) -> DataFrame:
+    """One row per distinct score: positives and negatives at it, and at it or above.
+
+    ``ranking`` is what ranked_rows gave, if that has been worked out already; then nothing is sorted again.
+    """
+    if ranking is not None:
+        tp, flagged = F.max("tp"), F.max("flagged")
+        return ranking.groupBy("score").agg(
+            F.sum("positive").alias("pos"), F.sum(1 - F.col("positive")).alias("neg"), tp.alias("tp"), (flagged - tp).alias("fp"),
+        )
     truth = F.col(scored.label)
     grouped = scored.df.groupBy(scored.value().alias("score")).agg(
         F.count_if(truth).cast("bigint").alias("pos"), F.count_if(~truth).cast("bigint").alias("neg")
@@ -142,13 +164,13 @@ def roc_curve(scored: Scored, ranked: DataFrame | None = None) -> DataFrame:
     return points.unionByName(start)
 
 
-def loss_capture_curve(scored: Scored) -> DataFrame:
-    """Highest scores first: percent of rows flagged against percent of the positive amount captured."""
-    loss = F.coalesce(F.when(F.col(scored.label), F.col(scored.amount)), F.lit(0.0))
-    slim = scored.df.select(F.col(scored.key), scored.value().alias("score"), loss.alias("loss"))
-    ends = slim.agg(F.count("*").alias("rows"), F.sum("loss").alias("loss")).first()
-    order = [F.desc("score"), F.desc(scored.key)]
-    ranked = running_totals(slim, order, {"flagged": F.lit(1), "captured": "loss"}, ends["rows"])
+def loss_capture_curve(scored: Scored, ranking: DataFrame | None = None) -> DataFrame:
+    """Highest scores first: percent of rows flagged against percent of the positive amount captured.
+
+    ``ranking`` is what ranked_rows gave, if that has been worked out already.
+    """
+    ranked = ranked_rows(scored) if ranking is None else ranking
+    ends = ranked.agg(F.count("*").alias("rows"), F.sum("loss").alias("loss")).first()
     return ranked.select(
         scored.key,
         (F.col("flagged") * 100.0 / F.lit(float(ends["rows"]))).alias("flagged_percent"),
@@ -215,6 +237,54 @@ def training_report(scored: Scored, thresholds: Sequence[float] | None = None) -
     )
 
 
+def training_reports(scored: Scored, names: Sequence[str], thresholds: Sequence[Sequence[float]]) -> DataFrame:
+    """The training reports of many scores of the same rows, ``names`` being their columns: (point, ...) for each.
+
+    One aggregate counts all (score column, interval between thresholds) cells, and one ranking orders all
+    (score column, score) pairs; the number of jobs doesn't depend on the number of scores.
+    """
+    spark, truth, points = scored.df.sparkSession, F.col(scored.label), range(len(names))
+    values = [Scored(scored.df, scored.label, n, key=scored.key).value() for n in names]
+    wide = scored.df.select(truth.alias("truth"), *[v.alias(f"v{i}") for i, v in enumerate(values)])
+    pos, neg = F.count_if("truth").cast("bigint").alias("pos"), F.count_if(~F.col("truth")).cast("bigint").alias("neg")
+
+    each = F.array(*[F.struct(F.lit(i).alias("point"), F.col(f"v{i}").alias("score")) for i in points])
+    ties = wide.select("truth", F.inline(each)).groupBy("point", "score").agg(pos, neg)
+    totals = wide.agg(pos, neg).first()
+    rows = len(names) * sum(totals)
+    ranked = running_totals(ties, [F.asc("point"), F.desc("score")], {"tp": "pos", "fp": "neg"}, rows)
+    # every point before has ranked the same rows
+    own = {c: F.col(c) - F.col("point") * F.lit(n) for c, n in zip(("tp", "fp"), totals)}
+    step = F.col("pos") * F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")
+    area = F.col("neg") * (F.col("tp") - F.col("pos") / F.lit(2.0))
+    ranking = ranked.withColumns(own).groupBy("point").agg(F.sum(step).alias("steps"), F.sum(area).alias("area")).select(
+        "point",
+        ratio(F.col("steps"), F.lit(totals["pos"])).alias("average_precision"),
+        (F.col("area") / F.lit(float(totals["pos"]) * totals["neg"]) if totals["pos"] and totals["neg"] else
+         F.lit(None).cast("double")).alias("roc_auc"),
+    )
+
+    edges = [[-math.inf, *t, math.inf] for t in thresholds]
+    slotted = Bucketizer(
+        splitsArray=edges, inputCols=[f"v{i}" for i in points], outputCols=[f"s{i}" for i in points],
+    ).transform(wide)
+    cells = F.array(*[F.struct(F.lit(i).alias("point"), F.col(f"s{i}").cast("int").alias("slot")) for i in points])
+    slots = slotted.select("truth", F.inline(cells)).groupBy("point", "slot").agg(pos, neg)
+    listed = [(i, n, None if n == 0 else float(own[n])) for i, own in enumerate(edges) for n in range(len(own) - 1)]
+    every = spark.createDataFrame(listed, "point int, slot int, threshold double")
+    filled = every.join(F.broadcast(slots), ["point", "slot"], "left").na.fill(0, ["pos", "neg"])
+    above = Window.partitionBy("point").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, 0)
+    counted = filled.select(
+        "point", "threshold", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"),
+    ).where("threshold is not null").withColumns(
+        {"fn": F.lit(totals["pos"]) - F.col("tp"), "tn": F.lit(totals["neg"]) - F.col("fp")}
+    )
+    return rates(counted).join(F.broadcast(ranking), "point").select(
+        "point", "threshold", *COUNTS, "recall", "false_positive_rate", "precision", F.col("f1_score").alias("f1"),
+        "average_precision", "roc_auc", "predicted_fraud_rate",
+    )
+
+
 def evaluation_report(scored: Scored) -> DataFrame:
     """Sweep reported for a finished model, ordered by threshold."""
     report = sweep(scored, score_thresholds(scored, EVAL_GRID_POINTS))
@@ -225,26 +295,39 @@ def evaluation_report(scored: Scored) -> DataFrame:
     ).orderBy("threshold")
 
 
-def select_threshold(report: DataFrame, goal: float = RECALL_GOAL) -> DataFrame:
-    """Recall goal met: lowest false positive rate, then precision, F1. Otherwise the best F1."""
+def _threshold_order(goal: float) -> list[Column]:
     met = F.col("recall") >= F.lit(goal)
     only_if_met = lambda c: F.when(met, F.col(c))
-    return report.orderBy(
+    return [
         F.desc(met),
         only_if_met("false_positive_rate").asc(),
         only_if_met("precision").desc(),
         F.desc("f1"),
         F.desc("average_precision"),
         F.desc("roc_auc"),
-        "threshold",
-    ).limit(1)
+        F.asc("threshold"),
+    ]
+
+
+def select_threshold(report: DataFrame, goal: float = RECALL_GOAL) -> DataFrame:
+    """Recall goal met: lowest false positive rate, then precision, F1. Otherwise the best F1."""
+    return report.orderBy(*_threshold_order(goal)).limit(1)
+
+
+def select_thresholds(reports: DataFrame, by: str, goal: float = RECALL_GOAL) -> DataFrame:
+    """The same choice in each group of rows that share ``by``; a group holds one row per threshold."""
+    order = Window.partitionBy(by).orderBy(*_threshold_order(goal))
+    return reports.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
 
 
 def select_operating_threshold(report: DataFrame, recall: float = RECALL_GOAL, fpr: float = FPR_GOAL) -> DataFrame:
-    """Best F1, precision and captured loss among thresholds that meet both goals; no row if none does."""
+    """Best F1, precision and captured loss among thresholds that meet both goals; no row if none does.
+
+    Measures that agree to twelve digits count as equal.
+    """
     candidates = report.where((F.col("recall") >= F.lit(recall)) & (F.col("false_positive_rate") <= F.lit(fpr)))
     order = ["f1_score", "precision", "fraud_loss_capture_rate"]
-    return candidates.orderBy(*[F.desc(c) for c in order], "threshold").limit(1)
+    return candidates.orderBy(*[F.desc(F.round(c, 12)) for c in order], "threshold").limit(1)
 
 
 def metrics(scored: Scored, threshold: float, ranked: DataFrame | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ share one stand at the same place and are taken or left together.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -76,52 +76,83 @@ def first_by_class(
     ranked_rows: int = RANKED_ROWS,
 ) -> ClassCuts:
     """Find the cut of each class so that exactly its quota lies before it (all rows if it has fewer)."""
-    cuts: dict[bool, tuple[str, object] | bool] = {}
-    left = {}
-    for value, quota in quotas.items():
-        if quota >= counts.get(value, 0):
-            cuts[value] = True
-        elif quota <= 0:
-            cuts[value] = False
-        else:
-            left[value] = ("", quota)
+    return first_by_class_many(df, label, key, [quotas], counts, seed, ranked_rows)[0]
+
+
+@dataclass(frozen=True)
+class _Sought:
+    """The quota-th row of a class among those whose hash begins with prefix, for the n-th set of quotas."""
+
+    n: int
+    label: bool
+    prefix: str
+    quota: int
+
+
+def first_by_class_many(
+    df: DataFrame,
+    label: str,
+    key: str,
+    wanted: Sequence[Mapping[bool, int]],
+    counts: Mapping[bool, int],
+    seed: int | str = SEED,
+    ranked_rows: int = RANKED_ROWS,
+) -> list[ClassCuts]:
+    """The cuts of several sets of quotas, all found in the same passes."""
+    cuts: list[dict[bool, tuple[str, object] | bool]] = [{} for _ in wanted]
+    left = []
+    for n, quotas in enumerate(wanted):
+        for value, quota in quotas.items():
+            if quota >= counts.get(value, 0):
+                cuts[n][value] = True
+            elif quota <= 0:
+                cuts[n][value] = False
+            else:
+                left.append(_Sought(n, value, "", quota))
     keyed = df.select(flag_column(df, label).alias("label"), hash_order(key, seed).alias("digest"), F.col(key).alias("key"))
-    biggest, length = max((counts[v] for v in left), default=0), 0
+    biggest, length = max((counts[s.label] for s in left), default=0), 0
     while biggest > ranked_rows and length < DIGEST_LENGTH:
         length += PREFIX_STEP
         left, biggest = _cut_prefix(keyed, left, length)
-    if left:
-        cuts.update(_cut_rows(keyed, left))
-    return ClassCuts(label, key, seed, cuts)
+    for n, value, cut in _cut_rows(keyed, left, length):
+        cuts[n][value] = cut
+    return [ClassCuts(label, key, seed, own) for own in cuts]
 
 
-def _under(left: Mapping[bool, tuple[str, int]]) -> Column:
-    parts = [(F.col("label") == F.lit(v)) & F.col("digest").startswith(p) for v, (p, _) in left.items()]
+def _under(left: Sequence[_Sought]) -> Column:
+    parts = [
+        (F.col("label") == F.lit(v)) & F.col("digest").startswith(p) for v, p in dict.fromkeys((s.label, s.prefix) for s in left)
+    ]
     return reduce(or_, parts)
 
 
-def _quota_of(left: Mapping[bool, tuple[str, int]]) -> Column:
-    return F.create_map(*[F.lit(x) for v, (_, quota) in left.items() for x in (v, quota)])[F.col("label")]
+def _targets(keyed: DataFrame, left: Sequence[_Sought]) -> DataFrame:
+    """One row per cut still sought."""
+    rows = [(s.n, s.label, s.prefix, s.quota) for s in left]
+    return F.broadcast(keyed.sparkSession.createDataFrame(rows, "n int, label boolean, parent string, quota long"))
 
 
-def _cut_prefix(keyed: DataFrame, left: Mapping, length: int) -> tuple[dict, int]:
-    """Lengthen each class's prefix; at most 16 ** PREFIX_STEP prefixes per class reach the window."""
-    prefix = F.substring("digest", 1, length).alias("prefix")
-    counts = keyed.where(_under(left)).groupBy("label", prefix).agg(F.count("*").alias("rows"))
-    order = Window.partitionBy("label").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("upto", F.sum("rows").over(order))
-    quota = _quota_of(left)
-    hit = (F.col("upto") >= quota) & (F.col("upto") - F.col("rows") < quota)
-    found = upto.where(hit).collect()
-    narrowed = {r["label"]: (r["prefix"], left[r["label"]][1] - (r["upto"] - r["rows"])) for r in found}
+def _cut_prefix(keyed: DataFrame, left: Sequence[_Sought], length: int) -> tuple[list[_Sought], int]:
+    """Lengthen the prefixes; at most 16 ** PREFIX_STEP longer ones for each reach the window."""
+    prefix = F.substring("digest", 1, length)
+    counts = keyed.where(_under(left)).groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("rows"))
+    parent = F.substring("prefix", 1, length - PREFIX_STEP)
+    order = Window.partitionBy("label", "parent").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.withColumn("parent", parent).withColumn("upto", F.sum("rows").over(order))
+    hit = (F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("rows") < F.col("quota"))
+    found = upto.join(_targets(keyed, left), ["label", "parent"]).where(hit).collect()
+    narrowed = [_Sought(r["n"], r["label"], r["prefix"], r["quota"] - (r["upto"] - r["rows"])) for r in found]
     return narrowed, max(r["rows"] for r in found)
 
 
-def _cut_rows(keyed: DataFrame, left: Mapping) -> dict[bool, tuple[str, object]]:
-    order = Window.partitionBy("label").orderBy("digest", "key")
-    ranked = keyed.where(_under(left)).withColumn("rank", F.row_number().over(order))
-    rows = ranked.where(F.col("rank") == _quota_of(left)).collect()
-    return {row["label"]: (row["digest"], row["key"]) for row in rows}
+def _cut_rows(keyed: DataFrame, left: Sequence[_Sought], length: int) -> list[tuple[int, bool, tuple[str, object]]]:
+    if not left:
+        return []
+    parent = F.substring("digest", 1, length) if length else F.lit("")
+    order = Window.partitionBy("label", "parent").orderBy("digest", "key")
+    ranked = keyed.where(_under(left)).withColumn("parent", parent).withColumn("rank", F.row_number().over(order))
+    rows = ranked.join(_targets(keyed, left), ["label", "parent"]).where(F.col("rank") == F.col("quota")).collect()
+    return [(r["n"], r["label"], (r["digest"], r["key"])) for r in rows]
 
 
 def rate_quotas(size: int, rate: float) -> dict[bool, int]:
@@ -136,10 +167,11 @@ def sample_by_rate(
     size: int,
     rate: float = SAMPLE_RATE,
     seed: int | str = SEED,
+    counts: Mapping[bool, int] | None = None,
 ) -> DataFrame:
     """Exactly ``size`` rows, ``rate`` of them positive; an error if a class has too few."""
     quotas = rate_quotas(size, rate)
-    counts = class_counts(df, label)
+    counts = counts or class_counts(df, label)
     short = {v: (q, counts[v]) for v, q in quotas.items() if counts[v] < q}
     if short:
         text = ", ".join(f"{label}={v}: needed {q}, available {n}" for v, (q, n) in short.items())
@@ -188,9 +220,22 @@ def undersample(df: DataFrame, label: str, key: str, ratio: int, seed: int | str
     return first_by_class(df, label, key, quotas, counts, seed).take(df)
 
 
-def scatter(df: DataFrame, label: str, key: str, negatives: int = SCATTER_NEGATIVES, seed: int | str = SEED) -> DataFrame:
+def with_undersamples(
+    df: DataFrame, label: str, key: str, ratios: Mapping[str, int], counts: Mapping[bool, int], seed: int | str = SEED,
+) -> DataFrame:
+    """The rows of the widest undersample, with a flag column per name that says which belong to its ratio's."""
+    quotas = [{True: counts[True], False: ratio * counts[True]} for ratio in ratios.values()]
+    cuts = dict(zip(ratios, first_by_class_many(df, label, key, quotas, counts, seed)))
+    widest = max(ratios, key=lambda name: ratios[name])
+    return cuts[widest].take(df).withColumns({name: cut.chosen(df) for name, cut in cuts.items()})
+
+
+def scatter(
+    df: DataFrame, label: str, key: str, negatives: int = SCATTER_NEGATIVES, seed: int | str = SEED,
+    counts: Mapping[bool, int] | None = None,
+) -> DataFrame:
     """All positives and at most ``negatives`` others."""
-    counts = class_counts(df, label)
+    counts = counts or class_counts(df, label)
     return first_by_class(df, label, key, {True: counts[True], False: negatives}, counts, seed).take(df)
 
 

@@ -20,7 +20,8 @@ from ledgerlight.operators.lookups import require_key
 from ledgerlight.operators.profile import missing_values
 from ledgerlight.plans import detect, report
 from ledgerlight.plans import prepare as prep
-from ledgerlight.session import owned_tables, prepare
+from ledgerlight.session import dealt, keyed_table, owned_tables, prepare
+from ledgerlight.sources.counted import ClassCounts, counted
 from ledgerlight.sources.tables import read_table, write_report, write_table
 
 # Step and flag names.
@@ -71,28 +72,32 @@ class Steps:
 
     def transform(self) -> None:
         table = prep.transform(self.read("cleaned"), vocabulary_limit=self.o.vocabulary_limit)
-        write_table(table, self.path("transformed"))
+        _, known = counted(table, lambda df: write_table(df, self.path("transformed")))
+        write_report(prep.transform_summary(table, known.rows), self.path("reports/transform"))
 
     def reduce(self) -> None:
         before = self.read("transformed")
         after = prep.reduce_columns(before, keep=[self.o.key])
-        write_report(prep.reduction_summary(before, after), self.path("reports/reduction"))
-        write_table(after, self.path("reduced"))
+        _, known = counted(after, lambda df: write_table(df, self.path("reduced")))
+        write_report(prep.reduction_summary(before, after, known.rows), self.path("reports/reduction"))
 
     def scale(self) -> None:
         reduced, key, seed = self.read("reduced"), self.o.key, self.o.random_state
         require_key(reduced, key)
+        found = sampling.class_counts(reduced, s.TARGET)
+        whole = ClassCounts(sum(found.values()), found[True], found[False])
         if self.o.sample_size is not None and not self.o.no_sample:
             reduced = sampling.sample_by_rate(
-                reduced, s.TARGET, key, self.o.sample_size, self.o.fraud_sample_rate, seed
+                reduced, s.TARGET, key, self.o.sample_size, self.o.fraud_sample_rate, seed, found
             )
-        write_table(reduced, self.path("sampled"))
-        sampled = self.read("sampled")
-        train, test = sampling.split(with_cycles(sampled), s.TARGET, key, s.TEST_SHARE, f"{seed}:split")
+        _, known = counted(reduced, lambda df: write_table(df, self.path("sampled")), s.TARGET)
+        sampled, counts = self.read("sampled"), known.by_class()
+        train, test = sampling.split(with_cycles(sampled), s.TARGET, key, s.TEST_SHARE, f"{seed}:split", counts)
         fitted = scale.fit_scaling(train)
         write_table(fitted.apply(train), self.path("train"))
         write_table(fitted.apply(test), self.path("test"))
-        done = prep.Prepared(self.read("reduced"), sampled, self.read("train"), self.read("test"), fitted)
+        counts = {"reduced": whole, **prep.split_counts(counts)}
+        done = prep.Prepared(self.read("reduced"), sampled, self.read("train"), self.read("test"), fitted, counts)
         write_report(prep.scaling_summary(done), self.path("reports/scaling"))
         write_report(prep.split_distribution(done), self.path("reports/class_distribution"))
 
@@ -121,9 +126,10 @@ class Steps:
     def evaluate(self) -> None:
         # all models first: a missing one shows before any work
         models = [art.load(self.spark, self.path(f"models/{kind}")) for kind in chosen_models(self.o.models)]
+        source = keyed_table(dealt(self.read("sampled").select(self.o.key, s.TARGET, "amt"), self.o.key), self.o.key)
         for model in models:
             detect.evaluate(
-                self.read("test"), self.read("train"), self.read("sampled"), model, self.o.key,
+                self.read("test"), self.read("train"), source, model, self.o.key,
                 rows=self.o.eval_sample_size, folder=self.path("reports/evaluation"), seed=self.o.random_state,
             )
 

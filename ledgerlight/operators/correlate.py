@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.profile import melt, numeric_columns
+from ledgerlight.operators.profile import Measures, melt, numeric_columns
 
 
-def with_target(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of each numeric column with the target, strongest first."""
+def with_target(
+    df: DataFrame, label: str, columns: Sequence[str] | None = None, measures: Measures | None = None,
+) -> DataFrame:
+    """Correlation of each numeric column with the target, strongest first. ``measures`` saves the scan if known."""
     columns = [n for n in columns or numeric_columns(df) if n != label]
-    target = F.col(label).cast("double")
-    wide = df.agg(*[F.corr(F.col(f"`{n}`").cast("double"), target).alias(f"{n}__correlation") for n in columns])
-    return melt(wide, columns, ["correlation"]).orderBy(F.desc(F.abs("correlation")), "column")
+    if measures is not None:
+        found = [(n, measures.correlations[n]) for n in columns]
+        known = df.sparkSession.createDataFrame(found, "column string, correlation double")
+    else:
+        target = F.col(label).cast("double")
+        wide = df.agg(*[F.corr(F.col(f"`{n}`").cast("double"), target).alias(f"{n}__correlation") for n in columns])
+        known = melt(wide, columns, ["correlation"])
+    return known.orderBy(F.desc(F.abs("correlation")), "column")
 
 
-def matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, correlation) for every ordered pair; each pair uses the rows where both are present.
+def matrix(df: DataFrame, columns: Sequence[str], means: Mapping[str, float | None] | None = None) -> DataFrame:
+    """(a, b, correlation) for every ordered pair; each pair uses the rows where both are present. ``means`` saves a
+    scan if they are known.
 
     Each task turns its rows into five small matrices of sums; only those are shuffled.
     Values are centred by the column means first, so large offsets cost no digits.
@@ -29,8 +37,9 @@ def matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     width = len(columns)
     numbers = df.select(*[F.col(f"`{n}`").cast("double").alias(n) for n in columns])
-    means = numbers.agg(*[F.avg(f"`{n}`") for n in columns]).first()
-    centre = np.array([0.0 if m is None else m for m in means])
+    if means is None:
+        means = dict(zip(columns, numbers.agg(*[F.avg(f"`{n}`") for n in columns]).first()))
+    centre = np.array([0.0 if means[n] is None else means[n] for n in columns])
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((4, width, width))

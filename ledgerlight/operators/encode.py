@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.features import age_years, haversine_km
+from ledgerlight.operators.impute import require_small
 from ledgerlight.operators.profile import value_counts
 from ledgerlight.operators.quantiles import exact_quantiles
 from ledgerlight.schema import AGE, BIRTH_COLUMN, DISTANCE, ONE_HOT, REDUCED_AWAY, TIME_COLUMN
@@ -22,8 +23,7 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] = ONE_HOT, limit: int =
     found = distinct.limit(len(columns) * (limit + 1)).collect()
     vocabulary = {name: sorted(row["value"] for row in found if row["column"] == name) for name in columns}
     for name, values in vocabulary.items():
-        if len(values) > limit:
-            raise ValueError(f"{name} has more than {limit} values; one-hot columns need a small vocabulary")
+        require_small(name, len(values), limit)
     return vocabulary
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,72 +125,154 @@ def histogram(
     return joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
-def histograms(
-    df: DataFrame, charts: dict[str, tuple[Column, int]], ends: dict[str, tuple[float | None, float | None]],
-) -> dict[str, DataFrame]:
-    """Several histograms of values and bins from one pass, whose counts are written down."""
-    spark = df.sparkSession
-    known = {n: histogram_edges(*ends[n], bins) for n, (_, bins) in charts.items() if ends[n][0] is not None}
-    indexed = df.select(*[number_or_missing(value).alias(f"{n}_value") for n, (value, _) in charts.items()])
-    for name, edges in known.items():
-        indexed = interval_index(indexed, f"{name}_value", edges, f"{name}_bin")
-    items = [F.struct(F.lit(n).alias("chart"), F.col(f"{n}_bin").alias("bin")) for n in known]
-    empty = spark.createDataFrame([], "chart string, bin int, count bigint")
-    counts = materialise(
-        indexed.select(F.inline(F.array(*items))).groupBy("chart", "bin").agg(F.count("*").alias("count")) if items else empty
-    )
-    out = {}
-    for name, (_, bins) in charts.items():
-        edges = known.get(name, [])
-        ranges = spark.createDataFrame(
-            [(i, edges[i], edges[i + 1]) for i in range(bins if edges else 0)], "bin int, low double, high double"
+@dataclass(frozen=True)
+class Span:
+    """How many values there are, the smallest and the largest."""
+
+    count: int
+    low: float | None
+    high: float | None
+
+    @property
+    def ends(self) -> tuple[float | None, float | None]:
+        return self.low, self.high
+
+    def capped(self, most: float | None) -> tuple[float | None, float | None]:
+        """The ends of the values once those above ``most`` are cut down to it."""
+        return (self.low, self.high) if most is None or self.low is None else (min(self.low, most), min(self.high, most))
+
+
+def spans(
+    df: DataFrame, values: Mapping[str, Column], averaged: Sequence[str] = (),
+) -> tuple[dict[str, Span], dict[str, float | None]]:
+    """The spans of several values, and the means of some columns, from one aggregate."""
+    numbers = {n: number_or_missing(c) for n, c in values.items()}
+    parts = [F.struct(F.count(c).alias("count"), F.min(c).alias("low"), F.max(c).alias("high")) for c in numbers.values()]
+    means = [F.avg(F.col(f"`{n}`").cast("double")) for n in averaged]
+    row = list(df.agg(*[c.alias(f"m{i}") for i, c in enumerate([*parts, *means])]).first())
+    return {n: Span(*found) for n, found in zip(numbers, row)}, dict(zip(averaged, row[len(parts):]))
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Counts of all cells of several charts: a written table of (chart, cell) with counts, hits and extremes."""
+
+    table: DataFrame
+    label: str
+    edges: Mapping[str, Sequence[float]]
+    kinds: Mapping[str, str]
+    quartiles: Mapping[str, Found]
+
+    def chart(self, name: str) -> DataFrame:
+        return self.table.where(F.col("chart") == name)
+
+    def class_counts(self) -> dict[bool, int]:
+        rows = self.chart("class").select(F.col("cell").try_cast("boolean").alias("label"), "rows").collect()
+        counts = {False: 0, True: 0}
+        for row in rows:
+            counts[bool(row["label"])] += row["rows"]
+        return counts
+
+    def target_distribution(self) -> DataFrame:
+        counts = self.chart("class").select(F.col("cell").try_cast("boolean").alias(self.label), F.col("rows").alias("count"))
+        total = Window.partitionBy()  # over at most three rows
+        return counts.withColumn("percent", F.col("count") * 100.0 / F.sum("count").over(total).cast("double"))
+
+    def histogram(self, name: str) -> DataFrame:
+        edges = self.edges.get(name, [])
+        ranges = self.table.sparkSession.createDataFrame(
+            [(i, low, high) for i, (low, high) in enumerate(zip(edges, edges[1:]))], "bin int, low double, high double"
         )
-        mine = counts.where(F.col("chart") == name).select("bin", "count")
+        counts = self.chart(name).select(F.col("cell").cast("int").alias("bin"), F.col("rows").alias("count"))
         # at most one row per bin on either side
-        joined = ranges.join(F.broadcast(mine), "bin", "left")
-        out[name] = joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
-    return out
-
-
-def rates_by(df: DataFrame, groups: dict[str, Column], label: str = TARGET) -> dict[str, DataFrame]:
-    """Several tables (name, fraud_rate) like rate_by's from one pass, whose sums are written down."""
-    kinds = {n: kind for n, kind in df.select(*[c.alias(n) for n, c in groups.items()]).dtypes}
-    items = [F.struct(F.lit(n).alias("group"), c.cast("string").alias("value")) for n, c in groups.items()]
-    long = df.select(F.col(label).cast("double").alias("_hit"), F.inline(F.array(*items)))
-    rates = materialise(long.groupBy("group", "value").agg(F.avg("_hit").alias("fraud_rate")))
-    return {
-        n: rates.where((F.col("group") == n) & F.col("value").isNotNull()).select(F.col("value").cast(kinds[n]).alias(n), "fraud_rate")
-        for n in groups
-    }
+        joined = ranges.join(F.broadcast(counts), "bin", "left")
+        return joined.select("bin", "low", "high", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+
+    def rates(self, name: str) -> DataFrame:
+        return self.chart(name).select(F.col("cell").cast(self.kinds[name]).alias(name), "fraud_rate")
+
+    def category_summary(self, name: str) -> DataFrame:
+        return self.chart(name).select(
+            F.col("cell").alias(name), F.col("labelled").alias("transaction_count"), F.col("hits").cast("bigint").alias("fraud_count"),
+            F.round(F.col("fraud_rate") * 100, 4).alias("fraud_rate_percent"),
+        ).orderBy(F.desc("fraud_rate_percent"), name)
+
+    def of_class(self, found: Found, place: int) -> Column:
+        lit = {c: F.lit(q[place]).cast("double") for c, q in found.items()}
+        return F.when(F.col(self.label), lit["True"]).otherwise(lit["False"])
+
+    def boxplot(self, name: str) -> DataFrame:
+        classes = self.chart(name).withColumn(self.label, F.col("cell").try_cast("boolean"))
+        return classes.select(
+            self.label, F.col("values").alias("count"), F.col("low").alias("whisker_low"), F.col("high").alias("whisker_high"),
+            F.col("outside").alias("outliers"), *[self.of_class(self.quartiles[name], i).alias(q) for i, q in enumerate(("q25", "q50", "q75"))],
+        )
+
+    def amount_summary(self, name: str, found: Found) -> DataFrame:
+        """``found`` holds the median and three upper quantiles of each class."""
+        classes = self.chart(name).withColumn(self.label, F.col("cell").try_cast("boolean"))
+        quantiles = [self.of_class(found, i).alias(n) for i, n in enumerate(("median", "q90", "q95", "q99"))]
+        rounded = classes.select(self.label, F.col("values").alias("count"), "mean", *quantiles, F.col("high").alias("max"))
+        return rounded.select(
+            F.initcap(F.col(self.label).cast("string")).alias(self.label), "count",
+            *[F.round(n, 2).alias(n) for n in ("mean", "median", "q90", "q95", "q99", "max")],
+        )
 
 
-def boxplots(
-    df: DataFrame, values: dict[str, Column], label: str, found: dict[str, Found],
-) -> dict[str, DataFrame]:
-    """Several box plots whose quartiles are known, from one aggregate that is written down."""
-    measures = []
-    bounds = {}
-    for name, value in values.items():
-        def of_class(pick, name: str = name) -> Column:
-            lit = {c: F.lit(None if q[0] is None else pick(*q)).cast("double") for c, q in found[name].items()}
-            return F.when(F.col(label), lit["True"]).otherwise(lit["False"])
-
-        number = number_or_missing(value)
-        inside = number.between(of_class(lambda a, _, c: a - 1.5 * (c - a)), of_class(lambda a, _, c: c + 1.5 * (c - a)))
-        measures += [
-            F.count(number).alias(f"{name}_count"), F.min(F.when(inside, number)).alias(f"{name}_low"),
-            F.max(F.when(inside, number)).alias(f"{name}_high"), F.count_if(~inside).cast("bigint").alias(f"{name}_out"),
-        ]
-        quartiles = {"q25": lambda a, b, c: a, "q50": lambda a, b, c: b, "q75": lambda a, b, c: c}
-        bounds[name] = [of_class(pick).alias(n) for n, pick in quartiles.items()]
-    grouped = materialise(df.groupBy(label).agg(*measures))
-    return {
-        name: grouped.select(
-            label, F.col(f"{name}_count").alias("count"), F.col(f"{name}_low").alias("whisker_low"),
-            F.col(f"{name}_high").alias("whisker_high"), F.col(f"{name}_out").alias("outliers"), *bounds[name],
+def count_cells(
+    df: DataFrame, label: str, charts: Mapping[str, tuple[Column, int, tuple[float | None, float | None]]],
+    groups: Mapping[str, Column], boxes: Mapping[str, tuple[Column, Found]], measured: Mapping[str, Column],
+) -> Cells:
+    """Histograms (value, bins, ends), rates by group, box plots of values whose quartiles are known, and values
+    measured by class, all from one scan: every row adds to one cell of each chart, with map-side combining.
+    """
+    flag = F.col(f"`{label}`")
+    edges = {n: histogram_edges(*ends, bins) for n, (_, bins, ends) in charts.items() if ends[0] is not None}
+    kinds = dict(df.select(*[c.alias(n) for n, c in groups.items()]).dtypes)
+    flat = df.select(
+        flag.alias("flag"),
+        *[number_or_missing(charts[n][0]).alias(f"{n}_value") for n in edges],
+        *[c.cast("string").alias(f"{n}_group") for n, c in groups.items()],
+        *[number_or_missing(c).alias(f"{n}_box") for n, (c, _) in boxes.items()],
+        *[number_or_missing(c).alias(f"{n}_measured") for n, c in measured.items()],
+    )
+    for name, own in edges.items():
+        flat = interval_index(flat, f"{name}_value", own, f"{name}_bin")
+
+    def cell(chart: str, key: Column, hit: Column | None = None, value: Column | None = None, inside: Column | None = None):
+        return F.struct(
+            F.lit(chart).alias("chart"), key.cast("string").alias("cell"),
+            (F.lit(None) if hit is None else hit).cast("double").alias("hit"),
+            (F.lit(None) if value is None else value).cast("double").alias("value"),
+            (F.lit(None) if inside is None else inside).cast("boolean").alias("inside"),
         )
-        for name in values
-    }
+
+    items = [cell("class", F.coalesce(F.col("flag").cast("string"), F.lit("none")))]
+    items += [cell(n, F.col(f"{n}_bin")) for n in edges]
+    items += [cell(n, F.col(f"{n}_group"), hit=F.col("flag")) for n in groups]
+    for name, (_, found) in boxes.items():
+        low, high = (
+            {c: F.lit(None if q[0] is None else end(*q)).cast("double") for c, q in found.items()}
+            for end in (lambda a, _, c: a - 1.5 * (c - a), lambda a, _, c: c + 1.5 * (c - a))
+        )
+        value = F.col(f"{name}_box")
+        within = value.between(*[F.when(F.col("flag"), end["True"]).otherwise(end["False"]) for end in (low, high)])
+        items.append(cell(name, F.coalesce(F.col("flag").cast("string"), F.lit("none")), value=value, inside=within))
+    everywhere = F.lit(True)
+    items += [
+        cell(n, F.coalesce(F.col("flag").cast("string"), F.lit("none")), value=F.col(f"{n}_measured"), inside=everywhere)
+        for n in measured
+    ]
+    seen = F.when(F.col("inside"), F.col("value"))
+    table = materialise(
+        # a row has no cell in a chart whose value it lacks
+        flat.select(F.inline(F.array(*items))).where(F.col("cell").isNotNull()).groupBy("chart", "cell").agg(
+            F.count(F.lit(1)).alias("rows"), F.count("hit").alias("labelled"), F.sum("hit").alias("hits"),
+            F.avg("hit").alias("fraud_rate"), F.count("value").alias("values"), F.avg("value").alias("mean"),
+            F.min(seen).alias("low"), F.max(seen).alias("high"), F.count_if(~F.col("inside")).cast("bigint").alias("outside"),
+        )
+    )
+    return Cells(table, label, edges, kinds, {n: found for n, (_, found) in boxes.items()})
 
 
 def boxplot(df: DataFrame, value: Column | str, label: str = TARGET, found: Found | None = None) -> DataFrame:

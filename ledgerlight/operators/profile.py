@@ -8,12 +8,14 @@ aggregation buffer ever grows with the data.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.operators.quantiles import exact_quantiles
 from ledgerlight.schema import KEY, TOP_VALUES
+from ledgerlight.session import materialise
 
 NUMERIC_KINDS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 DUPLICATE_HASHES = 2_000_000
@@ -41,7 +43,43 @@ def kind_counts(df: DataFrame) -> DataFrame:
     return kinds.groupBy("kind").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "kind")
 
 
-def shape(df: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Measures:
+    """What one aggregate tells about a table: rows, gaps, moments and classes. As large as the list of columns."""
+
+    rows: int
+    missing: dict[str, int]
+    numbers: dict[str, dict[str, float | None]]
+    classes: dict[bool | None, int]
+    correlations: dict[str, float | None]
+
+
+def moments(name: str) -> dict[str, Column]:
+    c = F.col(f"`{name}`").cast("double")
+    return {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)}
+
+
+def measure(df: DataFrame, label: str | None = None) -> Measures:
+    """Gaps of every column, moments of numbers, and with a label its classes and correlations, from one scan."""
+    numbers = numeric_columns(df)
+    parts = [F.count(F.lit(1))] + [F.count_if(F.col(f"`{n}`").isNull()) for n in df.columns]
+    parts += [F.struct(*[e.alias(m) for m, e in moments(n).items()]) for n in numbers]
+    correlated = [n for n in numbers if n != label] if label is not None else []
+    if label is not None:
+        flag = F.col(f"`{label}`")
+        parts += [F.count_if(c) for c in (flag == F.lit(True), flag == F.lit(False), flag.isNull())]
+        parts += [F.corr(F.col(f"`{n}`").cast("double"), flag.cast("double")) for n in correlated]
+    found = iter(df.agg(*[c.alias(f"m{i}") for i, c in enumerate(parts)]).first())
+    rows = next(found)
+    missing = {n: next(found) for n in df.columns}
+    described = {n: next(found).asDict() for n in numbers}
+    classes = {v: n for v in (True, False, None) if label is not None and (n := next(found))}
+    return Measures(rows, missing, described, classes, {n: next(found) for n in correlated})
+
+
+def shape(df: DataFrame, measures: Measures | None = None) -> DataFrame:
+    if measures is not None:
+        return df.sparkSession.createDataFrame([(measures.rows, len(df.columns))], "rows long, columns long")
     return df.agg(F.count("*").alias("rows"), F.lit(len(df.columns)).cast("bigint").alias("columns"))
 
 
@@ -70,8 +108,12 @@ def melt(wide: DataFrame, names: Sequence[str], measures: Sequence[str]) -> Data
     return wide.select(F.inline(F.array(*items)))
 
 
-def missing_values(df: DataFrame) -> DataFrame:
-    """Null count and percent per column, most first."""
+def missing_values(df: DataFrame, measures: Measures | None = None) -> DataFrame:
+    """Null count and percent per column, most first. Here and below, ``measures`` saves the scan if they are known."""
+    if measures is not None:
+        rows = [(n, c, c * 100.0 / measures.rows if measures.rows else 0.0) for n, c in measures.missing.items()]
+        known = df.sparkSession.createDataFrame(rows, "column string, missing_count long, missing_percent double")
+        return known.orderBy(F.desc("missing_count"), "column")
     counts = df.agg(
         F.count("*").alias("_rows"), *[F.count_if(F.col(f"`{n}`").isNull()).alias(f"{n}__missing_count") for n in df.columns]
     )
@@ -95,9 +137,12 @@ def duplicate_rows(df: DataFrame, hash_limit: int = DUPLICATE_HASHES) -> DataFra
     """
     columns = [F.col(f"`{n}`") for n in df.columns]
     hashed = df.select(*columns, F.xxhash64(*columns).alias("_hash"))
-    repeated = hashed.groupBy("_hash").count().where("count > 1").select("_hash")
+    repeated = materialise(hashed.groupBy("_hash").count().where("count > 1").select("_hash"))
+    found = repeated.limit(hash_limit + 1).count()
+    if not found:
+        return df.sparkSession.createDataFrame([(0,)], "duplicate_row_count long")
     suspects = df
-    if repeated.limit(hash_limit + 1).count() <= hash_limit:
+    if found <= hash_limit:
         suspects = hashed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
     copies = suspects.groupBy(*columns).agg(F.count("*").alias("_copies"))
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_row_count"))
@@ -147,25 +192,33 @@ def top_values(
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def target_distribution(df: DataFrame, label: str) -> DataFrame:
+def target_distribution(df: DataFrame, label: str, measures: Measures | None = None) -> DataFrame:
     """Count and percent per class, null being a class."""
-    counts = df.groupBy(label).agg(F.count("*").alias("count"))
+    if measures is not None:
+        counts = df.sparkSession.createDataFrame(list(measures.classes.items()), f"`{label}` boolean, count long")
+    else:
+        counts = df.groupBy(label).agg(F.count("*").alias("count"))
     total = Window.partitionBy()  # over at most three rows
     return counts.withColumn("percent", F.col("count") * 100.0 / F.sum("count").over(total).cast("double"))
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe_numeric(
+    df: DataFrame, columns: Sequence[str] | None = None, measures: Measures | None = None,
+) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per numeric column."""
     columns = list(columns or numeric_columns(df))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    parts = []
-    for n in columns:
-        c = F.col(f"`{n}`").cast("double")
-        measured = {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)}
-        parts += [e.alias(f"{n}__{m}") for m, e in measured.items()]
-        parts += [F.lit(v).cast("double").alias(f"{n}__{q}") for q, v in zip(("q25", "q50", "q75"), quartiles[n])]
-    measures = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    return melt(df.agg(*parts), columns, measures)
+    measured = ("count", "mean", "std", "min", "max")
+    if measures is None:
+        wide = df.agg(*[F.struct(*[e.alias(m) for m, e in moments(n).items()]).alias(f"m{i}") for i, n in enumerate(columns)])
+        known = dict(zip(columns, (r.asDict() for r in wide.first()))) if columns else {}
+    else:
+        known = measures.numbers
+    # NaN counts as a value of a column, but has no place among its quartiles
+    present = {n: known[n]["count"] for n in columns} if all(known[n]["mean"] == known[n]["mean"] for n in columns) else None
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], present=present)
+    rows = [(n, *[known[n][m] for m in measured[:4]], *quartiles[n], known[n]["max"]) for n in columns]
+    numbers = ", ".join(f"{m} double" for m in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count long, {numbers}")
 
 
 def countable_columns(df: DataFrame) -> list[str]:

@@ -91,7 +91,9 @@ def evaluate(
 ) -> Evaluated:
     """Score the test rows, or ``rows`` of them, and report on them.
 
-    Raises unless each has exactly one row of the source, which holds the same label.
+    Raises unless each has exactly one row of the source, which holds the same label. A source written by
+    ``keyed_table`` is neither shuffled nor sorted for that, nor to bring the amounts. Rows are ranked once; all curves
+    are read from that.
     """
     if rows is not None:
         test = materialise(sampling.subsample(test, label, key, rows, seed))
@@ -100,7 +102,8 @@ def evaluate(
     # written down once, as is the ranking: every report below reads them
     scores = materialise(score_table(test, train_table, source, artifact, key, label))
     scored = ev.Scored(scores, label, key=key)
-    ranked = materialise(ev.ranked_scores(scored))
+    ranking = materialise(ev.ranked_rows(scored))
+    ranked = materialise(ev.ranked_scores(scored, ranking))
     thresholds = materialise(ev.evaluation_report(scored))
     result = Evaluated(
         ev.summary(scored, artifact.cut, ranked),
@@ -108,7 +111,7 @@ def evaluate(
         ev.select_operating_threshold(thresholds),
         ev.pr_curve(scored, ranked),
         ev.roc_curve(scored, ranked),
-        ev.loss_capture_curve(scored),
+        ev.loss_capture_curve(scored, ranking),
     )
     if folder is not None:
         base = f"{folder.rstrip('/')}/{artifact.model_type}"

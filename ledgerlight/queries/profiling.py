@@ -16,6 +16,7 @@ from ledgerlight.queries.base import (
 )
 from ledgerlight.schema import DISTANCE, GRID_SPAN, WEEKDAY_LABELS
 from ledgerlight.session import materialise, scratch_path
+from ledgerlight.sources.counted import counted
 from ledgerlight.sources.tables import load
 from ledgerlight.sources.txn import ID
 from ledgerlight.streaming.counts import count_values, frequency_maps, read_in_batches
@@ -451,9 +452,9 @@ def boxplot_stats(spark, folder):
        ('reduce', 'missing_requested_columns', 11)) v(stage, metric, value)"""),
 )
 def stage_summary(spark, folder):
-    transformed = transform(txn(spark, folder))
-    one = transform_summary(transformed).withColumn("stage", F.lit("transform"))
-    two = reduction_summary(transformed, reduce_columns(transformed)).withColumn("stage", F.lit("reduce"))
+    transformed, known = counted(transform(txn(spark, folder)), materialise)
+    one = transform_summary(transformed, known.rows).withColumn("stage", F.lit("transform"))
+    two = reduction_summary(transformed, reduce_columns(transformed), known.rows).withColumn("stage", F.lit("reduce"))
     return one.unionByName(two)
 
 
@@ -539,7 +540,7 @@ def flat(tables, report: str, column: str | None, item, value: str):
 @query("profile_job", with_txn(PROFILE_SQL))
 def profile_job(spark, folder):
     """All twelve tables of the job."""
-    tables = report.profile_tables(txn(spark, folder), key=ID)
+    tables = report.profile_tables(materialise(txn(spark, folder)), key=ID)
     for name in ("numeric_summary", "describe"):
         tables[name] = moments_rounded(tables[name])
     numbers = dict(tables, describe=tables["describe"].where("freq is null"))

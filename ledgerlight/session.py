@@ -35,6 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 OWNERS: list[list[str]] = []
+TABLE = "table:"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -55,6 +56,9 @@ def owned_tables(spark: SparkSession) -> Iterator[None]:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         settings = spark.sparkContext._jsc.hadoopConfiguration()
         for name in OWNERS.pop():
+            if name.startswith(TABLE):
+                spark.sql(f"DROP TABLE IF EXISTS {name.removeprefix(TABLE)}")
+                continue
             path = hadoop(name)
             path.getFileSystem(settings).delete(path, True)
 
@@ -72,3 +76,25 @@ def materialise(df: DataFrame, spread_by: str | None = None) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by key, as many partitions as a shuffle has: what keyed_table writes as its buckets."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def keyed_table(df: DataFrame, key: str) -> DataFrame:
+    """Write rows that ``dealt`` has put in place to the shared folder, in buckets by key, each sorted by it.
+
+    Joins and groupings by that key then read each bucket in its own task, without shuffling this side again. Worth
+    its one shuffle where a table meets others by key more than once. Buckets are numbered by the hash that has
+    dealt the rows, so each task writes one file. The table is known to this session only, by a name of its own.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "keyed")
+    name = f"ledgerlight_{uuid.uuid4().hex}"
+    if OWNERS:
+        OWNERS[-1].append(f"{TABLE}{name}")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)

@@ -377,18 +377,24 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Model:
     places = context.broadcast({w: i for i, w in enumerate(words)})
     in_docs, total = document_frequencies(texts(docs), places)
     learned = materialise(placed_words(examples, places))
+    n_words = len(words)
+    del words
     table = learned.toArrow().combine_chunks()
     toxic = (table["toxic"].to_numpy() != 0).astype(np.int64)
     columns = [pa.concat_arrays(table[n].chunks) if len(toxic) else pa.array([], table[n].type) for n in ("words", "times")]
+    del table
     ids, times, offsets = flat(*columns)
-    ids, times = ids.to_numpy().astype(np.int64), times.to_numpy().astype(np.int64)
+    # as they came, in four bytes each: copies of all entries are what takes room in the driver
+    ids, times = ids.to_numpy(), times.to_numpy()
     n_toxic = int(toxic.sum())
     n_clean = len(toxic) - n_toxic
-    found = np.bincount(ids, minlength=len(words))
-    marked = np.bincount(ids, np.repeat(toxic, np.diff(offsets)), minlength=len(words))
+    found = np.bincount(ids, minlength=n_words)
+    marked = np.bincount(ids[np.repeat(toxic.astype(bool), np.diff(offsets))], minlength=n_words)
     idf = (1 + np.log((1 + total) / (1 + in_docs))) * emphasis(marked, found, n_toxic, n_clean)
     vectors = [(ids[a:b], times[a:b], t) for a, b, t in zip(offsets[:-1].tolist(), offsets[1:].tolist(), toxic.tolist())]
     index = context.broadcast(entries_of(vectors, idf, (n_toxic + 0.05) / (len(toxic) + 1.0)))
+    del vectors, ids, times, columns
+    release()
     if not (n_toxic and n_clean):
         return Model(places, index, 1.0, 0.0)
 

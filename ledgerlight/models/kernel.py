@@ -175,7 +175,8 @@ def _hinge_pass(
     data: DataFrame, fits: Sequence[_Fit], tries: Sequence[np.ndarray],
 ) -> list[tuple[np.ndarray, float, np.ndarray]]:
     """Sums over the rows of each fit: rounded hinges at every try; at the first the hinges as they are, and
-    slope times (z, 1). Fits with the same map share its z and one product.
+    slope times (z, 1). Fits with the same map share its z; each has a product of its own, so that what it finds does
+    not depend, by rounding, on the fits beside it.
     """
     names, size = list(fits[0].features.columns), tries[0].shape[1]
     maps: list[FourierMap] = []
@@ -183,7 +184,7 @@ def _hinge_pass(
         if not any(f.features is m for m in maps):
             maps.append(f.features)
     groups = [[k for k, f in enumerate(fits) if f.features is m] for m in maps]
-    products = [np.concatenate([tries[k] for k in group]).T for group in groups]
+    products = [np.ascontiguousarray(t.T) for t in tries]
     counts = [len(t) for t in tries]
     starts = np.concatenate([[0], np.cumsum([c + 1 + size for c in counts])])
     settings = [(f.base, f.rounding, f.weight, f.one_class, f.member) for f in fits]
@@ -193,16 +194,15 @@ def _hinge_pass(
         for batch in batches:
             x = batch[names].to_numpy(dtype=float)
             sign = np.where(batch["_target"].to_numpy() > 0, 1.0, -1.0)
-            for features, group, points in zip(maps, groups, products):
+            for features, group in zip(maps, groups):
                 z = np.column_stack([features.z(x), np.ones(len(x))])
-                values, at = z @ points, 0
                 for k in group:
                     base, rounding, weight, one_class, member = settings[k]
                     a = np.ones(len(x)) if one_class else -sign
                     each = np.where(sign > 0, weight, 1.0) if not one_class else np.ones(len(x))
                     if member is not None:
                         each = each * batch[member].to_numpy(dtype=float)
-                    gap = base + a[:, None] * values[:, at : at + counts[k]]
+                    gap = base + a[:, None] * (z @ products[k])
                     near = np.abs(gap) < rounding
                     loss = np.where(near, (gap + rounding) ** 2 / (4 * rounding), np.maximum(gap, 0.0))
                     slope = np.where(near[:, 0], (gap[:, 0] + rounding) / (2 * rounding), (gap[:, 0] > 0) * 1.0)
@@ -210,7 +210,6 @@ def _hinge_pass(
                     mine[: counts[k]] += each @ loss
                     mine[counts[k]] += each @ np.maximum(gap[:, 0], 0.0)
                     mine[counts[k] + 1 :] += (each * a * slope) @ z
-                    at += counts[k]
         yield pd.DataFrame({"i": np.arange(len(total), dtype=np.int32), "v": total})
 
     found = data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()

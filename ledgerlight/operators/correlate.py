@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.operators.profile import Measures, melt, numeric_columns
+from ledgerlight.session import materialise
 
 
 def with_target(
@@ -54,8 +55,8 @@ def matrix(df: DataFrame, columns: Sequence[str], means: Mapping[str, float | No
         yield pd.DataFrame({"i": index[0], "j": index[1], **named})
 
     parts = numbers.mapInPandas(sums, "i int, j int, n double, sx double, sxx double, sxy double")
-    both = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
-    # width * width rows from here on
+    # width * width rows from here on, written down as they are read from both sides
+    both = materialise(parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")]))
     mirrored = both.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
     paired = both.join(mirrored, ["i", "j"])
     covariance = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")

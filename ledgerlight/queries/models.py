@@ -208,7 +208,9 @@ def tuned(spark, folder, kind, grid, names) -> DataFrame:
 
 LINEAR_NAMES = ("loss", "alpha", "penalty", "fraud_weight", "non_fraud_ratio")
 LINEAR_ROWS = ("p + least(n, CAST(non_fraud_ratio AS BIGINT) * p)", "p")
-REPORTED_GRID = [{**param_grid(LINEAR, "fast")[0], "loss": loss} for loss in ("modified_huber", "log_loss")]
+REPORTED_SQL = ", ".join(
+    f"('{p['loss']}', {p['alpha']!r}::DOUBLE, {p['fraud_weight']}::DOUBLE, {p['non_fraud_ratio']}::DOUBLE)" for p in param_grid(LINEAR)
+)
 
 
 @query("tune_supervised", tuning_sql(LINEAR_NAMES, param_grid(LINEAR), *LINEAR_ROWS))
@@ -231,12 +233,12 @@ def tune_oneclass(spark, folder):
 
 @query(
     "tuning_report",
-    with_txn(*TUNING_SQL, """SELECT loss, CAST(0.001 AS DOUBLE) AS alpha, CAST(200 AS DOUBLE) AS fraud_weight,
-     CAST(20 AS DOUBLE) AS non_fraud_ratio, CAST(p + least(n, 20 * p) AS DOUBLE) AS fit_rows, true AS in_range
-     FROM sizes, (VALUES ('modified_huber'), ('log_loss')) v(loss)"""),
+    with_txn(*TUNING_SQL, f"""SELECT loss, alpha, fraud_weight, non_fraud_ratio,
+     CAST(p + least(n, non_fraud_ratio * p) AS DOUBLE) AS fit_rows, true AS in_range
+     FROM sizes, (VALUES {REPORTED_SQL}) v(loss, alpha, fraud_weight, non_fraud_ratio)"""),
 )
 def tuning_report_query(spark, folder):
-    _, _, results = tune(LINEAR, features(spark, folder), REPORTED_GRID)
+    _, _, results = tune(LINEAR, features(spark, folder), param_grid(LINEAR))
     report = tuning_report(spark, results)
     measures = ("recall", "false_positive_rate", "precision", "f1", "average_precision", "roc_auc", "predicted_fraud_rate")
     inside = reduce(and_, [F.col(m).between(0, 1) for m in measures])

@@ -58,8 +58,7 @@ def test_one_class_reaches_the_optimum_in_few_passes(cloud, nu, monkeypatch):
     best = least(z, nu)
     value = objective(z, nu, model.weights, -model.intercept)
     assert model.converged and best - 1e-6 <= value <= best + 1.2 * kernel.ONE_CLASS_GAP * abs(best)
-    # first-order steps took ten and more after they had come close
-    assert len(passes) <= 60 and auc(df, model) > 0.8
+    assert len(passes) <= 80 and auc(df, model) > 0.8
 
 
 def test_fits_of_several_maps_share_their_passes(cloud, monkeypatch):

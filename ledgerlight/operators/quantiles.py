@@ -15,6 +15,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -102,12 +103,16 @@ def _select(numbers: DataFrame, counts: dict[int, int], wanted: list[float], sma
     pending = []
     cuts = {}
     sketches = []
+    proposals: dict[tuple[float, ...], Column] = {}
     for n, (i, rows) in enumerate(counts.items()):
         ranks = sorted({r for p in wanted for r in (math.floor(p * (rows - 1)), math.ceil(p * (rows - 1)))})
         pending.append(_Interval(i, -math.inf, math.inf, 0, rows, ranks))
         margin = 2 / SKETCH_ACCURACY
         near = [min(1.0, max(0.0, r / (rows - 1) + d)) for r in ranks for d in (-margin, margin)]
-        sketches.append(F.percentile_approx(f"v{i}", F.array(*map(F.lit, near)), SKETCH_ACCURACY))
+        # one literal, shared by columns of as many values
+        if tuple(near) not in proposals:
+            proposals[tuple(near)] = F.lit(np.array(near))
+        sketches.append(F.percentile_approx(f"v{i}", proposals[tuple(near)], SKETCH_ACCURACY))
         cuts[n] = None
     for n, proposed in enumerate(numbers.agg(*sketches).first()):
         cuts[n] = proposed
@@ -149,14 +154,15 @@ def _slots(numbers: DataFrame, edges: Mapping[int, Sequence[float]]) -> DataFram
 
 
 def _inside(numbers: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
-    """Values of the given intervals only, with the interval's place in the list."""
+    """Values of the given intervals only, with the interval's place in the list.
+
+    The places are a small table: as literals of the plan, many columns with many quantiles fill the driver.
+    """
     edges = {i: sorted(_edges(intervals, i)) for i in sorted({i.column for i in intervals})}
-    place = F.lit(None).cast("int")
-    for column, own in edges.items():
-        number = {own.index(i.low): n for n, i in enumerate(intervals) if i.column == column}
-        listed = F.array(*[F.lit(number.get(slot)).cast("int") for slot in range(len(own) - 1)])
-        place = F.when(F.col("column") == column, F.get(listed, F.col("slot"))).otherwise(place)
-    return _slots(numbers, edges).select(place.alias("interval"), "value").where(F.col("interval").isNotNull())
+    slots = {column: {low: slot for slot, low in enumerate(own)} for column, own in edges.items()}
+    listed = [(i.column, slots[i.column][i.low], n) for n, i in enumerate(intervals)]
+    places = numbers.sparkSession.createDataFrame(listed, "column int, slot int, interval int")
+    return _slots(numbers, edges).join(F.broadcast(places), ["column", "slot"]).select("interval", "value")
 
 
 def _propose(numbers: DataFrame, intervals: Sequence[_Interval]) -> dict[int, list[float]]:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlight.operators import lookups, profile, sampling
+from ledgerlight.operators import lookups, profile, quantiles, sampling
 from ledgerlight.operators.ordered import running_totals
 from ledgerlight.operators.quantiles import exact_quantiles, grid_points
 
@@ -199,3 +199,14 @@ def test_duplicates_with_nulls(spark, hash_limit):
     df = spark.createDataFrame([(1, None)] * 5 + [(1, "a")] * 2 + [(2, "a"), (None, None)], "a int, b string")
     assert profile.duplicate_rows(df, hash_limit).first()[0] == 5
     assert profile.duplicate_rows(df.limit(0), hash_limit).first()[0] == 0
+
+
+def test_many_quantiles_of_many_columns_leave_a_small_plan(spark, monkeypatch):
+    df = spark.range(20_000).select(*[F.rand(i).alias(f"c{i}") for i in range(12)]).cache()
+    points, plans, real = quantiles.grid_points(101, 0.0, 1.0), [], quantiles._inside
+    monkeypatch.setattr(quantiles, "_inside", lambda *a: plans.append(real(*a)) or plans[-1])
+    found = quantiles.exact_quantiles(df, df.columns, points, small_rows=100)
+    plain = df.agg(*[F.percentile(c, F.array(*map(F.lit, points))) for c in df.columns]).first()
+    assert all(found[c] == pytest.approx(list(v)) for c, v in zip(df.columns, plain))
+    # the plan does not hold a literal per interval
+    assert plans and all(len(p._jdf.queryExecution().analyzed().toJSON()) < 300_000 for p in plans)

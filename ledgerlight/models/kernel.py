@@ -6,11 +6,12 @@ so a linear model on z stands in for a kernel machine, whose kernel matrix could
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +21,18 @@ DIMENSIONS = 256
 SCORE_BINS = 1024
 ONE_CLASS_STEPS = 200
 ONE_CLASS_GAP = 5e-3
-ONE_CLASS_ROUNDING = 0.05
+ONE_CLASS_ROUNDING = 0.4
 KERNEL_ITERATIONS = 200
 KERNEL_TOLERANCE = 1e-4
-STEP_SIZES = (1.0, 0.5, 0.25, 0.1, 0.02, 0.004, 0.0008)
-MEMORY = 10
+# Shares of the steepest curvature added to the present one: none gives Newton's step, all one that cannot rise.
+DAMPING = (0.0, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0)
 ROUNDING = 0.1
+# Wider corners of the hinge, one step each: the way to the first place of the search.
+WIDTHS = (2.0, 1.0, 0.5, 0.25)
+# Rows mapped at a time, so that their features stay in the processor's cache.
+BLOCK_ROWS = 512
+# Sums that travel in one row.
+CHUNK = 8192
 
 
 @dataclass(frozen=True)
@@ -44,6 +51,13 @@ class FourierMap:
     def z(self, x: np.ndarray) -> np.ndarray:
         return np.sqrt(2.0 / len(self.phases)) * np.cos(x @ self.frequencies + self.phases)
 
+    def z_single(self, x: np.ndarray) -> np.ndarray:
+        """(z(x), 1), its cosines in single precision, which take a tenth of the time; only searches use it."""
+        turns = (x @ self.frequencies + self.phases).astype(np.float32)
+        z = np.ones((len(x), len(self.phases) + 1))
+        np.multiply(np.cos(turns, out=turns), np.sqrt(2.0 / len(self.phases)), out=z[:, :-1])
+        return z
+
     def input(self) -> Column:
         return F.struct(*[F.col(f"`{n}`").cast("double").alias(n) for n in self.columns])
 
@@ -78,9 +92,28 @@ class KernelModel:
         return decision(self.features.input())
 
 
+def with_scores(df: DataFrame, models: Sequence[KernelModel], names: Sequence[str]) -> DataFrame:
+    """Add every model's decision value, as ``score`` gives it; rows go to Python once, each map is applied once."""
+    maps: list[FourierMap] = []
+    for m in models:
+        if not any(m.features is known for known in maps):
+            maps.append(m.features)
+    own = [next(i for i, known in enumerate(maps) if m.features is known) for m in models]
+
+    @F.pandas_udf("array<double>")
+    def decisions(rows: pd.DataFrame) -> pd.Series:
+        x = rows.to_numpy(dtype=float)
+        mapped = [features.z(x) for features in maps]
+        found = [m.sign * (mapped[i] @ m.weights + m.intercept) for m, i in zip(models, own)]
+        return pd.Series(list(np.column_stack(found)))
+
+    every = df.withColumn("_scores", decisions(maps[0].input()))
+    return every.withColumns({n: F.col("_scores")[i] for i, n in enumerate(names)}).drop("_scores")
+
+
 @dataclass
 class _Fit:
-    """One fit's place, gradient and the steps that shape its next direction (limited-memory BFGS).
+    """One fit's place, and slope and curvature there.
 
     What it minimises over p is the mean of weighted rounded hinges max(0, base + a * (p . (z, 1))), plus a quadratic
     penalty and a linear term. a is minus the sign of a row's class, or 1 for a one-class fit.
@@ -96,87 +129,79 @@ class _Fit:
     weight: float = 1.0
     one_class: bool = False
     member: str | None = None
+    share: float = 1.0  # rows over divisor
+    damping: float = 0.0  # the one that was best last time
     gradient: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    curvature: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     loss: float = np.inf
     steps: int = 0
     still: int = 0
-    scale: float = 1.0
-    pairs: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-
-    def direction(self) -> np.ndarray:
-        q, used = self.gradient.copy(), []
-        for s, y in reversed(self.pairs):
-            a = (s @ q) / (y @ s)
-            q -= a * y
-            used.append(a)
-        if self.pairs:
-            s, y = self.pairs[-1]
-            q *= (s @ y) / (y @ y)
-        else:
-            q *= self.scale / max(np.linalg.norm(q), 1.0)
-        for (s, y), a in zip(self.pairs, reversed(used)):
-            q += s * (a - (y @ q) / (y @ s))
-        return -q
+
+    def reach(self, damping: float = 0.0) -> np.ndarray:
+        """Where the quadratic around the present place, its curvature raised, has its minimum."""
+        # no row bends the hinge by more than its weight / (2 * rounding) times |(z, 1)|^2, which is at most 3
+        steepest = 1.5 * max(self.weight, 1.0) * self.share / self.rounding
+        raised = self.penalty + max(damping, 1e-10) * steepest
+        return self.p - np.linalg.solve(self.curvature + np.diag(raised), self.gradient)
 
     def whole(self, points: np.ndarray, sums: np.ndarray) -> np.ndarray:
         """The objective at each point, from the sums of hinges there."""
         return sums / self.divisor + 0.5 * (self.penalty * points * points).sum(axis=1) + points @ self.linear
 
-    def slope(self, point: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        return sums / self.divisor + self.penalty * point + self.linear
+    def look(self, slopes: np.ndarray, curvature: np.ndarray) -> None:
+        self.gradient = slopes / self.divisor + self.penalty * self.p + self.linear
+        self.curvature = curvature / self.divisor
 
-    def move(self, point: np.ndarray, loss: float, gradient: np.ndarray) -> None:
-        s, y = point - self.p, gradient - self.gradient
-        if s @ y > 1e-12 * (y @ y):
-            self.pairs = [*self.pairs[1 - MEMORY:], (s, y)]
-            # a fit that starts over goes as far as the curvature of its last step allows
-            self.scale = min(1.0, 4 * (s @ y) / (y @ y))
+    def move(self, point: np.ndarray, loss: float, slopes: np.ndarray, curvature: np.ndarray) -> None:
         self.still = self.still + 1 if self.loss - loss <= KERNEL_TOLERANCE * abs(loss) else 0
-        self.p, self.loss, self.gradient, self.steps = point, loss, gradient, self.steps + 1
+        self.p, self.loss, self.steps = point, loss, self.steps + 1
+        self.look(slopes, curvature)
 
 
 def _step_all(data: DataFrame, fits: Sequence[_Fit], moving: Sequence[int]) -> tuple[list[int], dict[int, tuple]]:
-    """One step of each moving fit: a pass that tries several step sizes, and one more for gradients at shorter ones.
+    """One step of each moving fit: a pass that tries several dampings, and one more for slopes where another than the last is best.
 
     Returns the fits that no step improves, and for the others (sum of unrounded hinges, sum of slope-weighted
     (z, 1)) at their new places.
     """
-    tries = {k: fits[k].p + np.outer(STEP_SIZES, fits[k].direction()) for k in moving}
+    order = {k: sorted(DAMPING, key=lambda d: d != fits[k].damping) for k in moving}
+    tries = {k: np.stack([fits[k].reach(d) for d in order[k]]) for k in moving}
     short, stuck, exact = {}, [], {}
-    for k, (sums, hinges, slopes) in zip(moving, _hinge_pass(data, [fits[k] for k in moving], [tries[k] for k in moving])):
+    for k, (sums, hinges, slopes, bends) in zip(moving, _hinge_pass(data, [fits[k] for k in moving], [tries[k] for k in moving])):
         losses = fits[k].whole(tries[k], sums)
         best = int(np.argmin(losses))
+        fits[k].damping = order[k][best]
         if not losses[best] < fits[k].loss:
             stuck.append(k)
         elif best == 0:
-            fits[k].move(tries[k][0], float(losses[0]), fits[k].slope(tries[k][0], slopes))
+            fits[k].move(tries[k][0], float(losses[0]), slopes, bends)
             exact[k] = hinges, slopes
         else:
             short[k] = tries[k][best][None]
     if short:
-        for k, (sums, hinges, slopes) in zip(short, _hinge_pass(data, [fits[k] for k in short], list(short.values()))):
-            point = short[k][0]
-            fits[k].move(point, float(fits[k].whole(short[k], sums)[0]), fits[k].slope(point, slopes))
+        for k, (sums, hinges, slopes, bends) in zip(short, _hinge_pass(data, [fits[k] for k in short], list(short.values()))):
+            fits[k].move(short[k][0], float(fits[k].whole(short[k], sums)[0]), slopes, bends)
             exact[k] = hinges, slopes
     return stuck, exact
 
 
 def _start(data: DataFrame, fits: Sequence[_Fit], chosen: Sequence[int]) -> dict[int, tuple]:
-    """Loss and gradient at the fits' present places."""
+    """Loss, slope and curvature at the fits' present places."""
     exact = {}
-    for k, (sums, hinges, slopes) in zip(chosen, _hinge_pass(data, [fits[k] for k in chosen], [fits[k].p[None] for k in chosen])):
-        fits[k].loss = float(fits[k].whole(fits[k].p[None], sums)[0])
-        fits[k].gradient, fits[k].still = fits[k].slope(fits[k].p, slopes), 0
+    for k, (sums, hinges, slopes, bends) in zip(chosen, _hinge_pass(data, [fits[k] for k in chosen], [fits[k].p[None] for k in chosen])):
+        fits[k].loss, fits[k].still = float(fits[k].whole(fits[k].p[None], sums)[0]), 0
+        fits[k].look(slopes, bends)
         exact[k] = hinges, slopes
     return exact
 
 
 def _hinge_pass(
     data: DataFrame, fits: Sequence[_Fit], tries: Sequence[np.ndarray],
-) -> list[tuple[np.ndarray, float, np.ndarray]]:
-    """Sums over the rows of each fit: rounded hinges at every try; at the first the hinges as they are, and
-    slope times (z, 1). Fits with the same map share its z; each has a product of its own, so that what it finds does
-    not depend, by rounding, on the fits beside it.
+) -> list[tuple[np.ndarray, float, np.ndarray, np.ndarray]]:
+    """Sums over the rows of each fit: rounded hinges at every try; at the first the hinges as they are, slope times
+    (z, 1), and curvature times the products of (z, 1) with itself, to which only rows near the corner add. Fits with
+    the same map share its z; each has a product of its own, so that what it finds does not depend, by rounding, on
+    the fits beside it. Cosines are single, all sums double precision.
     """
     names, size = list(fits[0].features.columns), tries[0].shape[1]
     maps: list[FourierMap] = []
@@ -186,38 +211,47 @@ def _hinge_pass(
     groups = [[k for k, f in enumerate(fits) if f.features is m] for m in maps]
     products = [np.ascontiguousarray(t.T) for t in tries]
     counts = [len(t) for t in tries]
+    upper = np.triu_indices(size)
     starts = np.concatenate([[0], np.cumsum([c + 1 + size for c in counts])])
     settings = [(f.base, f.rounding, f.weight, f.one_class, f.member) for f in fits]
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(starts[-1])
+    def sums(batches: Iterator[pd.DataFrame]) -> np.ndarray:
+        total, bends = np.zeros(starts[-1]), np.zeros((len(settings), size, size))
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            sign = np.where(batch["_target"].to_numpy() > 0, 1.0, -1.0)
-            for features, group in zip(maps, groups):
-                z = np.column_stack([features.z(x), np.ones(len(x))])
-                for k in group:
-                    base, rounding, weight, one_class, member = settings[k]
-                    a = np.ones(len(x)) if one_class else -sign
-                    each = np.where(sign > 0, weight, 1.0) if not one_class else np.ones(len(x))
-                    if member is not None:
-                        each = each * batch[member].to_numpy(dtype=float)
-                    gap = base + a[:, None] * (z @ products[k])
-                    near = np.abs(gap) < rounding
-                    loss = np.where(near, (gap + rounding) ** 2 / (4 * rounding), np.maximum(gap, 0.0))
-                    slope = np.where(near[:, 0], (gap[:, 0] + rounding) / (2 * rounding), (gap[:, 0] > 0) * 1.0)
-                    mine = total[starts[k] : starts[k + 1]]
-                    mine[: counts[k]] += each @ loss
-                    mine[counts[k]] += each @ np.maximum(gap[:, 0], 0.0)
-                    mine[counts[k] + 1 :] += (each * a * slope) @ z
-        yield pd.DataFrame({"i": np.arange(len(total), dtype=np.int32), "v": total})
-
-    found = data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    result = np.zeros(starts[-1])
-    for row in found:
-        result[row["i"]] = row["v"]
-    parts = [result[a:b] for a, b in zip(starts, starts[1:])]
-    return [(part[:c], float(part[c]), part[c + 1 :]) for part, c in zip(parts, counts)]
+            values, target = batch[names].to_numpy(dtype=float), batch["_target"].to_numpy() > 0
+            flags = {m: batch[m].to_numpy(dtype=float) for *_, m in settings if m is not None}
+            for start in range(0, len(values), BLOCK_ROWS):
+                rows = slice(start, start + BLOCK_ROWS)
+                x, positive = values[rows], target[rows]
+                for features, group in zip(maps, groups):
+                    z = features.z_single(x)
+                    for k in group:
+                        base, rounding, weight, one_class, member = settings[k]
+                        a = np.ones(len(x)) if one_class else np.where(positive, -1.0, 1.0)
+                        each = np.where(positive, weight, 1.0) if not one_class else np.ones(len(x))
+                        if member is not None:
+                            each = each * flags[member][rows]
+                        gap = base + a[:, None] * (z @ products[k])
+                        near = np.abs(gap) < rounding
+                        loss = np.where(near, (gap + rounding) ** 2 / (4 * rounding), np.maximum(gap, 0.0))
+                        slope = np.where(near[:, 0], (gap[:, 0] + rounding) / (2 * rounding), (gap[:, 0] > 0) * 1.0)
+                        mine = total[starts[k] : starts[k + 1]]
+                        mine[: counts[k]] += each @ loss
+                        mine[counts[k]] += each @ np.maximum(gap[:, 0], 0.0)
+                        mine[counts[k] + 1 :] += (each * a * slope) @ z
+                        bent = np.flatnonzero(near[:, 0] & (each > 0))
+                        corner = z[bent] * np.sqrt(each[bent] / (2 * rounding))[:, None]
+                        bends[k] += corner.T @ corner
+        return np.concatenate([total, *[b[upper] for b in bends]])
+
+    result = _summed(data, sums, starts[-1] + len(fits) * len(upper[0]))
+    found = []
+    for a, b, c, triangle in zip(starts, starts[1:], counts, np.split(result[starts[-1] :], len(fits))):
+        bend = np.zeros((size, size))
+        bend[upper] = triangle
+        part = result[a:b]
+        found.append((part[:c], float(part[c]), part[c + 1 :], bend + np.triu(bend, 1).T))
+    return found
 
 
 def _numbers(df: DataFrame, columns: Sequence[str], label: str | None, members: Sequence[str | None]) -> DataFrame:
@@ -248,10 +282,10 @@ def fit_kernel_many(
     """Weighted hinge loss with the L2 penalty 1 / (C * rows) per row, for each (C, weight of positives), its gamma
     and the flag column that says which rows it learns from.
 
-    All fits share their passes. The hinge is rounded off within ROUNDING of its corner, so that quasi-Newton steps
-    apply. One pass tries several step sizes of every fit and brings the gradient at the full step, which mostly is the
-    one taken. A fit ends when its loss has gained less than KERNEL_TOLERANCE of itself three times running; one that
-    hits the iterations says that it has not converged.
+    All fits share their passes. The hinge is rounded off within ROUNDING of its corner, so that Newton steps apply;
+    wider corners, one step each, lead to the first place. One pass tries several dampings of every fit and brings slope
+    and curvature at the damping that was best before. A fit ends when its loss has gained less than
+    KERNEL_TOLERANCE of itself three times running; one that hits the iterations says that it has not converged.
     """
     members = list(members or [None] * len(settings))
     data = _numbers(df, columns, label, members)
@@ -263,14 +297,18 @@ def fit_kernel_many(
         zero = np.zeros(dimensions + 1)
         fits.append(_Fit(maps[gamma], 1.0, ROUNDING, rows, penalty, zero, zero, weight, member=member))
     moving = list(range(len(fits)))
+    for width in WIDTHS[:iterations]:
+        for f in fits:
+            f.rounding = width
+        _start(data, fits, moving)
+        for f in fits:
+            f.p, f.steps = f.reach(), f.steps + 1
+    for f in fits:
+        f.rounding = ROUNDING
     _start(data, fits, moving)
-    for _ in range(iterations):
+    for _ in range(iterations - len(WIDTHS)):
         stuck, _ = _step_all(data, fits, moving)
-        # no step gains: start over along the gradient once, then stop
-        ended = [k for k in stuck if not fits[k].pairs]
-        for k in stuck:
-            fits[k].pairs = []
-        moving = [k for k in moving if k not in ended and fits[k].still < 3]
+        moving = [k for k in moving if k not in stuck and fits[k].still < 3]
         if not moving:
             break
     return [
@@ -292,7 +330,7 @@ def fit_one_class_many(
 ) -> list[KernelModel]:
     """One-class SVM on normal rows: min |w|^2 / 2 - rho + sum(max(0, rho - w.z)) / (nu * n), for each (nu, gamma).
 
-    w and rho are sought together by quasi-Newton steps on the objective whose hinge is rounded off; all fits share
+    w and rho are sought together by damped Newton steps on the objective whose hinge is rounded off; all fits share
     their passes. They start at the mean of z, the solution for nu = 1 (Schoelkopf et al., 2001), and at its nu-quantile.
     The slopes of the hinges, brought into the bounds of the dual problem, give a lower bound of the optimum. A fit
     ends when its objective, not rounded, is within ONE_CLASS_GAP of it; while steps gain too little before that, the
@@ -312,7 +350,7 @@ def fit_one_class_many(
         fits.append(_Fit(
             maps[gamma], 0.0, ONE_CLASS_ROUNDING * max(float(mean @ mean), 1e-9), nu * rows,
             np.append(np.ones(dimensions), 0.0), np.append(np.zeros(dimensions), -1.0), np.append(-mean, rho),
-            one_class=True,
+            one_class=True, share=1.0 / nu,
         ))
     moving = list(range(len(fits)))
     exact = _start(data, fits, moving)
@@ -323,24 +361,29 @@ def fit_one_class_many(
         moving = [k for k in moving if gaps[k][1] > ONE_CLASS_GAP * abs(best[k][0])]
         if not moving:
             break
+        before = {k: fits[k].loss for k in moving}
         stuck, exact = _step_all(data, fits, moving)
         for k, found in exact.items():
             value, _ = gaps[k] = _gap(fits[k], nus[k], means[gammas[k]], *found)
             if value < best[k][0]:
                 best[k] = value, fits[k].p
-        tight = [k for k in moving if (k in stuck and not fits[k].pairs) or fits[k].still >= 3]
-        for k in stuck:
-            fits[k].pairs = []
+        # what is still to gain lies mostly in the rounding
+        tight = [k for k in moving if k in stuck or before[k] - fits[k].loss <= 0.01 * gaps[k][1]]
         if tight:
             for k in tight:
-                fits[k].rounding /= 2
+                fits[k].rounding /= 4
             _start(data, fits, tight)
     else:
         moving = [k for k in moving if gaps[k][1] > ONE_CLASS_GAP * abs(best[k][0])]
     weights = [(flip * best[k][1])[:-1] for k in range(len(fits))]
     raw = [KernelModel(f.features, w, 0.0) for f, w in zip(fits, weights)]
-    scored = data.select(*[m.score().alias(f"value{k}") for k, m in enumerate(raw)])
-    cuts = exact_quantiles(scored, scored.columns, list(dict.fromkeys(nus)))
+    values = [f"value{k}" for k in range(len(raw))]
+    # the quantiles read them several times
+    scored = with_scores(data, raw, values).select(*values).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cuts = exact_quantiles(scored, values, list(dict.fromkeys(nus)))
+    finally:
+        scored.unpersist()
     place = {nu: i for i, nu in enumerate(dict.fromkeys(nus))}
     return [
         KernelModel(f.features, w, -float(cuts[f"value{k}"][place[nus[k]]]), -1.0, k not in moving, f.steps)
@@ -372,19 +415,38 @@ def _bin_quantile(bins: np.ndarray, nu: float, w: np.ndarray) -> float:
     return -_span(w) + (place + 0.5) * 2.0 * _span(w) / SCORE_BINS
 
 
-def _summed(data: DataFrame, work, length: int) -> np.ndarray:
-    """The sum over all rows of what work makes of a matrix of them."""
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _summed(data: DataFrame, work: Callable[[Iterator[pd.DataFrame]], np.ndarray], length: int) -> np.ndarray:
+    """The sum over all tasks of the vector that work makes of a task's rows.
+
+    Vectors travel in chunks, and each chunk is added up in a task of its own.
+    """
+    def each_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = work(batches)
+        chunks = {i: c for i, c in enumerate(np.split(total, range(CHUNK, length, CHUNK))) if c.any()}
+        yield pd.DataFrame({"i": np.array(list(chunks), dtype=np.int32), "v": [c.tobytes() for c in chunks.values()]})
+
+    def add(same: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(v) for v in same["v"]], axis=0)
+        return pd.DataFrame({"i": same["i"].iloc[:1], "v": [total.tobytes()]})
+
+    schema, result = "i int, v binary", np.zeros(length)
+    for row in data.mapInPandas(each_task, schema).groupBy("i").applyInPandas(add, schema).collect():
+        part = np.frombuffer(row["v"])
+        result[row["i"] * CHUNK : row["i"] * CHUNK + len(part)] = part
+    return result
+
+
+def _over_rows(work: Callable[[np.ndarray], np.ndarray], length: int) -> Callable[[Iterator[pd.DataFrame]], np.ndarray]:
+    """The sum of what work makes of a matrix of rows, block by block."""
+    def sums(batches: Iterator[pd.DataFrame]) -> np.ndarray:
         total = np.zeros(length)
         for batch in batches:
-            total += work(batch.to_numpy(dtype=float))
-        kept = np.flatnonzero(total)
-        yield pd.DataFrame({"i": kept.astype(np.int32), "v": total[kept]})
+            x = batch.to_numpy(dtype=float)
+            for start in range(0, len(x), BLOCK_ROWS):
+                total += work(x[start : start + BLOCK_ROWS])
+        return total
 
-    result = np.zeros(length)
-    for row in data.mapInPandas(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
-        result[row["i"]] = row["v"]
-    return result
+    return sums
 
 
 def _means(data: DataFrame, maps: Sequence[FourierMap]) -> tuple[int, list[np.ndarray]]:
@@ -394,7 +456,8 @@ def _means(data: DataFrame, maps: Sequence[FourierMap]) -> tuple[int, list[np.nd
     def work(x: np.ndarray) -> np.ndarray:
         return np.concatenate([[len(x)], *[m.z(x).sum(axis=0) for m in maps]])
 
-    found = _summed(data.select(*maps[0].columns), work, 1 + sum(sizes))
+    length = 1 + sum(sizes)
+    found = _summed(data.select(*maps[0].columns), _over_rows(work, length), length)
     rows = max(int(found[0]), 1)
     return rows, [part / rows for part in np.split(found[1:], np.cumsum(sizes)[:-1])]
 
@@ -408,5 +471,6 @@ def _histograms(data: DataFrame, points: Sequence[tuple[FourierMap, np.ndarray]]
             counted.append(np.bincount(np.clip(place.astype(int), 0, SCORE_BINS - 1), minlength=SCORE_BINS))
         return np.concatenate(counted).astype(float)
 
-    found = _summed(data.select(*points[0][0].columns), work, SCORE_BINS * len(points))
+    length = SCORE_BINS * len(points)
+    found = _summed(data.select(*points[0][0].columns), _over_rows(work, length), length)
     return np.split(found, len(points))

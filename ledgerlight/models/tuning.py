@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.models import artifact as art
 from ledgerlight.models.features import gamma_scale
-from ledgerlight.models.kernel import KernelModel, fit_kernel_many, fit_one_class_many
+from ledgerlight.models.kernel import KernelModel, fit_kernel_many, fit_one_class_many, with_scores
 from ledgerlight.models.linear import LinearModel, Setting, fit_linear
 from ledgerlight.operators import evaluate as ev
 from ledgerlight.operators import sampling
@@ -136,7 +136,10 @@ def tune(
     models, fitted_on = _fit_grid(kind, table.with_rows(train), grid, seed)
     # all points score the validation rows in one pass, and share the passes that find the thresholds
     names = [f"score{i}" for i in range(len(grid))]
-    scores = valid.select(table.key, table.label, *[m.score().alias(n) for n, m in zip(names, models)])
+    if kind == LINEAR:
+        scores = valid.select(table.key, table.label, *[m.score().alias(n) for n, m in zip(names, models)])
+    else:
+        scores = with_scores(valid, models, names).select(table.key, table.label, *names)
     scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         quantiles = exact_quantiles(scores, names, grid_points(TRAIN_GRID_POINTS, *GRID_SPAN))

@@ -107,3 +107,34 @@ def test_members_are_fitted_as_if_alone(cloud):
     for model, rows in zip(both, (flagged.where("half"), flagged)):
         alone = kernel.fit_kernel(rows, ["a", "b"], "is_fraud", 1.0, 5.0, 0.5)
         assert np.allclose(alone.weights, model.weights, rtol=1e-5, atol=1e-7)
+
+
+def test_kernel_fits_take_few_passes_and_end_at_the_optimum(cloud, monkeypatch):
+    df, x, normal = cloud
+    passes, real = [], kernel._hinge_pass
+    monkeypatch.setattr(kernel, "_hinge_pass", lambda *a: passes.append(1) or real(*a))
+    model = kernel.fit_kernel(df, ["a", "b"], "is_fraud", 1.0, 5.0, 0.5)
+    assert model.converged and len(passes) <= 25
+    z = np.column_stack([model.features.z(x), np.ones(len(x))])
+    sign, each = np.where(np.arange(len(x)) >= normal, 1.0, -1.0), np.where(np.arange(len(x)) >= normal, 5.0, 1.0)
+    p = np.append(model.weights, model.intercept)
+    gap = 1 - sign * (z @ p)
+    slope = np.clip((gap + kernel.ROUNDING) / (2 * kernel.ROUNDING), 0, 1)
+    gradient = -(each * sign * slope) @ z / len(x) + np.append(np.full(len(p) - 1, 1 / len(x)), 0.0) * p
+    assert np.linalg.norm(gradient) < 2e-3
+
+
+def test_one_class_fits_take_few_passes(cloud, monkeypatch):
+    df, _, _ = cloud
+    passes, real = [], kernel._hinge_pass
+    monkeypatch.setattr(kernel, "_hinge_pass", lambda *a: passes.append(1) or real(*a))
+    models = kernel.fit_one_class_many(df.where("not is_fraud"), ["a", "b"], [0.03, 0.05, 0.08], [0.5, 0.5, 0.5])
+    assert all(m.converged for m in models) and len(passes) <= 60
+
+
+def test_scores_of_several_models_are_those_of_each(cloud):
+    df, _, _ = cloud
+    models = kernel.fit_one_class_many(df.where("not is_fraud"), ["a", "b"], [0.05, 0.1, 0.1], [0.5, 0.5, 0.1])
+    names = ["one", "two", "three"]
+    both = kernel.with_scores(df, models, names).select("*", *[m.score().alias(f"own_{n}") for n, m in zip(names, models)])
+    assert both.where(" or ".join(f"abs({n} - own_{n}) > 1e-12" for n in names)).count() == 0

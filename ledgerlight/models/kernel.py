@@ -159,7 +159,7 @@ class _Fit:
 
 
 def _step_all(data: DataFrame, fits: Sequence[_Fit], moving: Sequence[int]) -> tuple[list[int], dict[int, tuple]]:
-    """One step of each moving fit: a pass that tries several dampings, and one more for slopes where another than the last is best.
+    """One step of each moving fit: a pass that tries several dampings, and one more where another than the last is best.
 
     Returns the fits that no step improves, and for the others (sum of unrounded hinges, sum of slope-weighted
     (z, 1)) at their new places.

@@ -22,10 +22,15 @@ SCORE_BINS = 1024
 ONE_CLASS_STEPS = 200
 ONE_CLASS_GAP = 5e-3
 ONE_CLASS_ROUNDING = 0.4
+# How much narrower the next rounding of a one-class fit is, and what share of the gap it must make up.
+TIGHTER = 4
+ROUNDING_SHARE = 0.02
 KERNEL_ITERATIONS = 200
 KERNEL_TOLERANCE = 1e-4
 # Shares of the steepest curvature added to the present one: none gives Newton's step, all one that cannot rise.
 DAMPING = (0.0, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0)
+# A step that gains this share of the best one's gain is taken, as its slope and curvature are there already.
+ENOUGH = 0.5
 ROUNDING = 0.1
 # Wider corners of the hinge, one step each: the way to the first place of the search.
 WIDTHS = (2.0, 1.0, 0.5, 0.25)
@@ -131,6 +136,7 @@ class _Fit:
     member: str | None = None
     share: float = 1.0  # rows over divisor
     damping: float = 0.0  # the one that was best last time
+    tighter: tuple | None = None  # what a pass has found at p for the next rounding
     gradient: np.ndarray = field(default_factory=lambda: np.zeros(0))
     curvature: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     loss: float = np.inf
@@ -148,60 +154,85 @@ class _Fit:
         """The objective at each point, from the sums of hinges there."""
         return sums / self.divisor + 0.5 * (self.penalty * points * points).sum(axis=1) + points @ self.linear
 
-    def look(self, slopes: np.ndarray, curvature: np.ndarray) -> None:
-        self.gradient = slopes / self.divisor + self.penalty * self.p + self.linear
+    def roundings(self) -> list[float]:
+        """Those a pass looks at: the present one, and the next one of a fit that goes on to narrower ones."""
+        return [self.rounding, self.rounding / TIGHTER] if self.one_class else [self.rounding]
+
+    def look(self, point: np.ndarray, seen: Sequence[tuple]) -> None:
+        """Be at a point, with what a pass has found there for each rounding."""
+        (loss, slopes, curvature), self.p = seen[0], point
+        self.loss = float(self.whole(point[None], np.array([loss]))[0])
+        self.gradient = slopes / self.divisor + self.penalty * point + self.linear
         self.curvature = curvature / self.divisor
+        self.tighter = seen[1] if len(seen) > 1 else None
 
-    def move(self, point: np.ndarray, loss: float, slopes: np.ndarray, curvature: np.ndarray) -> None:
-        self.still = self.still + 1 if self.loss - loss <= KERNEL_TOLERANCE * abs(loss) else 0
-        self.p, self.loss, self.steps = point, loss, self.steps + 1
-        self.look(slopes, curvature)
+    def move(self, point: np.ndarray, seen: Sequence[tuple]) -> None:
+        before = self.loss
+        self.look(point, seen)
+        self.still = self.still + 1 if before - self.loss <= KERNEL_TOLERANCE * abs(self.loss) else 0
+        self.steps += 1
 
 
 def _step_all(data: DataFrame, fits: Sequence[_Fit], moving: Sequence[int]) -> tuple[list[int], dict[int, tuple]]:
-    """One step of each moving fit: a pass that tries several dampings, and one more where another than the last is best.
+    """One step of each moving fit: a pass that tries several dampings, and one more where the expected one, a little
+    less than the last, gains too little beside the best.
 
-    Returns the fits that no step improves, and for the others (sum of unrounded hinges, sum of slope-weighted
-    (z, 1)) at their new places.
+    Returns the fits that no step improves, and for the others (sum of unrounded hinges, slope-weighted sums of
+    (z, 1) for each rounding) at their new places.
     """
-    order = {k: sorted(DAMPING, key=lambda d: d != fits[k].damping) for k in moving}
+    expected = {k: DAMPING[max(DAMPING.index(fits[k].damping) - 1, 0)] for k in moving}
+    order = {k: sorted(DAMPING, key=lambda d: d != expected[k]) for k in moving}
     tries = {k: np.stack([fits[k].reach(d) for d in order[k]]) for k in moving}
     short, stuck, exact = {}, [], {}
-    for k, (sums, hinges, slopes, bends) in zip(moving, _hinge_pass(data, [fits[k] for k in moving], [tries[k] for k in moving])):
-        losses = fits[k].whole(tries[k], sums)
+    for k, (sums, hinges, seen) in zip(moving, _hinge_pass(data, [fits[k] for k in moving], [tries[k] for k in moving])):
+        losses, before = fits[k].whole(tries[k], sums), fits[k].loss
         best = int(np.argmin(losses))
         fits[k].damping = order[k][best]
-        if not losses[best] < fits[k].loss:
+        if not losses[best] < before:
             stuck.append(k)
-        elif best == 0:
-            fits[k].move(tries[k][0], float(losses[0]), slopes, bends)
-            exact[k] = hinges, slopes
+        elif before - losses[0] >= ENOUGH * (before - losses[best]):
+            fits[k].move(tries[k][0], seen)
+            exact[k] = hinges, [slopes for _, slopes, _ in seen]
         else:
             short[k] = tries[k][best][None]
     if short:
-        for k, (sums, hinges, slopes, bends) in zip(short, _hinge_pass(data, [fits[k] for k in short], list(short.values()))):
-            fits[k].move(short[k][0], float(fits[k].whole(short[k], sums)[0]), slopes, bends)
-            exact[k] = hinges, slopes
+        for k, (_, hinges, seen) in zip(short, _hinge_pass(data, [fits[k] for k in short], list(short.values()))):
+            fits[k].move(short[k][0], seen)
+            exact[k] = hinges, [slopes for _, slopes, _ in seen]
     return stuck, exact
 
 
 def _start(data: DataFrame, fits: Sequence[_Fit], chosen: Sequence[int]) -> dict[int, tuple]:
     """Loss, slope and curvature at the fits' present places."""
     exact = {}
-    for k, (sums, hinges, slopes, bends) in zip(chosen, _hinge_pass(data, [fits[k] for k in chosen], [fits[k].p[None] for k in chosen])):
-        fits[k].loss, fits[k].still = float(fits[k].whole(fits[k].p[None], sums)[0]), 0
-        fits[k].look(slopes, bends)
-        exact[k] = hinges, slopes
+    for k, (_, hinges, seen) in zip(chosen, _hinge_pass(data, [fits[k] for k in chosen], [fits[k].p[None] for k in chosen])):
+        fits[k].look(fits[k].p, seen)
+        fits[k].still = 0
+        exact[k] = hinges, [slopes for _, slopes, _ in seen]
     return exact
 
 
+def _tighten(data: DataFrame, fits: Sequence[_Fit], chosen: Sequence[int]) -> None:
+    """Go on to the next rounding, at the same places. The last pass has seen what is there, but for fits that did not
+    move since they did this last.
+    """
+    unseen = [k for k in chosen if fits[k].tighter is None]
+    for k in chosen:
+        fits[k].rounding /= TIGHTER
+        if fits[k].tighter is not None:
+            fits[k].look(fits[k].p, [fits[k].tighter])
+            fits[k].still = 0
+    if unseen:
+        _start(data, fits, unseen)
+
+
 def _hinge_pass(
     data: DataFrame, fits: Sequence[_Fit], tries: Sequence[np.ndarray],
-) -> list[tuple[np.ndarray, float, np.ndarray, np.ndarray]]:
-    """Sums over the rows of each fit: rounded hinges at every try; at the first the hinges as they are, slope times
-    (z, 1), and curvature times the products of (z, 1) with itself, to which only rows near the corner add. Fits with
-    the same map share its z; each has a product of its own, so that what it finds does not depend, by rounding, on
-    the fits beside it. Cosines are single, all sums double precision.
+) -> list[tuple[np.ndarray, float, list[tuple[float, np.ndarray, np.ndarray]]]]:
+    """Sums over the rows of each fit: rounded hinges at every try; at the first the hinges as they are, and for each
+    rounding the hinges, slope times (z, 1), and curvature times the products of (z, 1) with itself, to which only rows
+    near the corner add. Fits with the same map share its z; each has a product of its own, so that what it finds does
+    not depend, by rounding, on the fits beside it. Cosines are single, all sums double precision.
     """
     names, size = list(fits[0].features.columns), tries[0].shape[1]
     maps: list[FourierMap] = []
@@ -212,11 +243,13 @@ def _hinge_pass(
     products = [np.ascontiguousarray(t.T) for t in tries]
     counts = [len(t) for t in tries]
     upper = np.triu_indices(size)
-    starts = np.concatenate([[0], np.cumsum([c + 1 + size for c in counts])])
-    settings = [(f.base, f.rounding, f.weight, f.one_class, f.member) for f in fits]
+    roundings = [f.roundings() for f in fits]
+    bent = np.cumsum([0, *map(len, roundings)])
+    starts = np.concatenate([[0], np.cumsum([c + 1 + len(r) * (1 + size) for c, r in zip(counts, roundings)])])
+    settings = [(f.base, f.weight, f.one_class, f.member) for f in fits]
 
     def sums(batches: Iterator[pd.DataFrame]) -> np.ndarray:
-        total, bends = np.zeros(starts[-1]), np.zeros((len(settings), size, size))
+        total, bends = np.zeros(starts[-1]), np.zeros((bent[-1], size, size))
         for batch in batches:
             values, target = batch[names].to_numpy(dtype=float), batch["_target"].to_numpy() > 0
             flags = {m: batch[m].to_numpy(dtype=float) for *_, m in settings if m is not None}
@@ -226,34 +259,44 @@ def _hinge_pass(
                 for features, group in zip(maps, groups):
                     z = features.z_single(x)
                     for k in group:
-                        base, rounding, weight, one_class, member = settings[k]
+                        base, weight, one_class, member = settings[k]
                         a = np.ones(len(x)) if one_class else np.where(positive, -1.0, 1.0)
                         each = np.where(positive, weight, 1.0) if not one_class else np.ones(len(x))
                         if member is not None:
                             each = each * flags[member][rows]
                         gap = base + a[:, None] * (z @ products[k])
-                        near = np.abs(gap) < rounding
-                        loss = np.where(near, (gap + rounding) ** 2 / (4 * rounding), np.maximum(gap, 0.0))
-                        slope = np.where(near[:, 0], (gap[:, 0] + rounding) / (2 * rounding), (gap[:, 0] > 0) * 1.0)
                         mine = total[starts[k] : starts[k + 1]]
-                        mine[: counts[k]] += each @ loss
+                        mine[: counts[k]] += each @ _rounded(gap, roundings[k][0])
                         mine[counts[k]] += each @ np.maximum(gap[:, 0], 0.0)
-                        mine[counts[k] + 1 :] += (each * a * slope) @ z
-                        bent = np.flatnonzero(near[:, 0] & (each > 0))
-                        corner = z[bent] * np.sqrt(each[bent] / (2 * rounding))[:, None]
-                        bends[k] += corner.T @ corner
+                        for i, rounding in enumerate(roundings[k]):
+                            at, first = counts[k] + 1 + i * (1 + size), gap[:, 0]
+                            slope = np.clip((first + rounding) / (2 * rounding), 0.0, 1.0)
+                            mine[at] += each @ _rounded(first, rounding)
+                            mine[at + 1 : at + 1 + size] += (each * a * slope) @ z
+                            near = np.flatnonzero((np.abs(first) < rounding) & (each > 0))
+                            corner = z[near] * np.sqrt(each[near] / (2 * rounding))[:, None]
+                            bends[bent[k] + i] += corner.T @ corner
         return np.concatenate([total, *[b[upper] for b in bends]])
 
-    result = _summed(data, sums, starts[-1] + len(fits) * len(upper[0]))
+    result = _summed(data, sums, starts[-1] + bent[-1] * len(upper[0]))
+    triangles = np.split(result[starts[-1] :], bent[-1])
     found = []
-    for a, b, c, triangle in zip(starts, starts[1:], counts, np.split(result[starts[-1] :], len(fits))):
-        bend = np.zeros((size, size))
-        bend[upper] = triangle
-        part = result[a:b]
-        found.append((part[:c], float(part[c]), part[c + 1 :], bend + np.triu(bend, 1).T))
+    for k, c in enumerate(counts):
+        part, seen = result[starts[k] : starts[k + 1]], []
+        for i in range(len(roundings[k])):
+            bend = np.zeros((size, size))
+            bend[upper] = triangles[bent[k] + i]
+            loss, slopes = np.split(part[c + 1 + i * (1 + size) : c + 1 + (i + 1) * (1 + size)], [1])
+            seen.append((float(loss[0]), slopes, bend + np.triu(bend, 1).T))
+        found.append((part[:c], float(part[c]), seen))
     return found
 
 
+def _rounded(gap: np.ndarray, rounding: float) -> np.ndarray:
+    """max(0, gap), rounded off within rounding of its corner."""
+    return np.where(np.abs(gap) < rounding, (gap + rounding) ** 2 / (4 * rounding), np.maximum(gap, 0.0))
+
+
 def _numbers(df: DataFrame, columns: Sequence[str], label: str | None, members: Sequence[str | None]) -> DataFrame:
     kept = [F.col(f"`{m}`").cast("double").alias(m) for m in dict.fromkeys(m for m in members if m is not None)]
     target = F.lit(0.0) if label is None else F.col(label).cast("double")
@@ -332,10 +375,11 @@ def fit_one_class_many(
 
     w and rho are sought together by damped Newton steps on the objective whose hinge is rounded off; all fits share
     their passes. They start at the mean of z, the solution for nu = 1 (Schoelkopf et al., 2001), and at its nu-quantile.
-    The slopes of the hinges, brought into the bounds of the dual problem, give a lower bound of the optimum. A fit
-    ends when its objective, not rounded, is within ONE_CLASS_GAP of it; while steps gain too little before that, the
-    rounding shrinks. One that hits the limit of steps says so. The final rho is an exact quantile, so that nu of the
-    rows are flagged. Scores are rho - w.z: positive for anomalies.
+    The slopes of the hinges, brought into the bounds of the dual problem, give lower bounds of the optimum. A fit
+    ends when its objective, not rounded, is within ONE_CLASS_GAP of the best of them; where a step gains less than
+    what is left after it, the rounding shrinks. Each pass looks at the next rounding, too, so this takes none of its
+    own. One that hits the limit of steps says so. The final rho is an exact quantile, so that nu of the rows are
+    flagged. Scores are rho - w.z: positive for anomalies.
     """
     data = _numbers(normal, columns, None, [])
     maps = {g: FourierMap.draw(columns, g, dimensions, seed) for g in dict.fromkeys(gammas)}
@@ -350,31 +394,32 @@ def fit_one_class_many(
         fits.append(_Fit(
             maps[gamma], 0.0, ONE_CLASS_ROUNDING * max(float(mean @ mean), 1e-9), nu * rows,
             np.append(np.ones(dimensions), 0.0), np.append(np.zeros(dimensions), -1.0), np.append(-mean, rho),
-            one_class=True, share=1.0 / nu,
+            one_class=True, share=1.0 / nu, damping=DAMPING[-2],
         ))
     moving = list(range(len(fits)))
     exact = _start(data, fits, moving)
-    gaps = {k: _gap(fits[k], nus[k], means[gammas[k]], *exact[k]) for k in moving}
-    # the best place a fit has seen, by its objective as it is
-    best = {k: (gaps[k][0], fits[k].p) for k in moving}
-    for _ in range(steps):
-        moving = [k for k in moving if gaps[k][1] > ONE_CLASS_GAP * abs(best[k][0])]
-        if not moving:
+    # the best place a fit has seen, by its objective as it is, and the best bound
+    best, bound, rounded = {k: (np.inf, fits[k].p) for k in moving}, {k: -np.inf for k in moving}, {}
+
+    def left(k: int) -> float:
+        return best[k][0] - bound[k]
+
+    for step in range(steps + 1):
+        for k, (hinges, seen) in exact.items():
+            value = _objective(fits[k], hinges)
+            rounded[k] = fits[k].loss - value
+            if value < best[k][0]:
+                best[k] = value, fits[k].p
+            bound[k] = max(bound[k], *[_lower(fits[k], nus[k], means[gammas[k]], slopes) for slopes in seen])
+        moving = [k for k in moving if left(k) > ONE_CLASS_GAP * abs(best[k][0])]
+        if not moving or step == steps:
             break
+        if step:
+            # what is still to gain lies to a good part in the rounding
+            slow = [k for k in moving if before[k] - fits[k].loss <= 0.5 * left(k) and rounded[k] >= ROUNDING_SHARE * left(k)]
+            _tighten(data, fits, [k for k in moving if k in stuck or k in slow])
         before = {k: fits[k].loss for k in moving}
         stuck, exact = _step_all(data, fits, moving)
-        for k, found in exact.items():
-            value, _ = gaps[k] = _gap(fits[k], nus[k], means[gammas[k]], *found)
-            if value < best[k][0]:
-                best[k] = value, fits[k].p
-        # what is still to gain lies mostly in the rounding
-        tight = [k for k in moving if k in stuck or before[k] - fits[k].loss <= 0.01 * gaps[k][1]]
-        if tight:
-            for k in tight:
-                fits[k].rounding /= 4
-            _start(data, fits, tight)
-    else:
-        moving = [k for k in moving if gaps[k][1] > ONE_CLASS_GAP * abs(best[k][0])]
     weights = [(flip * best[k][1])[:-1] for k in range(len(fits))]
     raw = [KernelModel(f.features, w, 0.0) for f, w in zip(fits, weights)]
     values = [f"value{k}" for k in range(len(raw))]
@@ -391,17 +436,22 @@ def fit_one_class_many(
     ]
 
 
-def _gap(fit: _Fit, nu: float, mean: np.ndarray, hinges: float, slopes: np.ndarray) -> tuple[float, float]:
-    """The objective as it is, and how far above a lower bound of the optimum it lies.
+def _objective(fit: _Fit, hinges: float) -> float:
+    """The one-class objective as it is, from the sum of unrounded hinges."""
+    w = fit.p[:-1]
+    return 0.5 * float(w @ w) - float(fit.p[-1]) + hinges / fit.divisor
+
+
+def _lower(fit: _Fit, nu: float, mean: np.ndarray, slopes: np.ndarray) -> float:
+    """A lower bound of the one-class optimum.
 
     The dual problem is min |sum a_i z_i|^2 / 2 over weights of at most 1 / (nu n) that add up to 1. The slopes do not
     quite add up; they are scaled down, or mixed with equal weights as far as the bound allows.
     """
-    w, total = -fit.p[:-1], slopes[-1] / fit.divisor
-    value = 0.5 * float(w @ w) - float(fit.p[-1]) + hinges / fit.divisor
+    total = slopes[-1] / fit.divisor
     share = 1.0 / total if total >= 1.0 else (1.0 - nu) / (1.0 - nu * total)
     centre = share * slopes[:-1] / fit.divisor + (1.0 - share * total) * mean
-    return value, value + 0.5 * float(centre @ centre)
+    return -0.5 * float(centre @ centre)
 
 
 def _span(w: np.ndarray) -> float:

@@ -138,3 +138,28 @@ def test_scores_of_several_models_are_those_of_each(cloud):
     names = ["one", "two", "three"]
     both = kernel.with_scores(df, models, names).select("*", *[m.score().alias(f"own_{n}") for n, m in zip(names, models)])
     assert both.where(" or ".join(f"abs({n} - own_{n}) > 1e-12" for n in names)).count() == 0
+
+
+def test_one_class_steps_mostly_take_one_pass(cloud, monkeypatch):
+    df, _, _ = cloud
+    passes, real = [], kernel._hinge_pass
+    monkeypatch.setattr(kernel, "_hinge_pass", lambda *a: passes.append(1) or real(*a))
+    model = kernel.fit_one_class(df.where("not is_fraud"), ["a", "b"], 0.05, 0.5)
+    assert model.converged and len(passes) <= 24
+
+
+def test_the_next_rounding_is_seen_by_the_last_pass(cloud):
+    df, _, _ = cloud
+    data = kernel._numbers(df.where("not is_fraud"), ["a", "b"], None, [])
+    features = kernel.FourierMap.draw(["a", "b"], 0.5)
+    p = np.append(-kernel._means(data, [features])[1][0], 0.4)
+    penalty, linear = np.append(np.ones(len(p) - 1), 0.0), np.append(np.zeros(len(p) - 1), -1.0)
+    at = [kernel._Fit(features, 0.0, r, 50.0, penalty, linear, p, one_class=True) for r in (0.2, 0.2 / kernel.TIGHTER)]
+    kernel._start(data, at, [0, 1])
+    kernel._tighten(data, at, [0])
+    assert at[0].rounding == at[1].rounding and np.isclose(at[0].loss, at[1].loss, rtol=1e-12)
+    assert np.allclose(at[0].gradient, at[1].gradient) and np.allclose(at[0].curvature, at[1].curvature)
+    # not moved since, so the next one takes a pass
+    kernel._tighten(data, at, [0])
+    kernel._tighten(data, at, [1])
+    assert at[0].rounding == at[1].rounding and np.isclose(at[0].loss, at[1].loss, rtol=1e-12)

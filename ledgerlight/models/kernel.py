@@ -273,8 +273,10 @@ def _hinge_pass(
                             slope = np.clip((first + rounding) / (2 * rounding), 0.0, 1.0)
                             mine[at] += each @ _rounded(first, rounding)
                             mine[at + 1 : at + 1 + size] += (each * a * slope) @ z
-                            near = np.flatnonzero((np.abs(first) < rounding) & (each > 0))
-                            corner = z[near] * np.sqrt(each[near] / (2 * rounding))[:, None]
+                            # rows near a narrower corner, too, are multiplied there and added below
+                            near, inner = np.abs(first) < rounding, roundings[k][i + 1 : i + 2]
+                            ring = np.flatnonzero(near & (each > 0) & (np.abs(first) >= (inner[0] if inner else 0.0)))
+                            corner = z[ring] * np.sqrt(each[ring])[:, None]
                             bends[bent[k] + i] += corner.T @ corner
         return np.concatenate([total, *[b[upper] for b in bends]])
 
@@ -282,12 +284,11 @@ def _hinge_pass(
     triangles = np.split(result[starts[-1] :], bent[-1])
     found = []
     for k, c in enumerate(counts):
-        part, seen = result[starts[k] : starts[k + 1]], []
-        for i in range(len(roundings[k])):
-            bend = np.zeros((size, size))
-            bend[upper] = triangles[bent[k] + i]
+        part, seen, bend = result[starts[k] : starts[k + 1]], [], np.zeros((size, size))
+        for i in reversed(range(len(roundings[k]))):
+            bend[upper] += triangles[bent[k] + i]
             loss, slopes = np.split(part[c + 1 + i * (1 + size) : c + 1 + (i + 1) * (1 + size)], [1])
-            seen.append((float(loss[0]), slopes, bend + np.triu(bend, 1).T))
+            seen.insert(0, (float(loss[0]), slopes, (bend + np.triu(bend, 1).T) / (2 * roundings[k][i])))
         found.append((part[:c], float(part[c]), seen))
     return found
 

@@ -163,3 +163,20 @@ def test_the_next_rounding_is_seen_by_the_last_pass(cloud):
     kernel._tighten(data, at, [0])
     kernel._tighten(data, at, [1])
     assert at[0].rounding == at[1].rounding and np.isclose(at[0].loss, at[1].loss, rtol=1e-12)
+
+
+def test_curvature_of_both_roundings_is_that_of_all_rows_near_them(cloud):
+    df, x, normal = cloud
+    data = kernel._numbers(df.where("not is_fraud"), ["a", "b"], None, [])
+    features = kernel.FourierMap.draw(["a", "b"], 0.5)
+    z = features.z_single(x[:normal])
+    p = np.append(-z[:, :-1].mean(axis=0), 0.4)
+    fit = kernel._Fit(features, 0.0, 0.2, 50.0, p, p, p, one_class=True)
+    [(sums, hinges, seen)] = kernel._hinge_pass(data, [fit], [p[None]])
+    gap = z @ p
+    assert np.isclose(hinges, np.maximum(gap, 0).sum()) and np.isclose(sums[0], seen[0][0])
+    for r, (loss, slopes, bend) in zip((0.2, 0.2 / kernel.TIGHTER), seen, strict=True):
+        near = np.abs(gap) < r
+        assert near.any() and np.isclose(loss, kernel._rounded(gap, r).sum())
+        assert np.allclose(slopes, np.clip((gap + r) / (2 * r), 0, 1) @ z)
+        assert np.allclose(bend, z[near].T @ z[near] / (2 * r))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlight.llm.common import CHUNK_CHARS, byte_runs, crc32_mod, release, texts
 from ledgerlight.llm.pretokens import distinct, split
@@ -33,7 +34,8 @@ FOLDS = 5
 BUCKETS = 1 << 20
 DENSE_WORDS = 512
 QUERIES_AT_ONCE = 64
-POSTS_AT_ONCE = 1 << 20
+HASHED_AT_ONCE = 10_000
+POSTS_AT_ONCE = 1 << 18
 # far beyond the rounding of sums in single precision
 ROUNDING = 1e-4
 
@@ -51,10 +53,51 @@ def counted(owner: np.ndarray, index: np.ndarray, size: int) -> tuple[np.ndarray
     return np.searchsorted(pairs >> 32, np.arange(size + 1)), pairs & 0xFFFFFFFF, times
 
 
-def known_words(batch: list[str], places: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Places:
+    """The place of each word, in a tenth of a dict's room: words in one array, found by their sorted hashes."""
+
+    def __init__(self, words: pa.Array):
+        self.words = words
+        hashes = np.empty(len(words), np.int64)
+        for start in range(0, len(words), HASHED_AT_ONCE):
+            some = words.slice(start, HASHED_AT_ONCE).to_pylist()
+            hashes[start:start + len(some)] = np.fromiter(map(hash, some), np.int64, len(some))
+        self.order = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.hashes = hashes[self.order]
+        twice = np.flatnonzero(self.hashes[1:] == self.hashes[:-1])
+        # words that share their hash with another one
+        self.twins = {words[i].as_py(): i for i in self.order[np.union1d(twice, twice + 1)].tolist()}
+
+    def __reduce__(self) -> tuple:
+        # hashes of texts differ from process to process
+        return Places, (self.words,)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.words.to_pylist())
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """The place of each of these words, -1 for those that have none."""
+        if not len(self.words) or not words:
+            return np.full(len(words), -1, np.int64)
+        hashes = np.fromiter(map(hash, words), np.int64, len(words))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        like = np.flatnonzero(self.hashes[at] == hashes)
+        there = self.order[at[like]].astype(np.int64)
+        same = pa.compute.equal(self.words.take(pa.array(there)), pa.array(words, pa.string()).take(pa.array(like)))
+        out = np.full(len(words), -1, np.int64)
+        out[like] = np.where(same.to_numpy(zero_copy_only=False), there, -1)
+        if self.twins:
+            out = np.array([self.twins.get(w, i) for w, i in zip(words, out.tolist())], np.int64)
+        return out
+
+
+def known_words(batch: list[str], places: Places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The texts' words that have a place: as ``counted`` gives them."""
     words, index, owner = words_of(batch)
-    index = np.array([places.get(w, -1) for w in words], np.int64)[index] if words else index
+    index = places.find(words)[index] if words else index
     return counted(owner[index >= 0], index[index >= 0], len(batch))
 
 
@@ -84,8 +127,7 @@ def placed_words(examples: DataFrame, places: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, times, offsets = flat(batch.column("words"), batch.column("times"))
-            of = places.value
-            ids = np.array([of[w] for w in words.to_pylist()], np.int64)
+            ids = places.value.find(words.to_pylist())
             order = np.lexsort((ids, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))))
             at = pa.array(offsets, pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -158,7 +200,9 @@ class Index:
     idf: np.ndarray
     starts: np.ndarray
     ids: np.ndarray
-    values: np.ndarray
+    times: np.ndarray
+    logs: np.ndarray
+    lengths: np.ndarray
     column: np.ndarray
     matrix: np.ndarray
     cuts: np.ndarray
@@ -168,6 +212,15 @@ class Index:
     toxic: np.ndarray
     prior: float
 
+    @property
+    def values(self) -> np.ndarray:
+        """What each entry's words weigh in it."""
+        return self.values_at(np.arange(len(self.ids)), np.repeat(self.lengths, np.diff(self.starts)))
+
+    def values_at(self, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """As ``weights`` gives them; made anew for the few entries that need them, as they would fill much memory."""
+        return self.logs[self.times[at]] * self.idf[self.ids[at]] / lengths
+
 
 def weights(ids: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Unit vector of (1 + log tf) idf."""
@@ -195,8 +248,12 @@ class Entries:
 
 
 def opened(steps: bytes, times: bytes, n: int, idf: np.ndarray, sizes: np.ndarray, size: np.ndarray, toxic: np.ndarray, prior: float) -> Index:
-    made = [np.frombuffer(pa.decompress(x, 4 * n, "zstd", asbytes=True), np.int32) for x in (steps, times)]
-    return index_of(Entries(idf, sizes, np.cumsum(made[0], dtype=np.int32), made[1], size, toxic, prior))
+    def numbers(x: bytes) -> np.ndarray:
+        return np.frombuffer(pa.decompress(x, 4 * n, "zstd", asbytes=True), np.int32)
+
+    often = numbers(times)
+    often = often.astype(np.min_scalar_type(often.max(initial=0)))
+    return index_of(Entries(idf, sizes, np.cumsum(numbers(steps), dtype=np.int32), often, size, toxic, prior))
 
 
 def entries_of(vectors: list[tuple], idf: np.ndarray, prior: float) -> Entries:
@@ -223,9 +280,12 @@ def build_index(vectors: list[tuple], idf: np.ndarray, prior: float) -> Index:
 def index_of(e: Entries) -> Index:
     idf, sizes, ids = e.idf, e.sizes, e.ids
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    values = np.empty(len(ids))
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        values[a:b] = weights(ids[a:b], e.times[a:b], idf)
+    logs = 1 + np.log(np.maximum(np.arange(int(e.times.max(initial=0)) + 1), 1))
+    values, lengths = np.empty(len(ids), np.float32), np.ones(len(sizes))
+    for k, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
+        raw = logs[e.times[a:b]] * idf[ids[a:b]]
+        lengths[k] = math.sqrt(float(raw @ raw)) or 1.0
+        values[a:b] = raw / lengths[k]
     owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     found = np.bincount(ids, minlength=len(idf))
     column = np.full(len(idf), -1, np.int32)
@@ -234,12 +294,14 @@ def index_of(e: Entries) -> Index:
     matrix = np.zeros((len(often), len(sizes)), np.float32)
     held = column[ids] >= 0
     matrix[column[ids[held]], owner[held]] = values[held]
-    other = np.flatnonzero(~held)
-    other = other[np.argsort(ids[other], kind="stable")]
+    other = np.flatnonzero(~held).astype(np.int32)
+    other = other[np.argsort(ids[other], kind="stable").astype(np.int32)]
     cuts = np.concatenate(([0], np.cumsum(np.bincount(ids[other], minlength=len(idf)))))
-    return Index(
-        idf, starts, ids, values, column, matrix, cuts, owner[other], values[other].astype(np.float32), e.size, e.toxic, e.prior,
+    made = Index(
+        idf, starts, ids, e.times, logs, lengths, column, matrix, cuts, owner[other], values[other], e.size, e.toxic, e.prior,
     )
+    release()
+    return made
 
 
 def similarities(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -280,7 +342,7 @@ def chosen(index: Index, near_by: np.ndarray, scratch: np.ndarray, ids: np.ndarr
     begin = np.cumsum(n) - n
     at = np.arange(int(n.sum())) + np.repeat(first - begin, n)
     scratch[ids] = vector
-    near = np.add.reduceat(scratch[index.ids[at]] * index.values[at], begin)
+    near = np.add.reduceat(scratch[index.ids[at]] * index.values_at(at, np.repeat(index.lengths[entries], n)), begin)
     scratch[ids] = 0
     order = np.argsort(-near, kind="stable")
     last = int(np.searchsorted(np.cumsum(index.size[entries[order]]), needed))
@@ -374,7 +436,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Model:
     known = bounded_examples(labels, most)
     examples = materialise(word_counts(texts(docs).join(F.broadcast(known), "doc_id")))
     words = sorted(examples.select(F.explode("words").alias("word")).distinct().toArrow()["word"].to_pylist())
-    places = context.broadcast({w: i for i, w in enumerate(words)})
+    places = context.broadcast(Places(pa.array(words, pa.string())))
     in_docs, total = document_frequencies(texts(docs), places)
     learned = materialise(placed_words(examples, places))
     n_words = len(words)
@@ -446,15 +508,18 @@ def without_toxic(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES)
     """docs without the rows whose own text is predicted toxic, whatever their doc_id; columns unchanged."""
     model = fit(docs, labels, most)
     names = docs.columns
+    # a copy of the texts beside them would fill much memory
+    plain = isinstance(docs.schema["text"].dataType, T.StringType)
+    whole = docs if plain else docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    source = "text" if plain else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, tuple[float, str]] = {}
         for batch in batches:
-            for first, last in byte_runs(batch.column("__text"), CHUNK_CHARS):
+            for first, last in byte_runs(batch.column(source), CHUNK_CHARS):
                 part = batch.slice(first, last - first)
-                made = model.judge(part.column("__text").to_pylist(), known)
+                made = model.judge([t or "" for t in part.column(source).to_pylist()], known)
                 yield part.filter(pa.array([s < 0.5 for s, _ in made], pa.bool_())).select(names)
         release()
 
-    whole = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     return whole.mapInArrow(run, docs.schema)

@@ -3,6 +3,7 @@ import pickle
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlight.llm import toxicity
@@ -158,3 +159,34 @@ def test_the_filter_judges_each_row(spark):
     rows = list(enumerate(texts)) + [(1000, texts[0]), (1000, texts[1]), (None, texts[0]), (None, texts[1])]
     left = toxicity.without_toxic(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
     assert [(r["doc_id"], r["text"]) for r in left if r["doc_id"] is None or r["doc_id"] >= 1000] == [(1000, texts[1]), (None, texts[1])]
+
+
+def test_places_of_words(monkeypatch):
+    """Each word's place by its hash, also where hashes are shared, and after a journey to another process."""
+    words = sorted({f"{a}{b}é" for a in "abcx" for b in range(300)} | {"a", "日本"})
+    asked = [*words[::-1], "never", "b", "", words[3]]
+    wanted = [words.index(w) if w in words else -1 for w in asked]
+    for alike in (hash, len, lambda w: 7):
+        monkeypatch.setattr(toxicity, "hash", alike, raising=False)
+        places = toxicity.Places(pa.array(words, pa.string()))
+        for each in (places, pickle.loads(pickle.dumps(places))):
+            assert each.find(asked).tolist() == wanted and len(each) == len(words) and list(each) == words
+    assert toxicity.Places(pa.array([], pa.string())).find(["a"]).tolist() == [-1] and places.find([]).tolist() == []
+
+
+def test_index_takes_little_room():
+    """Opened in a worker, an index holds at most 16 bytes a word of an entry beside the matrix; before, 24 and more."""
+    rng = np.random.default_rng(5)
+    vectors = []
+    for k in range(300):
+        ids = np.sort(rng.choice(50_000, 400, replace=False))
+        vectors.append((ids, rng.integers(1, 9, len(ids)), k % 2))
+    idf = 1 + rng.random(50_000)
+    index = pickle.loads(pickle.dumps(toxicity.entries_of(vectors, idf, 0.1)))
+    held = sum(x.nbytes for x in vars(index).values() if isinstance(x, np.ndarray) and len(x) > len(idf) + 1)
+    assert len(index.ids) == 120_000 and held <= 16 * len(index.ids)
+    plain = toxicity.build_index(vectors, idf, 0.1)
+    assert (plain.values == index.values).all() and plain.times.sum() == index.times.sum()
+    for k in range(0, 300, 60):
+        a, b = index.starts[k], index.starts[k + 1]
+        assert (index.values[a:b] == toxicity.weights(index.ids[a:b], index.times[a:b].astype(int), idf)).all()

@@ -12,6 +12,7 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerlight.llm.common import once
 
@@ -160,15 +161,18 @@ def distinct(pieces: Pieces) -> tuple[list[str], np.ndarray]:
         np.cumsum((pieces.codes.astype(np.uint64) + np.uint64(1)) * up[: len(pieces.codes)], out=sums[1:])
         hashes = (sums[ends] - sums[starts]) * down[starts]
         hashes ^= hashes >> np.uint64(29)
-    _, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+    coded = pa.array(hashes).dictionary_encode()
+    index = coded.indices.to_numpy().astype(np.int64)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[index[::-1]] = np.arange(len(index) - 1, -1, -1)
     sizes = ends - starts
     model = starts[first][index]
     same = sizes == sizes[first][index]
     if same.all():
-        ranges = np.cumsum(sizes) - sizes
-        flat = np.arange(int(sizes.sum()), dtype=np.int64)
-        own = flat + np.repeat(starts - ranges, sizes)
-        same = pieces.codes[own] == pieces.codes[flat + np.repeat(model - ranges, sizes)]
+        again = np.flatnonzero(model != starts)
+        width = sizes[again]
+        own = np.arange(int(width.sum())) + np.repeat(starts[again] - (np.cumsum(width) - width), width)
+        same = pieces.codes[own] == pieces.codes[own - np.repeat(starts[again] - model[again], width)]
     if same.all():
         text = pieces.joined
         return [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())], index

@@ -16,11 +16,14 @@ KNOWN_WORDS = 120_000
 
 
 class Vocabulary:
-    """Pre-tokens to ids. ``whole`` holds the pre-tokens that are one token by themselves."""
+    """Pre-tokens to ids. ``whole`` holds the pre-tokens that are one token by themselves. ``known`` holds words met
+    lately, ``older`` those met before them: words that come again and again stay, the others go.
+    """
 
     whole: dict[str, int]
     whole_ids: dict[str, bytes]
     known: dict[str, bytes]
+    older: dict[str, bytes]
     table: PairTable
 
     def start_ids(self, raw: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -37,19 +40,26 @@ class Vocabulary:
         return merge_all(self.start_ids(raw, stops), np.diff(stops, prepend=0), self.table)
 
     def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of words: a look-up for whole tokens and known words, merges for the rest."""
-        out = [whole or known for whole, known in zip(map(self.whole_ids.get, words), map(self.known.get, words))]
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        if rest:
-            fresh = [words[i] for i in rest]
-            made = self.merge(fresh)
-            for i, ids in zip(rest, made):
-                out[i] = ids
-            if len(self.known) + len(rest) > KNOWN_WORDS:
-                self.known.clear()
-            self.known.update(zip(fresh[:KNOWN_WORDS], made))
+        """Ids of words: a look-up for known words and whole tokens, merges for the rest."""
+        out = list(map(self.known.get, words))
+        missed = [i for i, ids in enumerate(out) if ids is None]
+        if missed:
+            names = [words[i] for i in missed]
+            ids = [older or whole for older, whole in zip(map(self.older.get, names), map(self.whole_ids.get, names))]
+            rest = [k for k, there in enumerate(ids) if there is None]
+            if rest:
+                for k, made in zip(rest, self.merge([names[k] for k in rest])):
+                    ids[k] = made
+            for i, there in zip(missed, ids):
+                out[i] = there
+            self.keep(names, ids)
         return out
 
+    def keep(self, words: list[str], ids: list[bytes]) -> None:
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        self.known.update(zip(words[:KNOWN_WORDS], ids))
+
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte: printable Latin-1 for itself, the others from 256 on."""
@@ -64,7 +74,7 @@ class WordVocabulary(Vocabulary):
     keep_space = False
 
     def __init__(self, path: str):
-        self.known, self.whole_ids = {}, {}
+        self.known, self.older, self.whole_ids = {}, {}, {}
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         model = told["model"]
@@ -113,7 +123,7 @@ class ByteVocabulary(Vocabulary):
     keep_space = True
 
     def __init__(self, path: str):
-        self.known, self.whole_ids = {}, {}
+        self.known, self.older, self.whole_ids = {}, {}, {}
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
         ranks = self.ranks

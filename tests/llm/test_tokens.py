@@ -9,7 +9,7 @@ import tiktoken
 from public_tokenizers import PATTERN
 from tokenizers import Tokenizer
 
-from ledgerlight.llm import packing
+from ledgerlight.llm import packing, vocabulary
 from ledgerlight.llm.byte_bpe import decode_ids, encode_texts, round_trip
 from ledgerlight.llm.merges import PairTable, merge_all
 from ledgerlight.llm.pretokens import distinct, split
@@ -183,3 +183,18 @@ def test_least_squares_fit_an_exact_mixture():
     x = packing.least_squares(combos, counts)
     made = np.bincount(combos.ravel(), weights=np.repeat(x, 3), minlength=65)
     assert abs(made[1:] - counts[1:]).max() < 1
+
+
+def test_words_that_come_again_stay_known(monkeypatch):
+    """Where more words come than are kept, those of every batch are merged once and not again."""
+    monkeypatch.setattr(vocabulary, "KNOWN_WORDS", 60)
+    words = vocabulary.WordVocabulary(WORDS)
+    usual = [f"qzx{'jk' * i}w" for i in range(1, 20)]
+    plain, merged, merge = words.merge(usual), [], words.merge
+    monkeypatch.setattr(words, "merge", lambda some: merged.extend(some) or merge(some))
+    for k in range(20):
+        fresh = [f"xq{k}vzj{i}kq" for i in range(30)]
+        assert words.encode([*usual, *fresh])[: len(usual)] == plain
+        assert len(words.known) <= 60 and len(words.older) <= 60
+    assert all(merged.count(w) == 1 for w in usual)
+    assert words.encode(["the", "xq"])[0] == words.whole_ids["the"]

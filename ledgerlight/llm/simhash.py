@@ -83,7 +83,11 @@ def segment(fp: Column, width: int, number: int) -> Column:
 
 
 def links(distinct: DataFrame, distance: int) -> DataFrame:
-    """(a, b): every pair of different fingerprints within the distance, once."""
+    """(a, b): every pair of different fingerprints within the distance, once.
+
+    Joined by shuffle at any size: Spark sizes a table by what it was before an explode, and would broadcast dozens of
+    rows for each fingerprint.
+    """
     if not 0 <= distance < 16:
         raise ValueError("distance must be 0 to 15")
     count = max(distance // 2 + 1, 2)
@@ -101,7 +105,7 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
         earlier = earlier | ((F.col("n") > n) & (F.bit_count(segment(differing, width, n)) <= 1))
     equal_here = F.col("to") == F.col("at")
     return (
-        stored.join(balls, "to")
+        stored.hint("merge").join(balls.hint("merge"), "to")
         .where(near & ~earlier & (~equal_here | (F.col("a") < F.col("b"))))
         .select("a", "b")
     )

@@ -72,6 +72,12 @@ def test_links_by_brute_force(spark):
         assert found == wanted
 
 
+def test_links_are_joined_by_shuffle(spark):
+    # a table that Spark sizes as small before its rows are exploded
+    plan = simhash.links(spark.range(100).withColumnRenamed("id", "fp"), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_groups_by_brute_force(some_docs):
     rows = simhash.near_duplicates(some_docs).collect()
     texts = {r["doc_id"]: r["text"] for r in some_docs.collect()}

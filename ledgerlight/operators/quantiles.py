@@ -4,14 +4,17 @@ Spark's exact ``percentile`` keeps every distinct value of a column in one buffe
 quickest way for a small column, and no way at all for a large one. Beyond ``small_rows`` values the
 wanted order statistics are narrowed down instead: sketch quantiles propose cut points, one counting
 pass says exactly which interval each wanted rank falls into, and the loop goes on inside those
-intervals until few rows are left. All columns share each pass, which is a scan with map-side
-counting; values are shuffled only in the last one, and there they are few. A value that fills a
-large share of the table gets an interval of its own and is settled by the first count.
+intervals that still hold many rows. All columns share each pass, which is a scan with map-side
+counting; values are shuffled only in the last one, which ranks each interval's by itself: a small
+share of the table, spread over as many tasks as there are intervals. The driver holds the cut points,
+whose number is bounded whatever the number of intervals. A value that fills a large share of the
+table gets an interval of its own and is settled by the first count.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -25,6 +28,8 @@ SMALL_ROWS = 1_000_000
 SMALL_WORK = 30_000_000
 SKETCH_ACCURACY = 10_000
 CUTS_PER_INTERVAL = 200
+# of all intervals together: the driver holds them
+MOST_CUTS = 50_000
 
 
 def exact_quantiles(
@@ -118,13 +123,15 @@ def _select(numbers: DataFrame, counts: dict[int, int], wanted: list[float], sma
         cuts[n] = proposed
 
     found: Found = {}
+    narrow: list[_Interval] = []
     while pending:
-        pending = _narrow(numbers, pending, cuts, found)
-        if sum(i.rows for i in pending) <= small_rows:
-            break
-        cuts = _propose(numbers, pending)
-    if pending:
-        found.update(_finish(numbers, pending))
+        kept = _narrow(numbers, pending, cuts, found)
+        narrow += [i for i in kept if i.rows <= small_rows]
+        pending = [i for i in kept if i.rows > small_rows]
+        if pending:
+            cuts = _propose(numbers, pending)
+    if narrow:
+        found.update(_finish(numbers, narrow))
     return found
 
 
@@ -166,7 +173,8 @@ def _inside(numbers: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
 
 
 def _propose(numbers: DataFrame, intervals: Sequence[_Interval]) -> dict[int, list[float]]:
-    steps = F.array(*[F.lit(i / CUTS_PER_INTERVAL) for i in range(CUTS_PER_INTERVAL + 1)])
+    pieces = max(2, min(CUTS_PER_INTERVAL, MOST_CUTS // len(intervals)))
+    steps = F.array(*[F.lit(i / pieces) for i in range(pieces + 1)])
     sketched = _inside(numbers, intervals).groupBy("interval")
     rows = sketched.agg(F.percentile_approx("value", steps, SKETCH_ACCURACY).alias("cuts")).collect()
     return {row["interval"]: row["cuts"] for row in rows}
@@ -191,7 +199,7 @@ def _narrow(
         below = 0
         for slot, (low, high) in enumerate(zip(own, own[1:])):
             size = counted.get((column, slot), 0)
-            here = [r for r in wanted if below <= r < below + size]
+            here = wanted[bisect_left(wanted, below):bisect_left(wanted, below + size)]
             if here and high == math.nextafter(low, math.inf):
                 found.update({(column, r): low for r in here})
             elif here:
@@ -201,7 +209,7 @@ def _narrow(
 
 
 def _finish(numbers: DataFrame, intervals: Sequence[_Interval]) -> Found:
-    """Rank the few values left, grouped to distinct ones first, inside their intervals."""
+    """Rank the values left, grouped to distinct ones first, inside their intervals, each of which holds few."""
     distinct = _inside(numbers, intervals).groupBy("interval", "value").agg(F.count("*").alias("times"))
     order = Window.partitionBy("interval").orderBy("value")
     ranked = distinct.withColumn("upto", F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, 0)))

@@ -210,3 +210,21 @@ def test_many_quantiles_of_many_columns_leave_a_small_plan(spark, monkeypatch):
     assert all(found[c] == pytest.approx(list(v)) for c, v in zip(df.columns, plain))
     # the plan does not hold a literal per interval
     assert plans and all(len(p._jdf.queryExecution().analyzed().toJSON()) < 300_000 for p in plans)
+
+
+@pytest.mark.parametrize("small_rows", [100, 2])
+def test_many_intervals_share_a_bounded_number_of_cuts(spark, monkeypatch, small_rows):
+    df = spark.range(20_000).select(*[F.rand(i).alias(f"c{i}") for i in range(12)]).cache()
+    points, proposed, real = quantiles.grid_points(101, 0.0, 1.0), [], quantiles._propose
+
+    def propose(numbers, intervals):
+        cuts = real(numbers, intervals)
+        proposed.append(sum(map(len, cuts.values())))
+        return cuts
+
+    monkeypatch.setattr(quantiles, "_propose", propose)
+    found = quantiles.exact_quantiles(df, df.columns, points, small_rows=small_rows)
+    plain = df.agg(*[F.percentile(c, F.array(*map(F.lit, points))) for c in df.columns]).first()
+    assert all(found[c] == pytest.approx(list(v)) for c, v in zip(df.columns, plain))
+    # intervals of few rows each are ranked as they are, however many there are
+    assert not proposed if small_rows == 100 else proposed and max(proposed) < 60_000

@@ -29,7 +29,8 @@ def lookup_join(
     A lookup whose counted rows and estimated bytes are small is broadcast. A larger one is joined by shuffle: keys that
     hold more than one row in a hundred (at most a hundred of them) are spread over several tasks,
     their lookup rows repeated once per salt; all other keys have one salt. The salt follows from the
-    row itself, so a recomputed task sends each row the same way.
+    row itself, so a recomputed task sends each row the same way. Spark would still broadcast a lookup whose compressed
+    columns are few bytes, or whose rows are not yet repeated, so the shuffle is asked for.
     """
     rows, size = lookup.limit(broadcast_rows + 1).agg(F.count("*"), F.sum(row_bytes(lookup))).first()
     if rows <= broadcast_rows and (size or 0) <= BROADCAST_BYTES:
@@ -43,7 +44,7 @@ def lookup_join(
     salted_facts = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(zero))
     every = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
     salted_lookup = lookup.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(zero))))
-    return salted_facts.join(salted_lookup, [key, "_salt"], how).drop("_salt")
+    return salted_facts.hint("merge").join(salted_lookup.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def row_bytes(df: DataFrame) -> Column:

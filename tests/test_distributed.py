@@ -194,6 +194,16 @@ def test_wide_lookups_are_not_broadcast(spark, monkeypatch):
     assert "_salt" in joined._jdf.queryExecution().analyzed().toString() and joined.count() == 50
 
 
+def test_lookups_of_many_rows_are_not_broadcast_by_their_estimate(spark):
+    facts = spark.range(50).select((F.col("id") % 5).alias("k"), F.col("id").alias("x"))
+    lookup = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    for how in ("inner", "left"):
+        joined = lookups.lookup_join(facts, lookup, "k", how, broadcast_rows=2)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert sorted(map(tuple, joined.select("k", "x", "y").collect())) == [(k, x, 2 * k) for k in range(5) for x in range(k, 50, 5)]
+
+
 @pytest.mark.parametrize("hash_limit", [0, 10**6])
 def test_duplicates_with_nulls(spark, hash_limit):
     df = spark.createDataFrame([(1, None)] * 5 + [(1, "a")] * 2 + [(2, "a"), (None, None)], "a int, b string")
